@@ -49,7 +49,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 class Block:
     """Whole documents as one byte buffer: ``ids``, ``buf`` and ``offs`` (len(ids) + 1 offsets)."""
 
-    def __init__(self, ids: np.ndarray, buf: np.ndarray, offs: np.ndarray, columns: dict[str, np.ndarray]):
+    def __init__(self, ids: pa.Array, buf: np.ndarray, offs: np.ndarray, columns: dict[str, pa.Array]):
         self.ids, self.buf, self.offs, self.columns = ids, buf, offs, columns
 
     def __len__(self) -> int:
@@ -61,7 +61,7 @@ class Block:
 
 def blocks(batches: Iterable[pa.RecordBatch], extra: tuple[str, ...] = (), limit: int = BLOCK_BYTES) -> Iterator[Block]:
     """Blocks of at most ``limit`` bytes (or one document); a null text counts as empty.  The
-    batches have ``doc_id`` (not null), ``text`` and the columns named in ``extra``."""
+    batches have ``doc_id``, ``text`` and the columns named in ``extra``, which stay Arrow arrays."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -72,8 +72,8 @@ def blocks(batches: Iterable[pa.RecordBatch], extra: tuple[str, ...] = (), limit
         _, where, data = text.buffers()
         offs = np.frombuffer(where, dtype=np.int64)[text.offset : text.offset + len(text) + 1]
         buf = np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
-        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-        more = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in extra}
+        ids = batch.column("doc_id")
+        more = {k: batch.column(k) for k in extra}
         start = 0
         while start < len(ids):
             end = max(start + 1, int(np.searchsorted(offs, offs[start] + limit, "right")) - 1)
