@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import pii, simhash, substring_dedup
+from ledgerloom.llm import licenses, pii, simhash, substring_dedup
 from ledgerloom.llm.kernels import documents
 
 
@@ -22,7 +22,11 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(documents(spark, sf_dir))
 
 
-_QUERIES = (op2_pii, op3_simhash, op6_substring_dedup)
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
+_QUERIES = (op2_pii, op3_simhash, op6_substring_dedup, op9_licenses)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -30,4 +34,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_licenses": licenses.oracle()}
