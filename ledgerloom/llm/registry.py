@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import licenses, pii, simhash, substring_dedup
+from ledgerloom.llm import decontaminate, licenses, pii, simhash, substring_dedup
 from ledgerloom.llm.kernels import documents
 
 
@@ -26,7 +26,11 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
 
 
-_QUERIES = (op2_pii, op3_simhash, op6_substring_dedup, op9_licenses)
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+_QUERIES = (op2_pii, op3_simhash, op6_substring_dedup, op9_licenses, op10_decontaminate)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
