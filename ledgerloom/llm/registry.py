@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import decontaminate, licenses, pii, simhash, substring_dedup
+from ledgerloom.llm import decontaminate, licenses, pii, rp_forest, simhash, substring_dedup
 from ledgerloom.llm.kernels import documents
 
 
@@ -22,6 +22,10 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(documents(spark, sf_dir))
 
 
+def op7_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rp_forest.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
 
@@ -30,7 +34,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-_QUERIES = (op2_pii, op3_simhash, op6_substring_dedup, op9_licenses, op10_decontaminate)
+_QUERIES = (op2_pii, op3_simhash, op6_substring_dedup, op7_rp_forest, op9_licenses, op10_decontaminate)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
