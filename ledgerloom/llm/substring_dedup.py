@@ -8,11 +8,12 @@ contain them, and a window is a repeat if a smaller document has the same one.
 repeats merge into the maximal ones, whose words go.
 
 Volumes stay in proportion to the words: pairs of documents are never formed, only the smallest
-document of a seed or window is compared with.  Exact copies of a text are settled first, and
-counts are combined before each shuffle, so a passage in a third of the documents costs its
-rows once.  Joins are ones that adaptive execution splits when a key is hot.
+document of a seed or window is compared with.  Exact copies of a text are settled first.  A task
+settles what its own block of documents shows: of a seed or window that several of its documents
+have, one row per block goes to the shuffle under the common key, so a passage in a third of the
+documents makes a group of a row per block, and the others' rows spread evenly.
 
-Defined cases: a null text counts as empty; texts with fewer words than a window lose nothing;
+Ids are integers.  Defined cases: a null text counts as empty; texts with fewer words than a window lose nothing;
 rows with a null id are left out; equal rows, and different texts under one id, give a row each
 and never count as earlier for one another; other columns are ignored.
 """
@@ -23,10 +24,10 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.kernels import Words, blocks, gram_hashes, tasks, word_hashes
+from ledgerloom.llm.kernels import Words, blocks, gram_hashes, mix, tasks, word_hashes
 
 WINDOW = 13
 SEED = 5
@@ -60,6 +61,27 @@ def anchors(h: np.ndarray, words: Words, seed: int, window: int) -> tuple[np.nda
     return at, g[at]
 
 
+def _settled(g: np.ndarray, doc: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For the rows of a block: the smallest and largest id that has the row's hash."""
+    order = np.lexsort((ids[doc], g))
+    sorted_g, sorted_id = g[order], ids[doc][order]
+    new = np.concatenate(([True], sorted_g[1:] != sorted_g[:-1])) if len(g) else np.zeros(0, bool)
+    group = np.cumsum(new) - 1
+    start = np.flatnonzero(new)
+    last = np.concatenate((start[1:], [len(g)])) - 1 if len(g) else start
+    least, most = np.empty(len(g), ids.dtype), np.empty(len(g), ids.dtype)
+    least[order], most[order] = sorted_id[start][group], sorted_id[last][group]
+    return least, most
+
+
+def _rows(block, words: Words, at: np.ndarray, g: np.ndarray, alone: np.ndarray, known: np.ndarray) -> pa.RecordBatch:
+    """Rows (hash, doc_id, rid, place, known); those that are ``alone`` get a hash of their own."""
+    row = pa.array(words.doc[at])
+    rid = block.columns["rid"].take(row)
+    own = mix(rid.to_numpy().view(np.uint64) + words.place[at].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return pa.RecordBatch.from_arrays([pa.array(np.where(alone, own, g).view(np.int64)), block.ids.take(row), rid, pa.array(words.place[at].astype(np.int32)), pa.array(known)], ["hash", "doc_id", "rid", "place", "known"])
+
+
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, seed: int = SEED, keep_text: bool = False) -> DataFrame:
     """Per row: doc_id, n_words, n_removed, kept_sha256 and, if asked for, the kept text."""
     kind = df.schema[id_col].dataType.simpleString()
@@ -77,12 +99,15 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for block in blocks(batches, ("rid",)):
             words = Words(block)
             at, g = anchors(word_hashes(block.buf, words), words, seed, window)
-            row = pa.array(words.doc[at])
-            yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), block.ids.take(row), block.columns["rid"].take(row), pa.array(words.place[at].astype(np.int32))], ["seed", "doc_id", "rid", "place"])
+            ids = block.ids.to_numpy()
+            least, most = _settled(g, words.doc[at], ids)
+            yield _rows(block, words, at, g, ids[words.doc[at]] > least, least != most)
 
-    seeds = marked.filter("copy is null").select("doc_id", "rid", "text").mapInArrow(emit_seeds, f"seed long, doc_id {kind}, rid long, place int")
-    shared = seeds.groupBy("seed").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least <> most").select("seed")
-    hit = seeds.select("seed", "rid", "place").join(shared, "seed").groupBy("rid").agg(F.collect_list("place").alias("places"))
+    schema = f"hash long, doc_id {kind}, rid long, place int, known boolean"
+    same = Window.partitionBy("hash")
+    seeds = marked.filter("copy is null").select("doc_id", "rid", "text").mapInArrow(emit_seeds, schema)
+    shared = seeds.withColumns({"least": F.min("doc_id").over(same), "most": F.max("doc_id").over(same)}).filter("known or least <> most")
+    hit = shared.groupBy("rid").agg(F.collect_list("place").alias("places"))
 
     def extend(batches):
         for block in blocks(batches, ("rid", "places")):
@@ -95,12 +120,14 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             np.add.at(near, low, 1)
             np.add.at(near, at + 1, -1)
             start = np.flatnonzero(ok & (np.cumsum(near[:-1]) > 0))
-            row = pa.array(words.doc[start])
-            yield pa.RecordBatch.from_arrays([pa.array(g[start].view(np.int64)), block.ids.take(row), block.columns["rid"].take(row), pa.array(words.place[start].astype(np.int32))], ["passage", "doc_id", "rid", "place"])
+            ids = block.ids.to_numpy()
+            least, _ = _settled(g[start], words.doc[start], ids)
+            later = ids[words.doc[start]] > least
+            yield _rows(block, words, start, g[start], later, later)
 
-    passages = by_row.join(hit.hint("shuffle_hash"), "rid").select("doc_id", "rid", "text", "places").mapInArrow(extend, f"passage long, doc_id {kind}, rid long, place int")
-    first = passages.groupBy("passage").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least <> most").select("passage", "least")
-    repeats = passages.join(first, "passage").filter("doc_id > least").groupBy("rid").agg(F.collect_list("place").alias("starts"))
+    passages = by_row.join(hit.hint("shuffle_hash"), "rid").select("doc_id", "rid", "text", "places").mapInArrow(extend, schema)
+    later = passages.withColumn("least", F.min("doc_id").over(same)).filter("known or doc_id > least")
+    repeats = later.groupBy("rid").agg(F.collect_list("place").alias("starts"))
 
     def cut(batches):
         for block in blocks(batches, ("copy", "starts")):
@@ -123,5 +150,5 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             cols = [pa.array(out["n_words"], pa.int64()), pa.array(out["n_removed"], pa.int64()), pa.array(out["kept_sha256"], pa.string())] + [pa.array(out["kept"], pa.string())] * keep_text
             yield pa.RecordBatch.from_arrays([block.ids, *cols], ["doc_id", "n_words", "n_removed", "kept_sha256"] + ["kept_text"] * keep_text)
 
-    schema = f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * keep_text
-    return marked.join(repeats.hint("shuffle_hash"), "rid", "left").select("doc_id", "text", "copy", "starts").mapInArrow(cut, schema)
+    result = f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * keep_text
+    return marked.join(repeats.hint("shuffle_hash"), "rid", "left").select("doc_id", "text", "copy", "starts").mapInArrow(cut, result)
