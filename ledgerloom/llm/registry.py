@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import decontaminate, licenses, pii, rp_forest, simhash, substring_dedup
+from ledgerloom.llm import decontaminate, lang_id, licenses, pii, rp_forest, simhash, substring_dedup, toxicity
 from ledgerloom.llm.kernels import documents
 
 
+def op1_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_id.identify(documents(spark, sf_dir))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(documents(spark, sf_dir))
 
@@ -26,6 +30,10 @@ def op7_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rp_forest.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
 
@@ -34,7 +42,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-_QUERIES = (op2_pii, op3_simhash, op6_substring_dedup, op7_rp_forest, op9_licenses, op10_decontaminate)
+_QUERIES = (op1_lang_id, op2_pii, op3_simhash, op6_substring_dedup, op7_rp_forest, op8_toxicity, op9_licenses, op10_decontaminate)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
