@@ -77,45 +77,48 @@ class Tokenizer:
 
     @staticmethod
     def fold(b: Column, table: Column) -> Column:
-        """The ids of one piece, given its bytes (one at least) and the rank table."""
-        none = F.lit(NO_RANK)
+        """The ids of one piece, given its bytes (one at least) and the rank table.
 
-        def rank(key: Column) -> Column:
-            return F.coalesce(_find(table, F.hex(key)), none)
+        The state has a long for each part: the rank of the part joined to the next, shifted left by 32,
+        plus where the part begins.  The least of them is the pair to merge, and the leftmost of equals.
+        """
+        n, none, shift = F.length(b).cast("long"), F.lit(NO_RANK << 32), F.lit(1 << 32)
 
-        def part(bounds: Column, i: Column, j: Column) -> Column:
-            return F.substring(b, F.get(bounds, i) + 1, F.get(bounds, j) - F.get(bounds, i))
+        def rank(start: Column, end: Column) -> Column:
+            return _find(table, F.hex(F.substring(b, (start + 1).cast("int"), (end - start).cast("int"))))
 
-        def pair(bounds: Column, i: Column) -> Column:
-            """Rank of the parts i and i + 1 joined."""
-            return F.when(i + 2 < F.size(bounds), rank(part(bounds, i, i + 2))).otherwise(none)
-
-        n = F.length(b)
-        # bounds: where the parts begin, and the end; ranks: of each part joined to the next
-        start = F.struct(F.sequence(F.lit(0), n).alias("bounds"), F.concat(F.transform(F.sequence(F.lit(1), n - 1), lambda i: rank(F.substring(b, i, F.lit(2)))), F.array(none)).alias("ranks"))
+        def entry(start: Column, middle: Column, end: Column) -> Column:
+            """The state of a part that ends at ``middle`` and whose next part ends at ``end``."""
+            return F.when(middle < n, F.coalesce(rank(start, end).cast("long") * shift, none)).otherwise(none) + start
 
         def step(state: Column, _: Column) -> Column:
-            bounds, ranks = state["bounds"], state["ranks"]
-            least = F.array_min(ranks)
-            at = F.array_position(ranks, least).cast("int")  # from 1
-            rest = F.concat(F.slice(bounds, F.lit(1), at), F.slice(bounds, at + 2, F.size(bounds)))
-            merged = F.struct(
-                rest.alias("bounds"),
-                F.concat(
-                    F.slice(ranks, F.lit(1), F.greatest(at - 2, F.lit(0))),
-                    F.when(at > 1, F.array(pair(rest, at - 2))).otherwise(F.array().cast("array<int>")),
-                    F.array(pair(rest, at - 1)),
-                    F.slice(ranks, at + 2, F.size(ranks)),
-                ).alias("ranks"),
-            )
-            return F.when(least == none, state).otherwise(merged)
+            def merged(least: Column) -> Column:
+                return F.when(least >= none, state).otherwise(_using(F.array_position(state, least).cast("int"), lambda at: at_place(least, at)))
+
+            def at_place(least: Column, at: Column) -> Column:
+                def begin(k) -> Column:  # of the k-th part after `at`
+                    return F.coalesce(F.get(state, at - 1 + k) % shift, n)
+
+                def with_ends(ends: Column) -> Column:
+                    middle, end = F.get(ends, F.lit(0)), F.get(ends, F.lit(1))
+                    gone = F.get(state, at)
+                    before = F.get(state, at - 2)
+                    start = least % shift
+                    return F.transform(
+                        F.filter(state, lambda x: x != gone),
+                        lambda x: F.when(x == least, entry(start, middle, end)).when(x == before, entry(before % shift, start, middle)).otherwise(x),
+                    )
+
+                return _using(F.array(begin(2), begin(3)), with_ends)
+
+            return _using(F.array_min(state), merged)
 
         def ids(state: Column) -> Column:
-            bounds = state["bounds"]
-            return F.transform(F.sequence(F.lit(0), F.size(bounds) - 2), lambda i: rank(part(bounds, i, i + 1)))
+            return F.transform(state, lambda x, i: rank(x % shift, F.coalesce(F.get(state, i + 1) % shift, n)))
 
-        whole = rank(b)
-        return F.when(whole != none, F.array(whole)).otherwise(F.aggregate(F.sequence(F.lit(1), n - 1), start, step, ids))
+        start = F.transform(F.sequence(F.lit(0), F.length(b) - 1), lambda i: entry(i.cast("long"), i.cast("long") + 1, i.cast("long") + 2))
+        whole = _find(table, F.hex(b))
+        return F.coalesce(F.when(whole.isNotNull(), F.array(whole)), F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(b) - 1, F.lit(1))), start, step, ids))
 
     def warm(self, df: DataFrame, text_col: str) -> None:
         """Fold the sample's most used pieces once."""

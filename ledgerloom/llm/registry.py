@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import byte_bpe, decontaminate, lang_id, licenses, pii, rp_forest, simhash, substring_dedup, toxicity
+from ledgerloom.llm import byte_bpe, decontaminate, katz, lang_id, licenses, pii, rp_forest, simhash, substring_dedup, toxicity
 from ledgerloom.llm.kernels import documents
 
 
@@ -22,6 +22,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op4_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.held_out_scores(documents(spark, sf_dir))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digest(documents(spark, sf_dir))
 
@@ -46,7 +50,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-_QUERIES = (op1_lang_id, op2_pii, op3_simhash, op5_byte_bpe, op6_substring_dedup, op7_rp_forest, op8_toxicity, op9_licenses, op10_decontaminate)
+_QUERIES = (op1_lang_id, op2_pii, op3_simhash, op4_katz, op5_byte_bpe, op6_substring_dedup, op7_rp_forest, op8_toxicity, op9_licenses, op10_decontaminate)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
