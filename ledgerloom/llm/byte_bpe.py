@@ -153,7 +153,7 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
     return df.select(F.col(id_col).alias("doc_id"), t.ids(F.col(text_col)).alias("ids")), t
 
 
-def digest(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each row."""
+def digest(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, keep_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each row, and the ids if asked for."""
     coded, t = encode(df, id_col, text_col, path)
-    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"), F.sha2(t.decoded(F.col("ids")), 256).alias("decoded_sha256"))
+    return coded.select("doc_id", *["ids"] * keep_ids, F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"), F.sha2(t.decoded(F.col("ids")), 256).alias("decoded_sha256"))

@@ -206,3 +206,22 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     """doc_id, held_out, lang_pred, score: rows whose crc32 of the id is 1 modulo 3 never train."""
     net = train(df, fold_crc(id_col, 3) != 1, id_col, text_col, lang_col)
     return predict(df, net, id_col, text_col).select("doc_id", (fold_crc("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+def keep_identified(df: DataFrame, net: Network | None, least_score: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` whose text has a letter and whose best language scores ``least_score`` or more."""
+
+    def run(net, batches):
+        for batch in batches:
+            bare = pa.RecordBatch.from_arrays([batch.column(batch.schema.names.index(id_col)), batch.column(batch.schema.names.index(text_col)), batch.column(batch.num_columns - 1)], ["doc_id", "text", "lettered"])
+            fits = []
+            for block in blocks([bare], ("lettered",)):
+                lettered = np.asarray(block.columns["lettered"].to_numpy(zero_copy_only=False), dtype=bool)
+                if net is not None and len(block.buf):
+                    lettered = lettered & (document_probabilities(net, block.buf, block.offs).max(axis=1) >= least_score)
+                fits.append(lettered)
+            if fits:
+                yield pa.RecordBatch.from_arrays(batch.columns[:-1], batch.schema.names[:-1]).filter(pa.array(np.concatenate(fits)))
+
+    marked = df.withColumn("ledgerloom lettered", F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)))
+    return marked.mapInArrow(partial(run, net), df.schema)
