@@ -28,7 +28,7 @@ HIDDEN = 8
 PER_LANG = 320
 SPOTS = 2
 MAX_LANGS = 1024
-EPOCHS = 4
+STEPS = 160
 BATCH = 64
 RATE = 0.02
 UNKNOWN = "und"
@@ -107,11 +107,12 @@ class Network:
         logits /= logits.sum(axis=2, keepdims=True)
         return logits
 
-    def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = EPOCHS, batch: int = BATCH, rate: float = RATE, seed: int = 5) -> None:
+    def fit(self, x: np.ndarray, y: np.ndarray, steps: int = STEPS, batch: int = BATCH, rate: float = RATE, seed: int = 5) -> None:
         """x: windows (N, T) of bytes; y: language numbers.  Every position is to tell the language."""
         rng = np.random.default_rng(seed)
         params = [self.there.e, self.there.u, self.back.e, self.back.u, self.v, self.b]
         first, second, step = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
+        epochs = -(-steps * batch // len(x))
         for epoch in range(epochs):
             order = rng.permutation(len(x))
             for at in range(0, len(x), batch):
