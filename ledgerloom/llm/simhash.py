@@ -134,10 +134,3 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     named = classes.join(members, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     return prints.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
-
-def keep_representatives(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = DISTANCE) -> DataFrame:
-    """The rows of ``df`` without those that have a near-duplicate chain to a smaller id; of rows that share an id one
-    stays, and rows with a null id all stay."""
-    found = near_duplicates(df, id_col, text_col, shingle, distance)
-    first = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(id_col)).distinct()
-    return df.join(first, id_col, "left_semi").dropDuplicates([id_col]).unionByName(df.filter(F.col(id_col).isNull()))

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import lang_id, simhash, toxicity
+from ledgerloom.llm import lang_id, near_copies, toxicity
 
 SYLLABLES = {"en": "th ing er and on ea sh".split(), "de": "sch ung ein ich er ß ü".split(), "es": "ción ado os la ñ ue mente".split()}
 
@@ -114,7 +114,7 @@ def test_stages(spark, docs, tmp_path):
     assert a.columns == columns and ids(docs) - ids(a) == {300, 301, 302}
     b = p.near_duplicates(spark, a, str(tmp_path))
     assert b.columns == columns
-    found = {r.doc_id: r.component_id for r in simhash.near_duplicates(a).collect()}
+    found = {r.doc_id: r.component_id for r in near_copies.groups(a).collect()}
     assert 402 not in ids(b) and ids(b) == {i for i, c in found.items() if i == c} | {None}
     c = p.benchmark_leaks(spark, b, str(tmp_path))
     assert c.columns == columns and ids(b) - ids(c) == {400}
