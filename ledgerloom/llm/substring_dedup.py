@@ -11,7 +11,8 @@ Volumes stay in proportion to the words: pairs of documents are never formed, on
 document of a seed or window is compared with.  Exact copies of a text are settled first.  A task
 settles what its own block of documents shows: of a seed or window that several of its documents
 have, one row per block goes to the shuffle under the common key, so a passage in a third of the
-documents makes a group of a row per block, and the others' rows spread evenly.
+documents makes a group of a row per block, and the others' rows spread evenly.  A document that has
+a seed or window several times sends it once, with its other places in a list.
 
 Ids are integers.  Defined cases: a null text counts as empty; texts with fewer words than a window lose nothing;
 rows with a null id are left out; equal rows, and different texts under one id, give a row each
@@ -75,11 +76,22 @@ def _settled(g: np.ndarray, doc: np.ndarray, ids: np.ndarray) -> tuple[np.ndarra
 
 
 def _rows(block, words: Words, at: np.ndarray, g: np.ndarray, alone: np.ndarray, known: np.ndarray) -> pa.RecordBatch:
-    """Rows (hash, doc_id, rid, place, known); those that are ``alone`` get a hash of their own."""
-    row = pa.array(words.doc[at])
+    """Rows (hash, doc_id, rid, place, more, known), one for each document and hash, with its first place and the
+    others; rows that are ``alone`` get a hash of their own."""
+    doc, place = words.doc[at], words.place[at].astype(np.int32)
+    order = np.lexsort((place, g, doc))
+    g, doc, place = g[order], doc[order], place[order]
+    new = np.ones(len(g), dtype=bool)
+    new[1:] = (g[1:] != g[:-1]) | (doc[1:] != doc[:-1])
+    start = np.flatnonzero(new)
+    extra = np.diff(np.concatenate((start, [len(g)]))) - 1
+    offsets = np.concatenate(([0], np.cumsum(extra))).astype(np.int32)
+    more = pa.ListArray.from_arrays(pa.array(offsets), pa.array(place[~new]), mask=pa.array(extra == 0)) if len(start) else pa.array([], pa.list_(pa.int32()))
+    row = pa.array(doc[start])
     rid = block.columns["rid"].take(row)
-    own = mix(rid.to_numpy().view(np.uint64) + words.place[at].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return pa.RecordBatch.from_arrays([pa.array(np.where(alone, own, g).view(np.int64)), block.ids.take(row), rid, pa.array(words.place[at].astype(np.int32)), pa.array(known)], ["hash", "doc_id", "rid", "place", "known"])
+    own = mix(rid.to_numpy().view(np.uint64) + place[start].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    key = np.where(alone[order][start], own, g[start])
+    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), block.ids.take(row), rid, pa.array(place[start]), more, pa.array(known[order][start])], ["hash", "doc_id", "rid", "place", "more", "known"])
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, seed: int = SEED, keep_text: bool = False) -> DataFrame:
@@ -103,11 +115,12 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             least, most = _settled(g, words.doc[at], ids)
             yield _rows(block, words, at, g, ids[words.doc[at]] > least, least != most)
 
-    schema = f"hash long, doc_id {kind}, rid long, place int, known boolean"
+    schema = f"hash long, doc_id {kind}, rid long, place int, more array<int>, known boolean"
     same = Window.partitionBy("hash")
+    every = F.flatten(F.collect_list(F.concat(F.array("place"), F.coalesce("more", F.array().cast("array<int>")))))
     seeds = marked.filter("copy is null").select("doc_id", "rid", "text").mapInArrow(emit_seeds, schema)
     shared = seeds.withColumns({"least": F.min("doc_id").over(same), "most": F.max("doc_id").over(same)}).filter("known or least <> most")
-    hit = shared.groupBy("rid").agg(F.collect_list("place").alias("places"))
+    hit = shared.groupBy("rid").agg(every.alias("places"))
 
     def extend(batches):
         for block in blocks(batches, ("rid", "places")):
@@ -127,7 +140,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     passages = by_row.join(hit.hint("shuffle_hash"), "rid").select("doc_id", "rid", "text", "places").mapInArrow(extend, schema)
     later = passages.withColumn("least", F.min("doc_id").over(same)).filter("known or doc_id > least")
-    repeats = later.groupBy("rid").agg(F.collect_list("place").alias("starts"))
+    repeats = later.groupBy("rid").agg(every.alias("starts"))
 
     def cut(batches):
         for block in blocks(batches, ("copy", "starts")):
