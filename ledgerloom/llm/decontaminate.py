@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.kernels import Words, blocks, gram_hashes, lowered, mix, word_hashes
+from ledgerloom.llm.kernels import Words, blocks, long_array, lowered, mix, word_hashes
 
 SIMILARITY = 0.8
 REPEATS = 24
@@ -51,24 +51,29 @@ def least_pairs(n: int, similarity: float) -> int:
     return max(1, n - 1 - 2 * edits(n, similarity))
 
 
-def sampled_steps(n: int, repeat: int, samples: int = SAMPLES) -> np.ndarray:
-    """The steps of the walk over n words that a repetition looks at."""
-    return np.sort(np.random.default_rng([n, repeat]).integers(0, 2 * n, samples))
+def walk(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For items of n words: the steps (REPEATS, SAMPLES) that each repetition looks at, the odd factors
+    (REPEATS, 2n) whose products' top bits advance the pointer, and the repetitions' first keys."""
+    rng = np.random.default_rng(n)
+    steps = np.stack([rng.choice(2 * n, SAMPLES, replace=False) for _ in range(REPEATS)])
+    factors = rng.integers(0, 2**63, (REPEATS, 2 * n), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return steps, factors, mix(np.arange(REPEATS, dtype=np.uint64) + np.uint64(n * 1000003))
 
 
-def walk_keys(words: np.ndarray, n: int, repeat: int) -> np.ndarray:
-    """Keys of rows of n word hashes for one repetition (ended by padding)."""
+def walk_keys(words: np.ndarray, n: int) -> np.ndarray:
+    """Keys (REPEATS, rows) of rows of n word hashes (ended by padding)."""
     rows = np.concatenate((words, np.full((len(words), 1), _PAD, np.uint64)), axis=1)
-    pointer = np.zeros(len(rows), dtype=np.int64)
-    line = np.arange(len(rows))
-    steps = sampled_steps(n, repeat)
-    key = np.full(len(rows), np.uint64(n * 1000003 + repeat), dtype=np.uint64)
-    for step in range(int(steps[-1]) + 1):
+    steps, factors, first = walk(n)
+    pointer = np.zeros((REPEATS, len(rows)), dtype=np.int64)
+    line = np.arange(len(rows))[None, :]
+    key = np.repeat(first[:, None], len(rows), axis=1)
+    for step in range(int(steps.max()) + 1):
         symbol = rows[line, pointer]
-        for _ in range(int((steps == step).sum())):
-            key = mix(key ^ symbol)
-        bit = mix(symbol + np.uint64((repeat << 20) + step + 1)) & np.uint64(1)
-        pointer = np.minimum(pointer + bit.astype(np.int64), n)
+        looking = np.flatnonzero((steps == step).any(axis=1))
+        if len(looking):
+            key[looking] = mix(key[looking] ^ symbol[looking])
+        pointer += ((symbol * factors[:, step : step + 1]) >> np.uint64(63)).astype(np.int64)
+        np.minimum(pointer, n, out=pointer)
     return key
 
 
@@ -107,10 +112,13 @@ class Index:
             for g in mix(h[:-1] * np.uint64(3) ^ h[1:]).tolist():
                 pairs[g] = pairs.get(g, 0) | 1 << self.class_of(len(h))
         self.pair = np.array(sorted(pairs), dtype=np.uint64)
+        self.often = np.isin(self.pair, [g for _, h in self.items for g, n in zip(*np.unique(mix(h[:-1] * np.uint64(3) ^ h[1:]), return_counts=True), strict=True) if n > 1])
         self.mask = np.array([pairs[g] for g in self.pair.tolist()], dtype=np.uint64)
         self.slot = np.zeros(_SLOTS, dtype=bool)
         self.slot[(self.pair & np.uint64(_SLOTS - 1)).astype(np.int64)] = True
-        self.keys = [[self._item_keys(c, r) for r in range(REPEATS)] for c in range(len(self.sizes))]
+        self.stacks = [self.padded(c) for c in range(len(self.sizes))]
+        self.item_keys = [walk_keys(np.stack([h for _, h in mine]), n) for mine, n in zip(self.stacks, self.sizes, strict=True)]
+        self.keys = [np.unique(k) for k in self.item_keys]
 
     def class_of(self, n: int) -> int:
         return int(np.searchsorted(self.sizes, n))
@@ -119,22 +127,13 @@ class Index:
         n = self.sizes[c]
         return [(k, np.concatenate((h, np.full(n - len(h), _PAD, np.uint64)))) for k, (_, h) in enumerate(self.items) if self.class_of(len(h)) == c]
 
-    def _item_keys(self, c: int, repeat: int) -> np.ndarray:
-        return np.unique(walk_keys(np.stack([h for _, h in self.padded(c)]), self.sizes[c], repeat))
-
     def rows(self) -> list[tuple]:
         """(key, item number) of every item and repetition, the SQL side of the join."""
-        out = []
-        for c, n in enumerate(self.sizes):
-            mine = self.padded(c)
-            stack = np.stack([h for _, h in mine])
-            for r in range(REPEATS):
-                out += zip(walk_keys(stack, n, r).view(np.int64).tolist(), (k for k, _ in mine), strict=True)
-        return out
+        return [(int(k), number) for mine, keys in zip(self.stacks, self.item_keys, strict=True) for row in keys.view(np.int64) for k, (number, _) in zip(row, mine, strict=True)]
 
 
 def _windows(index: Index, batches):
-    """Rows (key, doc_id, start, window) of the windows whose key some item has too."""
+    """Rows (keys, doc_id, start, window) of the windows that share a key with some item."""
     for block in blocks(batches):
         words = Words(block)
         if not len(words) or not index.sizes:
@@ -145,6 +144,10 @@ def _windows(index: Index, batches):
         hit = np.flatnonzero(index.slot[(pair & np.uint64(_SLOTS - 1)).astype(np.int64)])
         at = np.minimum(np.searchsorted(index.pair, pair[hit]), len(index.pair) - 1)
         same = (index.pair[at] == pair[hit]) & (hit + 1 < words.first[words.doc[hit] + 1])
+        # inside a run of one repeated pair that no item has twice, only the ends of the run can count
+        inner = np.zeros(len(pair), dtype=bool)
+        inner[1:-1] = (pair[1:-1] == pair[:-2]) & (pair[1:-1] == pair[2:])
+        same &= ~inner[hit] | index.often[at]
         hit, mask = hit[same], index.mask[at[same]]
         for c, n in enumerate(index.sizes):
             own = hit[(mask >> np.uint64(c)) & np.uint64(1) == 1]
@@ -165,36 +168,45 @@ def _windows(index: Index, batches):
             grid = start[:, None] + np.arange(reach)
             inside = grid < words.first[words.doc[start] + 1][:, None]
             body = np.where(inside, h[np.minimum(grid, len(h) - 1)], _PAD)
-            for r in range(REPEATS):
-                key = walk_keys(body[:, :n], n, r)
-                there = np.flatnonzero(np.isin(key, index.keys[c][r]))
-                if len(there):
-                    size = inside[there].sum(axis=1)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(key[there].view(np.int64)),
-                            block.ids.take(pa.array(words.doc[start[there]])),
-                            pa.array(words.place[start[there]]),
-                            pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(size))).astype(np.int32)), pa.array(body[there][inside[there]].view(np.int64))),
-                        ],
-                        ["key", "doc_id", "start", "window"],
-                    )
-
-
-def _verified(batches):
-    """Candidates with their exact distance; those that are too far go."""
+            key = walk_keys(body[:, :n], n)
+            shared = np.isin(key, index.keys[c])
+            there = np.flatnonzero(shared.any(axis=0))
+            if len(there):
+                size, mine = inside[there].sum(axis=1), shared[:, there].T
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        long_array(key[:, there].T[mine].view(np.int64), mine.sum(axis=1)),
+                        block.ids.take(pa.array(words.doc[start[there]])),
+                        pa.array(words.place[start[there]]),
+                        long_array(body[there][inside[there]].view(np.int64), size),
+                    ],
+                    ["keys", "doc_id", "start", "window"],
+                )
+
+
+def _verified(similarity: float, batches):
+    """Candidates with their exact distance.  An item word that the window lacks costs an edit, so a window that lacks
+    too many is out without an alignment."""
     for b in batches:
         items, windows = b.column("item"), b.column("window")
+        i_size, w_size = items.value_lengths().to_numpy(), windows.value_lengths().to_numpy()
+        i_flat, w_flat = items.flatten().to_numpy().view(np.uint64), windows.flatten().to_numpy().view(np.uint64)
+        i_row, w_row = np.repeat(np.arange(b.num_rows), i_size), np.repeat(np.arange(b.num_rows), w_size)
+        own = lambda flat, row: mix(flat + row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))  # noqa: E731  a word of one candidate
+        lacking = np.bincount(i_row, weights=~np.isin(own(i_flat, i_row), own(w_flat, w_row)), minlength=b.num_rows).astype(np.int64)
+        i_end, w_end = np.cumsum(i_size), np.cumsum(w_size)
         out = []
         for i in range(b.num_rows):
-            item, window = np.asarray(items[i].values), np.asarray(windows[i].values)
+            if lacking[i] > edits(int(w_size[i]), similarity):
+                out.append((int(lacking[i]), int(i_size[i]), 0.0))
+                continue
+            item, window = i_flat[i_end[i] - i_size[i] : i_end[i]], w_flat[w_end[i] - w_size[i] : w_end[i]]
             d, end = (0, len(item)) if np.array_equal(item, window[: len(item)]) else distance(item, window)
             out.append((d, end, 1 - d / max(len(item), end, 1)))
-        far = pa.RecordBatch.from_arrays(
+        yield pa.RecordBatch.from_arrays(
             [b.column("doc_id"), b.column("item_id"), b.column("start"), pa.array([x[1] for x in out], pa.int64()), pa.array([x[0] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.float64())],
             ["doc_id", "item_id", "start_word", "n_words", "distance", "similarity"],
         )
-        yield far
 
 
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", similarity: float = SIMILARITY, block_items: int = BLOCK_ITEMS) -> DataFrame:
@@ -210,9 +222,9 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
         index = Index(pa.array([r["item_id"] for r in part]), [r["text"] for r in part], similarity)
         keys = spark.createDataFrame(index.rows(), "key long, number int").distinct()
         known = spark.createDataFrame([(i, item_id, h.view(np.int64).tolist()) for i, (item_id, h) in enumerate(index.items)], f"number int, item_id {item_kind}, item array<long>")
-        windows = texts.mapInArrow(partial(_windows, index), f"key long, doc_id {kind}, start long, window array<long>")
-        candidates = windows.join(keys, "key").select("doc_id", "start", "number", "window").dropDuplicates(["doc_id", "start", "number"])
-        checked = candidates.join(known, "number").select("doc_id", "item_id", "start", "item", "window").mapInArrow(_verified, f"doc_id {kind}, item_id {item_kind}, start_word long, n_words long, distance long, similarity double")
+        windows = texts.mapInArrow(partial(_windows, index), f"keys array<long>, doc_id {kind}, start long, window array<long>")
+        candidates = windows.withColumn("key", F.explode("keys")).join(keys, "key").select("doc_id", "start", "number", "window").dropDuplicates(["doc_id", "start", "number"])
+        checked = candidates.join(known, "number").select("doc_id", "item_id", "start", "item", "window").mapInArrow(partial(_verified, similarity), f"doc_id {kind}, item_id {item_kind}, start_word long, n_words long, distance long, similarity double")
         found = checked.filter(F.col("similarity") >= similarity)
         best = found.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("start_word", "n_words", "distance", "similarity"), F.struct("similarity", -F.col("start_word"))).alias("x")).select("doc_id", "item_id", "x.*")
         out = best if out is None else out.unionByName(best)
