@@ -7,7 +7,9 @@ bucket) instead of comparing all rows of a case.
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,29 +40,38 @@ def best_match(receipts: DataFrame, rows: DataFrame, tolerance: float = 0.01, wi
     return receipts.join(best, ["case_id", "rid"], "left").withColumn("confidence", confidence(F.col("date_score"), F.col("desc_score")))
 
 
+def _chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of each case from the list of its candidate pairs."""
+    for batch in batches:
+        out: list[tuple] = []
+        for case, pairs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            by_receipt: dict[int, list[tuple]] = {}
+            for p in sorted(pairs, key=lambda p: (-(p["date_score"] + p["desc_score"]), p["pos"])):
+                by_receipt.setdefault(p["rid"], []).append(p)
+            taken: set[int] = set()
+            best = lambda rid: (by_receipt[rid][0]["rank"], -(by_receipt[rid][0]["date_score"] + by_receipt[rid][0]["desc_score"]), rid)  # noqa: E731, B023
+            for rid in sorted(by_receipt, key=best):
+                free = next((p for p in by_receipt[rid] if p["pos"] not in taken), None)
+                if free:
+                    taken.add(free["pos"])
+                    out.append((case, rid, free["pos"], free["date_score"], free["desc_score"]))
+        columns = list(zip(*out, strict=True)) if out else [()] * 5
+        kinds = [pa.int64()] * 3 + [pa.float64()] * 2
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["case_id", "rid", "pos", "date_score", "desc_score"])
+
+
 def assign(receipts: DataFrame, rows: DataFrame, tolerance: float = 0.01, window: int = 5) -> DataFrame:
     """One-to-one links (case_id, rid, pos, date_score, desc_score, confidence).
 
     Within a case, receipts choose in the order of their best confidence and score; a row that is taken
     is gone, and a receipt whose rows are all taken stays without one.  The choice is sequential, so a
-    case's candidate pairs are one group; they are few, as only equal amounts meet.
+    case's candidate pairs are one list; they are few, as only equal amounts meet.
     """
     pairs = candidates(receipts, rows, tolerance, window).select("case_id", "rid", "pos", "date_score", "desc_score")
     pairs = pairs.withColumn("rank", F.expr("CASE WHEN date_score > 0 AND desc_score >= 0.5 THEN 0 WHEN date_score > 0 OR desc_score >= 0.5 THEN 1 ELSE 2 END"))
 
-    def choose(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.assign(total=group.date_score + group.desc_score).sort_values(["total", "pos"], ascending=[False, True], kind="stable")
-        turn = group.drop_duplicates("rid").sort_values(["rank", "total", "rid"], ascending=[True, False, True], kind="stable").rid
-        taken: set[int] = set()
-        chosen = []
-        for rid in turn:
-            free = group[(group.rid == rid) & ~group.pos.isin(taken)]
-            if len(free):
-                taken.add(free.pos.iloc[0])
-                chosen.append(free.iloc[0])
-        return pd.DataFrame(chosen)[["case_id", "rid", "pos", "date_score", "desc_score"]]
-
-    links = pairs.groupBy("case_id").applyInPandas(choose, "case_id long, rid long, pos long, date_score double, desc_score double")
+    listed = pairs.groupBy("case_id").agg(F.collect_list(F.struct("rid", "pos", "date_score", "desc_score", "rank")).alias("pairs"))
+    links = listed.mapInArrow(_chosen, "case_id long, rid long, pos long, date_score double, desc_score double")
     out = receipts.select("case_id", "rid").join(links, ["case_id", "rid"], "left")
     return out.withColumn("confidence", confidence(F.col("date_score"), F.col("desc_score")))
 
