@@ -27,7 +27,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MEMO = 250_000
+MEMO = 80_000
+ROWS = 256  # texts that are worked on at a time
 BUCKETS = 1 << 16
 HEAD = 1 << 16
 SAMPLE = 6_000
@@ -198,7 +199,7 @@ def _encoded(ranks: dict[bytes, int], cut: str, keep_ids: bool, batches):
             memo[piece] = made
         return made
 
-    for batch in batches:
+    for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
         n, coded, back, kept = [], [], [], []
         for text in batch.column("text"):
             made = [memo.get(p) or fold(p) for p in find(text.as_py() or "")]
