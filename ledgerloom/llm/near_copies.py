@@ -6,8 +6,9 @@ of five-word shingles, and many short codes are drawn from it: each takes ``BLOC
 bits, and each group goes to its nearest code word of the [7,4] Hamming code, the anchor whose covering
 radius is one.  Texts that share all anchors of a code meet.  The number of codes follows from the wanted
 recall at the wanted similarity, and the number of blocks from the number of texts, so that chance meetings
-stay few.  In a bucket, sorted by fingerprint, each text is compared with the next ``NEXT`` ones: a group of
-copies of any size links up as a chain, in proportion to its size.  The comparison is the share of differing
+stay few.  First each text of a bucket is compared with the bucket's smallest: a group of copies of any size
+links up as a star, in proportion to its size.  Then every two texts of a bucket that are not linked yet are
+compared, without a cap, so that each pair that meets is judged.  The comparison is the share of differing
 bits of the whole fingerprints, which estimates the similarity within about three hundredths.
 
 Defined cases: a null text counts as empty; texts of fewer than five words are one shingle; texts without
@@ -21,14 +22,13 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import connected_components
 from ledgerloom.llm.kernels import Words, blocks, gram_hashes, lowered, mix, shared_dir, word_hashes
 
 BITS = 512
-NEXT = 3
 RECALL = 0.95
 _CHUNK = 1 << 14
 
@@ -106,7 +106,7 @@ def fingerprints(df: DataFrame, id_col: str, text_col: str, shingle: int) -> Dat
 
 
 def _coded(k: int, codes: int, batches):
-    """Rows (key, node, head): the anchors of each code, and the fingerprint's first 64 bits."""
+    """Rows (key, node, part, head): the anchors of each code, and the fingerprint's first 64 bits."""
     rng = np.random.default_rng(99)
     places = np.stack([rng.choice(BITS, 7 * k, replace=False) for _ in range(codes)]).reshape(codes, k, 7)
     anchor, power = _nearest(), 1 << np.arange(7)
@@ -119,7 +119,32 @@ def _coded(k: int, codes: int, batches):
             key = (anchor[value] << (4 * np.arange(k))).sum(axis=2) | np.arange(codes, dtype=np.int64) << (4 * k)
             head = np.ascontiguousarray(raw[:, :8]).view(">i8").astype(np.int64).ravel()
             row = pa.array(np.repeat(np.arange(part.num_rows), codes))
-            yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), part.column("node").take(row), pa.array(head).take(row)], ["key", "node", "head"])
+            yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), part.column("node").take(row), part.column("part").take(row), pa.array(head).take(row)], ["key", "node", "part", "head"])
+
+
+def _close(x: str, y: str, similarity: float) -> Column:
+    """Whether two heads differ in few enough bits for this similarity, four deviations beyond the expected share."""
+    p = differing(similarity)
+    return F.bit_count(F.col(x).bitwiseXOR(F.col(y))) <= int(64 * p + 4 * math.sqrt(64 * p * (1 - p)))
+
+
+def _ordered(met: DataFrame) -> DataFrame:
+    return met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+
+
+def first_pairs(coded: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): each node with the smallest of its bucket, where their heads are close."""
+    least = F.min(F.struct("node", "head")).over(Window.partitionBy("key"))
+    met = coded.select("node", "head", least.alias("x")).select("node", "head", F.col("x.node").alias("other"), F.col("x.head").alias("other_head"))
+    return _ordered(met.filter((F.col("node") != F.col("other")) & _close("head", "other_head", similarity)))
+
+
+def all_pairs(coded: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): every two nodes of a bucket that are not in one part yet and whose heads are close."""
+    bucket = Window.partitionBy("key")
+    mixed = coded.select("*", F.min("part").over(bucket).alias("low"), F.max("part").over(bucket).alias("high")).filter("low < high").drop("low", "high")
+    others = mixed.select("key", F.col("node").alias("other"), F.col("part").alias("other_part"), F.col("head").alias("other_head"))
+    return _ordered(mixed.join(others.hint("merge"), "key").filter((F.col("part") < F.col("other_part")) & _close("head", "other_head", similarity)))
 
 
 def _compared(limit: float, batches):
@@ -131,21 +156,28 @@ def _compared(limit: float, batches):
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(near))
 
 
+def _links(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose fingerprints are near enough."""
+    kind, limit = classes.schema["node"].dataType.simpleString(), differing(similarity)
+    with_prints = pairs.join(classes.select(F.col("node").alias("a"), F.col("fp").alias("fp_a")), "a").join(classes.select(F.col("node").alias("b"), F.col("fp").alias("fp_b")), "b")
+    return with_prints.select("a", "b", "fp_a", "fp_b").mapInArrow(partial(_compared, limit), f"a {kind}, b {kind}")
+
+
 def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, recall: float = RECALL) -> DataFrame:
     """(doc_id, component_id) of every row: the smallest id that a chain of near copies leads to."""
     shared_dir(df.sparkSession)
     prints = fingerprints(df, id_col, text_col, shingle).checkpoint()
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("node")).checkpoint()
     k, codes = plan(classes.count(), similarity, recall)
-    kind, limit = df.schema[id_col].dataType.simpleString(), differing(similarity)
-    coded = classes.mapInArrow(partial(_coded, k, codes), f"key long, node {kind}, head long")
-    order = Window.partitionBy("key").orderBy("head", "node")
-    loose = int(64 * limit + 4 * math.sqrt(64 * limit * (1 - limit)))  # of the first 64 bits
-    following = F.array(*[F.struct(F.lead("node", i).over(order).alias("node"), F.lead("head", i).over(order).alias("head")) for i in range(1, NEXT + 1)])
-    pairs = coded.select("key", "node", "head", following.alias("next")).select("node", F.explode(F.filter("next", lambda x: F.bit_count(x["head"].bitwiseXOR(F.col("head"))) <= loose)).alias("x"))
-    pairs = pairs.select(F.least("node", "x.node").alias("a"), F.greatest("node", "x.node").alias("b")).distinct()
-    with_prints = pairs.join(classes.select(F.col("node").alias("a"), F.col("fp").alias("fp_a")), "a").join(classes.select(F.col("node").alias("b"), F.col("fp").alias("fp_b")), "b")
-    links = with_prints.select("a", "b", "fp_a", "fp_b").mapInArrow(partial(_compared, limit), f"a {kind}, b {kind}")
+    kind = df.schema[id_col].dataType.simpleString()
+
+    def coded(parts: DataFrame) -> DataFrame:
+        return parts.select("fp", "node", "part").mapInArrow(partial(_coded, k, codes), f"key long, node {kind}, part {kind}, head long")
+
+    first = connected_components(_links(first_pairs(coded(classes.withColumn("part", F.col("node"))), similarity), classes, similarity)).checkpoint()
+    parts = classes.join(first, "node", "left").withColumn("part", F.coalesce("component", "node"))
+    rest = _links(all_pairs(coded(parts), similarity), classes, similarity)
+    links = rest.unionByName(first.select(F.col("component").alias("a"), F.col("node").alias("b")))
     named = classes.join(connected_components(links), "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     return prints.join(named, "fp").select("doc_id", "component_id")
 

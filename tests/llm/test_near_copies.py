@@ -42,3 +42,12 @@ def test_recall_and_precision(spark):
 def test_plan_grows_with_the_corpus():
     assert near_copies.plan(10**3, 0.8)[0] < near_copies.plan(10**9, 0.8)[0]
     assert near_copies._nearest().tolist().count(0) == 8
+
+
+def test_every_pair_of_a_bucket_meets(spark):
+    far = [int("5" * 15, 16) << 2 | i for i in range(40)]  # 40 texts between the two, none near them
+    rows = [(7, 1, 1, 0), (7, 2, 2, (1 << 63) - 1 ^ (1 << 62) - 1), *((7, 100 + i, 100, x) for i, x in enumerate(far)), (8, 3, 3, 0)]
+    coded = spark.createDataFrame(rows, "key long, node long, part long, head long")
+    assert [tuple(r) for r in near_copies.all_pairs(coded, 0.8).collect()] == [(1, 2)]
+    star = {tuple(r) for r in near_copies.first_pairs(coded.filter("node <> 1"), 0.8).collect()}
+    assert star == set()
