@@ -8,8 +8,9 @@ radius is one.  Texts that share all anchors of a code meet.  The number of code
 recall at the wanted similarity, and the number of blocks from the number of texts, so that chance meetings
 stay few.  First each text of a bucket is compared with the bucket's smallest: a group of copies of any size
 links up as a star, in proportion to its size.  Then every two texts of a bucket that are not linked yet are
-compared, without a cap, so that each pair that meets is judged.  The comparison is the share of differing
-bits of the whole fingerprints, which estimates the similarity within about three hundredths.
+compared, without a cap, so that each pair that meets is judged.  The share of differing bits of the whole
+fingerprints only leaves out what is clearly different (``DEVIATIONS`` beyond the expected share); the pairs that
+are left are linked if the Jaccard similarity of their sets of shingles, counted exactly, is high enough.
 
 Defined cases: a null text counts as empty; texts of fewer than five words are one shingle; texts without
 words are alike; repeated rows give a row each; rows with a null id are left out; other columns are ignored.
@@ -26,10 +27,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import connected_components
-from ledgerloom.llm.kernels import Words, blocks, gram_hashes, lowered, mix, shared_dir, word_hashes
+from ledgerloom.llm.kernels import Words, blocks, gram_hashes, long_array, lowered, mix, shared_dir, word_hashes
 
 BITS = 512
 RECALL = 0.95
+DEVIATIONS = 5
 _CHUNK = 1 << 14
 
 
@@ -78,31 +80,51 @@ def wide_fingerprint(shingles: np.ndarray) -> bytes:
     return b"".join(out)
 
 
+def _sets(batches, shingle: int):
+    """(ids, sets) of each block: the sorted hashes of each text's shingles."""
+    for block in blocks(batches):
+        words = Words(block)
+        h = word_hashes(lowered(block.buf), words)
+        g, ok = gram_hashes(h, words, shingle)
+        made = []
+        for i in range(len(block)):
+            a, b = words.first[i], words.first[i + 1]
+            if b - a >= shingle:
+                made.append(np.unique(g[a:b][ok[a:b]]))
+            elif b > a:
+                one = np.uint64(b - a)
+                for x in h[a:b]:
+                    one = mix(np.array([one]) ^ x)[0]
+                made.append(np.array([one]))
+            else:
+                made.append(np.zeros(0, np.uint64))
+        yield block.ids, made
+
+
+def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return df.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+
+
 def fingerprints(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
     """(doc_id, fp): BITS bits as binary."""
 
     def run(batches):
-        for block in blocks(batches):
-            words = Words(block)
-            h = word_hashes(lowered(block.buf), words)
-            g, ok = gram_hashes(h, words, shingle)
-            made = []
-            for i in range(len(block)):
-                a, b = words.first[i], words.first[i + 1]
-                if b - a >= shingle:
-                    made.append(wide_fingerprint(np.unique(g[a:b][ok[a:b]])))
-                elif b > a:
-                    one = np.uint64(b - a)
-                    for x in h[a:b]:
-                        one = mix(np.array([one]) ^ x)[0]
-                    made.append(wide_fingerprint(np.array([one])))
-                else:
-                    made.append(bytes(BITS // 8))
-            yield pa.RecordBatch.from_arrays([block.ids, pa.array(made, pa.binary())], ["doc_id", "fp"])
-
-    kind = df.schema[id_col].dataType.simpleString()
-    docs = df.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return docs.mapInArrow(run, f"doc_id {kind}, fp binary")
+        for ids, sets in _sets(batches, shingle):
+            made = [wide_fingerprint(s) if len(s) else bytes(BITS // 8) for s in sets]
+            yield pa.RecordBatch.from_arrays([ids, pa.array(made, pa.binary())], ["doc_id", "fp"])
+
+    return _texts(df, id_col, text_col).mapInArrow(run, f"doc_id {df.schema[id_col].dataType.simpleString()}, fp binary")
+
+
+def shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
+    """(doc_id, grams): the set of each text's shingles, of a table (doc_id, text)."""
+
+    def run(batches):
+        for ids, sets in _sets(batches, shingle):
+            grams = long_array(np.concatenate(sets).view(np.int64), np.array([len(s) for s in sets]))
+            yield pa.RecordBatch.from_arrays([ids, grams], ["doc_id", "grams"])
+
+    return texts.mapInArrow(run, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, grams array<long>")
 
 
 def _coded(k: int, codes: int, batches):
@@ -156,11 +178,17 @@ def _compared(limit: float, batches):
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(near))
 
 
-def _links(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose fingerprints are near enough."""
-    kind, limit = classes.schema["node"].dataType.simpleString(), differing(similarity)
+def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sets of shingles are similar enough."""
+    kind, p = classes.schema["node"].dataType.simpleString(), differing(similarity)
+    limit = p + DEVIATIONS * math.sqrt(p * (1 - p) / BITS)
     with_prints = pairs.join(classes.select(F.col("node").alias("a"), F.col("fp").alias("fp_a")), "a").join(classes.select(F.col("node").alias("b"), F.col("fp").alias("fp_b")), "b")
-    return with_prints.select("a", "b", "fp_a", "fp_b").mapInArrow(partial(_compared, limit), f"a {kind}, b {kind}")
+    near = with_prints.select("a", "b", "fp_a", "fp_b").mapInArrow(partial(_compared, limit), f"a {kind}, b {kind}").distinct().checkpoint()
+    asked = near.select(F.col("a").alias("doc_id")).unionByName(near.select(F.col("b").alias("doc_id"))).distinct()
+    sets = shingle_sets(texts.join(asked, "doc_id", "left_semi"), shingle).checkpoint()
+    both = near.join(sets.select(F.col("doc_id").alias("a"), F.col("grams").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("grams").alias("y")), "b")
+    common = both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("n"), (F.size("x") + F.size("y")).alias("of"))
+    return common.filter(F.col("n") >= similarity * (F.col("of") - F.col("n")) - 1e-9).select("a", "b")
 
 
 def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, recall: float = RECALL) -> DataFrame:
@@ -169,14 +197,14 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
     prints = fingerprints(df, id_col, text_col, shingle).checkpoint()
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("node")).checkpoint()
     k, codes = plan(classes.count(), similarity, recall)
-    kind = df.schema[id_col].dataType.simpleString()
+    kind, texts = df.schema[id_col].dataType.simpleString(), _texts(df, id_col, text_col)
 
     def coded(parts: DataFrame) -> DataFrame:
         return parts.select("fp", "node", "part").mapInArrow(partial(_coded, k, codes), f"key long, node {kind}, part {kind}, head long")
 
-    first = connected_components(_links(first_pairs(coded(classes.withColumn("part", F.col("node"))), similarity), classes, similarity)).checkpoint()
+    first = connected_components(_links(first_pairs(coded(classes.withColumn("part", F.col("node"))), similarity), classes, texts, shingle, similarity)).checkpoint()
     parts = classes.join(first, "node", "left").withColumn("part", F.coalesce("component", "node"))
-    rest = _links(all_pairs(coded(parts), similarity), classes, similarity)
+    rest = _links(all_pairs(coded(parts), similarity), classes, texts, shingle, similarity)
     links = rest.unionByName(first.select(F.col("component").alias("a"), F.col("node").alias("b")))
     named = classes.join(connected_components(links), "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     return prints.join(named, "fp").select("doc_id", "component_id")

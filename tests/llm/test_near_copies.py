@@ -51,3 +51,24 @@ def test_every_pair_of_a_bucket_meets(spark):
     assert [tuple(r) for r in near_copies.all_pairs(coded, 0.8).collect()] == [(1, 2)]
     star = {tuple(r) for r in near_copies.first_pairs(coded.filter("node <> 1"), 0.8).collect()}
     assert star == set()
+
+
+def test_links_are_decided_by_the_exact_similarity(spark):
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choice("abcdefghijklm") for _ in range(rnd.randint(3, 8)))
+    sets = lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    rows, near, far = [], [], []
+    while len(near) < 120 or len(far) < 120:
+        w = [word() for _ in range(rnd.randint(150, 300))]
+        v = list(w)
+        cut = rnd.randint(len(w) // 10, len(w) // 7)  # the end of the text is new
+        v[-cut:] = [word() for _ in range(cut)]
+        a, b = sets(w), sets(v)
+        s, i = len(a & b) / len(a | b), len(rows)
+        side = near if 0.8 <= s <= 0.84 else far if 0.74 <= s <= 0.79 else None
+        if side is not None and len(side) < 120:
+            side.append((i, i + 1))
+            rows += [(i, " ".join(w)), (i + 1, " ".join(v))]
+    got = {r.doc_id: r.component_id for r in near_copies.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(got[b] == a for a, b in near) >= 0.93 * len(near)
+    assert all(got[b] == b for _, b in far)
