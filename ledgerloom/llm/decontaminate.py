@@ -3,8 +3,9 @@
 The CGK random walk maps edit distance to Hamming distance: the output repeats the symbol under a
 pointer that advances by a random bit of (step, symbol).  Symbols are words.  Each repetition draws
 a walk and ``SAMPLES`` of its steps; item and window agree on the key if they agree on those steps.
-``REPEATS`` repetitions bring the chance of a miss at the largest allowed distance under a few
-percent (``miss_rate`` measures it), and an unedited passage is never missed.
+The walks of long items and of items padded to their class part too early for ``REPEATS`` repetitions to
+find them all, so each item is also searched by pieces: cut into ``d + 1`` runs of words, at most ``d``
+edits leave one of them whole, at most ``d`` words from its place.  No passage within ``d`` edits is missed.
 
 Windows are as long as the item, at every word.  Before the walk a lossless test leaves out the
 windows that cannot be near an item: with at most ``d`` edits, an item of ``n`` words keeps at least
@@ -77,18 +78,39 @@ def walk_keys(words: np.ndarray, n: int) -> np.ndarray:
     return key
 
 
+def pieces(n: int, d: int) -> list[tuple[int, int]]:
+    """(place, length) of the runs into which an item of n words is cut: one more than its edits."""
+    cuts = [p * n // (d + 1) for p in range(d + 2)]
+    return [(a, b - a) for a, b in zip(cuts, cuts[1:]) if b > a]
+
+
+def run_hashes(h: np.ndarray, k: int, c: int, at: np.ndarray) -> np.ndarray:
+    """A hash of the k words from each of these places on, for length class c."""
+    acc = np.full(len(at), c * 1000 + k, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for j in range(k):
+            acc = mix((acc * np.uint64(3)) ^ h[at + j])
+    return acc
+
+
 def distance(item: np.ndarray, window: np.ndarray) -> tuple[int, int]:
-    """(edit distance, length) of the beginning of ``window`` that is nearest to ``item``."""
-    m = len(window)
-    place = np.arange(m + 1)
-    row = place.copy()
-    for i, symbol in enumerate(item, 1):
-        best = np.empty(m + 1, dtype=np.int64)
-        best[0] = i
-        best[1:] = np.minimum(row[1:] + 1, row[:-1] + (window != symbol))
-        row = np.minimum.accumulate(best - place) + place
-    end = int(np.lexsort((np.abs(place - len(item)), row))[0])
-    return int(row[end]), end
+    """(edit distance, length) of the beginning of ``window`` that is nearest to ``item``: a column of the table
+    is two numbers, whose bits are its steps up and down."""
+    n, places = len(item), {}
+    for i, symbol in enumerate(item.tolist()):
+        places[symbol] = places.get(symbol, 0) | 1 << i
+    full, top = (1 << n) - 1, 1 << (n - 1)
+    up, down, score = full, 0, n
+    best = (n, n, 0)  # distance, difference of lengths, length
+    for end, symbol in enumerate(window.tolist(), 1):
+        same = places.get(symbol, 0)
+        across = ((same & up) + up ^ up) | same
+        more, less = down | full & ~(across | up), up & across
+        score += bool(more & top) - bool(less & top)
+        more, less, kept = more << 1 | 1, less << 1, same | down
+        up, down = (less | ~(kept | more)) & full, more & kept & full
+        best = min(best, (score, abs(end - n), end))
+    return best[0], best[2]
 
 
 class Index:
@@ -106,7 +128,7 @@ class Index:
         lengths = sorted({len(h) for _, h in self.items})
         step = -(-len(lengths) // CLASSES) if lengths else 1
         self.sizes = [lengths[min(i + step, len(lengths)) - 1] for i in range(0, len(lengths), step)]  # the longest of a class
-        self.low = [lengths[i] for i in range(0, len(lengths), step)]
+        self.least = [min(least_pairs(n, similarity) for n in lengths[i : i + step]) for i in range(0, len(lengths), step)]
         pairs: dict[int, int] = {}
         for _, h in self.items:
             for g in mix(h[:-1] * np.uint64(3) ^ h[1:]).tolist():
@@ -119,6 +141,21 @@ class Index:
         self.stacks = [self.padded(c) for c in range(len(self.sizes))]
         self.item_keys = [walk_keys(np.stack([h for _, h in mine]), n) for mine, n in zip(self.stacks, self.sizes, strict=True)]
         self.keys = [np.unique(k) for k in self.item_keys]
+        self.piece_rows: list[tuple] = []
+        reach: list[dict] = [{} for _ in self.sizes]  # class: (length, key): where a window can have the piece
+        for number, (_, h) in enumerate(self.items):
+            c, d = self.class_of(len(h)), edits(len(h), similarity)
+            for at, k in pieces(len(h), d):
+                key = int(run_hashes(h, k, c, np.array([at]))[0])
+                low, high = reach[c].get((k, key), (at - d, at + d))
+                reach[c][k, key] = min(low, at - d), max(high, at + d)
+                self.piece_rows.append((int(np.uint64(key).view(np.int64)), number))
+        self.pieces = []  # by class: (length, keys, first places, last places)
+        for found in reach:
+            by_length: dict[int, list] = {}
+            for (k, key), (low, high) in sorted(found.items()):
+                by_length.setdefault(k, []).append((key, max(low, 0), high))
+            self.pieces.append([(k, np.array([x[0] for x in v], np.uint64), np.array([x[1] for x in v]), np.array([x[2] for x in v])) for k, v in by_length.items()])
 
     def class_of(self, n: int) -> int:
         return int(np.searchsorted(self.sizes, n))
@@ -128,8 +165,29 @@ class Index:
         return [(k, np.concatenate((h, np.full(n - len(h), _PAD, np.uint64)))) for k, (_, h) in enumerate(self.items) if self.class_of(len(h)) == c]
 
     def rows(self) -> list[tuple]:
-        """(key, item number) of every item and repetition, the SQL side of the join."""
-        return [(int(k), number) for mine, keys in zip(self.stacks, self.item_keys, strict=True) for row in keys.view(np.int64) for k, (number, _) in zip(row, mine, strict=True)]
+        """(key, item number) of every item's repetitions and pieces, the SQL side of the join."""
+        return self.piece_rows + [(int(k), number) for mine, keys in zip(self.stacks, self.item_keys, strict=True) for row in keys.view(np.int64) for k, (number, _) in zip(row, mine, strict=True)]
+
+
+def _piece_hits(index: Index, c: int, h: np.ndarray, words: Words, start: np.ndarray, cover: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the start, key) of the pieces that the windows from these starts have near their places."""
+    last = words.first[words.doc + 1]
+    out_i, out_key = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for k, keys, low, high in index.pieces[c]:
+        if len(h) < k:
+            continue
+        place = cover[cover + k <= last[np.minimum(cover, len(h) - 1)]]
+        if not len(place):
+            continue
+        key = run_hashes(h, k, c, place)
+        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        same = keys[at] == key
+        place, key, at = place[same], key[same], at[same]
+        first = np.searchsorted(start, np.maximum(place - high[at], words.first[words.doc[place]]))
+        size = np.maximum(np.searchsorted(start, place - low[at], "right") - first, 0)
+        out_i.append(np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum()))
+        out_key.append(np.repeat(key, size))
+    return np.concatenate(out_i), np.concatenate(out_key)
 
 
 def _windows(index: Index, batches):
@@ -151,7 +209,7 @@ def _windows(index: Index, batches):
         hit, mask = hit[same], index.mask[at[same]]
         for c, n in enumerate(index.sizes):
             own = hit[(mask >> np.uint64(c)) & np.uint64(1) == 1]
-            least = least_pairs(index.low[c], index.similarity)
+            least = index.least[c]
             if len(own) < least:
                 continue
             # a window from s has the pairs at s to s + n - 2: it has enough if a run of `least` own pairs lies there
@@ -170,12 +228,19 @@ def _windows(index: Index, batches):
             body = np.where(inside, h[np.minimum(grid, len(h) - 1)], _PAD)
             key = walk_keys(body[:, :n], n)
             shared = np.isin(key, index.keys[c])
-            there = np.flatnonzero(shared.any(axis=0))
+            spread = np.zeros(len(h) + 1, dtype=np.int64)
+            np.add.at(spread, start, 1)
+            np.add.at(spread, np.minimum(start + reach, len(h)), -1)
+            by_piece, piece_key = _piece_hits(index, c, h, words, start, np.flatnonzero(np.cumsum(spread[:-1]) > 0))
+            repeat, by_walk = np.nonzero(shared)
+            met, found = np.concatenate((by_walk, by_piece)), np.concatenate((key[repeat, by_walk], piece_key))
+            order = np.argsort(met, kind="stable")
+            there, many = np.unique(met, return_counts=True)
             if len(there):
-                size, mine = inside[there].sum(axis=1), shared[:, there].T
+                size = inside[there].sum(axis=1)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        long_array(key[:, there].T[mine].view(np.int64), mine.sum(axis=1)),
+                        long_array(found[order].view(np.int64), many),
                         block.ids.take(pa.array(words.doc[start[there]])),
                         pa.array(words.place[start[there]]),
                         long_array(body[there][inside[there]].view(np.int64), size),
@@ -197,7 +262,7 @@ def _verified(similarity: float, batches):
         i_end, w_end = np.cumsum(i_size), np.cumsum(w_size)
         out = []
         for i in range(b.num_rows):
-            if lacking[i] > edits(int(w_size[i]), similarity):
+            if lacking[i] > edits(int(max(i_size[i], w_size[i])), similarity):
                 out.append((int(lacking[i]), int(i_size[i]), 0.0))
                 continue
             item, window = i_flat[i_end[i] - i_size[i] : i_end[i]], w_flat[w_end[i] - w_size[i] : w_end[i]]

@@ -230,6 +230,32 @@ def test_decontamination_recall_and_precision(spark):
     assert decontaminate.leaks(df.limit(0), spark.createDataFrame([], "item_id long, text string")).count() == 0
 
 
+def test_decontamination_misses_no_passage_within_the_edits(spark):
+    rnd = random.Random(12)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(3, 7)))
+    lengths = [*range(20, 90), 120, 160, 200] * 2  # more distinct lengths than classes
+    items, docs = [], []
+    for k, n in enumerate(lengths):
+        w = [word() for _ in range(n)]
+        items.append((k, " ".join(w)))
+        for kind in range(3):
+            v = list(w)
+            for p in sorted(rnd.sample(range(1, n), n // 5), reverse=True):
+                v[p : p + 1] = ([], [word(), v[p]], [word()])[kind]
+            docs.append((3 * k + kind, " ".join([*(word() for _ in range(30)), *v, *(word() for _ in range(30))])))
+    found = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(i, i // 3) for i in range(len(docs))}
+
+
+def test_distance_to_the_nearest_beginning():
+    rnd = random.Random(13)
+    for _ in range(300):
+        a, b = ([rnd.randrange(4) for _ in range(rnd.randint(1, 80))] for _ in range(2))
+        row = edit(a, b)
+        end = min(range(len(b) + 1), key=lambda e: (row[e], abs(e - len(a)), e))
+        assert decontaminate.distance(np.array(a, np.uint64), np.array(b, np.uint64)) == (row[end], end)
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(4)
     x = rng.standard_normal((1500, 16)).astype(np.float32)
