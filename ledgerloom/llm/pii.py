@@ -63,6 +63,19 @@ def mod97(number: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Account numbers whose check holds.  A match may have swallowed a word after the number, so its shorter ends at
+    spaces are tried from the longest on; where none holds, the next number may begin inside the match."""
+    m = _IBAN.search(text)
+    while m:
+        start, end = m.span()
+        while end > start and not (15 <= len(n := text[start:end].replace(" ", "")) <= 34 and mod97(n)):
+            end = text.rfind(" ", start, end)
+        if end > start:
+            yield start, end
+        m = _IBAN.search(text, max(end, start + 1))
+
+
 def _emails(text: str) -> Iterator[tuple[int, int]]:
     at, done = text.find("@"), 0
     while at >= 0:
@@ -111,7 +124,7 @@ def find_spans(text: str | None, threshold: float = THRESHOLD) -> tuple[list[tup
         return [], []
     base = base_spans(text)
     more = [(*s, 1.0) for s in base]
-    found = [("iban", m.start(), m.end()) for m in _IBAN.finditer(text) if 15 <= len(n := m[0].replace(" ", "")) <= 34 and mod97(n)]
+    found = [("iban", s, e) for s, e in _ibans(text)]
     if "-" in text:
         found += [("national", m.start(), m.end()) for m in _NATIONAL.finditer(text) if m[0][:3] not in ("000", "666") and m[0][0] != "9"]
     if _SECRET_HINT.search(text):

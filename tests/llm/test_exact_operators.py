@@ -141,6 +141,17 @@ def test_pii_base_spans():
         assert pii.base_spans(t) == want, t
 
 
+def test_pii_account_numbers_before_capital_words():
+    ibans = lambda t: [t[s:e] for k, s, e, _ in pii.find_spans(t)[1] if k == "iban"]
+    assert ibans("BE68 5390 0754 7034 BIC") == ["BE68 5390 0754 7034"]
+    assert ibans("pay AT611904300234573201 EUR now") == ["AT611904300234573201"]
+    assert ibans("BE68 5390 0754 7034 SWIFT2 X") == ibans("BE68 5390 0754 7034 CODE 1234 EUR") == ["BE68 5390 0754 7034"]
+    assert ibans("BE68 5390 0754 7034 AT61 1904 3002 3457 3201 EUR") == ["BE68 5390 0754 7034", "AT61 1904 3002 3457 3201"]
+    assert ibans("REF AB12 CDEF BE68 5390 0754 7034 BIC") == ["BE68 5390 0754 7034"]
+    assert ibans("BE69 5390 0754 7034 BIC") == []
+    assert pii.clean("BE68 5390 0754 7034 BIC") == "<IBAN> BIC"
+
+
 def test_pii_on_a_table(spark):
     t = "é card 4111 1111 1111 1111, IBAN DE89370400440532013000 and token = 24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
     df = spark.createDataFrame([(1, t, "s"), (2, None, "s"), (None, "", "s"), (1, t, "s")], "doc_id long, text string, spans string")
