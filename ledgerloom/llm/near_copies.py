@@ -2,18 +2,23 @@
 
 Texts whose word shingles are 0.8 similar differ in about every seventh bit of a fingerprint, far
 beyond what one search radius over 64 bits can cover.  So the fingerprint is ``BITS`` long, over the set
-of five-word shingles, and many short codes are drawn from it: each takes ``BLOCKS`` groups of seven
-bits, and each group goes to its nearest code word of the [7,4] Hamming code, the anchor whose covering
-radius is one.  Texts that share all anchors of a code meet.  The number of codes follows from the wanted
-recall at the wanted similarity, and the number of blocks from the number of texts, so that chance meetings
-stay few.  First each text of a bucket is compared with the bucket's smallest: a group of copies of any size
-links up as a star, in proportion to its size.  Then every two texts of a bucket that are not linked yet are
-compared, without a cap, so that each pair that meets is judged.  The share of differing bits of the whole
-fingerprints only leaves out what is clearly different (``DEVIATIONS`` beyond the expected share); the pairs that
-are left are linked if the Jaccard similarity of their sets of shingles, counted exactly, is high enough.
+of five-word shingles, and many short codes are drawn from it: each takes some groups of seven bits, and
+each group goes to its nearest code word of the [7,4] Hamming code, the anchor whose covering radius is
+one.  Texts that share all anchors of a code meet in a bucket.  The number of codes follows from the wanted
+recall at the wanted similarity, and the number of groups from the number of texts, so that a bucket holds
+about ``CHANCE`` texts by chance at any size.
+
+First each text is compared with the smallest of its bucket in ``STARS`` codes: a large group of copies links up
+as a star, with links in proportion to its size.  Then, in all codes, every two texts of a bucket that are not
+linked yet are compared, without a cap: large buckets are cut into tiles, and only texts of different parts are
+paired, so a linked group costs nothing.  The share of differing bits of the whole fingerprints only leaves out
+what is clearly different (``DEVIATIONS`` beyond the expected share); the pairs that are left are linked if the
+Jaccard similarity of their sets of shingles, counted exactly, is high enough.
 
 Defined cases: a null text counts as empty; texts of fewer than five words are one shingle; texts without
-words are alike; repeated rows give a row each; rows with a null id are left out; other columns are ignored.
+words are alike; repeated rows give a row each; rows with a null id are left out; very long texts are one
+set of shingles like any other; of texts with equal fingerprints the smallest id stands for all; an empty
+table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,16 +28,22 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import connected_components
 from ledgerloom.llm.kernels import Words, blocks, gram_hashes, long_array, lowered, mix, shared_dir, word_hashes
 
 BITS = 512
-RECALL = 0.95
-DEVIATIONS = 5
+RECALL = 0.97
+DEVIATIONS = 3
+CHANCE = 16
+STARS = 4  # codes
+TILE = 1024  # texts of a bucket
+FEW = 2_000_000  # ids, 8 bytes each, that may be broadcast
 _CHUNK = 1 << 14
+_CELLS = 1 << 18
+_PAIRS = 1 << 21
 
 
 def _nearest() -> np.ndarray:
@@ -63,8 +74,8 @@ def block_hit(p: float) -> float:
 
 
 def plan(n: int, similarity: float, recall: float = RECALL) -> tuple[int, int]:
-    """(blocks, codes) for n texts."""
-    k = max(3, math.ceil((math.log2(max(n, 2)) + 1) / 4))
+    """(blocks, codes) for n texts: chance alone puts at most about ``CHANCE`` of them into a bucket."""
+    k = max(2, math.ceil(math.log2(max(n, 2) / CHANCE) / 4))
     return k, math.ceil(math.log(1 - recall) / math.log(1 - block_hit(differing(similarity)) ** k))
 
 
@@ -131,10 +142,10 @@ def _coded(k: int, codes: int, batches):
     """Rows (key, node, part, head): the anchors of each code, and the fingerprint's first 64 bits."""
     rng = np.random.default_rng(99)
     places = np.stack([rng.choice(BITS, 7 * k, replace=False) for _ in range(codes)]).reshape(codes, k, 7)
-    anchor, power = _nearest(), 1 << np.arange(7)
+    anchor, power, rows = _nearest(), 1 << np.arange(7), max(1, _CELLS // (codes * k))
     for b in batches:
-        for at in range(0, b.num_rows, 512):
-            part = b.slice(at, 512)
+        for at in range(0, b.num_rows, rows):
+            part = b.slice(at, rows)
             raw = np.frombuffer(b"".join(part.column("fp").to_pylist()), np.uint8).reshape(part.num_rows, BITS // 8)
             bits = np.unpackbits(raw, axis=1)
             value = bits[:, places] @ power  # (text, code, block)
@@ -144,10 +155,10 @@ def _coded(k: int, codes: int, batches):
             yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), part.column("node").take(row), part.column("part").take(row), pa.array(head).take(row)], ["key", "node", "part", "head"])
 
 
-def _close(x: str, y: str, similarity: float) -> Column:
-    """Whether two heads differ in few enough bits for this similarity, four deviations beyond the expected share."""
+def head_limit(similarity: float) -> int:
+    """So many of 64 bits may differ: four deviations beyond the expected number."""
     p = differing(similarity)
-    return F.bit_count(F.col(x).bitwiseXOR(F.col(y))) <= int(64 * p + 4 * math.sqrt(64 * p * (1 - p)))
+    return int(64 * p + 4 * math.sqrt(64 * p * (1 - p)))
 
 
 def _ordered(met: DataFrame) -> DataFrame:
@@ -156,17 +167,52 @@ def _ordered(met: DataFrame) -> DataFrame:
 
 def first_pairs(coded: DataFrame, similarity: float) -> DataFrame:
     """(a, b): each node with the smallest of its bucket, where their heads are close."""
-    least = F.min(F.struct("node", "head")).over(Window.partitionBy("key"))
-    met = coded.select("node", "head", least.alias("x")).select("node", "head", F.col("x.node").alias("other"), F.col("x.head").alias("other_head"))
-    return _ordered(met.filter((F.col("node") != F.col("other")) & _close("head", "other_head", similarity)))
-
-
-def all_pairs(coded: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): every two nodes of a bucket that are not in one part yet and whose heads are close."""
-    bucket = Window.partitionBy("key")
-    mixed = coded.select("*", F.min("part").over(bucket).alias("low"), F.max("part").over(bucket).alias("high")).filter("low < high").drop("low", "high")
-    others = mixed.select("key", F.col("node").alias("other"), F.col("part").alias("other_part"), F.col("head").alias("other_head"))
-    return _ordered(mixed.join(others.hint("merge"), "key").filter((F.col("part") < F.col("other_part")) & _close("head", "other_head", similarity)))
+    least = coded.groupBy("key").agg(F.min(F.struct("node", "head")).alias("x"), F.count("*").alias("n")).filter("n > 1")
+    met = coded.join(least, "key").select("node", "head", F.col("x.node").alias("other"), F.col("x.head").alias("other_head"))
+    return _ordered(met.filter((F.col("node") != F.col("other")) & (F.bit_count(F.col("head").bitwiseXOR(F.col("other_head"))) <= head_limit(similarity))))
+
+
+def _met(limit: int, batches):
+    """Rows (a, b) of the members of each bucket whose parts differ and whose heads are close.  A row is a bucket, or
+    two tiles of one, as lists of nodes, parts, heads and tiles; ``apart`` says that only pairs across tiles count."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        lists = [batch.column(c) for c in ("part", "head", "tile")]
+        size = lists[0].value_lengths().to_numpy()
+        group = np.repeat(np.arange(len(size)), size)
+        raw, head, tile = (x.flatten().to_numpy(zero_copy_only=False) for x in lists)
+        nodes = batch.column("node").flatten()
+        part = np.unique(raw, return_inverse=True)[1]
+        order = np.lexsort((part, group))
+        part, head, tile, nodes = part[order], head[order].view(np.uint64), tile[order], nodes.take(pa.array(order))
+        apart = np.asarray(batch.column("apart").to_numpy(zero_copy_only=False), dtype=bool)[group]
+        last = np.concatenate((np.flatnonzero((group[1:] != group[:-1]) | (part[1:] != part[:-1])) + 1, [len(group)]))
+        stop = last[np.searchsorted(last, np.arange(len(group)), "right")]  # where the next part begins
+        many = np.cumsum(size)[group] - stop
+        total, at = np.cumsum(many), 0
+        while at < len(many):
+            end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + _PAIRS, "right")))
+            n = many[at:end]
+            x = np.repeat(np.arange(at, end), n)
+            y = stop[x] + np.arange(len(x)) - np.repeat(np.cumsum(n) - n, n)
+            near = (np.bitwise_count(head[x] ^ head[y]) <= limit) & (~apart[x] | (tile[x] != tile[y]))
+            x, y = x[near], y[near]
+            yield pa.RecordBatch.from_arrays([nodes.take(pa.array(x)), nodes.take(pa.array(y))], ["node", "other"])
+            at = end
+
+
+def all_pairs(coded: DataFrame, similarity: float, tile: int = TILE) -> DataFrame:
+    """(a, b): every two nodes of a bucket that are not in one part yet and whose heads are close.  A bucket of more than
+    ``tile`` nodes is cut into tiles, and each two of them are compared by a task of their own."""
+    kind = coded.schema["node"].dataType.simpleString()
+    mixed = coded.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("n")).filter("low < high")
+    tiles = F.ceil(F.col("n") / tile).cast("int")
+    rows = coded.join(mixed.select("key", tiles.alias("tiles")), "key").withColumn("tile", F.pmod(F.xxhash64("node", "head"), F.col("tiles")).cast("int"))
+    dealt = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).withColumns({"i": F.least("tile", "with"), "j": F.greatest("tile", "with")})
+    lists = dealt.groupBy("key", "i", "j").agg(*(F.collect_list(c).alias(c) for c in ("node", "part", "head", "tile")))  # two tiles at most
+    asked = lists.filter(F.size("node") > 1).select("node", "part", "head", "tile", (F.col("i") < F.col("j")).alias("apart"))
+    return _ordered(asked.mapInArrow(partial(_met, head_limit(similarity)), f"node {kind}, other {kind}"))
 
 
 def _compared(limit: float, batches):
@@ -174,7 +220,7 @@ def _compared(limit: float, batches):
     for b in batches:
         if b.num_rows:
             x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(b.num_rows, -1) for c in ("fp_a", "fp_b"))
-            near = np.unpackbits(x ^ y, axis=1).sum(axis=1) <= limit * BITS
+            near = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= limit * BITS
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(near))
 
 
@@ -183,8 +229,10 @@ def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, shingle: int,
     kind, p = classes.schema["node"].dataType.simpleString(), differing(similarity)
     limit = p + DEVIATIONS * math.sqrt(p * (1 - p) / BITS)
     with_prints = pairs.join(classes.select(F.col("node").alias("a"), F.col("fp").alias("fp_a")), "a").join(classes.select(F.col("node").alias("b"), F.col("fp").alias("fp_b")), "b")
-    near = with_prints.select("a", "b", "fp_a", "fp_b").mapInArrow(partial(_compared, limit), f"a {kind}, b {kind}").distinct().checkpoint()
-    asked = near.select(F.col("a").alias("doc_id")).unionByName(near.select(F.col("b").alias("doc_id"))).distinct()
+    near = with_prints.select("a", "b", "fp_a", "fp_b").mapInArrow(partial(_compared, limit), f"a {kind}, b {kind}").checkpoint()
+    asked = near.select(F.col("a").alias("doc_id")).unionByName(near.select(F.col("b").alias("doc_id"))).distinct().checkpoint()
+    if asked.count() <= FEW:  # otherwise the texts are shuffled
+        asked = F.broadcast(asked)
     sets = shingle_sets(texts.join(asked, "doc_id", "left_semi"), shingle).checkpoint()
     both = near.join(sets.select(F.col("doc_id").alias("a"), F.col("grams").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("grams").alias("y")), "b")
     common = both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("n"), (F.size("x") + F.size("y")).alias("of"))
@@ -199,12 +247,13 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
     k, codes = plan(classes.count(), similarity, recall)
     kind, texts = df.schema[id_col].dataType.simpleString(), _texts(df, id_col, text_col)
 
-    def coded(parts: DataFrame) -> DataFrame:
+    def coded(parts: DataFrame, codes: int) -> DataFrame:
         return parts.select("fp", "node", "part").mapInArrow(partial(_coded, k, codes), f"key long, node {kind}, part {kind}, head long")
 
-    first = connected_components(_links(first_pairs(coded(classes.withColumn("part", F.col("node"))), similarity), classes, texts, shingle, similarity)).checkpoint()
-    parts = classes.join(first, "node", "left").withColumn("part", F.coalesce("component", "node"))
-    rest = _links(all_pairs(coded(parts), similarity), classes, texts, shingle, similarity)
+    stars = first_pairs(coded(classes.withColumn("part", F.col("node")), min(codes, STARS)), similarity)
+    first = connected_components(_links(stars, classes, texts, shingle, similarity)).checkpoint()
+    parts = classes.join(first, "node", "left").withColumn("part", F.coalesce("component", "node")).checkpoint()
+    rest = _links(all_pairs(coded(parts, codes), similarity), classes, texts, shingle, similarity)
     links = rest.unionByName(first.select(F.col("component").alias("a"), F.col("node").alias("b")))
     named = classes.join(connected_components(links), "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     return prints.join(named, "fp").select("doc_id", "component_id")

@@ -53,6 +53,21 @@ def test_every_pair_of_a_bucket_meets(spark):
     assert star == set()
 
 
+def test_tiles_of_a_large_bucket_lose_no_pair(spark):
+    rnd = random.Random(3)
+    rows = [(k, 100 * k + i, 100 * k + i - i % 3, (1 << 62) - (i % 2 << 63) + rnd.getrandbits(rnd.choice([3, 40]))) for k in (1, 2) for i in range(90)]
+    limit = near_copies.head_limit(0.8)
+    want = {(a[1], b[1]) for a in rows for b in rows if a[0] == b[0] and a[1] < b[1] and a[2] != b[2] and ((a[3] ^ b[3]) & (1 << 64) - 1).bit_count() <= limit}
+    coded = spark.createDataFrame(rows, "key long, node long, part long, head long")
+    for tile in (1000, 8, 1):
+        assert {tuple(r) for r in near_copies.all_pairs(coded, 0.8, tile).collect()} == want
+
+
+def test_links_of_a_large_group_are_few(spark):
+    rows = [(7 + i % 2, i, i, 5) for i in range(400)]
+    assert near_copies.first_pairs(spark.createDataFrame(rows, "key long, node long, part long, head long"), 0.8).count() == 398
+
+
 def test_links_are_decided_by_the_exact_similarity(spark):
     rnd = random.Random(11)
     word = lambda: "".join(rnd.choice("abcdefghijklm") for _ in range(rnd.randint(3, 8)))
