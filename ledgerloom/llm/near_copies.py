@@ -8,11 +8,11 @@ one.  Texts that share all anchors of a code meet in a bucket.  The number of co
 recall at the wanted similarity, and the number of groups from the number of texts, so that a bucket holds
 about ``CHANCE`` texts by chance at any size.
 
-First each text is compared with the smallest of its bucket in ``STARS`` codes: a large group of copies links up
-as a star, with links in proportion to its size.  Then, in all codes, every two texts of a bucket that are not
-linked yet are compared, without a cap: large buckets are cut into tiles, and only texts of different parts are
-paired, so a linked group costs nothing.  The share of differing bits of the whole fingerprints only leaves out
-what is clearly different (``DEVIATIONS`` beyond the expected share); the pairs that are left are linked if the
+First each text is linked to the nearest of its bucket that is not linked to it yet, in two rounds of ``NEAREST``
+codes: a large group of copies grows together with links in proportion to its size.  Then, in all codes, every two
+texts of a bucket that are still in different parts are compared, without a cap: large buckets are cut into tiles,
+and texts of one part cost nothing.  The differing bits only leave out what is clearly different (four deviations
+beyond the expected share on 128 bits, then ``DEVIATIONS`` on all); the pairs that are left are linked if the
 Jaccard similarity of their sets of shingles, counted exactly, is high enough.
 
 Defined cases: a null text counts as empty; texts of fewer than five words are one shingle; texts without
@@ -32,18 +32,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import connected_components
-from ledgerloom.llm.kernels import Words, blocks, gram_hashes, long_array, lowered, mix, shared_dir, word_hashes
+from ledgerloom.llm.kernels import Words, blocks, gram_hashes, long_array, lowered, mix, shared_dir, tasks, word_hashes
 
 BITS = 512
 RECALL = 0.97
 DEVIATIONS = 3
-CHANCE = 16
-STARS = 4  # codes
+CHANCE = 64
+NEAREST = 8  # codes of each round that links every text to its nearest
 TILE = 1024  # texts of a bucket
+BLOCK_LONGS = 1 << 22  # hashes, 8 bytes each, of the sets of a block of pairs
 FEW = 2_000_000  # ids, 8 bytes each, that may be broadcast
 _CHUNK = 1 << 14
 _CELLS = 1 << 18
-_PAIRS = 1 << 21
+_PAIRS = 1 << 20
+_NONE = np.iinfo(np.int64).max
 
 
 def _nearest() -> np.ndarray:
@@ -138,105 +140,139 @@ def shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
     return texts.mapInArrow(run, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, grams array<long>")
 
 
-def _coded(k: int, codes: int, batches):
-    """Rows (key, node, part, head): the anchors of each code, and the fingerprint's first 64 bits."""
+def _coded(k: int, codes: range, batches):
+    """Rows (key, node, part, head, tail): the anchors of these codes, and the fingerprint's first and second 64 bits."""
     rng = np.random.default_rng(99)
-    places = np.stack([rng.choice(BITS, 7 * k, replace=False) for _ in range(codes)]).reshape(codes, k, 7)
-    anchor, power, rows = _nearest(), 1 << np.arange(7), max(1, _CELLS // (codes * k))
+    places = np.stack([rng.choice(BITS, 7 * k, replace=False) for _ in range(codes.stop)]).reshape(-1, k, 7)[codes.start :]
+    anchor, power, rows = _nearest(), 1 << np.arange(7), max(1, _CELLS // (len(codes) * k))
     for b in batches:
         for at in range(0, b.num_rows, rows):
             part = b.slice(at, rows)
             raw = np.frombuffer(b"".join(part.column("fp").to_pylist()), np.uint8).reshape(part.num_rows, BITS // 8)
             bits = np.unpackbits(raw, axis=1)
             value = bits[:, places] @ power  # (text, code, block)
-            key = (anchor[value] << (4 * np.arange(k))).sum(axis=2) | np.arange(codes, dtype=np.int64) << (4 * k)
-            head = np.ascontiguousarray(raw[:, :8]).view(">i8").astype(np.int64).ravel()
-            row = pa.array(np.repeat(np.arange(part.num_rows), codes))
-            yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), part.column("node").take(row), part.column("part").take(row), pa.array(head).take(row)], ["key", "node", "part", "head"])
+            key = (anchor[value] << (4 * np.arange(k))).sum(axis=2) | np.arange(codes.start, codes.stop, dtype=np.int64) << (4 * k)
+            head, tail = np.ascontiguousarray(raw[:, :16]).view(">i8").astype(np.int64).T
+            row = pa.array(np.repeat(np.arange(part.num_rows), len(codes)))
+            yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), part.column("node").take(row), part.column("part").take(row), pa.array(head).take(row), pa.array(tail).take(row)], ["key", "node", "part", "head", "tail"])
 
 
-def head_limit(similarity: float) -> int:
-    """So many of 64 bits may differ: four deviations beyond the expected number."""
+def bit_limit(bits: int, similarity: float, deviations: float) -> int:
+    """So many of these bits may differ: the expected number at this similarity and some deviations more."""
     p = differing(similarity)
-    return int(64 * p + 4 * math.sqrt(64 * p * (1 - p)))
+    return int(bits * p + deviations * math.sqrt(bits * p * (1 - p)))
 
 
-def _ordered(met: DataFrame) -> DataFrame:
-    return met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-
-
-def first_pairs(coded: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): each node with the smallest of its bucket, where their heads are close."""
-    least = coded.groupBy("key").agg(F.min(F.struct("node", "head")).alias("x"), F.count("*").alias("n")).filter("n > 1")
-    met = coded.join(least, "key").select("node", "head", F.col("x.node").alias("other"), F.col("x.head").alias("other_head"))
-    return _ordered(met.filter((F.col("node") != F.col("other")) & (F.bit_count(F.col("head").bitwiseXOR(F.col("other_head"))) <= head_limit(similarity))))
-
-
-def _met(limit: int, batches):
-    """Rows (a, b) of the members of each bucket whose parts differ and whose heads are close.  A row is a bucket, or
-    two tiles of one, as lists of nodes, parts, heads and tiles; ``apart`` says that only pairs across tiles count."""
+def _met(limit: int, nearest: bool, batches):
+    """Rows (node, other) of the members of each bucket whose parts differ and whose first 128 bits are close: all such
+    pairs, or each member with its nearest.  A row is a bucket, or two tiles of one, as lists of its members' columns;
+    ``apart`` says that only pairs across tiles count."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        lists = [batch.column(c) for c in ("part", "head", "tile")]
+        lists = [batch.column(c) for c in ("part", "head", "tail", "tile")]
         size = lists[0].value_lengths().to_numpy()
         group = np.repeat(np.arange(len(size)), size)
-        raw, head, tile = (x.flatten().to_numpy(zero_copy_only=False) for x in lists)
-        nodes = batch.column("node").flatten()
+        raw, head, tail, tile = (x.flatten().to_numpy(zero_copy_only=False) for x in lists)
         part = np.unique(raw, return_inverse=True)[1]
         order = np.lexsort((part, group))
-        part, head, tile, nodes = part[order], head[order].view(np.uint64), tile[order], nodes.take(pa.array(order))
+        part, head, tail, tile = part[order], head[order].view(np.uint64), tail[order].view(np.uint64), tile[order]
+        nodes = batch.column("node").flatten().take(pa.array(order))
         apart = np.asarray(batch.column("apart").to_numpy(zero_copy_only=False), dtype=bool)[group]
         last = np.concatenate((np.flatnonzero((group[1:] != group[:-1]) | (part[1:] != part[:-1])) + 1, [len(group)]))
         stop = last[np.searchsorted(last, np.arange(len(group)), "right")]  # where the next part begins
         many = np.cumsum(size)[group] - stop
         total, at = np.cumsum(many), 0
+        best = np.full(len(group), _NONE)
         while at < len(many):
             end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + _PAIRS, "right")))
             n = many[at:end]
             x = np.repeat(np.arange(at, end), n)
             y = stop[x] + np.arange(len(x)) - np.repeat(np.cumsum(n) - n, n)
-            near = (np.bitwise_count(head[x] ^ head[y]) <= limit) & (~apart[x] | (tile[x] != tile[y]))
-            x, y = x[near], y[near]
-            yield pa.RecordBatch.from_arrays([nodes.take(pa.array(x)), nodes.take(pa.array(y))], ["node", "other"])
+            bits = np.bitwise_count(head[x] ^ head[y]).astype(np.int64) + np.bitwise_count(tail[x] ^ tail[y])
+            near = (bits <= limit) & (~apart[x] | (tile[x] != tile[y]))
+            x, y, bits = x[near], y[near], bits[near]
+            if nearest:
+                np.minimum.at(best, x, bits << 40 | y)
+                np.minimum.at(best, y, bits << 40 | x)
+            else:
+                yield pa.RecordBatch.from_arrays([nodes.take(pa.array(x)), nodes.take(pa.array(y))], ["node", "other"])
             at = end
+        if nearest:
+            x = np.flatnonzero(best < _NONE)
+            yield pa.RecordBatch.from_arrays([nodes.take(pa.array(x)), nodes.take(pa.array(best[x] & (1 << 40) - 1))], ["node", "other"])
 
 
-def all_pairs(coded: DataFrame, similarity: float, tile: int = TILE) -> DataFrame:
-    """(a, b): every two nodes of a bucket that are not in one part yet and whose heads are close.  A bucket of more than
-    ``tile`` nodes is cut into tiles, and each two of them are compared by a task of their own."""
+def bucket_pairs(coded: DataFrame, similarity: float, nearest: bool, tile: int = TILE) -> DataFrame:
+    """(a, b): nodes of a bucket that are not in one part yet and whose first bits are close; every two, or each with
+    its nearest.  A bucket of more than ``tile`` nodes is cut into tiles, and each two of them are compared by a task
+    of their own."""
     kind = coded.schema["node"].dataType.simpleString()
     mixed = coded.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("n")).filter("low < high")
     tiles = F.ceil(F.col("n") / tile).cast("int")
     rows = coded.join(mixed.select("key", tiles.alias("tiles")), "key").withColumn("tile", F.pmod(F.xxhash64("node", "head"), F.col("tiles")).cast("int"))
     dealt = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).withColumns({"i": F.least("tile", "with"), "j": F.greatest("tile", "with")})
-    lists = dealt.groupBy("key", "i", "j").agg(*(F.collect_list(c).alias(c) for c in ("node", "part", "head", "tile")))  # two tiles at most
-    asked = lists.filter(F.size("node") > 1).select("node", "part", "head", "tile", (F.col("i") < F.col("j")).alias("apart"))
-    return _ordered(asked.mapInArrow(partial(_met, head_limit(similarity)), f"node {kind}, other {kind}"))
+    columns = ["node", "part", "head", "tail", "tile"]
+    lists = dealt.groupBy("key", "i", "j").agg(*(F.collect_list(c).alias(c) for c in columns))  # two tiles at most
+    asked = lists.filter(F.size("node") > 1).select(*columns, (F.col("i") < F.col("j")).alias("apart"))
+    met = asked.mapInArrow(partial(_met, bit_limit(128, similarity, 4), nearest), f"node {kind}, other {kind}")
+    return met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
-def _compared(limit: float, batches):
-    """Pairs whose fingerprints differ in at most this share of bits."""
-    for b in batches:
-        if b.num_rows:
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(b.num_rows, -1) for c in ("fp_a", "fp_b"))
-            near = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= limit * BITS
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(near))
+def _places(table: pa.Table, nodes: pa.ChunkedArray) -> np.ndarray:
+    """Where each node stands in a table of distinct nodes."""
+    own = table.column("node").to_numpy()
+    order = np.argsort(own)
+    return order[np.searchsorted(own[order], nodes.to_numpy())]
+
+
+def _print_judge(limit: int, pairs: pa.Table, cells: pa.Table) -> pa.Table:
+    """The pairs whose fingerprints differ in at most so many bits."""
+    fp = np.frombuffer(b"".join(cells.column("item").to_pylist()), np.uint8).reshape(-1, BITS // 8)
+    x, y = _places(cells, pairs.column("a")), _places(cells, pairs.column("b"))
+    near = [np.bitwise_count(fp[x[at : at + _CHUNK]] ^ fp[y[at : at + _CHUNK]]).sum(axis=1, dtype=np.int64) <= limit for at in range(0, len(x), _CHUNK)]
+    return pairs.select(["a", "b"]).filter(pa.array(np.concatenate(near)))
+
+
+def _set_judge(similarity: float, pairs: pa.Table, cells: pa.Table) -> pa.Table:
+    """The pairs whose sets (sorted lists of distinct hashes) have this Jaccard similarity or more."""
+    items = cells.column("item").combine_chunks()
+    flat, ends = items.flatten().to_numpy().view(np.uint64), np.concatenate(([0], np.cumsum(items.value_lengths().to_numpy())))
+    good = []
+    for i, j in zip(_places(cells, pairs.column("a")).tolist(), _places(cells, pairs.column("b")).tolist(), strict=True):
+        x, y = flat[ends[i] : ends[i + 1]], flat[ends[j] : ends[j + 1]]
+        if len(x) > len(y):
+            x, y = y, x
+        common = 0
+        if len(x) >= similarity * len(y) - 1e-9 and len(x):
+            common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+        good.append(common >= similarity * (len(x) + len(y) - common) - 1e-9)
+    return pairs.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+
+def _judged(pairs: DataFrame, items: DataFrame, blocks: int, judge) -> DataFrame:
+    """The pairs (a, b) that ``judge`` keeps, given their items (node, item).  Pairs are dealt into blocks by their first node,
+    and an item goes to a block once, however many of its pairs have it: a dense group sends items, not pairs of items."""
+    kind = pairs.schema["a"].dataType.simpleString()
+    placed = pairs.withColumn("block", F.pmod(F.xxhash64("a"), F.lit(blocks)).cast("int"))
+    asked = placed.select("block", F.col("a").alias("node")).unionByName(placed.select("block", F.col("b").alias("node"))).distinct()
+    cells = asked.join(items, "node").select(F.col("block").alias("of"), "node", "item")
+    return placed.groupBy("block").cogroup(cells.groupBy("of")).applyInArrow(lambda x, y: judge(x, y), f"a {kind}, b {kind}")
 
 
 def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """The pairs (a, b) whose sets of shingles are similar enough."""
-    kind, p = classes.schema["node"].dataType.simpleString(), differing(similarity)
-    limit = p + DEVIATIONS * math.sqrt(p * (1 - p) / BITS)
-    with_prints = pairs.join(classes.select(F.col("node").alias("a"), F.col("fp").alias("fp_a")), "a").join(classes.select(F.col("node").alias("b"), F.col("fp").alias("fp_b")), "b")
-    near = with_prints.select("a", "b", "fp_a", "fp_b").mapInArrow(partial(_compared, limit), f"a {kind}, b {kind}").checkpoint()
+    least = tasks(pairs.sparkSession)
+    pairs = pairs.checkpoint()
+    limit, n = bit_limit(BITS, similarity, DEVIATIONS), pairs.count()
+    near = _judged(pairs, classes.select("node", F.col("fp").alias("item")), max(min(least, n // 1000), n // 100_000, 1), partial(_print_judge, limit)).checkpoint()
     asked = near.select(F.col("a").alias("doc_id")).unionByName(near.select(F.col("b").alias("doc_id"))).distinct().checkpoint()
     if asked.count() <= FEW:  # otherwise the texts are shuffled
         asked = F.broadcast(asked)
-    sets = shingle_sets(texts.join(asked, "doc_id", "left_semi"), shingle).checkpoint()
-    both = near.join(sets.select(F.col("doc_id").alias("a"), F.col("grams").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("grams").alias("y")), "b")
-    common = both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("n"), (F.size("x") + F.size("y")).alias("of"))
-    return common.filter(F.col("n") >= similarity * (F.col("of") - F.col("n")) - 1e-9).select("a", "b")
+    sets = shingle_sets(texts.join(asked, "doc_id", "left_semi").dropDuplicates(["doc_id"]), shingle).checkpoint()
+    n, longs = near.count(), sets.agg(F.avg(F.size("grams"))).first()[0] or 0
+    blocks = max(min(least, n // 100), int(2 * n * longs / BLOCK_LONGS), 1)
+    return _judged(near, sets.select(F.col("doc_id").alias("node"), F.col("grams").alias("item")), blocks, partial(_set_judge, similarity))
 
 
 def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, recall: float = RECALL) -> DataFrame:
@@ -247,14 +283,17 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
     k, codes = plan(classes.count(), similarity, recall)
     kind, texts = df.schema[id_col].dataType.simpleString(), _texts(df, id_col, text_col)
 
-    def coded(parts: DataFrame, codes: int) -> DataFrame:
-        return parts.select("fp", "node", "part").mapInArrow(partial(_coded, k, codes), f"key long, node {kind}, part {kind}, head long")
-
-    stars = first_pairs(coded(classes.withColumn("part", F.col("node")), min(codes, STARS)), similarity)
-    first = connected_components(_links(stars, classes, texts, shingle, similarity)).checkpoint()
-    parts = classes.join(first, "node", "left").withColumn("part", F.coalesce("component", "node")).checkpoint()
-    rest = _links(all_pairs(coded(parts, codes), similarity), classes, texts, shingle, similarity)
-    links = rest.unionByName(first.select(F.col("component").alias("a"), F.col("node").alias("b")))
+    def pairs(parts: DataFrame, codes: range, nearest: bool) -> DataFrame:
+        rows = parts.select("fp", "node", "part").mapInArrow(partial(_coded, k, codes), f"key long, node {kind}, part {kind}, head long, tail long")
+        return _links(bucket_pairs(rows, similarity, nearest), classes, texts, shingle, similarity)
+
+    parts, links = classes.withColumn("part", F.col("node")), None
+    for codes_of in (range(0, min(codes, NEAREST)), range(min(codes, NEAREST), min(codes, 2 * NEAREST))):
+        if len(codes_of):
+            found = pairs(parts, codes_of, True)
+            links = connected_components(found if links is None else found.unionByName(links)).select(F.col("component").alias("a"), F.col("node").alias("b")).checkpoint()
+            parts = classes.join(links.select(F.col("b").alias("node"), F.col("a").alias("part")), "node", "left").select("fp", "node", F.coalesce("part", "node").alias("part")).checkpoint()
+    links = pairs(parts, range(codes), False).unionByName(links)
     named = classes.join(connected_components(links), "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     return prints.join(named, "fp").select("doc_id", "component_id")
 

@@ -44,28 +44,26 @@ def test_plan_grows_with_the_corpus():
     assert near_copies._nearest().tolist().count(0) == 8
 
 
-def test_every_pair_of_a_bucket_meets(spark):
-    far = [int("5" * 15, 16) << 2 | i for i in range(40)]  # 40 texts between the two, none near them
-    rows = [(7, 1, 1, 0), (7, 2, 2, (1 << 63) - 1 ^ (1 << 62) - 1), *((7, 100 + i, 100, x) for i, x in enumerate(far)), (8, 3, 3, 0)]
-    coded = spark.createDataFrame(rows, "key long, node long, part long, head long")
-    assert [tuple(r) for r in near_copies.all_pairs(coded, 0.8).collect()] == [(1, 2)]
-    star = {tuple(r) for r in near_copies.first_pairs(coded.filter("node <> 1"), 0.8).collect()}
-    assert star == set()
+CODED = "key long, node long, part long, head long, tail long"
 
 
-def test_tiles_of_a_large_bucket_lose_no_pair(spark):
+def test_every_pair_of_a_bucket_meets(spark):
     rnd = random.Random(3)
-    rows = [(k, 100 * k + i, 100 * k + i - i % 3, (1 << 62) - (i % 2 << 63) + rnd.getrandbits(rnd.choice([3, 40]))) for k in (1, 2) for i in range(90)]
-    limit = near_copies.head_limit(0.8)
-    want = {(a[1], b[1]) for a in rows for b in rows if a[0] == b[0] and a[1] < b[1] and a[2] != b[2] and ((a[3] ^ b[3]) & (1 << 64) - 1).bit_count() <= limit}
-    coded = spark.createDataFrame(rows, "key long, node long, part long, head long")
+    signed = lambda x: x - (x >> 63 << 64)
+    rows = [(k, 100 * k + i, 100 * k + i - i % 3, signed(i % 2 << 63 ^ rnd.getrandbits(rnd.choice([3, 40]))), signed(rnd.getrandbits(20))) for k in (1, 2) for i in range(90)]
+    rows.append((3, 500, 500, 0, 0))
+    apart = lambda a, b: sum(((a[c] ^ b[c]) & (1 << 64) - 1).bit_count() for c in (3, 4))
+    limit = near_copies.bit_limit(128, 0.8, 4)
+    want = {(a[1], b[1]) for a in rows for b in rows if a[0] == b[0] and a[1] < b[1] and a[2] != b[2] and apart(a, b) <= limit}
+    coded = spark.createDataFrame(rows, CODED)
     for tile in (1000, 8, 1):
-        assert {tuple(r) for r in near_copies.all_pairs(coded, 0.8, tile).collect()} == want
-
-
-def test_links_of_a_large_group_are_few(spark):
-    rows = [(7 + i % 2, i, i, 5) for i in range(400)]
-    assert near_copies.first_pairs(spark.createDataFrame(rows, "key long, node long, part long, head long"), 0.8).count() == 398
+        assert {tuple(r) for r in near_copies.bucket_pairs(coded, 0.8, False, tile).collect()} == want
+    by_id = {r[1]: r for r in rows}
+    nearest = {tuple(r) for r in near_copies.bucket_pairs(coded, 0.8, True).collect()}
+    assert nearest <= want and {i for p in nearest for i in p} == {i for p in want for i in p} and len(nearest) <= len(rows)
+    for i in {i for p in want for i in p}:
+        least = min(apart(by_id[x], by_id[y]) for x, y in want if i in (x, y))
+        assert any(i in p and apart(by_id[p[0]], by_id[p[1]]) == least for p in nearest)
 
 
 def test_links_are_decided_by_the_exact_similarity(spark):
