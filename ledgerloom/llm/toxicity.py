@@ -1,7 +1,7 @@
 """Toxicity by noisy-channel deobfuscation: restore hidden spellings, then score the restored text.
 
-Spans that look obfuscated (letters mixed with look-alike signs, single letters set apart, letters
-drawn out) become character lattices: a sign may stand for a letter it resembles, be itself or be
+Spans that look obfuscated (letters mixed with look-alike signs anywhere but for closing exclamation
+marks, single letters set apart, letters drawn out, of any length) become character lattices: a sign may stand for a letter it resembles, be itself or be
 noise, a separator may be a gap or nothing, a long run may be one or two letters.  Viterbi decoding
 under a character trigram model picks the reading.  The trigram counts come from every document that
 may train, summed in Spark.  The classifier is a logistic regression on the presence of words in the
@@ -11,7 +11,8 @@ the ``FEATURES`` words that tell the classes apart best.
 Defined cases: a null text counts as empty and gets the score of a text without known words, as an
 empty one; without usable labels every score is the share of label 1 (0.5 without any); null labels
 do not train; a null id never trains and is kept; repeated rows give a row each; contradicting labels
-of one id both train; other columns are ignored.
+of one id both train; ties between words go to the first by name; empty tables give no rows; very
+long texts and spans are read whole, in time linear in their length; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ SAMPLE = 12_000
 FEATURES = 256
 STEPS = 300
 RIDGE = 2.0
-LONGEST = 40  # a longer span is no disguised word
+CACHED = 64  # readings of longer spans are not kept
 
 # Letters that a sign is used for.
 LOOKALIKE = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t"}
@@ -41,10 +42,11 @@ _CODE = np.zeros(256, dtype=np.int64)
 _CODE[97:123] = np.arange(1, 27)
 _CODE[128:] = 27
 _WORD = re.compile(r"[^\W_]+")
-_MIXED = re.compile(r"(?<![a-z0-9@$!|+])[a-z0-9@$!|+]*[0-9@$!|+][a-z][a-z0-9@$!|+]*")
+_MIXED = re.compile(r"(?<![a-z0-9@$!|+])(?=[0-9@$!|+]*[a-z])(?=[a-z]*[0-9@$!|+])[a-z0-9@$!|+]*[a-z0-9@$|+]")
 _APART = re.compile(r"(?<![^\W_])(?:[a-z0-9@$!|][ .*_-]){2,}[a-z0-9@$!|](?![^\W_])")
 _DRAWN = re.compile(r"(?<![^\W_])[a-z]*([a-z])\1\1[a-z]*(?![^\W_])")
-_SIGNS = re.compile(r"[0-9@$!|+][a-z]")
+_SIGNS = re.compile(r"[0-9@$!|+][a-z]|[a-z][0-9@$|+]")
+_LETTER = re.compile(r"[a-z]")
 _TRIPLE = re.compile(r"([a-z])\1\1")
 
 
@@ -62,14 +64,20 @@ class CharModel:
 
 
 def count_chars(df: DataFrame, text_col: str = "text") -> np.ndarray:
-    """Trigram counts of all rows."""
+    """Counts of the trigrams inside each row's text."""
 
     def run(batches):
         total = np.zeros(_SIZE**3, dtype=np.int64)
         for block in blocks(batches):
             code = _CODE[lowered(block.buf)]
             if len(code) > 2:
-                total += np.bincount(code[:-2] * _SIZE**2 + code[1:-1] * _SIZE + code[2:], minlength=_SIZE**3)
+                inside = np.ones(len(code), dtype=bool)  # all three bytes are in one document
+                border = block.offs[1:]
+                inside[np.maximum(np.concatenate((border - 1, border - 2)), 0)] = False
+                inside[-2:] = False
+                inside[0] = block.offs[1] > 2
+                at = np.flatnonzero(inside)
+                total += np.bincount(code[at] * _SIZE**2 + code[at + 1] * _SIZE + code[at + 2], minlength=_SIZE**3)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["gram", "n"])
 
@@ -99,11 +107,11 @@ def _options(span: str) -> list[list[tuple[str, float]]]:
 
 def decode(span: str, model: CharModel) -> str:
     """The likeliest reading of an obfuscated span."""
-    best: dict[int, tuple[float, str]] = {0: (0.0, "")}
+    best: dict[int, tuple[float, tuple]] = {0: (0.0, ())}  # the reading as its last piece and what stands before
     log = model.log
     for options in [*_options(span), [(" ", 0.0)]]:
-        after: dict[int, tuple[float, str]] = {}
-        for state, (score, text) in best.items():
+        after: dict[int, tuple[float, tuple]] = {}
+        for state, (score, read) in best.items():
             for piece, cost in options:
                 s, total = state, score + cost
                 for ch in piece:
@@ -111,9 +119,13 @@ def decode(span: str, model: CharModel) -> str:
                     total += log[s][k]
                     s = s % _SIZE * _SIZE + k
                 if s not in after or total > after[s][0]:
-                    after[s] = (total, text + piece)
+                    after[s] = (total, (piece, read))
         best = after
-    return max(best.values())[1].strip()
+    read, out = best[max(best, key=lambda s: (best[s][0], -s))][1], []
+    while read:
+        out.append(read[0])
+        read = read[1]
+    return "".join(reversed(out)).strip()
 
 
 def restorer(model: CharModel):
@@ -122,9 +134,9 @@ def restorer(model: CharModel):
 
     def read(m: re.Match) -> str:
         span = m[0]
-        if len(span) > LONGEST or sum(map(str.isdigit, span)) * 2 > len(span):
+        if not _LETTER.search(span):  # a plain number
             return span
-        return f"{span} {cached(span)}"  # the span stays, so nothing is lost
+        return f"{span} {cached(span) if len(span) <= CACHED else decode(span, model)}"  # the span stays, so nothing is lost
 
     def restore(text: str) -> str:
         text = text.lower()

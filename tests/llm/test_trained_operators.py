@@ -96,6 +96,25 @@ def test_deobfuscation():
     assert "river" in toxicity.words_of("A River, 2024", restore) and "2024" in toxicity.words_of("A River, 2024", restore)
 
 
+def test_character_counts_do_not_depend_on_partitions(spark):
+    rnd = random.Random(5)
+    rows = [(" ".join(prose(rnd, "de", rnd.randint(0, 3)) for _ in range(2)),) for _ in range(12)] + [("",), (None,), ("a",), ("ab",), ("abc",)]
+    one = toxicity.count_chars(spark.createDataFrame(rows, "text string").coalesce(1))
+    many = toxicity.count_chars(spark.createDataFrame(rows, "text string").repartition(12))
+    assert (one == many).all() and one.sum() == sum(max(0, len((t or "").encode()) - 2) for (t,) in rows)
+
+
+def test_disguises_of_any_place_and_length():
+    text = ("the idiot and the moron saw a stupid worthless clown you are a dumbass near the river " * 30).encode()
+    code = toxicity._CODE[np.frombuffer(text, np.uint8)]
+    restore = toxicity.restorer(toxicity.CharModel(np.bincount(code[:-2] * 784 + code[1:-1] * 28 + code[2:], minlength=28**3)))
+    for hidden in ("1d10t", "idio7", "idi07", "id10t", "i" * 60 + "diot", "y o u a r e a w o r t h l e s s i d i o t"):
+        assert "idiot" in toxicity.words_of(hidden, restore), hidden
+    assert "dumbass" in toxicity.words_of("dumb@$$", restore)
+    assert toxicity.words_of("stop! 2024-03-18 1,455", restore) == {"stop", "2024", "03", "18", "1", "455"}
+    assert toxicity.words_of("a " * 40_000, restore)
+
+
 def test_stages(spark, docs, tmp_path):
     import corpus_pipeline as p
 
