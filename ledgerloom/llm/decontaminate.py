@@ -16,10 +16,12 @@ ending of the window.
 The benchmark is the stated query set: it is read in blocks of ``BLOCK_ITEMS`` items, so what the
 tasks receive has a fixed bound, and every block goes over all texts.
 
-Defined cases: null texts count as empty; A-Z are lower-cased; items of fewer than ``MIN_WORDS``
-words are too short to search for and give no row; equal texts under several items give a row for
-each; equal document rows count once; rows with a null id are left out; empty tables give no rows;
-other columns are ignored.
+Items of fewer than ``MIN_WORDS`` words allow no edit at this similarity and are looked up as they are.
+
+Defined cases: null texts count as empty; A-Z are lower-cased; items without words give no row; equal
+texts under several items give a row for each; equal document rows count once, different texts of one id
+give the best place of either; of equally near places the first counts; rows with a null id are left out;
+empty tables give no rows; very long texts are searched block by block; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -41,6 +43,7 @@ BLOCK_ITEMS = 20_000
 CLASSES = 60
 _PAD = np.uint64(0x5851F42D4C957F2D)
 _SLOTS = 1 << 22
+_SHORT = 1000  # a length class of its own for short items
 
 
 def edits(n: int, similarity: float) -> int:
@@ -123,8 +126,13 @@ class Index:
             words = Words(block)
             h = word_hashes(lowered(block.buf), words)
             for i in range(len(block)):
-                if words.count[i] >= MIN_WORDS:
+                if words.count[i]:
                     self.items.append((block.ids[i].as_py(), h[words.first[i] : words.first[i + 1]]))
+        self.items.sort(key=lambda x: len(x[1]) < MIN_WORDS)  # short ones, which allow no edit, last
+        whole = sum(len(h) >= MIN_WORDS for _, h in self.items)
+        self.short_rows = [(len(h), int(run_hashes(h, len(h), _SHORT, np.zeros(1, np.int64))[0]), whole + k) for k, (_, h) in enumerate(self.items[whole:])]
+        self.short = {n: np.unique(np.array([key for m, key, _ in self.short_rows if m == n], np.uint64)) for n in {x[0] for x in self.short_rows}}
+        every, self.items = self.items, self.items[:whole]
         lengths = sorted({len(h) for _, h in self.items})
         step = -(-len(lengths) // CLASSES) if lengths else 1
         self.sizes = [lengths[min(i + step, len(lengths)) - 1] for i in range(0, len(lengths), step)]  # the longest of a class
@@ -156,13 +164,15 @@ class Index:
             for (k, key), (low, high) in sorted(found.items()):
                 by_length.setdefault(k, []).append((key, max(low, 0), high))
             self.pieces.append([(k, np.array([x[0] for x in v], np.uint64), np.array([x[1] for x in v]), np.array([x[2] for x in v])) for k, v in by_length.items()])
+        self.items = every
+        self.piece_rows += [(int(np.uint64(key).view(np.int64)), number) for _, key, number in self.short_rows]
 
     def class_of(self, n: int) -> int:
         return int(np.searchsorted(self.sizes, n))
 
     def padded(self, c: int) -> list[tuple[int, np.ndarray]]:
         n = self.sizes[c]
-        return [(k, np.concatenate((h, np.full(n - len(h), _PAD, np.uint64)))) for k, (_, h) in enumerate(self.items) if self.class_of(len(h)) == c]
+        return [(k, np.concatenate((h, np.full(n - len(h), _PAD, np.uint64)))) for k, (_, h) in enumerate(self.items) if len(h) >= MIN_WORDS and self.class_of(len(h)) == c]
 
     def rows(self) -> list[tuple]:
         """(key, item number) of every item's repetitions and pieces, the SQL side of the join."""
@@ -190,13 +200,34 @@ def _piece_hits(index: Index, c: int, h: np.ndarray, words: Words, start: np.nda
     return np.concatenate(out_i), np.concatenate(out_key)
 
 
+def _short_windows(index: Index, block, h: np.ndarray, words: Words):
+    """Rows of the first place in each document of each short item's words."""
+    for n, keys in index.short.items():
+        at = np.flatnonzero(words.place + n <= words.count[words.doc])
+        key = run_hashes(h, n, _SHORT, at)
+        same = keys[np.minimum(np.searchsorted(keys, key), len(keys) - 1)] == key
+        at, key = at[same], key[same]
+        order = np.lexsort((at, key, words.doc[at]))
+        at, key = at[order], key[order]
+        first = np.ones(len(at), dtype=bool)
+        first[1:] = (key[1:] != key[:-1]) | (words.doc[at][1:] != words.doc[at][:-1])
+        at, key = at[first], key[first]
+        yield pa.RecordBatch.from_arrays(
+            [long_array(key.view(np.int64), np.ones(len(at), np.int64)), block.ids.take(pa.array(words.doc[at])), pa.array(words.place[at]), long_array(h[at[:, None] + np.arange(n)].ravel().view(np.int64), np.full(len(at), n))],
+            ["keys", "doc_id", "start", "window"],
+        )
+
+
 def _windows(index: Index, batches):
     """Rows (keys, doc_id, start, window) of the windows that share a key with some item."""
     for block in blocks(batches):
         words = Words(block)
-        if not len(words) or not index.sizes:
+        if not len(words):
             continue
         h = word_hashes(lowered(block.buf), words)
+        yield from _short_windows(index, block, h, words)
+        if not index.sizes:
+            continue
         pair = np.zeros(len(h), dtype=np.uint64)
         pair[:-1] = mix(h[:-1] * np.uint64(3) ^ h[1:])
         hit = np.flatnonzero(index.slot[(pair & np.uint64(_SLOTS - 1)).astype(np.int64)])
@@ -288,7 +319,7 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
         keys = spark.createDataFrame(index.rows(), "key long, number int").distinct()
         known = spark.createDataFrame([(i, item_id, h.view(np.int64).tolist()) for i, (item_id, h) in enumerate(index.items)], f"number int, item_id {item_kind}, item array<long>")
         windows = texts.mapInArrow(partial(_windows, index), f"keys array<long>, doc_id {kind}, start long, window array<long>")
-        candidates = windows.withColumn("key", F.explode("keys")).join(keys, "key").select("doc_id", "start", "number", "window").dropDuplicates(["doc_id", "start", "number"])
+        candidates = windows.withColumn("key", F.explode("keys")).join(keys, "key").select("doc_id", "start", "number", "window", F.xxhash64("window").alias("content")).dropDuplicates(["doc_id", "start", "number", "content"])
         checked = candidates.join(known, "number").select("doc_id", "item_id", "start", "item", "window").mapInArrow(partial(_verified, similarity), f"doc_id {kind}, item_id {item_kind}, start_word long, n_words long, distance long, similarity double")
         found = checked.filter(F.col("similarity") >= similarity)
         best = found.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("start_word", "n_words", "distance", "similarity"), F.struct("similarity", -F.col("start_word"))).alias("x")).select("doc_id", "item_id", "x.*")
