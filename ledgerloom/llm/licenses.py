@@ -13,6 +13,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,7 +35,20 @@ GRANTS = (
     ("unlicense", "this is free and unencumbered software released into the public domain"),
     ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
 )
-_START = "\x00"  # stands before each text, so that texts without a hit keep a row
+_START = 0  # the hash that stands before each text, so that texts without a hit keep a row
+SLOTS = 1 << 12
+_SEED = 42
+
+
+def gram_hash(first: str, second: str) -> int:
+    """Spark's xxhash64 of two words, signed."""
+    h = xxhash.xxh64_intdigest(second.encode(), xxhash.xxh64_intdigest(first.encode(), _SEED))
+    return h - (h >> 63 << 64)
+
+
+def _slots() -> set[int]:
+    """The last bits of the hashes of all templates' word pairs."""
+    return {gram_hash(a, b) & (SLOTS - 1) for _, text in (*PHRASES, *GRANTS) for w in [text.split(" ")] for a, b in zip(w, w[1:])}
 
 
 def templates(spark: SparkSession) -> DataFrame:
@@ -43,17 +57,26 @@ def templates(spark: SparkSession) -> DataFrame:
     for tid, (label, text) in enumerate((*PHRASES, *GRANTS)):
         words = text.split(" ")
         n = len(words) - K + 1
-        rows += [(" ".join(words[i : i + K]), tid, i, label, n, tid < len(PHRASES)) for i in range(n)]
-    return spark.createDataFrame(rows, "gram string, tid int, tplace int, label string, grams int, phrase boolean")
+        if n > 63:
+            raise ValueError("a template has at most 63 word pairs")
+        rows += [(gram_hash(words[i], words[i + 1]), tid, i, label, n, tid < len(PHRASES)) for i in range(n)]
+    return spark.createDataFrame(rows, "gram long, tid int, tplace int, label string, grams int, phrase boolean")
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
-    words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit(WORD), F.lit(0))
+    lowered = F.translate(F.coalesce(F.col(text_col), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
     docs = df.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("rid"), words.alias("words"))
-    grams = F.expr("transform(sequence(0, size(words) - 2), i -> concat(words[i], ' ', words[i + 1]))")
-    rolling = docs.select("doc_id", "rid", F.size("words").alias("n_words"), F.posexplode(F.concat(F.array(F.lit(_START)), F.when(F.size("words") >= K, grams).otherwise(F.array().cast("array<string>")))).alias("at", "gram"))
-    hits = rolling.join(F.broadcast(templates(df.sparkSession)), "gram").repartition("doc_id", "rid")
+    known = templates(df.sparkSession)
+    # a word pair whose hash no template pair has is left out before rows are made of the others
+    pairs = F.zip_with("words", F.slice("words", 2, F.greatest(F.size("words"), F.lit(1))), lambda a, b: F.xxhash64(a, b))
+    flags = F.lit("".join("1" if k in _slots() else "0" for k in range(SLOTS)))
+    maybe = F.transform(pairs, lambda g, i: F.when(F.substring(flags, (g.bitwiseAND(F.lit(SLOTS - 1)) + 1).cast("int"), F.lit(1)) == "1", F.struct((i + 1).alias("at"), g.alias("gram"))))
+    hits_of = F.filter(maybe, lambda x: x.isNotNull())
+    start = F.array(F.struct(F.lit(0).alias("at"), F.lit(_START).alias("gram")))
+    rolling = docs.select("doc_id", "rid", F.size("words").alias("n_words"), F.inline(F.concat(start, hits_of)))
+    hits = rolling.join(F.broadcast(known), "gram").repartition("doc_id", "rid")
     votes = hits.groupBy("doc_id", "rid", "n_words", "tid", "label", "grams", "phrase", (F.col("at") - 1 - F.col("tplace")).alias("diagonal")).agg(
         F.count("*").alias("n"), F.bit_or(F.expr("shiftleft(1L, tplace)")).alias("seen"), F.min("at").alias("low"), F.max("at").alias("high")
     )
