@@ -4,7 +4,8 @@ Seeds are winnowed anchors: of every ``WINDOW`` consecutive words, the ``SEED``
 words with the smallest hash.  Equal windows choose equal anchors, so a window that two
 documents share has a seed that both emit.  Seeds are joined across documents on their hash;
 those of two or more documents are extended both ways, to all windows of the full length that
-contain them, and a window is a repeat if a smaller document has the same one.  Overlapping
+contain them, and a window is a repeat if a smaller document has the same one, by two independent
+hashes of its words (96 bits, which no corpus is large enough to confuse by chance).  Overlapping
 repeats merge into the maximal ones, whose words go.
 
 Volumes stay in proportion to the words: pairs of documents are never formed, only the smallest
@@ -15,7 +16,8 @@ documents makes a group of a row per block, and the others' rows spread evenly.
 a seed or window several times sends it once, with its other places in a list.
 
 Ids are integers.  Defined cases: a null text counts as empty; texts with fewer words than a window lose nothing;
-rows with a null id are left out; equal rows, and different texts under one id, give a row each
+a row with a null id loses nothing and takes nothing from others; an empty table gives no rows; very long texts
+are read whole; equal rows, and different texts under one id, give a row each
 and never count as earlier for one another; other columns are ignored.
 """
 
@@ -75,14 +77,24 @@ def _settled(g: np.ndarray, doc: np.ndarray, ids: np.ndarray) -> tuple[np.ndarra
     return least, most
 
 
-def _rows(block, words: Words, at: np.ndarray, g: np.ndarray, alone: np.ndarray, known: np.ndarray) -> pa.RecordBatch:
-    """Rows (hash, doc_id, rid, place, more, known), one for each document and hash, with its first place and the
-    others; rows that are ``alone`` get a hash of their own."""
+def _labels(g: np.ndarray, check: np.ndarray) -> np.ndarray:
+    """The same number for places that agree in both hashes."""
+    order = np.lexsort((check, g))
+    new = np.ones(len(g), dtype=np.int64)
+    new[1:] = (g[order][1:] != g[order][:-1]) | (check[order][1:] != check[order][:-1])
+    out = np.empty(len(g), dtype=np.int64)
+    out[order] = np.cumsum(new)
+    return out
+
+
+def _rows(block, words: Words, at: np.ndarray, g: np.ndarray, check: np.ndarray, alone: np.ndarray, known: np.ndarray) -> pa.RecordBatch:
+    """Rows (hash, check, doc_id, rid, place, more, known), one for each document and pair of hashes, with its first
+    place and the others; rows that are ``alone`` get a hash of their own."""
     doc, place = words.doc[at], words.place[at].astype(np.int32)
-    order = np.lexsort((place, g, doc))
-    g, doc, place = g[order], doc[order], place[order]
+    order = np.lexsort((place, check, g, doc))
+    g, check, doc, place = g[order], check[order], doc[order], place[order]
     new = np.ones(len(g), dtype=bool)
-    new[1:] = (g[1:] != g[:-1]) | (doc[1:] != doc[:-1])
+    new[1:] = (g[1:] != g[:-1]) | (check[1:] != check[:-1]) | (doc[1:] != doc[:-1])
     start = np.flatnonzero(new)
     extra = np.diff(np.concatenate((start, [len(g)]))) - 1
     offsets = np.concatenate(([0], np.cumsum(extra))).astype(np.int32)
@@ -91,20 +103,20 @@ def _rows(block, words: Words, at: np.ndarray, g: np.ndarray, alone: np.ndarray,
     rid = block.columns["rid"].take(row)
     own = mix(rid.to_numpy().view(np.uint64) + place[start].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     key = np.where(alone[order][start], own, g[start])
-    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), block.ids.take(row), rid, pa.array(place[start]), more, pa.array(known[order][start])], ["hash", "doc_id", "rid", "place", "more", "known"])
+    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(check[start]), block.ids.take(row), rid, pa.array(place[start]), more, pa.array(known[order][start])], ["hash", "check", "doc_id", "rid", "place", "more", "known"])
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, seed: int = SEED, keep_text: bool = False) -> DataFrame:
     """Per row: doc_id, n_words, n_removed, kept_sha256 and, if asked for, the kept text."""
     kind = df.schema[id_col].dataType.simpleString()
     n = tasks(df.sparkSession)
-    docs = df.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    docs = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     keyed = docs.withColumn("rid", F.xxhash64("doc_id", "text"))
     by_row = keyed.repartition(n, "rid")  # read three times below, shuffled once
 
-    hashed = keyed.select("doc_id", "rid", F.xxhash64("text").alias("h1"), F.xxhash64("text", F.length("text")).alias("h2"))
-    least = hashed.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least <> most")
-    copies = hashed.join(least, ["h1", "h2"]).filter("doc_id > least").select("rid").distinct().withColumn("copy", F.lit(True))
+    hashed = keyed.filter("doc_id is not null").select("doc_id", "rid", F.unhex(F.md5("text")).alias("whole"))
+    least = hashed.groupBy("whole").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least <> most")
+    copies = hashed.join(least, "whole").filter("doc_id > least").select("rid").distinct().withColumn("copy", F.lit(True))
     marked = by_row.join(copies.hint("shuffle_hash"), "rid", "left")
 
     def emit_seeds(batches):
@@ -113,19 +125,21 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             at, g = anchors(word_hashes(block.buf, words), words, seed, window)
             ids = block.ids.to_numpy()
             least, most = _settled(g, words.doc[at], ids)
-            yield _rows(block, words, at, g, ids[words.doc[at]] > least, least != most)
+            yield _rows(block, words, at, g, np.zeros(len(g), np.int32), ids[words.doc[at]] > least, least != most)
 
-    schema = f"hash long, doc_id {kind}, rid long, place int, more array<int>, known boolean"
-    same = Window.partitionBy("hash")
+    schema = f"hash long, check int, doc_id {kind}, rid long, place int, more array<int>, known boolean"
+    same = Window.partitionBy("hash", "check")
     every = F.flatten(F.collect_list(F.concat(F.array("place"), F.coalesce("more", F.array().cast("array<int>")))))
-    seeds = marked.filter("copy is null").select("doc_id", "rid", "text").mapInArrow(emit_seeds, schema)
+    seeds = marked.filter("copy is null and doc_id is not null").select("doc_id", "rid", "text").mapInArrow(emit_seeds, schema)
     shared = seeds.withColumns({"least": F.min("doc_id").over(same), "most": F.max("doc_id").over(same)}).filter("known or least <> most")
     hit = shared.groupBy("rid").agg(every.alias("places"))
 
     def extend(batches):
         for block in blocks(batches, ("rid", "places")):
             words = Words(block)
-            g, ok = gram_hashes(word_hashes(block.buf, words), words, window, seed=1)
+            h = word_hashes(block.buf, words)
+            g, ok = gram_hashes(h, words, window, seed=1)
+            check = gram_hashes(h, words, window, seed=2)[0].view(np.uint32)[::2].view(np.int32)
             places = block.columns["places"]
             at = places.flatten().to_numpy() + np.repeat(words.first[:-1], places.value_lengths().to_numpy())
             near = np.zeros(len(words) + 1, dtype=np.int64)
@@ -134,9 +148,9 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             np.add.at(near, at + 1, -1)
             start = np.flatnonzero(ok & (np.cumsum(near[:-1]) > 0))
             ids = block.ids.to_numpy()
-            least, _ = _settled(g[start], words.doc[start], ids)
+            least, _ = _settled(_labels(g[start], check[start]), words.doc[start], ids)
             later = ids[words.doc[start]] > least
-            yield _rows(block, words, start, g[start], later, later)
+            yield _rows(block, words, start, g[start], check[start], later, later)
 
     passages = by_row.join(hit.hint("shuffle_hash"), "rid").select("doc_id", "rid", "text", "places").mapInArrow(extend, schema)
     later = passages.withColumn("least", F.min("doc_id").over(same)).filter("known or doc_id > least")
