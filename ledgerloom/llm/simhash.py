@@ -9,8 +9,9 @@ anchor, by a join, and are compared there.  The search is exact and needs no cap
 
 Defined cases: a null text counts as empty; a text without words has fingerprint zero, which
 links like any other; equal fingerprints form one class before any search, however many rows
-hold them; repeated rows give a row each; rows with a null id are left out; other columns are
-ignored.
+hold them; repeated rows give a row each; a row with a null id links nothing and gets the component of
+its equals (null if there are none); an empty table gives no rows; very long texts are hashed
+piece by piece; the smallest id names a component, so there are no ties; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -60,7 +61,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield pa.RecordBatch.from_arrays([block.ids, pa.array(fp.view(np.int64))], ["doc_id", "fp"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    docs = df.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return docs.mapInArrow(run, f"doc_id {kind}, fp long")
 
 
@@ -129,8 +130,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """(doc_id, fingerprint, component_id) for every row; the component is the smallest id reachable by links."""
     shared_dir(df.sparkSession)
     prints = fingerprints(df, id_col, text_col, shingle).checkpoint()
-    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("node")).checkpoint()
+    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("node")).filter("node is not null").checkpoint()
     members = connected_components(links(classes, distance))
     named = classes.join(members, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return prints.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return prints.join(named, "fp", "left").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
