@@ -255,7 +255,7 @@ def nearest(df: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_id"
         truth[r["q"]].append(r["codes"])
     leaves = leaves_needed(forest, known, truth, recall)
     n_blocks = -(-asked.count() // query_block)
-    best = None
+    best, by_class = None, Window.partitionBy("qid").orderBy("score", "vec_id")
     for block in range(n_blocks):
         mine = asked.filter(F.pmod(F.xxhash64("qid"), F.lit(n_blocks)) == block).repartition(max(1, min(64, query_block // 64)))
         probes = mine.mapInArrow(partial(_probed, forest, leaves), f"qid long, vec {element}, leaves array<long>").collect()
@@ -266,12 +266,11 @@ def nearest(df: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_id"
         order = np.argsort(codes, kind="stable")
         ask = np.repeat(np.arange(len(probes)), count)[order]
         near = partial(_nearest, np.array([r["qid"] for r in probes]), np.array([r["vec"] for r in probes], dtype=np.float64), codes[order], ask, k + 1)
-        found = index.mapInArrow(near, "qid long, vec_id long, score double")
+        found = index.mapInArrow(near, "qid long, vec_id long, score double").withColumn("r", F.row_number().over(by_class)).filter(F.col("r") <= k + 1)
+        found = found.select("qid", "vec_id", "score").checkpoint()  # what the next block needs is these rows, not this block
         best = found if best is None else best.unionByName(found)
     if best is None:
         return spark.createDataFrame([], schema)
-    by_class = Window.partitionBy("qid").orderBy("score", "vec_id")
-    top = best.withColumn("r", F.row_number().over(by_class)).filter(F.col("r") <= k + 1).drop("r")
     queries = members.join(asked, "vec").select(F.col("vec_id").alias("query_id"), "qid")
     by_query = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return queries.join(top, "qid").filter("vec_id <> query_id").withColumn("rank", F.row_number().over(by_query)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return queries.join(best, "qid").filter("vec_id <> query_id").withColumn("rank", F.row_number().over(by_query)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
