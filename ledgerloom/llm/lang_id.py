@@ -9,7 +9,8 @@ each; that bound does not depend on the corpus.  Prediction covers every byte of
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; so is every text when no
 row is labelled; null ids are kept (and do not train); equal rows give a row each; ties between
-languages go to the first by name; other columns are ignored.
+languages go to the first by name; an empty table gives no rows; very long texts are read window by
+window; other columns are ignored.  The languages learned are a label set, so their number is taken as bounded.
 """
 
 from __future__ import annotations
@@ -27,7 +28,6 @@ WINDOW = 128
 HIDDEN = 8
 PER_LANG = 320
 SPOTS = 2
-MAX_LANGS = 1024
 STEPS = 160
 BATCH = 64
 RATE = 0.02
@@ -144,7 +144,7 @@ class Network:
 def train(df: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Network | None:
     """A network fitted on a bounded sample of the rows for which ``learn`` holds."""
     known = df.filter(learn & F.col(id_col).isNotNull() & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count")).limit(MAX_LANGS).collect()}
+    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count")).collect()}
     if not counts:
         return None
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, PER_LANG / n))])
