@@ -26,10 +26,15 @@ _powers: dict[str, np.ndarray] = {}
 
 
 def shared_dir(spark: SparkSession) -> None:
-    """Make sure ``checkpoint()`` has a folder: the cluster's, or a local one where none is set."""
+    """Make sure ``checkpoint()`` has a folder: the one that the cluster names in ``spark.checkpoint.dir``.  A local
+    session without one gets a folder in its warehouse; on a cluster that is an error."""
     sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "/tmp/ledgerloom-checkpoints")
+    if not sc._jsc.sc().getCheckpointDir().isEmpty():
+        return
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    sc.setCheckpointDir(folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints")
 
 
 def tasks(spark: SparkSession) -> int:

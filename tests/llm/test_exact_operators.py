@@ -116,10 +116,16 @@ def test_substring_dedup(spark, docs, rows):
 def test_substring_dedup_of_equal_ids_and_rows(spark):
     t = " ".join(f"w{i}" for i in range(30))
     df = spark.createDataFrame([(5, t), (5, t), (5, t + " more"), (9, t), (None, t)], "doc_id long, text string")
-    got = sorted((r.doc_id, r.n_removed) for r in substring_dedup.remove_repeats(df).collect())
+    got = sorted((r.doc_id, r.n_removed) for r in substring_dedup.remove_repeats(df).collect() if r.doc_id is not None)
+    assert [r.n_removed for r in substring_dedup.remove_repeats(df).collect() if r.doc_id is None] == [0]
     assert got == [(5, 0), (5, 0), (5, 0), (9, 30)]
 
 
+def test_windows_need_both_hashes():
+    g, check = np.array([7, 7, 7, 8], np.uint64), np.array([1, 2, 1, 1], np.int32)
+    assert substring_dedup._labels(g, check).tolist() == [1, 2, 1, 3]
+
+
 def luhn(d):
     return sum(int(c) if i % 2 == 0 else sum(divmod(int(c) * 2, 10)) for i, c in enumerate(reversed(d))) % 10 == 0
 
@@ -258,6 +264,37 @@ def test_decontamination_misses_no_passage_within_the_edits(spark):
     assert {(r.doc_id, r.item_id) for r in found} == {(i, i // 3) for i in range(len(docs))}
 
 
+def test_decontamination_against_all_windows(spark):
+    rnd = random.Random(21)
+    word = lambda: "".join(rnd.choice("abc") for _ in range(rnd.randint(1, 3)))
+    items = [(k, " ".join(word() for _ in range(n))) for k, n in enumerate([1, 2, 3, 4, 5, 6, 8, 10, 14, 20, 20, 25])] + [(50, ""), (51, None)]
+    docs = []
+    for i in range(60):
+        w = items[rnd.randrange(12)][1].split()
+        for _ in range(rnd.randint(0, 5)):
+            p = rnd.randrange(len(w) + 1)
+            w[p : p + 1] = rnd.choice(([], [word()], [word(), word()]))
+        body = [word() for _ in range(rnd.randint(0, 20))]
+        docs.append((i, " ".join([*body, *w[: len(w) - rnd.choice([0, 0, 1, 3])], *(word() for _ in range(rnd.choice([0, 0, 4])))])))
+    docs += [(3, items[9][1]), (3, "x " + items[9][1]), (70, None), (71, "")]
+    want = set()
+    for d, text in docs:
+        w = (text or "").split()
+        for k, item in items:
+            a = (item or "").split()
+            for s in range(len(w) if a else 0):
+                row = edit(a, w[s : s + len(a) + int(0.2 * len(a)) + 1])
+                if any(dist <= 0.2 * max(len(a), e) + 1e-9 and e for e, dist in enumerate(row)):
+                    want.add((d, k))
+    found = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {(r.doc_id, r.item_id) for r in found}
+    exact = {(d, k) for d, t in docs for k, item in items if item and f" {item} " in f" {t} "}
+    print(len(want), len(got), sorted(want - got), sorted(got - want))
+    assert exact <= got <= want
+    assert {(d, k) for d, k in want if len(items[k][1].split()) < 5} <= got
+    assert len(got) >= 0.97 * len(want)
+
+
 def test_distance_to_the_nearest_beginning():
     rnd = random.Random(13)
     for _ in range(300):
@@ -294,6 +331,19 @@ def test_neighbours(spark):
     assert rp_forest.nearest(df.limit(0)).count() == 0
 
 
+def test_neighbours_below_the_fitted_leaves(spark):
+    rng = np.random.default_rng(9)
+    v = rng.standard_normal((1600, 12))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    assert rp_forest.Forest(v[:64], 1600).extra > 0
+    hit = 0
+    for r in rp_forest.nearest(df, every=20, sample=64, query_block=32).groupBy("query_id").agg({"vec_id": "collect_set"}).collect():
+        d = ((v - v[r[0]]) ** 2).sum(axis=1)
+        d[r[0]] = np.inf
+        hit += len(set(np.argsort(d)[:10].tolist()) & set(r[1]))
+    assert hit >= 0.9 * 10 * 80
+
+
 def test_katz_base_and_normalisation(spark, rows):
     df = spark.createDataFrame([*rows, (None, "the of and"), (0, rows[0][1])], "doc_id long, text string")
     got = katz.held_out_scores(df).collect()
