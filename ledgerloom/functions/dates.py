@@ -82,3 +82,85 @@ def same_parts(a: Column, b: Column) -> Column:
         clash = clash | F.coalesce(h == 0, F.lit(False))
         total = total + F.coalesce(h, F.lit(0))
     return ~clash & (total >= 2)
+
+
+# Shapes of dates as (pattern, groups of day, month and year).
+_SHAPES = {
+    "d/m/Y": (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", 1, 2, 3), "m/d/Y": (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", 2, 1, 3), "d-m-Y": (r"^(\d{1,2})-(\d{1,2})-(\d{4})$", 1, 2, 3),
+    "d/m/y": (r"^(\d{1,2})/(\d{1,2})/(\d{2})$", 1, 2, 3), "Y-m-d": (r"^(\d{4})-(\d{1,2})-(\d{1,2})$", 3, 2, 1),
+    "d b Y": (r"^(\d{1,2})\s+([A-Za-z]{3})\s+(\d{4})$", 1, 2, 3), "d B Y": (r"^(\d{1,2})\s+([A-Za-z]{3,9})\s+(\d{4})$", 1, 2, 3), "d-b-y": (r"^(\d{1,2})-([A-Za-z]{3})-(\d{2})$", 1, 2, 3),
+    "d b y": (r"^(\d{1,2})\s+([A-Za-z]{3,9})\s+(\d{2})$", 1, 2, 3), "a d b Y": (r"^(?i)(?:mon|tue|wed|thu|fri|sat|sun)\s+(\d{1,2})\s+([A-Za-z]{3})\s+(\d{4})$", 1, 2, 3),
+    "d b": (r"^(\d{1,2})\s+([A-Za-z]{3,9})$", 1, 2, 0), "*d b Y*": (r"(\d{1,2})\s+([A-Za-z]{3})\s+(\d{4})", 1, 2, 3),
+}
+STATEMENT_LADDER = ("a d b Y", "d/m/Y", "d-b-y", "d b Y", "Y-m-d", "d/m/y", "*d b Y*")
+REGISTER_LADDER = ("d/m/Y", "d B Y", "a d b Y", "Y-m-d", "m/d/Y", "d/m/y", "d b y", "d b")
+REPORT_LADDER = ("d/m/Y", "d-m-Y", "Y-m-d", "d B Y", "d/m/y")
+
+
+def ladder(c: Column, shapes: tuple[str, ...]) -> Column:
+    """The date by the first shape that fits; two-digit years up to 68 are 20xx, a missing year is 1900."""
+    t, out = F.trim(c), []
+    for shape in shapes:
+        pattern, d, m, y = _SHAPES[shape]
+        part = lambda i, pattern=pattern: F.regexp_extract(t, pattern, i)
+        month = F.coalesce(part(m).try_cast("int"), _month(part(m)))
+        year = _year(part(y), 68) if y else F.lit(1900)
+        out.append(F.when(t.rlike(pattern), _date(year, month, part(d))))
+    return F.coalesce(*out)
+
+
+def day_first(c: Column) -> Column:
+    """A date as DD/MM/YYYY where one of the usual shapes fits, else the text as it is."""
+    return F.coalesce(F.date_format(ladder(c, (*REGISTER_LADDER[:7], "d-m-Y", "*d b Y*")), "dd/MM/yyyy"), c)
+
+
+def _bound(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once, however often the body mentions it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def date_tuple(c: Column) -> Column:
+    """(d, m, y) by position: three numbers, or two and a month's name, or two and the year 2000; null for fewer."""
+
+    def read(v: Column) -> Column:
+        low, runs = v["low"], v["runs"]
+        at = lambda k: F.get(runs, F.lit(k))
+        named = F.when(low.contains(MONTHS[0][:3]), 1)
+        for i, m in enumerate(MONTHS[1:], 2):
+            named = named.when(low.contains(m[:3]), i)
+        many = F.size(runs) >= 3
+        year = F.when(many, at(2)).when(named.isNotNull(), at(1)).otherwise(F.lit(0))
+        full = _bound(year, lambda y: F.when(y < 100, F.when(y <= 50, 2000 + y).otherwise(1900 + y)).otherwise(y))
+        return F.when(F.size(runs) >= 2, F.struct(at(0).alias("d"), F.when(many, at(1)).otherwise(F.coalesce(named, at(1))).alias("m"), full.alias("y")))
+
+    low = F.lower(F.trim(c))
+    runs = F.transform(F.regexp_extract_all(low, F.lit(r"\d+"), F.lit(0)), lambda x: x.try_cast("int"))
+    return _bound(F.struct(low.alias("low"), runs.alias("runs")), read)
+
+
+RANGE_MARKS = (" - ", " to ", " – ", " — ", "-")
+
+
+def date_range(c: Column) -> Column:
+    """The dates of a text: both ends of a range, by the first mark that parts it into two of five signs or more, or one."""
+    out = None
+    for mark in RANGE_MARKS:
+        parts = F.filter(F.transform(F.split(c, mark), lambda x: F.trim(x)), lambda x: F.length(x) > 4)
+        ends = F.filter(F.transform(F.slice(parts, 1, 2), date_tuple), lambda x: x.isNotNull())
+        fits = F.lower(c).contains(mark) & (F.size(parts) >= 2)
+        out = F.when(fits, ends) if out is None else out.when(fits, ends)
+    whole = F.filter(F.array(date_tuple(c)), lambda x: x.isNotNull())
+    return _bound(out, lambda found: F.when(F.coalesce(F.size(found), F.lit(0)) > 0, found).otherwise(whole))
+
+
+def date_field_score(value: Column, truth: Column) -> Column:
+    """1 for the same dates, the common share where some agree, 0.8 for the same first day and month, else 0."""
+
+    def score(v: Column) -> Column:
+        a, b = v["a"], v["b"]
+        first = lambda x: F.get(x, F.lit(0))
+        common = F.size(F.array_intersect(a, b))
+        alike = (first(a)["d"] == first(b)["d"]) & (first(a)["m"] == first(b)["m"])
+        return F.when((F.size(a) == 0) | (F.size(b) == 0), 0.0).when(common > 0, common / F.greatest(F.size(a), F.size(b))).when(alike, 0.8).otherwise(0.0)
+
+    return _bound(F.struct(F.array_distinct(date_range(value)).alias("a"), F.array_distinct(date_range(truth)).alias("b")), score)

@@ -101,3 +101,26 @@ def debit_text(c: Column) -> Column:
     bare = F.regexp_replace(F.trim(c), r"[$()\s-]", "")
     negative = F.trim(c).startswith("-") | F.trim(c).startswith("(")
     return F.when(_missing(c, "NOT_FOUND"), F.lit("NOT_FOUND")).otherwise(F.concat(F.when(negative, F.lit("-$")).otherwise(F.lit("$")), bare))
+
+
+def parse_unsigned(c: Column) -> Column:
+    """The magnitude; a closed pair of brackets is understood."""
+    bare = F.regexp_replace(F.trim(c), r"[$,\s]", "")
+    body = F.when(bare.startswith("(") & bare.endswith(")"), F.substring(bare, F.lit(2), F.length(bare) - 2)).otherwise(bare)
+    return F.when(~_missing(c, "NOT_FOUND"), F.abs(_number(body)))
+
+
+def amount_list(c: Column) -> Column:
+    """The amounts of a pipe list; what cannot be read is left out."""
+    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), r"\|"), parse_unsigned), lambda x: x.isNotNull())
+
+
+def dollars(x: Column) -> Column:
+    """``$`` and two decimals (half up: amounts have no more than two)."""
+    return F.concat(F.lit("$"), x.cast("decimal(18,2)").cast("string"))
+
+
+def is_negative_text(c: Column) -> Column:
+    """A leading minus, or brackets around it."""
+    t = F.trim(c)
+    return F.coalesce(t.startswith("-") | (t.startswith("(") & t.endswith(")")), F.lit(False))

@@ -95,3 +95,23 @@ def clean_id(c: Column) -> Column:
     bare = F.trim(F.regexp_replace(c, r"(?i)^(ABN|ACN|BSB|TFN)\s*:?\s*", ""))
     packed = F.regexp_replace(bare, r"\s", "")
     return F.when(packed.rlike(r"^\d{11}$"), packed).otherwise(bare)
+
+
+def overlap_equal(a: Column, b: Column, least: float = 0.85) -> Column:
+    """Share of the first text's characters that occur in the second; three characters or fewer must be equal."""
+    common = F.size(F.filter(F.split(a, ""), lambda ch: (ch != "") & F.contains(b, ch)))
+    return F.when(F.length(b) <= 3, a == b).when(F.length(a) == 0, False).otherwise(common / F.greatest(F.length(a), F.length(b)) >= least)
+
+
+def tier_of(name: Column) -> Column:
+    """The severity tier that a file name's ending tells."""
+    stem = F.regexp_replace(F.substring_index(name, "/", -1), r"\.[^.]*$", "")
+    return F.when(stem.endswith("_v1"), "light").when(stem.endswith("_v2"), "moderate").when(stem.endswith("_v3"), "heavy").otherwise("clean")
+
+
+def fill(template: Column, values: dict[str, tuple[Column, str | None]]) -> Column:
+    """A text with each ``{name}`` replaced by its value, or by the default (or the name) where that is null."""
+    out = template
+    for name, (value, default) in values.items():
+        out = F.replace(out, F.lit("{" + name + "}"), F.coalesce(value, F.lit(default if default is not None else name)))
+    return out

@@ -155,12 +155,6 @@ def rul20_effect_size(spark, sf_dir):
     return t.select("field", analytics.effect_label(F.col("d")).alias("effect"))
 
 
-@query("SELECT case_id, pos, CASE WHEN balance IS NOT NULL AND debit > 0 THEN 'balance_debit' WHEN balance IS NOT NULL THEN 'balance_credit' WHEN debit > 0 THEN 'amount' ELSE 'none' END AS strategy FROM register")
-def rul8_rul9_routing(spark, sf_dir):
-    b, d = F.col("balance").isNotNull(), F.col("debit") > 0
-    return view(spark, sf_dir, "register").select("case_id", "pos", F.when(b & d, "balance_debit").when(b, "balance_credit").when(d, "amount").otherwise("none").alias("strategy"))
-
-
 @query("SELECT case_id, pos, CASE WHEN d IS NULL THEN 'UNKNOWN' WHEN d < 0 THEN 'DEBIT' WHEN d > 0 THEN 'CREDIT' ELSE 'UNKNOWN' END AS kind, CASE WHEN d IS NULL THEN 0.80 WHEN abs(abs(d) - amount) < 0.01 THEN 0.95 ELSE 0.85 END::DOUBLE AS confidence FROM (SELECT *, round(true_balance - lag(true_balance) OVER (PARTITION BY case_id ORDER BY pos), 2) AS d FROM register)")
 def rul17_bnk2_final_type(spark, sf_dir):
     d = F.round(F.col("true_balance") - F.lag("true_balance").over(Window.partitionBy("case_id").orderBy("pos")), 2)

@@ -51,11 +51,12 @@ VIEWS = {
                CASE WHEN (flag = 'R') <> ((case_id + pos) % 5 = 0) THEN amount ELSE 0.0 END AS credit
         FROM (SELECT *, round(10000.0 + sum(CASE WHEN flag = 'R' THEN amount ELSE -amount END) OVER (PARTITION BY case_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS balance_of FROM bank_rows)""",
     "gt_fields": """
-        SELECT o_orderkey AS doc, 'SUPPLIER_NAME' AS field, c_name AS value FROM orders JOIN customer ON o_custkey = c_custkey
-        UNION ALL SELECT o_orderkey, 'TOTAL_AMOUNT', CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING) FROM orders
-        UNION ALL SELECT o_orderkey, 'PAYER_NAME', c_mktsegment || ' ' || o_orderpriority FROM orders JOIN customer ON o_custkey = c_custkey
-        UNION ALL SELECT o_orderkey, 'BUSINESS_ABN', CASE WHEN o_orderkey % 6 = 0 THEN 'NOT_FOUND' ELSE CAST(51824753000 + o_custkey AS STRING) END FROM orders
-        UNION ALL SELECT o_orderkey, 'IS_GST_INCLUDED', CASE WHEN o_orderkey % 2 = 0 THEN 'true' ELSE 'false' END FROM orders""",
+        SELECT o_orderkey AS doc, field,
+               CASE field WHEN 'SUPPLIER_NAME' THEN c_name WHEN 'TOTAL_AMOUNT' THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING) WHEN 'PAYER_NAME' THEN c_mktsegment || ' ' || o_orderpriority
+                    WHEN 'BUSINESS_ABN' THEN CASE WHEN o_orderkey % 6 = 0 THEN 'NOT_FOUND' ELSE CAST(51824753000 + o_custkey AS STRING) END
+                    ELSE CASE WHEN o_orderkey % 2 = 0 THEN 'true' ELSE 'false' END END AS value
+        FROM orders JOIN customer ON o_custkey = c_custkey
+        CROSS JOIN (SELECT 'SUPPLIER_NAME' AS field UNION ALL SELECT 'TOTAL_AMOUNT' UNION ALL SELECT 'PAYER_NAME' UNION ALL SELECT 'BUSINESS_ABN' UNION ALL SELECT 'IS_GST_INCLUDED')""",
     "pred_fields": """
         SELECT doc, field,
                CASE WHEN (doc * 7 + length(field)) % 13 = 0 THEN 'NOT_FOUND'
@@ -64,6 +65,24 @@ VIEWS = {
                     WHEN (doc + length(field)) % 7 = 0 THEN 'wrong'
                     ELSE value END AS value
         FROM gt_fields""",
+    "messy_values": """
+        SELECT doc, field, CASE (doc + length(field)) % 11 WHEN 0 THEN '** ' || value WHEN 1 THEN value || ' each' WHEN 2 THEN 'AUD ' || value WHEN 3 THEN NULL WHEN 4 THEN 'n/a' WHEN 5 THEN ''
+               WHEN 6 THEN '  ' || value || ' ,' WHEN 7 THEN 'ABN: ' || value WHEN 8 THEN value || '**' WHEN 9 THEN value || ' - P: (03) 9999 1234' ELSE value END AS raw FROM gt_fields
+        UNION ALL SELECT CAST(-n AS BIGINT) AS doc, field, raw FROM (VALUES (1, 'LINE_ITEM_PRICES', '$1.50 $2.75 | NOT_FOUND'), (2, 'LINE_ITEM_PRICES', 'NOT_FOUND | NOT_FOUND'), (3, 'LINE_ITEM_DESCRIPTIONS', 'apple, pear,, fig'),
+            (4, 'TRANSACTION_AMOUNTS_PAID', '$8,026.87, $12.00'), (5, 'LINE_ITEM_QUANTITIES', '** 1 | | 2 ea ;'), (6, 'BUSINESS_ADDRESS', '1 / 92 Watt Road, Mornington,  VIC 3931 - P: (03) 5975 1234'), (7, 'BUSINESS_ADDRESS', '7 High St - shop@mail.com.au'),
+            (8, 'PAYER_ADDRESS', '5 Low St 51 824 753 556'), (9, 'BUSINESS_ABN', 'ABN: 51 824 753 556'), (10, 'ACCOUNT_ID', 'BSB 123-456'), (11, 'INVOICE_DATE', ' 1 / 2 / 2024 '), (12, 'INVOICE_DATE', '**3 - Mar - 24'),
+            (13, 'DOCUMENT_TYPE', '** Tax Invoice'), (14, 'DOCUMENT_TYPE', 'Credit Card Statement'), (15, 'DOCUMENT_TYPE', 'memo'), (16, 'TOTAL_AMOUNT', 'US 12.50 per  item'), (17, 'TOTAL_AMOUNT', 'total $$1,234.50'), (18, 'GST_AMOUNT', '3.20 EA.'),
+            (19, 'SUPPLIER_NAME', '  '), (20, 'SUPPLIER_NAME', '* Ace  Hardware ;'), (21, 'JOURNEY_DATES', '1/2/24 | 3/2/24'), (22, 'ITEMS', 'a | **'), (23, 'PAYER_ADDRESS', '9 End Rd 0412 345 678'), (24, 'LINE_ITEM_TOTAL_PRICES', '10 each, 20 each')) AS t(n, field, raw)""",
+    "date_shapes": """
+        SELECT CAST(case_id * 16 + pos AS BIGINT) AS n, text FROM date_texts
+        UNION ALL SELECT CAST(-n * 10 - k AS BIGINT) AS n, text FROM (SELECT n, 0 AS k, text FROM (VALUES (1, '03/05/2025'), (2, '13/05/2025'), (3, '05/23/2025'), (4, 'Thu 04 Sep 2025'), (5, '04-Sep-25'), (6, '4-9-2025'), (7, '20 May'), (8, '31 Feb 2024'), (9, ''),
+            (10, 'paid on 04 Sep 2025'), (11, '04/09/25'), (12, '06 aug 70')) AS t(n, text)
+            UNION ALL SELECT n, 1 AS k, text FROM (VALUES (1, '1 February 2024 - 28 June 2024'), (2, '01/02/2024 to 28/06/2024'), (3, '28 June 2024'), (4, 'Fri 28 June 2023'), (5, '28/06/2024 - 28/06/2024'), (6, '1-2-24'), (7, 'Feb 2024'), (8, '12'), (9, '2024-03-18'), (10, '3/5')) AS u(n, text))""",
+    "header_texts": """
+        SELECT o_orderkey AS doc, CASE o_orderkey % 8 WHEN 0 THEN 'Headers:' || chr(10) || '1. Date' || chr(10) || '- Description' || chr(10) || '* **Debit**' || chr(10) || 'Credit' || chr(10) || 'Balance'
+               WHEN 1 THEN 'Date, Transaction Details, Amount, Balance' WHEN 2 THEN 'Date | Particulars | Withdrawal | Deposit' WHEN 3 THEN 'Date' || chr(10) || 'Debits/Credits (-)' || chr(10) || 'Running Balance'
+               WHEN 4 THEN 'CreditsDebits' || chr(10) || 'Posted' WHEN 5 THEN 'no columns can be made out in this picture at all' WHEN 6 THEN 'Value' || chr(10) || chr(10) || 'xy' || chr(10) || 'Details' ELSE 'Date, Desc' || chr(10) || 'Paid Out' END AS raw
+        FROM orders""",
     "gt_items": """
         SELECT case_id AS doc, pos, CAST(CAST(amount AS DECIMAL(18,2)) AS STRING) AS item FROM bank_rows""",
     "pred_items": """
