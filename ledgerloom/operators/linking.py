@@ -96,3 +96,29 @@ def amount_gate(receipt: Column, bank: Column, tolerance: float = 0.01) -> Colum
 def relative_gate(receipt: Column, bank: Column, share: float = 0.01) -> Column:
     """Relative gate; a total of zero is not gated."""
     return F.when(receipt.isNull() | (receipt == 0), True).otherwise(F.coalesce(F.abs(receipt - bank) <= F.abs(receipt) * share, F.lit(False)))
+
+
+LEVELS = ("NONE", "LOW", "MEDIUM", "HIGH")
+
+
+def gated(links: DataFrame, rows: DataFrame, least: str = "LOW") -> DataFrame:
+    """Links (case_id, rid, pos, confidence) as output records.  A link below ``least`` is not matched and its confidence is
+    NONE, but the row it had found stays on the record; what is not matched is queued where the case has rows."""
+    level = lambda c: F.array_position(F.array(*map(F.lit, LEVELS)), c)
+    cases = rows.select("case_id").distinct().withColumn("has_rows", F.lit(True))
+    sure = F.col("pos").isNotNull() & (level(F.col("confidence")) >= LEVELS.index(least) + 1)
+    out = links.join(cases, "case_id", "left").withColumns({"matched": sure, "confidence": F.when(sure, F.col("confidence")).otherwise("NONE")})
+    reason = F.when(F.col("has_rows").isNull(), "no statement in this case").when(F.col("matched"), "matched").when(F.col("pos").isNull(), "no row of this amount").otherwise("below the least confidence")
+    return out.select("case_id", "rid", "pos", "matched", "confidence", (~F.col("matched") & F.col("has_rows").isNotNull()).alias("queued"), reason.alias("reasoning"))
+
+
+def link_metrics(outcomes: DataFrame) -> DataFrame:
+    """Counts, accuracy, precision and recall of ``evaluate``'s outcomes that have both sides."""
+    o = F.col("outcome")
+    n = lambda *names: F.count_if(o.isin(*names))
+    found = outcomes.filter(~o.isin("no_ground_truth", "missing_link")).agg(
+        F.count("*").alias("n"), n("correct").alias("tp"), n("true_negative").alias("tn"), n("false_positive", "wrong_row").alias("fp"), n("false_negative", "wrong_row").alias("fn"), n("correct", "wrong_row").alias("located"),
+    )
+    share = lambda a, b: F.round(F.when(b > 0, a / b).otherwise(0.0), 6)
+    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
+    return found.select("n", "tp", "tn", "fp", "fn", share(tp + F.col("tn"), F.col("n")).alias("accuracy"), share(tp, tp + fp).alias("precision"), share(tp, tp + fn).alias("recall"), share(tp, F.col("located")).alias("row_accuracy"))

@@ -75,3 +75,35 @@ def field_lines(df: DataFrame, raw_col: str, fields: tuple[str, ...], list_field
             yield part.map(parse)
 
     return df.withColumn("fields", machine(F.col(raw_col)))
+
+
+def link_object(raw: Column, keys: tuple[str, ...], needs: str = "MATCHED_TRANSACTION") -> Column:
+    """The outermost ``{...}`` of a link response with the keys that are known; null unless it has the one it ``needs``."""
+    body = F.from_json(F.regexp_extract(raw, r"(?s)\{.*\}", 0), T.MapType(T.StringType(), T.StringType()))
+    known = F.map_filter(body, lambda k, v: k.isin(*keys))
+    whole = F.transform_values(known, lambda k, v: F.coalesce(F.nullif(F.trim(v), F.lit("")), F.lit(MISSING)))
+    return F.when(F.map_contains_key(body, needs), whole)
+
+
+def hybrid(raw: Column, fields: tuple[str, ...]) -> Column:
+    """The expected fields of a response, as JSON where it looks like it and can be read, else by its ``KEY: value`` lines."""
+    body = F.from_json(F.regexp_extract(raw, r"(?s)\{.*\}", 0), T.MapType(T.StringType(), T.StringType()))
+    lines = key_values(raw)
+    value = lambda f: F.when(looks_like_json(raw) & body.isNotNull() & (F.size(body) > 0), F.try_element_at(body, F.lit(f))).otherwise(F.try_element_at(lines, F.lit(f)))
+    return F.create_map(*[x for f in fields for x in (F.lit(f), F.coalesce(F.nullif(F.trim(value(f)), F.lit("")), F.lit(MISSING)))])
+
+
+def debit_rows(lists: dict[str, Column], paid: str, strict: bool = False) -> dict[str, Column]:
+    """Parallel pipe lists without the places where ``paid`` is missing.  Lists of another length stay as they are, as do all
+    where every place or none is missing; ``strict`` raises on unequal lengths."""
+    items = {k: F.split(c, r" \| ") for k, c in lists.items()}
+    mask = items[paid]
+    gone = F.size(F.filter(mask, lambda x: F.trim(x) == MISSING))
+    out = {}
+    for name, own in items.items():
+        kept = F.transform(F.filter(F.arrays_zip(own.alias("x"), mask.alias("m")), lambda p: F.trim(p["m"]) != MISSING), lambda p: p["x"])
+        same = F.size(own) == F.size(mask)
+        if strict:
+            same = F.coalesce(F.when(same, F.lit(True)), F.raise_error(F.lit(f"{name} and {paid} have different lengths")).cast("boolean"))
+        out[name] = F.when(same & (gone > 0) & (gone < F.size(mask)), F.array_join(kept, " | ")).otherwise(lists[name])
+    return out

@@ -40,3 +40,16 @@ def compliance(quads: DataFrame, tolerance: float = 0.01) -> DataFrame:
         "case_id", "complete", canonical_abn(c(ds, "abn"), c(ret, "abn"), c(sched, "abn")).alias("trust_abn"), c(ds, "income").alias("income"), kind.alias("discrepancy"),
         F.when(kind == "none", "compliant").otherwise("non_compliant").alias("status"), agree("income").alias("income_agrees"), agree("franking").alias("franking_agrees"), agree("cgt").alias("cgt_agrees"),
     )
+
+
+def evaluate_cases(extracted: DataFrame, truth: DataFrame, tolerance: float = 0.01) -> DataFrame:
+    """Per case of ``truth`` whether each linking value is right: identifiers without blanks, amounts by their relative
+    difference; a case without an extraction has errors in all of them."""
+    from ledgerloom.functions.money import normal_id
+
+    values = ("income", "franking", "cgt")
+    got = extracted.select("case_id", F.col("abn").alias("got_abn"), *[F.col(v).alias(f"got_{v}") for v in values], F.lit(True).alias("seen"))
+    both = truth.select("case_id", "abn", *values).join(got, "case_id", "left")
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    right = [yes(pct_diff(F.col(f"got_{v}"), F.col(v)) <= tolerance).alias(f"{v}_right") for v in values]
+    return both.select("case_id", F.col("seen").isNull().alias("errored"), yes(F.col("seen") & (normal_id(F.col("got_abn")) == normal_id(F.col("abn")))).alias("abn_right"), *right)

@@ -193,10 +193,11 @@ def agg20_field_status(spark, sf_dir):
     return j.groupBy("field").agg(F.count_if(same).alias("correct"), F.count_if(~same & ~gone).alias("incorrect"), F.count_if(~same & gone).alias("not_found"))
 
 
-@query("SELECT field, model, count(*) AS support, round(avg(tp / (tp + fp + 1)::DOUBLE), 6) AS p, round(avg(tp / (tp + fn + 1)::DOUBLE), 6) AS r, round(stddev_pop(f1), 6) AS sd_population, round(stddev_samp(f1), 6) AS sd_sample FROM runs GROUP BY 1, 2")
+@query("SELECT field, model, count(*) AS support, round(avg(CASE WHEN tp + fp > 0 THEN tp / (tp + fp)::DOUBLE ELSE 0 END), 6) AS p, round(avg(CASE WHEN tp + fn > 0 THEN tp / (tp + fn)::DOUBLE ELSE 0 END), 6) AS r, round(stddev_pop(f1), 6) AS sd_population, round(stddev_samp(f1), 6) AS sd_sample FROM runs GROUP BY 1, 2")
 def agg21_agg42_support(spark, sf_dir):
+    share = lambda other: F.when(F.col("tp") + F.col(other) > 0, F.col("tp") / (F.col("tp") + F.col(other))).otherwise(0.0)
     return view(spark, sf_dir, "runs").groupBy("field", "model").agg(
-        F.count("*").alias("support"), F.round(F.avg(F.col("tp") / (F.col("tp") + F.col("fp") + 1)), 6).alias("p"), F.round(F.avg(F.col("tp") / (F.col("tp") + F.col("fn") + 1)), 6).alias("r"),
+        F.count("*").alias("support"), F.round(F.avg(share("fp")), 6).alias("p"), F.round(F.avg(share("fn")), 6).alias("r"),
         F.round(F.stddev_pop("f1"), 6).alias("sd_population"), F.round(F.stddev_samp("f1"), 6).alias("sd_sample"),
     )
 

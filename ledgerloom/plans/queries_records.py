@@ -179,7 +179,18 @@ def link_confidence_mix(spark, sf_dir):
     return m.groupBy("confidence").agg(F.count("*").alias("n"), F.round(F.avg("date_score"), 6).alias("avg_date_score"), F.round(F.avg("desc_score"), 6).alias("avg_desc_score"))
 
 
-@query()
+_ONE_TO_ONE = f"""WITH RECURSIVE c AS (SELECT case_id, rid, pos, ds, ts, CASE WHEN ds > 0 AND ts >= 0.5 THEN 0 WHEN ds > 0 OR ts >= 0.5 THEN 1 ELSE 2 END AS level FROM {_SCORED}),
+    b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY case_id, rid ORDER BY ds + ts DESC, pos) AS n FROM c) WHERE n = 1),
+    o AS (SELECT case_id, rid, row_number() OVER (PARTITION BY case_id ORDER BY level, ds + ts DESC, rid) AS k FROM b),
+    l AS (SELECT c.case_id, c.rid, o.k, list(c.pos ORDER BY c.ds + c.ts DESC, c.pos) AS free FROM c JOIN o ON c.case_id = o.case_id AND c.rid = o.rid GROUP BY 1, 2, 3),
+    s(case_id, k, rid, used, hit) AS (SELECT DISTINCT case_id, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST([] AS BIGINT[]), CAST(NULL AS BIGINT) FROM o
+      UNION ALL SELECT case_id, k, rid, CASE WHEN hit IS NULL THEN used ELSE list_append(used, hit) END, hit
+      FROM (SELECT s.case_id, l.k, l.rid, s.used, list_filter(l.free, lambda x: NOT list_contains(s.used, x))[1] AS hit FROM s JOIN l ON s.case_id = l.case_id AND l.k = s.k + 1))
+    SELECT r.case_id, r.rid, s.hit AS pos, round(c.ds, 6) AS date_score, round(c.ts, 6) AS desc_score, CASE WHEN c.ds IS NULL THEN 'NONE' WHEN c.level = 0 THEN 'HIGH' WHEN c.level = 1 THEN 'MEDIUM' ELSE 'LOW' END AS confidence
+    FROM receipts r LEFT JOIN s ON s.case_id = r.case_id AND s.rid = r.rid LEFT JOIN c ON c.case_id = r.case_id AND c.rid = r.rid AND c.pos = s.hit"""
+
+
+@query(_ONE_TO_ONE)
 def jn3_one_to_one(spark, sf_dir):
     out = linking.assign(view(spark, sf_dir, "receipts"), view(spark, sf_dir, "bank_rows"))
     return out.select("case_id", "rid", "pos", F.round("date_score", 6).alias("date_score"), F.round("desc_score", 6).alias("desc_score"), "confidence")

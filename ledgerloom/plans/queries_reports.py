@@ -52,12 +52,12 @@ def rul4_rul5_substring_rules(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/part.parquet").groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))
 
 
-@query("SELECT doc, field, CASE WHEN v = 'NOT_FOUND' AND t <> 'NOT_FOUND' THEN 'missing' WHEN t = 'NOT_FOUND' AND v <> 'NOT_FOUND' THEN 'spurious' WHEN v = t THEN 'right' WHEN contains(t, v) OR contains(v, t) THEN 'partial' ELSE 'wrong' END AS error FROM (SELECT g.doc, g.field, g.value AS t, p.value AS v FROM gt_fields g JOIN pred_fields p ON g.doc = p.doc AND g.field = p.field)")
+@query("SELECT doc, field, CASE WHEN v = 'NOT_FOUND' AND t <> 'NOT_FOUND' THEN 'missing' WHEN t = 'NOT_FOUND' AND v <> 'NOT_FOUND' THEN 'spurious' WHEN v = t THEN 'right' WHEN contains(t, ' ') AND v = array_to_string(list_reverse(string_split(t, ' ')), ' ') THEN 'reversed' WHEN contains(t, v) OR contains(v, t) THEN 'partial' ELSE 'wrong' END AS error FROM (SELECT g.doc, g.field, g.value AS t, p.value AS v FROM gt_fields g JOIN pred_fields p ON g.doc = p.doc AND g.field = p.field)")
 def rul18_error_taxonomy(spark, sf_dir):
     g = view(spark, sf_dir, "gt_fields").withColumnRenamed("value", "t")
     v, t = F.col("value"), F.col("t")
     gone = lambda c: c == text.MISSING
-    error = F.when(gone(v) & ~gone(t), "missing").when(gone(t) & ~gone(v), "spurious").when(v == t, "right").when(t.contains(v) | v.contains(t), "partial").otherwise("wrong")
+    error = F.when(gone(v) & ~gone(t), "missing").when(gone(t) & ~gone(v), "spurious").when(v == t, "right").when(t.contains(" ") & (v == F.array_join(F.reverse(F.split(t, " ")), " ")), "reversed").when(t.contains(v) | v.contains(t), "partial").otherwise("wrong")
     return g.join(view(spark, sf_dir, "pred_fields"), ["doc", "field"]).select("doc", "field", error.alias("error"))
 
 
@@ -132,7 +132,13 @@ def evl12_paired_test(spark, sf_dir):
     return analytics.paired_test(view(spark, sf_dir, "runs"), "alpha", "beta")
 
 
-_RATES = "(SELECT pos, count(*) AS n, count(*) FILTER (want = got) AS \"right\", count(*) FILTER (got IS NULL) AS missing, round(count(*) FILTER (want = got) / count(*)::DOUBLE, 6) AS rate FROM (SELECT g.doc, g.pos, g.item AS want, p.item AS got FROM gt_items g LEFT JOIN pred_items p ON g.doc = p.doc AND g.pos = p.pos) GROUP BY pos HAVING count(*) >= 5)"
+def _rates(predicted: str) -> str:
+    return f"""(SELECT pos, count(want) AS n, count(*) FILTER (want = got) AS "right", count(*) FILTER (want <> got) AS wrong, count(*) FILTER (got IS NULL) AS missing, count(*) FILTER (want IS NULL) AS extra, round(count(*) FILTER (want = got) / count(want)::DOUBLE, 6) AS rate
+        FROM (SELECT coalesce(g.pos, p.pos) AS pos, g.item AS want, p.item AS got FROM gt_items g FULL JOIN {predicted} p ON g.doc = p.doc AND g.pos = p.pos) GROUP BY pos HAVING count(want) >= 5)"""
+
+
+_RATES = _rates("pred_items")
+_STRAIGHT = """(SELECT * FROM pred_items WHERE doc NOT IN (SELECT g.doc FROM (SELECT doc, list(item ORDER BY pos DESC) AS l FROM gt_items GROUP BY doc HAVING count(*) > 1) g JOIN (SELECT doc, list(item ORDER BY pos) AS l FROM pred_items GROUP BY doc) p ON g.doc = p.doc AND g.l = p.l))"""
 
 
 @query(f"SELECT * FROM {_RATES}")
@@ -140,9 +146,10 @@ def agg25_position_rates(spark, sf_dir):
     return analytics.position_rates(view(spark, sf_dir, "pred_items"), view(spark, sf_dir, "gt_items"))
 
 
-@query(f"SELECT count(*) AS positions, round(corr(pos, rate), 6) AS r, CASE WHEN count(*) < 3 THEN NULL WHEN round(corr(pos, rate), 6) < -0.3 THEN 'tail-drop' WHEN round(corr(pos, rate), 6) <= 0.3 THEN 'flat' ELSE 'improves' END AS trend FROM {_RATES}")
+@query(f"SELECT count(*) AS positions, round(corr(pos, rate), 6) AS r, CASE WHEN count(*) < 3 THEN NULL WHEN round(corr(pos, rate), 6) < -0.3 THEN 'tail-drop' WHEN round(corr(pos, rate), 6) <= 0.3 THEN 'flat' ELSE 'improves' END AS trend FROM {_rates(_STRAIGHT)}")
 def agg26_win9_decay(spark, sf_dir):
-    return analytics.decay(analytics.position_rates(view(spark, sf_dir, "pred_items"), view(spark, sf_dir, "gt_items")))
+    p, g = view(spark, sf_dir, "pred_items"), view(spark, sf_dir, "gt_items")
+    return analytics.decay(analytics.position_rates(analytics.not_reversed(p, g), g))
 
 
 @query("SELECT doc_type, round(avg(wrong), 6) AS wrong_rate, sum(wrong)::BIGINT AS wrong, GROUPING(doc_type) + GROUPING(tier) AS lvl, tier FROM (SELECT doc_type, tier, (doc_type <> predicted)::INT AS wrong FROM runs) GROUP BY GROUPING SETS ((), (doc_type), (tier))")
@@ -220,12 +227,12 @@ def srt1_type_order(spark, sf_dir):
     return view(spark, sf_dir, "runs").select("doc", "model", F.row_number().over(w).cast("long").alias("place"))
 
 
-@query("SELECT (SELECT count(*) FROM (SELECT doc FROM gt_items UNION SELECT doc FROM pred_items)) AS united, (SELECT count(*) FROM (SELECT doc, item FROM gt_items INTERSECT SELECT doc, item FROM pred_items)) AS shared, (SELECT count(*) FROM (SELECT doc, item FROM gt_items EXCEPT SELECT doc, item FROM pred_items)) AS missing")
+@query("SELECT (SELECT count(*) FROM (SELECT doc FROM gt_items UNION SELECT doc FROM pred_items)) AS united, (SELECT count(*) FROM (SELECT doc, item FROM gt_items INTERSECT SELECT doc, item FROM pred_items)) AS shared, (SELECT count(*) FROM (SELECT doc, item FROM gt_items EXCEPT SELECT doc, item FROM pred_items)) AS missing, (SELECT count(*) FROM (SELECT doc, item FROM gt_items UNION ALL SELECT doc, item FROM pred_items)) AS stacked")
 def set1_set4_set_operations(spark, sf_dir):
     g, p = view(spark, sf_dir, "gt_items"), view(spark, sf_dir, "pred_items")
     a, b = g.select("doc", "item"), p.select("doc", "item")
     n = lambda df, name: df.agg(F.count("*").alias(name))
-    return n(g.select("doc").union(p.select("doc")).distinct(), "united").crossJoin(n(a.intersect(b), "shared")).crossJoin(n(a.subtract(b), "missing"))
+    return n(g.select("doc").union(p.select("doc")).distinct(), "united").crossJoin(n(a.intersect(b), "shared")).crossJoin(n(a.subtract(b), "missing")).crossJoin(n(g.unionByName(p.withColumn("source", F.lit("p")), allowMissingColumns=True), "stacked"))
 
 
 @query("SELECT kind, case_id, confidence FROM (SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY confidence DESC, kind) AS r FROM trust_docs) WHERE r = 1")
@@ -248,14 +255,9 @@ def arr7_found_fields(spark, sf_dir):
     return t.select("doc", F.size(F.map_filter("m", lambda k, v: v != text.MISSING)).cast("long").alias("found"), F.size("m").cast("long").alias("fields"))
 
 
-@query("SELECT case_id, string_agg(item, ' | ' ORDER BY pos) AS items, count(*) AS n FROM (SELECT case_id, pos, CAST(CAST(amount AS DECIMAL(18,2)) AS VARCHAR) AS item FROM bank_rows WHERE flag <> 'R') GROUP BY case_id")
-def flt6_masked_lists(spark, sf_dir):
-    t = view(spark, sf_dir, "bank_rows").groupBy("case_id").agg(F.array_sort(F.collect_list(F.struct("pos", F.col("amount").cast("decimal(18,2)").cast("string").alias("a"), "flag"))).alias("x"))
-    kept = F.transform(F.filter("x", lambda r: r["flag"] != "R"), lambda r: r["a"])
-    return t.select("case_id", text.join_items(kept).alias("items"), F.size(kept).cast("long").alias("n")).filter("n > 0")
-
-
-@query("SELECT doc, field, f1 FROM (SELECT doc, unnest(['f1', 'precision']) AS field, unnest([f1, tp / (tp + fp + 1)::DOUBLE]) AS f1 FROM runs WHERE model = 'alpha')")
-def prj3_unpivot(spark, sf_dir):
-    t = view(spark, sf_dir, "runs").filter("model = 'alpha'").select("doc", "f1", (F.col("tp") / (F.col("tp") + F.col("fp") + 1)).alias("precision"))
-    return t.unpivot("doc", ["f1", "precision"], "field", "value").select("doc", "field", F.col("value").alias("f1"))
+@query("SELECT doc, doc_type, field, f1, tp, fp, fn FROM runs WHERE model = 'alpha'")
+def prj3_long_scores(spark, sf_dir):
+    """Records with a map of field scores as one row a field."""
+    t = view(spark, sf_dir, "runs").filter("model = 'alpha'")
+    records = t.groupBy("doc", "doc_type").agg(F.map_from_entries(F.collect_list(F.struct("field", F.struct("f1", "tp", "fp", "fn")))).alias("field_scores"))
+    return analytics.long_scores(records, "field_scores", "doc", "doc_type")

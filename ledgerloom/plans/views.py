@@ -65,6 +65,8 @@ VIEWS = {
                     WHEN (doc + length(field)) % 7 = 0 THEN 'wrong'
                     ELSE value END AS value
         FROM gt_fields""",
+    "item_pairs": """
+        SELECT case_id AS doc, pos, description AS want, CASE WHEN (case_id + pos) % 7 = 0 THEN NULL WHEN (case_id + pos) % 5 = 0 THEN lower(description) || ' x' WHEN (case_id * 3 + pos) % 11 = 0 THEN 'lamp ' || CAST(pos AS STRING) ELSE description END AS got FROM bank_rows""",
     "messy_values": """
         SELECT doc, field, CASE (doc + length(field)) % 11 WHEN 0 THEN '** ' || value WHEN 1 THEN value || ' each' WHEN 2 THEN 'AUD ' || value WHEN 3 THEN NULL WHEN 4 THEN 'n/a' WHEN 5 THEN ''
                WHEN 6 THEN '  ' || value || ' ,' WHEN 7 THEN 'ABN: ' || value WHEN 8 THEN value || '**' WHEN 9 THEN value || ' - P: (03) 9999 1234' ELSE value END AS raw FROM gt_fields
@@ -123,6 +125,8 @@ def with_views(sql: str, dialect: str) -> str:
     items = items.replace("strpos_(", "strpos(" if dialect == "duckdb" else "instr(")
     if not items:
         return sql
+    if sql.lstrip().upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {items}, {sql.lstrip()[15:]}"
     return f"WITH {items}, {sql[5:]}" if sql.lstrip().upper().startswith("WITH ") else f"WITH {items} {sql}"
 
 
