@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import connected_components
-from ledgerloom.llm.kernels import Words, blocks, gram_hashes, long_array, lowered, mix, shared_dir, tasks, word_hashes
+from ledgerloom.llm.kernels import Words, blocks, gram_hashes, long_array, lowered, mix, shared_dir, word_hashes
 
 BITS = 512
 RECALL = 0.97
@@ -40,7 +40,8 @@ DEVIATIONS = 3
 CHANCE = 64
 NEAREST = 8  # codes of each round that links every text to its nearest
 TILE = 1024  # texts of a bucket
-BLOCK_LONGS = 1 << 22  # hashes, 8 bytes each, of the sets of a block of pairs
+BLOCK_PAIRS = 50_000
+BLOCK_LONGS = 1 << 22  # hashes, 8 bytes each, of the sets of a block
 FEW = 2_000_000  # ids, 8 bytes each, that may be broadcast
 _CHUNK = 1 << 14
 _CELLS = 1 << 18
@@ -163,10 +164,17 @@ def bit_limit(bits: int, similarity: float, deviations: float) -> int:
     return int(bits * p + deviations * math.sqrt(bits * p * (1 - p)))
 
 
+def _listed(nodes: pa.Array, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+    """Pairs of places (x in ascending order) as one row for each x."""
+    start = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1]))) if len(x) else np.zeros(0, np.int64)
+    ends = np.concatenate((start, [len(x)])).astype(np.int32)
+    return pa.RecordBatch.from_arrays([nodes.take(pa.array(x[start])), pa.ListArray.from_arrays(pa.array(ends), nodes.take(pa.array(y)))], ["node", "others"])
+
+
 def _met(limit: int, nearest: bool, batches):
-    """Rows (node, other) of the members of each bucket whose parts differ and whose first 128 bits are close: all such
-    pairs, or each member with its nearest.  A row is a bucket, or two tiles of one, as lists of its members' columns;
-    ``apart`` says that only pairs across tiles count."""
+    """Rows (node, others) of the members of each bucket whose parts differ and whose first 128 bits are close: all such
+    pairs, once each, or each member with its nearest.  A row is a bucket, or two tiles of one, as lists of its members'
+    columns; ``apart`` says that only pairs across tiles count."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -196,16 +204,16 @@ def _met(limit: int, nearest: bool, batches):
                 np.minimum.at(best, x, bits << 40 | y)
                 np.minimum.at(best, y, bits << 40 | x)
             else:
-                yield pa.RecordBatch.from_arrays([nodes.take(pa.array(x)), nodes.take(pa.array(y))], ["node", "other"])
+                yield _listed(nodes, x, y)
             at = end
         if nearest:
             x = np.flatnonzero(best < _NONE)
-            yield pa.RecordBatch.from_arrays([nodes.take(pa.array(x)), nodes.take(pa.array(best[x] & (1 << 40) - 1))], ["node", "other"])
+            yield _listed(nodes, x, best[x] & (1 << 40) - 1)
 
 
 def bucket_pairs(coded: DataFrame, similarity: float, nearest: bool, tile: int = TILE) -> DataFrame:
-    """(a, b): nodes of a bucket that are not in one part yet and whose first bits are close; every two, or each with
-    its nearest.  A bucket of more than ``tile`` nodes is cut into tiles, and each two of them are compared by a task
+    """(node, others): nodes of a bucket that are not in one part yet and whose first bits are close; every two, or each
+    with its nearest.  A bucket of more than ``tile`` nodes is cut into tiles, and each two of them are compared by a task
     of their own."""
     kind = coded.schema["node"].dataType.simpleString()
     mixed = coded.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("n")).filter("low < high")
@@ -215,8 +223,7 @@ def bucket_pairs(coded: DataFrame, similarity: float, nearest: bool, tile: int =
     columns = ["node", "part", "head", "tail", "tile"]
     lists = dealt.groupBy("key", "i", "j").agg(*(F.collect_list(c).alias(c) for c in columns))  # two tiles at most
     asked = lists.filter(F.size("node") > 1).select(*columns, (F.col("i") < F.col("j")).alias("apart"))
-    met = asked.mapInArrow(partial(_met, bit_limit(128, similarity, 4), nearest), f"node {kind}, other {kind}")
-    return met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    return asked.mapInArrow(partial(_met, bit_limit(128, similarity, 4), nearest), f"node {kind}, others array<{kind}>").distinct()
 
 
 def _places(table: pa.Table, nodes: pa.ChunkedArray) -> np.ndarray:
@@ -226,55 +233,56 @@ def _places(table: pa.Table, nodes: pa.ChunkedArray) -> np.ndarray:
     return order[np.searchsorted(own[order], nodes.to_numpy())]
 
 
-def _print_judge(limit: int, pairs: pa.Table, cells: pa.Table) -> pa.Table:
-    """The pairs whose fingerprints differ in at most so many bits."""
-    fp = np.frombuffer(b"".join(cells.column("item").to_pylist()), np.uint8).reshape(-1, BITS // 8)
-    x, y = _places(cells, pairs.column("a")), _places(cells, pairs.column("b"))
-    near = [np.bitwise_count(fp[x[at : at + _CHUNK]] ^ fp[y[at : at + _CHUNK]]).sum(axis=1, dtype=np.int64) <= limit for at in range(0, len(x), _CHUNK)]
-    return pairs.select(["a", "b"]).filter(pa.array(np.concatenate(near)))
-
-
-def _set_judge(similarity: float, pairs: pa.Table, cells: pa.Table) -> pa.Table:
-    """The pairs whose sets (sorted lists of distinct hashes) have this Jaccard similarity or more."""
-    items = cells.column("item").combine_chunks()
-    flat, ends = items.flatten().to_numpy().view(np.uint64), np.concatenate(([0], np.cumsum(items.value_lengths().to_numpy())))
-    good = []
-    for i, j in zip(_places(cells, pairs.column("a")).tolist(), _places(cells, pairs.column("b")).tolist(), strict=True):
-        x, y = flat[ends[i] : ends[i + 1]], flat[ends[j] : ends[j + 1]]
+def _judge(limit: int, similarity: float, lists: pa.Table, cells: pa.Table) -> pa.Table:
+    """The pairs (a, b) of a block whose fingerprints differ in at most ``limit`` bits and whose sets (sorted lists of
+    distinct hashes) have this Jaccard similarity or more."""
+    others = lists.column("others").combine_chunks()
+    a = lists.column("node").combine_chunks().take(pa.array(np.repeat(np.arange(len(lists)), others.value_lengths().to_numpy())))
+    place = _places(cells, pa.chunked_array([pa.concat_arrays([a, others.flatten()])]))
+    i, j = np.unique(np.sort(place.reshape(2, -1), axis=0), axis=1)
+    fp = np.frombuffer(b"".join(cells.column("fp").to_pylist()), np.uint8).reshape(-1, BITS // 8)
+    near = [np.bitwise_count(fp[i[at : at + _CHUNK]] ^ fp[j[at : at + _CHUNK]]).sum(axis=1, dtype=np.int64) <= limit for at in range(0, len(i), _CHUNK)]
+    near = np.concatenate(near) if near else np.zeros(0, bool)
+    i, j = i[near], j[near]
+    grams = cells.column("grams").combine_chunks()
+    flat, ends = grams.flatten().to_numpy().view(np.uint64), np.concatenate(([0], np.cumsum(grams.value_lengths().to_numpy())))
+    good = np.zeros(len(i), dtype=bool)
+    for k, (p, q) in enumerate(zip(i.tolist(), j.tolist(), strict=True)):
+        x, y = flat[ends[p] : ends[p + 1]], flat[ends[q] : ends[q + 1]]
         if len(x) > len(y):
             x, y = y, x
-        common = 0
-        if len(x) >= similarity * len(y) - 1e-9 and len(x):
+        if len(x) and len(x) >= similarity * len(y) - 1e-9:
             common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-        good.append(common >= similarity * (len(x) + len(y) - common) - 1e-9)
-    return pairs.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-
-def _judged(pairs: DataFrame, items: DataFrame, blocks: int, judge) -> DataFrame:
-    """The pairs (a, b) that ``judge`` keeps, given their items (node, item).  Pairs are dealt into blocks by their first node,
-    and an item goes to a block once, however many of its pairs have it: a dense group sends items, not pairs of items."""
-    kind = pairs.schema["a"].dataType.simpleString()
-    placed = pairs.withColumn("block", F.pmod(F.xxhash64("a"), F.lit(blocks)).cast("int"))
-    asked = placed.select("block", F.col("a").alias("node")).unionByName(placed.select("block", F.col("b").alias("node"))).distinct()
-    cells = asked.join(items, "node").select(F.col("block").alias("of"), "node", "item")
+            good[k] = common >= similarity * (len(x) + len(y) - common) - 1e-9
+    node = cells.column("node").combine_chunks()
+    return pa.table([node.take(pa.array(i[good])), node.take(pa.array(j[good]))], names=["a", "b"])
+
+
+def _links(lists: DataFrame, classes: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) of (node, others) whose sets of shingles are similar enough.  Pairs are judged in blocks of about
+    ``BLOCK_PAIRS``, and a text's fingerprint and set go to a block once, however many of its pairs have it: a dense group
+    sends texts, not pairs of texts."""
+    kind = classes.schema["node"].dataType.simpleString()
+    lists = lists.checkpoint()
+
+    def dealt(blocks: int) -> tuple[DataFrame, DataFrame]:
+        """The lists with their blocks, and the nodes of each block."""
+        placed = lists.withColumn("block", F.pmod(F.xxhash64("node", F.get("others", F.lit(0))), F.lit(blocks)).cast("int"))
+        nodes = F.array_distinct(F.concat(F.collect_set("node"), F.flatten(F.collect_list("others"))))
+        return placed, placed.groupBy("block").agg(nodes.alias("nodes")).select("block", F.explode("nodes").alias("node"))
+
+    blocks = max((lists.agg(F.sum(F.size("others"))).first()[0] or 0) // BLOCK_PAIRS, 1)
+    asked = dealt(blocks)[1].select(F.col("node").alias("doc_id")).distinct().checkpoint()
+    count = asked.count()
+    some = F.broadcast(asked) if count <= FEW else asked  # otherwise the texts are shuffled
+    sets = shingle_sets(texts.join(some, "doc_id", "left_semi").dropDuplicates(["doc_id"]), shingle).withColumnRenamed("doc_id", "node").checkpoint()
+    longs = sets.agg(F.avg(F.size("grams"))).first()[0] or 0
+    placed, members = dealt(max(blocks, int(2 * count * longs / BLOCK_LONGS)))
+    cells = members.join(sets, "node").join(classes.select("node", "fp"), "node").select(F.col("block").alias("of"), "node", "fp", "grams")
+    judge = partial(_judge, bit_limit(BITS, similarity, DEVIATIONS), similarity)
     return placed.groupBy("block").cogroup(cells.groupBy("of")).applyInArrow(lambda x, y: judge(x, y), f"a {kind}, b {kind}")
 
 
-def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose sets of shingles are similar enough."""
-    least = tasks(pairs.sparkSession)
-    pairs = pairs.checkpoint()
-    limit, n = bit_limit(BITS, similarity, DEVIATIONS), pairs.count()
-    near = _judged(pairs, classes.select("node", F.col("fp").alias("item")), max(min(least, n // 1000), n // 100_000, 1), partial(_print_judge, limit)).checkpoint()
-    asked = near.select(F.col("a").alias("doc_id")).unionByName(near.select(F.col("b").alias("doc_id"))).distinct().checkpoint()
-    if asked.count() <= FEW:  # otherwise the texts are shuffled
-        asked = F.broadcast(asked)
-    sets = shingle_sets(texts.join(asked, "doc_id", "left_semi").dropDuplicates(["doc_id"]), shingle).checkpoint()
-    n, longs = near.count(), sets.agg(F.avg(F.size("grams"))).first()[0] or 0
-    blocks = max(min(least, n // 100), int(2 * n * longs / BLOCK_LONGS), 1)
-    return _judged(near, sets.select(F.col("doc_id").alias("node"), F.col("grams").alias("item")), blocks, partial(_set_judge, similarity))
-
-
 def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, recall: float = RECALL) -> DataFrame:
     """(doc_id, component_id) of every row: the smallest id that a chain of near copies leads to."""
     shared_dir(df.sparkSession)
