@@ -40,7 +40,7 @@ DEVIATIONS = 3
 CHANCE = 64
 NEAREST = 8  # codes of each round that links every text to its nearest
 TILE = 1024  # texts of a bucket
-BLOCK_PAIRS = 50_000
+BLOCK_PAIRS = 100_000
 BLOCK_LONGS = 1 << 22  # hashes, 8 bytes each, of the sets of a block
 FEW = 2_000_000  # ids, 8 bytes each, that may be broadcast
 _CHUNK = 1 << 14
@@ -275,10 +275,11 @@ def _links(lists: DataFrame, classes: DataFrame, texts: DataFrame, shingle: int,
     asked = dealt(blocks)[1].select(F.col("node").alias("doc_id")).distinct().checkpoint()
     count = asked.count()
     some = F.broadcast(asked) if count <= FEW else asked  # otherwise the texts are shuffled
-    sets = shingle_sets(texts.join(some, "doc_id", "left_semi").dropDuplicates(["doc_id"]), shingle).withColumnRenamed("doc_id", "node").checkpoint()
+    sets = shingle_sets(texts.join(some, "doc_id", "left_semi").dropDuplicates(["doc_id"]), shingle).withColumnRenamed("doc_id", "node")
+    sets = sets.join(classes.select("node", "fp"), "node").checkpoint()
     longs = sets.agg(F.avg(F.size("grams"))).first()[0] or 0
     placed, members = dealt(max(blocks, int(2 * count * longs / BLOCK_LONGS)))
-    cells = members.join(sets, "node").join(classes.select("node", "fp"), "node").select(F.col("block").alias("of"), "node", "fp", "grams")
+    cells = members.join(sets, "node").select(F.col("block").alias("of"), "node", "fp", "grams")
     judge = partial(_judge, bit_limit(BITS, similarity, DEVIATIONS), similarity)
     return placed.groupBy("block").cogroup(cells.groupBy("of")).applyInArrow(lambda x, y: judge(x, y), f"a {kind}, b {kind}")
 
