@@ -2,8 +2,8 @@
 
 Every stage takes (spark, docs, sf_dir), works on all rows its predecessor kept, and returns the
 columns of ``documents``; the last returns token ids.  No stage is expressible in SQL (a trained
-network, a covering-code search, a random walk, checksums and byte merges), so ORACLE_SQL is None and
-``tests/llm`` hold each stage against a brute-force version.
+network, a covering-code search, a random walk, checksums and byte merges), so ORACLE_SQL is None.  ``tests/llm``
+test near copies, benchmark passages, base spans and tokens against brute force, the language by held-out accuracy.
 """
 
 from __future__ import annotations
