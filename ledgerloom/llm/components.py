@@ -3,6 +3,9 @@
 A large star points every greater neighbour of a node at the node's smallest neighbour, a
 small star does the same for the smaller ones.  Links never grow in number, and after a
 logarithmic number of rounds each component is a star around its smallest node.
+
+The number of tasks that write follows from the number of links (one for every ``TASK_LINKS``),
+since many rounds over few links would otherwise leave mostly empty files.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.kernels import shared_dir
 
+TASK_LINKS = 100_000
 
 def _large_star(e: DataFrame) -> DataFrame:
     both = e.unionByName(e.select(F.col("lo").alias("hi"), F.col("hi").alias("lo"))).select(F.col("hi").alias("u"), F.col("lo").alias("v"))
@@ -19,10 +23,10 @@ def _large_star(e: DataFrame) -> DataFrame:
     return both.filter("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
 
 
-def _small_star(e: DataFrame) -> DataFrame:
+def _small_star(e: DataFrame, tasks: int) -> DataFrame:
     least = e.groupBy("hi").agg(F.min("lo").alias("m"))
     moved = e.join(least, "hi").filter("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-    return moved.unionByName(least.select("hi", F.col("m").alias("lo"))).distinct()
+    return moved.unionByName(least.select("hi", F.col("m").alias("lo"))).coalesce(tasks).distinct()
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
@@ -41,7 +45,8 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", rounds: i
         if state["n"] == 0 or (state["n"], state["h"]) == before:
             break
         before = (state["n"], state["h"])
-        e = _small_star(_large_star(e)).checkpoint()
+        few = max(1, -(-state["n"] // TASK_LINKS))
+        e = _small_star(_large_star(e.coalesce(few)).coalesce(few), few).coalesce(few).checkpoint()
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     return e.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(e.select(F.col("lo").alias("node"), F.col("lo").alias("component"))).distinct()
