@@ -94,9 +94,9 @@ def wide_fingerprint(shingles: np.ndarray) -> bytes:
     return b"".join(out)
 
 
-def _sets(batches, shingle: int):
-    """(ids, sets) of each block: the sorted hashes of each text's shingles."""
-    for block in blocks(batches):
+def _sets(batches, shingle: int, extra: tuple[str, ...] = ()):
+    """(block, sets) of each block: the sorted hashes of each text's shingles."""
+    for block in blocks(batches, extra):
         words = Words(block)
         h = word_hashes(lowered(block.buf), words)
         g, ok = gram_hashes(h, words, shingle)
@@ -112,7 +112,7 @@ def _sets(batches, shingle: int):
                 made.append(np.array([one]))
             else:
                 made.append(np.zeros(0, np.uint64))
-        yield block.ids, made
+        yield block, made
 
 
 def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -123,22 +123,22 @@ def fingerprints(df: DataFrame, id_col: str, text_col: str, shingle: int) -> Dat
     """(doc_id, fp): BITS bits as binary."""
 
     def run(batches):
-        for ids, sets in _sets(batches, shingle):
+        for block, sets in _sets(batches, shingle):
             made = [wide_fingerprint(s) if len(s) else bytes(BITS // 8) for s in sets]
-            yield pa.RecordBatch.from_arrays([ids, pa.array(made, pa.binary())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([block.ids, pa.array(made, pa.binary())], ["doc_id", "fp"])
 
     return _texts(df, id_col, text_col).mapInArrow(run, f"doc_id {df.schema[id_col].dataType.simpleString()}, fp binary")
 
 
 def shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, grams): the set of each text's shingles, of a table (doc_id, text)."""
+    """(doc_id, fp, grams): the set of each text's shingles, of a table (doc_id, text, fp)."""
 
     def run(batches):
-        for ids, sets in _sets(batches, shingle):
+        for block, sets in _sets(batches, shingle, ("fp",)):
             grams = long_array(np.concatenate(sets).view(np.int64), np.array([len(s) for s in sets]))
-            yield pa.RecordBatch.from_arrays([ids, grams], ["doc_id", "grams"])
+            yield pa.RecordBatch.from_arrays([block.ids, block.columns["fp"], grams], ["doc_id", "fp", "grams"])
 
-    return texts.mapInArrow(run, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, grams array<long>")
+    return texts.mapInArrow(run, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, fp binary, grams array<long>")
 
 
 def _coded(k: int, codes: range, batches):
@@ -275,8 +275,8 @@ def _links(lists: DataFrame, classes: DataFrame, texts: DataFrame, shingle: int,
     asked = dealt(blocks)[1].select(F.col("node").alias("doc_id")).distinct().checkpoint()
     count = asked.count()
     some = F.broadcast(asked) if count <= FEW else asked  # otherwise the texts are shuffled
-    sets = shingle_sets(texts.join(some, "doc_id", "left_semi").dropDuplicates(["doc_id"]), shingle).withColumnRenamed("doc_id", "node")
-    sets = sets.join(classes.select("node", "fp"), "node").checkpoint()
+    own = texts.join(some, "doc_id", "left_semi").dropDuplicates(["doc_id"]).join(classes.select(F.col("node").alias("doc_id"), "fp"), "doc_id")
+    sets = shingle_sets(own.select("doc_id", "text", "fp"), shingle).withColumnRenamed("doc_id", "node").checkpoint()
     longs = sets.agg(F.avg(F.size("grams"))).first()[0] or 0
     placed, members = dealt(max(blocks, int(2 * count * longs / BLOCK_LONGS)))
     cells = members.join(sets, "node").select(F.col("block").alias("of"), "node", "fp", "grams")
