@@ -120,7 +120,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     marked = by_row.join(copies.hint("shuffle_hash"), "rid", "left")
 
     def emit_seeds(batches):
-        for block in blocks(batches, ("rid",)):
+        # null ids go here: as a filter of the plan it would reach below by_row and have the texts shuffled once more
+        for block in blocks((b.filter(b.column("doc_id").is_valid()) for b in batches), ("rid",)):
             words = Words(block)
             at, g = anchors(word_hashes(block.buf, words), words, seed, window)
             ids = block.ids.to_numpy()
@@ -130,7 +131,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     schema = f"hash long, check int, doc_id {kind}, rid long, place int, more array<int>, known boolean"
     same = Window.partitionBy("hash", "check")
     every = F.flatten(F.collect_list(F.concat(F.array("place"), F.coalesce("more", F.array().cast("array<int>")))))
-    seeds = marked.filter("copy is null and doc_id is not null").select("doc_id", "rid", "text").mapInArrow(emit_seeds, schema)
+    seeds = marked.filter("copy is null").select("doc_id", "rid", "text").mapInArrow(emit_seeds, schema)
     shared = seeds.withColumns({"least": F.min("doc_id").over(same), "most": F.max("doc_id").over(same)}).filter("known or least <> most")
     hit = shared.groupBy("rid").agg(every.alias("places"))
 
