@@ -1,40 +1,38 @@
-"""Language-model scores by Katz backoff.
-
-Words are lower-cased; each text ends with one end token.  The symbols of the model are the end, the
-words of at least ``SHARE`` of all training tokens (so at most 1 / ``SHARE`` of them, at any size) and one
-symbol for all rarer words.  Bigrams of symbols have Good-Turing discounted counts, and the backoff
-weight of each history makes its probabilities sum to one exactly.  A rare word's probability is that
-of the rare symbol times its own discounted share among rare words; unseen words share what is left.
-
-Counts cover every training text and live in tables partitioned by the n-gram's hash.  First every task
-sends its distinct trained bigrams to those partitions, which return sums per history; these are bounded
-by the symbols, and give the discounts and backoff weights.  Then texts are dealt into batches of about
-``ENTRIES`` tokens, each batch asks the partitions for the counts of its distinct bigrams and rare words,
-once however often it has them, and scores its texts token by token from the answers.  Batches and
-partitions have bounded size, as their number follows the token count, and what is sent is in proportion
-to the input; a word pair that all texts share is one entry a batch.
+"""Language-model scores by Katz backoff over words.
+
+Words are lower-cased; each text ends with one end token, which is also the history of a text's first
+word.  Unigrams and bigrams of all words have Good-Turing discounted counts.  What the discounts free
+goes to the unseen class for unigrams, and for bigrams to the unigrams that a history was not seen
+with; so the vocabulary and the unseen class have a probability of one together, after every history.
+
+Texts are dealt into batches of about ``BATCH_BYTES``.  Each batch sends its distinct words and bigrams,
+with their counts in its training texts, to partitions by the n-gram's hash, once however often it has
+them: a word pair that all texts share is one entry a batch.  The partitions sum the counts, give the
+counts of counts, and answer each batch.  One batch of those that train a bigram counts it for its
+history's free and seen mass; these sums meet in partitions by history, which answer the backoff weights.
+Batches and partitions have bounded size, as their number follows the corpus, and what is sent is in
+proportion to the input.  Words are told apart by 64 bits, bigrams by their partition and 40 bits more,
+so that one in about 500,000 is taken for another at any corpus size.
 
 Defined cases: a null text counts as empty, and an empty text is one end token; a null id never trains
 and is scored; equal rows train as often as they occur and give a row each; without training texts
-every word is unseen; other columns are ignored.
+every word is unseen; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
-from functools import partial
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.kernels import Words, blocks, fold_crc, lowered, mix, shared_dir, word_hashes
+from ledgerloom.llm.kernels import Words, blocks, fold_crc, lowered, mix, word_hashes
 
-SHARE = 1e-5
 K = 5  # counts above this are not discounted
-ENTRIES = 2_500_000  # about so many tokens make a batch, and their bigrams a partition
-_FLUSH = 2_500_000
-_BYTES = 5  # of a bigram key
+BATCH_BYTES = 14 << 20  # about so much text makes a batch, and its n-grams a partition
+_WORD, _GRAM = 8, 5  # bytes of a key
+_END = np.uint64(0x656E64)
+_HISTORY = np.uint64(0x9E3779B97F4A7C15)
 
 
 def discounts(n: np.ndarray) -> np.ndarray:
@@ -51,263 +49,280 @@ def discounts(n: np.ndarray) -> np.ndarray:
     return (r - gap) / r
 
 
-class Lexicon:
-    """Counts of the training tokens: symbols 0 (end), 1 to H (words by hash), H + 1 (rare), H + 2 (start)."""
+class Model:
+    """What all partitions' counts of counts say: discounts of both orders and the unseen class's share."""
+
+    def __init__(self, tokens: int, types: int, word_of: np.ndarray, gram_of: np.ndarray):
+        self.tokens, self.types = tokens, types
+        words, grams = discounts(word_of), discounts(gram_of)
+        freed = float(((1 - words) * np.arange(1, K + 1) * word_of[:K]).sum())
+        self.scale = 1.0 / tokens if freed else 1.0 / (tokens + 1)  # nothing freed: one count is kept back
+        self.unseen = (freed or 1.0) * self.scale if tokens else 1.0
+        self._words, self._grams = np.concatenate(([0.0], words, [1.0])), np.concatenate(([0.0], grams, [1.0]))
+
+    def unigram(self, c: np.ndarray) -> np.ndarray:
+        return np.where(c > 0, self._words[np.minimum(c, K + 1)] * c * self.scale, self.unseen)
+
+    def kept(self, c: np.ndarray) -> np.ndarray:
+        """Discounted counts of bigrams."""
+        return self._grams[np.minimum(c, K + 1)] * c
 
-    def __init__(self, tokens: int, types: int, texts: int, head: list[tuple[int, int]], rare_of: np.ndarray):
-        head.sort()
-        self.hash = np.array([h for h, _ in head], dtype=np.int64)
-        self.tokens, self.types, self.texts = tokens, types, texts
-        self.rare, self.start = len(head) + 1, len(head) + 2
-        self.rare_tokens = max(0, tokens - texts - sum(n for _, n in head))
-        self.count = np.array([texts, *(n for _, n in head), self.rare_tokens], dtype=np.int64)
-        self.unigram = (self.count + 1) / (self.count.sum() + len(self.count))
-        self.rare_discount = discounts(rare_of)
-        kept = self.rare_tokens - float(((1 - self.rare_discount) * np.arange(1, K + 1) * rare_of[:K]).sum())
-        left = 1 - kept / self.rare_tokens if self.rare_tokens else 1.0
-        self.rare_scale = 1.0 if left > 1e-12 else self.rare_tokens / (self.rare_tokens + 1)
-        self.unseen = max(left, 1 / (self.rare_tokens + 1)) / max(1.0, float(rare_of[0]))
+    def bigram(self, c: np.ndarray, history: np.ndarray, word: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Probabilities from the counts of a bigram, its history and its word, and the history's backoff weight (of
+        use where ``c`` is 0 or above K)."""
+        bare = weight < 0
+        seen = self.kept(c) / np.maximum(history + bare, 1)
+        back = np.where(history > 0, np.where(bare, -weight / (history + 1), weight), 1.0)
+        return np.where(c > 0, seen, back * self.unigram(word))
 
-    def symbols(self, h: np.ndarray) -> np.ndarray:
-        if not len(self.hash):
-            return np.full(len(h), self.rare, dtype=np.int64)
-        at = np.minimum(np.searchsorted(self.hash, h), len(self.hash) - 1)
-        return np.where(self.hash[at] == h, at + 1, self.rare)
 
-    def rare_log(self, c: np.ndarray) -> np.ndarray:
-        """log10 probability of rare words among rare words, by their counts."""
-        factor = np.concatenate(([1.0], self.rare_discount))[np.minimum(c, K)] * (c <= K) + (c > K)
-        return np.log10(np.where(c > 0, self.rare_scale * factor * c / max(self.rare_tokens, 1), self.unseen))
+def backoff(free: np.ndarray, seen: np.ndarray, unseen: float) -> np.ndarray:
+    """Backoff weights from the free and seen mass of histories; negative, and to be divided by the history's count and
+    one, if nothing is free.  The unseen class is never among the seen."""
+    return np.where(free > 0, free, -1.0) / np.maximum(1 - seen, unseen)
 
 
-def lexicon(df: DataFrame) -> Lexicon:
-    """Counts of the words of (doc_id, text) rows."""
+class Keys:
+    """The distinct keys of a batch in the order of their partition (``ends``), and the place of each token's key."""
 
-    def run(batches):
-        held: list[np.ndarray] = []
-        size = 0
+    def __init__(self, keys: np.ndarray, n: int):
+        which, at = np.unique(keys, return_inverse=True)
+        part = (which % np.uint64(n)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        rank = np.empty(len(which), dtype=np.int64)
+        rank[order] = np.arange(len(which))
+        self.which, self.at, self.part = which[order], rank[at], part[order]
+        self.ends = np.searchsorted(self.part, np.arange(n), "right")
 
-        def flush():
-            which, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(which), pa.array(n)], ["word", "n"])
+    def __len__(self) -> int:
+        return len(self.which)
 
-        for block in blocks(batches):
+
+class Batch:
+    """The tokens of a batch of texts: document, word and history (places in ``words``) and bigram (in ``grams``)."""
+
+    def __init__(self, table: pa.Table, n: int):
+        ids, doc, train, word, gram, first, rows, size = [], [], [], [], [], [], 0, 0
+        for block in blocks(table.to_batches(), ("train",)):
             words = Words(block)
-            held.append(word_hashes(lowered(block.buf), words).view(np.int64))
-            size += len(words)
-            if size >= _FLUSH:
-                yield flush()
-                held, size = [], 0
-        if held:
-            yield flush()
-
-    counts = df.mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).checkpoint()
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("types")).first()
-    texts = df.count()
-    tokens = total["tokens"] + texts
-    least = max(1, int(np.ceil(SHARE * tokens)))
-    head = [(r["word"], r["n"]) for r in counts.filter(F.col("n") >= least).collect()]  # at most 1 / SHARE
-    rare = np.zeros(K + 1)
-    for r in counts.filter((F.col("n") < least) & (F.col("n") <= K + 1)).groupBy("n").count().collect():
-        rare[r["n"] - 1] = r["count"]
-    return Lexicon(tokens, total["types"] + (texts > 0), texts, head, rare)
-
-
-def _packed(keys: np.ndarray, width: int) -> np.ndarray:
-    return np.ascontiguousarray(keys.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :width]).ravel()
-
-
-def _unpacked(data: np.ndarray, width: int) -> np.ndarray:
-    out = np.zeros((len(data) // width, 8), dtype=np.uint8)
-    out[:, :width] = data.reshape(-1, width)
-    return out.reshape(-1).view("<i8")
-
-
-def _blobs(data: np.ndarray, ends: np.ndarray, width: int) -> pa.Array:
-    """One binary value a row from entries of ``width`` bytes, each row's ending at ``ends``."""
+            length = words.count + 1
+            start = np.concatenate(([0], np.cumsum(length)))
+            token = np.full(start[-1], _END)
+            token[words.place + start[words.doc]] = word_hashes(lowered(block.buf), words)
+            before = np.concatenate(([_END], token[:-1]))  # the token before a text's first is an end
+            with np.errstate(over="ignore"):
+                gram.append(mix(before * _HISTORY ^ token))
+            word.append(token), doc.append(np.repeat(np.arange(len(block)) + rows, length)), first.append(start[:-1] + size)
+            train.append(np.repeat(np.asarray(block.columns["train"].to_numpy(zero_copy_only=False), dtype=bool), length))
+            ids.append(block.ids)
+            rows, size = rows + len(block), size + len(token)
+        self.rows, self.ids, self.doc, self.train = rows, ids, np.concatenate(doc), np.concatenate(train)
+        self.words, self.grams = Keys(np.concatenate(word), n), Keys(np.concatenate(gram), n)
+        self.history = np.empty_like(self.words.at)
+        self.history[1:] = self.words.at[:-1]
+        self.history[np.concatenate(first)] = self.words.at[-1]
+
+    def trained(self, keys: Keys) -> np.ndarray:
+        return np.bincount(keys.at[self.train], minlength=len(keys))
+
+    def of_grams(self) -> tuple[np.ndarray, np.ndarray]:
+        """History and word of each distinct bigram."""
+        one = np.empty(len(self.grams), dtype=np.int64)
+        one[self.grams.at] = np.arange(len(self.grams.at))
+        return self.history[one], self.words.at[one]
+
+
+def _blobs(values: np.ndarray, ends: np.ndarray, width: int) -> pa.Array:
+    """One binary value a row from the last ``width`` bytes of each value, each row's ending at ``ends``."""
+    data = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize)
+    data = np.ascontiguousarray(data[:, values.itemsize - width :])
     offsets = np.concatenate(([0], ends * width)).astype(np.int32)
     return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())])
 
 
-def _int32(values: np.ndarray) -> np.ndarray:
-    return values.astype("<i4").view(np.uint8)
-
-
-def _tokens(lex: Lexicon, block):
-    """(document, symbol, bigram key) of each token of a block, and (token, hash) of the rare words."""
-    words = Words(block)
-    h = word_hashes(lowered(block.buf), words).view(np.int64)
-    length = words.count + 1
-    first = np.concatenate(([0], np.cumsum(length)))
-    symbol = np.zeros(first[-1], dtype=np.int64)
-    at = words.place + first[words.doc]
-    symbol[at] = own = lex.symbols(h)
-    before = np.empty_like(symbol)
-    before[1:] = symbol[:-1]
-    before[first[:-1]] = lex.start
-    rare = own == lex.rare
-    return np.repeat(np.arange(len(block)), length), symbol, before * (lex.start + 1) + symbol, at[rare], h[rare]
-
-
-def _dealt(keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in the order of their partition, and where each partition ends."""
-    which = np.unique(keys)
-    part = (mix(which.view(np.uint64)) % np.uint64(n)).astype(np.int64)
-    order = np.argsort(part, kind="stable")
-    return which[order], np.searchsorted(part[order], np.arange(n), "right")
-
-
-def _counts_of(keys: np.ndarray, which: np.ndarray) -> np.ndarray:
-    """How often each of the distinct keys ``which`` (any order) occurs among ``keys``."""
-    have, n = np.unique(keys, return_counts=True)
-    if not len(have):
-        return np.zeros(len(which), dtype=np.int64)
-    at = np.minimum(np.searchsorted(have, which), len(have) - 1)
-    return np.where(have[at] == which, n[at], 0)
-
-
-def _trained(lex: Lexicon, n: int, batches):
-    """Rows (bucket, grams, gram_n): the distinct bigrams of about ``_FLUSH`` tokens with their counts."""
-    held, size = [], 0
-
-    def flush():
-        keys = np.concatenate(held)
-        which, ends = _dealt(keys, n)
-        return pa.RecordBatch.from_arrays([pa.array(np.arange(n, dtype=np.int32)), _blobs(_packed(which, _BYTES), ends, _BYTES), _blobs(_int32(_counts_of(keys, which)), ends, 4)], ["bucket", "grams", "gram_n"])
-
-    for block in blocks(batches):
-        held.append(_tokens(lex, block)[2])
-        size += len(held[-1])
-        if size >= _FLUSH:
-            yield flush()
-            held, size = [], 0
-    if held:
-        yield flush()
-
-
-def _asked(lex: Lexicon, n: int, table: pa.Table) -> pa.Table:
-    """Rows (bucket, batch, grams, gram_n, rares, rare_n): a batch's distinct keys and how often its training texts have them."""
-    grams, rares, grams_t, rares_t = [], [], [], []
-    for block in blocks(table.to_batches(), ("train",)):
-        doc, _, key, at, h = _tokens(lex, block)
-        train = np.asarray(block.columns["train"].to_numpy(zero_copy_only=False), dtype=bool)[doc]
-        grams.append(key), rares.append(h), grams_t.append(key[train]), rares_t.append(h[train[at]])
-    g, g_end = _dealt(np.concatenate(grams), n)
-    r, r_end = _dealt(np.concatenate(rares), n)
-    batch = pa.array(np.full(n, table.column("batch")[0].as_py(), dtype=np.int32))
-    return pa.table(
-        [
-            pa.array(np.arange(n, dtype=np.int32)), batch, _blobs(_packed(g, _BYTES), g_end, _BYTES), _blobs(_int32(_counts_of(np.concatenate(grams_t), g)), g_end, 4),
-            _blobs(_packed(r, 8), r_end, 8), _blobs(_int32(_counts_of(np.concatenate(rares_t), r)), r_end, 4),
-        ],
-        names=["bucket", "batch", "grams", "gram_n", "rares", "rare_n"],
-    )
+def _counts(values: np.ndarray, ends: np.ndarray) -> list[pa.Array]:
+    """Counts as one byte each, and those from 255 on in full beside them."""
+    large = values >= 255
+    past = np.concatenate(([0], np.cumsum(large)))[ends]
+    return [_blobs(np.minimum(values, 255).astype(np.uint8), ends, 1), _blobs(values[large].astype(np.int64), past, 8)]
 
 
 def _column(table: pa.Table, name: str, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes of all rows, entries of each row) of a binary column."""
+    """(entries of all rows, number of each row's) of a binary column; narrow entries are widened to eight bytes."""
     data, size = [np.zeros(0, np.uint8)], [np.zeros(0, np.int64)]
     for chunk in table.column(name).chunks:
         _, where, body = chunk.buffers()
         offs = np.frombuffer(where, np.int32)[chunk.offset : chunk.offset + len(chunk) + 1]
         data.append(np.frombuffer(body, np.uint8)[offs[0] : offs[-1]] if body is not None else np.zeros(0, np.uint8))
         size.append(np.diff(offs) // width)
-    return np.concatenate(data), np.concatenate(size)
+    raw = np.concatenate(data)
+    if width > 1:
+        wide = np.zeros((len(raw) // width, 8), dtype=np.uint8)
+        wide[:, 8 - width :] = raw.reshape(-1, width)
+        raw = wide.reshape(-1).view(np.uint64)
+    return raw, np.concatenate(size)
+
+
+def _counted(table: pa.Table, name: str) -> np.ndarray:
+    out = _column(table, name, 1)[0].astype(np.int64)
+    out[out == 255] = _column(table, f"{name}_past", 8)[0].view(np.int64)
+    return out
+
+
+def _sorted(table: pa.Table, column: str) -> pa.Table:
+    return table.take(pa.array(np.argsort(table.column(column).to_numpy(), kind="stable"))).combine_chunks()
 
 
-def _summed(table: pa.Table, name: str, times: str, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct key, total count, place of each entry's key, entries of each row) of a partition."""
-    raw, size = _column(table, name, width)
-    key, n = _unpacked(raw, width), _column(table, times, 4)[0].view("<i4")
-    which, at = np.unique(key, return_inverse=True)
-    return which, np.bincount(at, weights=n, minlength=len(which)).astype(np.int64), at, size
+_ASKED = "bucket int, batch int, words binary, word_n binary, word_n_past binary, grams binary, gram_n binary, gram_n_past binary"
+
+
+def _asked(n: int, table: pa.Table) -> pa.Table:
+    """A row for each partition that a batch has n-grams of: its distinct keys and how often its training texts have them."""
+    batch = Batch(table, n)
+    columns, used = [], np.zeros(n, dtype=bool)
+    for keys in (batch.words, batch.grams):
+        used[keys.part] = True
+    some = np.flatnonzero(used)
+    for keys, width in ((batch.words, _WORD), (batch.grams, _GRAM)):
+        columns += [_blobs(keys.which, keys.ends[some], width), *_counts(batch.trained(keys), keys.ends[some])]
+    who = np.full(len(some), table.column("batch")[0].as_py(), dtype=np.int32)
+    return pa.table([pa.array(some.astype(np.int32)), pa.array(who), *columns], names=[c.split()[0] for c in _ASKED.split(", ")])
+
+
+def _summed(table: pa.Table, keys: str, times: str, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(total count of each distinct key, place of each entry's key, entry's own count, end of each row's entries)."""
+    raw, size = _column(table, keys, width)
+    own = _counted(table, times)
+    which, at = np.unique(raw, return_inverse=True)
+    return np.bincount(at, weights=own, minlength=len(which)).astype(np.int64), at, own, np.cumsum(size)
+
+
+_TOLD = "batch int, bucket int, words binary, word_c binary, word_c_past binary, gram_c binary, gram_c_past binary, weights binary, stats array<long>"
+_NAMES = [c.split()[0] for c in _TOLD.split(", ")]
+
+
+def _told(columns: dict[str, pa.Array]) -> pa.Table:
+    rows = len(columns["batch"])
+    kinds = {"stats": pa.list_(pa.int64()), "batch": pa.int32(), "bucket": pa.int32()}
+    return pa.table([columns[c] if c in columns else pa.nulls(rows, kinds.get(c, pa.binary())) for c in _NAMES], names=_NAMES)
 
 
 def _answered(table: pa.Table) -> pa.Table:
-    """Rows (batch, bucket, gram_c, rare_c): the total training counts of the keys that each batch asked for, in its order."""
-    out = []
-    for name, times, width in (("grams", "gram_n", _BYTES), ("rares", "rare_n", 8)):
-        _, count, at, size = _summed(table, name, times, width)
-        out.append(_blobs(_int32(count[at]), np.cumsum(size), 4))
-    return pa.table([table.column("batch"), table.column("bucket"), *out], names=["batch", "bucket", "gram_c", "rare_c"])
-
-
-_STATS = [f"t{r}" for r in range(1, K + 2)] + ["big", "total", "seen"]
-
-
-def _histories(lex: Lexicon, table: pa.Table) -> pa.Table:
-    """Sums per history over a partition's bigrams: types by count, larger counts, all counts, unigram mass."""
-    which, count, _, _ = _summed(table, "grams", "gram_n", _BYTES)
-    size = lex.start + 1
-    h, at = np.unique(which // size, return_inverse=True)
-    sums = [np.bincount(at, weights=(count == r), minlength=len(h)) for r in range(1, K + 2)]
-    sums += [np.bincount(at, weights=w, minlength=len(h)) for w in (np.where(count > K, count, 0), count, lex.unigram[which % size])]
-    return pa.table([pa.array(h, pa.int64()), *(pa.array(s, pa.float64()) for s in sums)], names=["history", *_STATS])
-
-
-def backoff(lex: Lexicon, stats: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(discounts, scale and backoff weight per history) from all histories' sums."""
-    d = discounts(np.array([stats[f"t{r}"].sum() for r in range(1, K + 2)]))
-    scale, alpha = np.ones(lex.start + 1), np.ones(lex.start + 1)
-    h = stats["history"].astype(np.int64)
-    kept = sum(d[r - 1] * r * stats[f"t{r}"] for r in range(1, K + 1)) + stats["big"]
-    share, rest = kept / stats["total"], 1 - stats["seen"]
-    own = np.where(1 - share > 1e-9, 1.0, stats["total"] / (stats["total"] + 1))  # a history without a discount keeps one count back
-    own = np.where(rest > 1e-9, own, 1 / share)  # all symbols seen: nothing to back off to
-    scale[h] = own / stats["total"]
-    alpha[h] = np.where(rest > 1e-9, (1 - own * share) / np.maximum(rest, 1e-300), 0.0)
-    return d, scale, alpha
-
-
-def _scored(lex: Lexicon, model: tuple, n: int, table: pa.Table, answers: pa.Table) -> pa.Table:
-    """doc_id, n_tokens, n_known, base and score of a batch's texts."""
-    d, scale, alpha = model
-    order = np.argsort(answers.column("bucket").to_numpy(), kind="stable")
-    answers = answers.take(pa.array(order)).combine_chunks()
-    found = [_tokens(lex, block) + (block.ids, len(block)) for block in blocks(table.to_batches())]
-    look = []
-    for key, name in ((2, "gram_c"), (4, "rare_c")):
-        which, _ = _dealt(np.concatenate([x[key] for x in found]) if found else np.zeros(0, np.int64), n)
-        count = _column(answers, name, 4)[0].view("<i4").astype(np.int64)
-        by_key = np.argsort(which)
-        look.append((which[by_key], count[by_key]))
-    factor, size = np.concatenate(([0.0], d, [1.0])), lex.start + 1
-    add, out = np.log10(lex.tokens + lex.types + 1), []
-    for doc, symbol, key, at, h, ids, rows in found:
-        c = look[0][1][np.searchsorted(look[0][0], key)]
-        p = np.where(c > 0, factor[np.minimum(c, K + 1)] * c * scale[key // size], alpha[key // size] * lex.unigram[symbol])
-        log = np.log10(np.maximum(p, 1e-300))
-        seen = lex.count[symbol]
-        rare = look[1][1][np.searchsorted(look[1][0], h)] if len(h) else np.zeros(0, np.int64)
-        log[at] += lex.rare_log(rare)
-        seen[at] = rare
-        total = lambda w: np.bincount(doc, weights=w, minlength=rows)
-        out.append(pa.table([ids, pa.array(np.bincount(doc, minlength=rows)), pa.array(total(seen > 0).astype(np.int64)), pa.array(total(np.log10(seen + 1.0) - add)), pa.array(total(log))], names=_RESULT))
-    return pa.concat_tables(out) if out else pa.table({k: pa.array([], t) for k, t in zip(_RESULT, [table.schema.field("doc_id").type, pa.int64(), pa.int64(), pa.float64(), pa.float64()], strict=True)})
-
-
-_RESULT = ["doc_id", "n_tokens", "n_known", "base_score", "score"]
-
-
-def score(df: DataFrame, learn: Column | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """A row for each asking batch: the total training counts of its keys, in its order.  A bigram's is doubled, with one
+    added for the first batch that trains it."""
+    table = _sorted(table, "batch")
+    total, at, _, ends = _summed(table, "words", "word_n", _WORD)
+    words = _counts(total[at], ends)
+    total, at, own, ends = _summed(table, "grams", "gram_n", _GRAM)
+    value = 2 * total[at]
+    trains = np.flatnonzero(own)
+    value[trains[np.unique(at[trains], return_index=True)[1]]] += 1
+    grams = _counts(value, ends)
+    return _told({"batch": table.column("batch"), "bucket": table.column("bucket"), "word_c": words[0], "word_c_past": words[1], "gram_c": grams[0], "gram_c_past": grams[1]})
+
+
+_STATS = ["tokens", "types", *(f"w{r}" for r in range(1, K + 2)), *(f"g{r}" for r in range(1, K + 2))]
+
+
+def _stats(table: pa.Table) -> pa.Table:
+    """A partition's training tokens, words, and counts of counts of both orders."""
+    words, grams = (_summed(table, *x)[0] for x in (("words", "word_n", _WORD), ("grams", "gram_n", _GRAM)))
+    of = [np.bincount(np.minimum(x, K + 2), minlength=K + 3)[1 : K + 2] for x in (words, grams)]
+    return pa.table([pa.array([int(x)]) for x in (words.sum(), (words > 0).sum(), *of[0], *of[1])], names=_STATS)
+
+
+class Answers:
+    """What a batch was told: the model, the counts of its words and bigrams, which bigrams it counts for their histories."""
+
+    def __init__(self, told: pa.Table):
+        told = _sorted(told, "bucket")
+        stats = told.column("stats").drop_null()[0].as_py()
+        self.model = Model(stats[0], stats[1], np.array(stats[2 : K + 3]), np.array(stats[K + 3 :]))
+        counts = told.filter(told.column("word_c").is_valid()).combine_chunks()
+        self.word, value = _counted(counts, "word_c"), _counted(counts, "gram_c")
+        self.gram, self.owned = value >> 1, (value & 1).astype(bool)
+        weights = told.filter(told.column("weights").is_valid()).combine_chunks()
+        self.history, self.weight = _column(weights, "words", _WORD)[0], _column(weights, "weights", 8)[0].view(np.float64)
+
+
+_FREED = "bucket int, batch int, words binary, free binary, seen binary, unseen double"
+
+
+def _freed(n: int, table: pa.Table, told: pa.Table) -> pa.Table:
+    """A row for each partition that a batch has histories of: the free and seen mass of the bigrams that it counts, and
+    zeros for other histories whose weight it wants to know."""
+    if not table.num_rows:
+        return pa.table([pa.array([], t) for t in (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.float64())], names=[c.split()[0] for c in _FREED.split(", ")])
+    batch, answers = Batch(table, n), Answers(told)
+    model, (history, word) = answers.model, batch.of_grams()
+    h, c = history[answers.owned], answers.gram[answers.owned]
+    free = np.bincount(h, weights=(c - model.kept(c)) / answers.word[h], minlength=len(batch.words))
+    seen = np.bincount(h, weights=model.unigram(answers.word[word[answers.owned]]), minlength=len(batch.words))
+    sent = seen > 0
+    sent[history[(answers.gram == 0) | (answers.gram > K)]] = True
+    sent &= answers.word > 0
+    part = batch.words.part[sent]
+    some = np.unique(part)
+    ends = np.searchsorted(part, some, "right")
+    who = np.full(len(some), table.column("batch")[0].as_py(), dtype=np.int32)
+    columns = [_blobs(x[sent], ends, 8) for x in (batch.words.which, free, seen)]
+    return pa.table([pa.array(some.astype(np.int32)), pa.array(who), *columns, pa.array(np.full(len(some), model.unseen))], names=[c.split()[0] for c in _FREED.split(", ")])
+
+
+def _weighted(table: pa.Table) -> pa.Table:
+    """A row for each batch: the backoff weights of the histories that it named."""
+    table = _sorted(table, "batch")
+    raw, size = _column(table, "words", _WORD)
+    which, at = np.unique(raw, return_inverse=True)
+    free, seen = (np.bincount(at, weights=_column(table, c, 8)[0].view(np.float64), minlength=len(which)) for c in ("free", "seen"))
+    weight = backoff(free, seen, table.column("unseen")[0].as_py())
+    ends = np.cumsum(size)
+    return _told({"batch": table.column("batch"), "bucket": table.column("bucket"), "words": _blobs(raw, ends, 8), "weights": _blobs(weight[at], ends, 8)})
+
+
+_RESULT = ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+
+
+def _scored(n: int, table: pa.Table, told: pa.Table) -> pa.Table:
+    """doc_id, n_tokens, n_known, train_tokens, base and score of a batch's texts."""
+    if not table.num_rows:
+        return pa.table([pa.array([], t) for t in (table.schema.field("doc_id").type, pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())], names=_RESULT)
+    batch, answers = Batch(table, n), Answers(told)
+    model, (history, word) = answers.model, batch.of_grams()
+    weight = np.ones(len(batch.words))
+    order = np.argsort(batch.words.which)
+    weight[order[np.searchsorted(batch.words.which, answers.history, sorter=order)]] = answers.weight
+    p = model.bigram(answers.gram, answers.word[history], answers.word[word], weight[history])
+    base = np.log10(answers.word + 1.0) - np.log10(model.tokens + model.types + 1)
+    total = lambda w: np.bincount(batch.doc, weights=w, minlength=batch.rows)
+    known = (answers.word > 0)[batch.words.at]
+    return pa.table(
+        [
+            pa.chunked_array(batch.ids), pa.array(np.bincount(batch.doc, minlength=batch.rows)), pa.array(total(known).astype(np.int64)),
+            pa.array(np.full(batch.rows, model.tokens)), pa.array(total(base[batch.words.at])), pa.array(total(np.log10(p)[batch.grams.at])),
+        ],
+        names=_RESULT,
+    )
+
+
+def score(df: DataFrame, learn: Column | None = None, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of each row, learning from the rows
     whose ``doc_id`` satisfies ``learn`` (all rows if not given)."""
-    shared_dir(df.sparkSession)
     kind = df.schema[id_col].dataType.simpleString()
     docs = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     docs = docs.withColumn("train", F.coalesce(learn if learn is not None else F.lit(True), F.lit(False)) & F.col("doc_id").isNotNull())
-    lex = lexicon(docs.filter("train").select("doc_id", "text"))
-    n = 1 + int(1.25 * lex.tokens / ENTRIES)
-    trained = docs.filter("train").select("doc_id", "text").mapInArrow(partial(_trained, lex, n), "bucket int, grams binary, gram_n binary")
-    stats = trained.groupBy("bucket").applyInArrow(lambda table: _histories(lex, table), "history long, " + ", ".join(f"{s} double" for s in _STATS))
-    sums = stats.groupBy("history").agg(*(F.sum(s).alias(s) for s in _STATS)).toArrow()  # a row for each symbol at most
-    model = backoff(lex, {k: sums.column(k).to_numpy() for k in ("history", *_STATS)})
-
-    batched = docs.withColumn("batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int"))
-    asked = batched.groupBy("batch").applyInArrow(lambda table: _asked(lex, n, table), "bucket int, batch int, grams binary, gram_n binary, rares binary, rare_n binary")
-    answers = asked.groupBy("bucket").applyInArrow(lambda table: _answered(table), "batch int, bucket int, gram_c binary, rare_c binary")
-    out = batched.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(lambda table, told: _scored(lex, model, n, table, told), f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double")
-    return out.select("doc_id", "n_tokens", "n_known", F.lit(lex.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    n = 1 + (docs.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0) // batch_bytes
+    texts = docs.withColumn("batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int"))
+
+    asked = texts.groupBy("batch").applyInArrow(lambda table: _asked(n, table), _ASKED)
+    sums = asked.groupBy("bucket").applyInArrow(lambda table: _stats(table), ", ".join(f"{s} long" for s in _STATS)).agg(*(F.sum(s).alias(s) for s in _STATS))
+    stats = sums.select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("batch"), F.array(*_STATS).alias("stats"))
+    stats = stats.select("batch", F.lit(-1).alias("bucket"), *(F.lit(None).cast("binary").alias(c) for c in _NAMES[2:-1]), "stats")
+    told = asked.groupBy("bucket").applyInArrow(lambda table: _answered(table), _TOLD).unionByName(stats)
+    freed = texts.groupBy("batch").cogroup(told.groupBy("batch")).applyInArrow(lambda table, answers: _freed(n, table, answers), _FREED)
+    weights = freed.groupBy("bucket").applyInArrow(lambda table: _weighted(table), _TOLD)
+    schema = f"doc_id {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return texts.groupBy("batch").cogroup(told.unionByName(weights).groupBy("batch")).applyInArrow(lambda table, answers: _scored(n, table, answers), schema)
 
 
 def held_out_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

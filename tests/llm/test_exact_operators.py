@@ -11,6 +11,7 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import byte_bpe, components, decontaminate, katz, licenses, pii, rp_forest, simhash, substring_dedup
 from ledgerloom.llm.kernels import fold_crc
@@ -366,25 +367,64 @@ def test_katz_base_and_normalisation(spark, rows):
         assert math.isfinite(r.score) and r.score < 0
 
 
-def test_katz_backoff_sums_to_one():
-    rng = np.random.default_rng(0)
-    lex = katz.Lexicon(1000, 40, 50, [(int(h), int(n)) for h, n in zip(range(10, 40), rng.integers(5, 40, 30), strict=True)], np.array([5, 3, 2, 2, 1, 1.0]))
-    size = lex.start + 1
-    table = {h: {int(s): int(rng.integers(1, 12)) for s in rng.choice(size - 1, 8, replace=False)} for h in range(size)}
-    table[0] = {int(s): 9 for s in range(5)}  # a history without a discounted count
-    stats = {k: [] for k in ("history", *katz._STATS)}
-    for h, row in table.items():
-        stats["history"].append(h)
-        for r in range(1, katz.K + 2):
-            stats[f"t{r}"].append(sum(c == r for c in row.values()))
-        stats["big"].append(sum(c for c in row.values() if c > katz.K))
-        stats["total"].append(sum(row.values()))
-        stats["seen"].append(sum(lex.unigram[s] for s in row))
-    d, scale, alpha = katz.backoff(lex, {k: np.array(v, dtype=float) for k, v in stats.items()})
-    factor = np.concatenate(([0.0], d, [1.0]))
-    for h, row in table.items():
-        total = sum(factor[min(row[s], katz.K + 1)] * row[s] * scale[h] if s in row else alpha[h] * lex.unigram[s] for s in range(size - 1))
-        assert math.isclose(total, 1.0, rel_tol=1e-9)
+def katz_by_hand(train, K=katz.K):
+    """(probability of a word after a history, words of the vocabulary, histories) from plain dictionaries; None is the
+    end, a word outside the vocabulary stands for the unseen class."""
+    one, two = {}, {}
+    for text in train:
+        tokens = [*words_of(text, True), None]
+        for h, w in zip([None, *tokens], tokens, strict=False):
+            one[w] = one.get(w, 0) + 1
+            two.setdefault(h, {})[w] = two.get(h, {}).get(w, 0) + 1
+    times = lambda counts: np.bincount(np.minimum(list(counts), K + 2), minlength=K + 3)[1 : K + 2]
+    d1, d2 = katz.discounts(times(one.values())), katz.discounts(times(c for r in two.values() for c in r.values()))
+    kept = lambda c, d: c * (d[c - 1] if c <= K else 1.0)
+    n = sum(one.values())
+    freed = n - sum(kept(c, d1) for c in one.values())
+    whole = n if any(c <= K for c in one.values()) else n + 1
+    uni = lambda w: kept(one[w], d1) / whole if w in one else (freed if whole == n else 1) / whole
+
+    def p(h, w):
+        row = two.get(h)
+        if row is None:
+            return uni(w)
+        total = sum(row.values()) + all(c > K for c in row.values())
+        if w in row:
+            return kept(row[w], d2) / total
+        return (total - sum(kept(c, d2) for c in row.values())) / total / (1 - sum(uni(x) for x in row)) * uni(w)
+
+    return p, list(one), list(two)
+
+
+@pytest.mark.parametrize("batch_bytes", [katz.BATCH_BYTES, 500])
+def test_katz_against_dictionaries(spark, rows, batch_bytes):
+    many = [(1000 + i, "often seen words") for i in range(40)]  # histories without a discounted count
+    df = spark.createDataFrame([*rows, *many, (None, "often seen words of words unheard"), (2000, "")], "doc_id long, text string")
+    every = [tuple(r) for r in df.collect()]
+    train = [t for i, t in every if i is not None and i % 5]
+    p, vocabulary, histories = katz_by_hand(train)
+    for h in [*histories[:40], "seen", "unheard"]:
+        assert math.isclose(sum(p(h, w) for w in [*vocabulary, "unheard"]), 1, rel_tol=1e-9)
+    want = []
+    for i, t in every:
+        tokens = [*words_of(t, True), None]
+        want.append((-1 if i is None else i, sum(math.log10(p(h, w)) for h, w in zip([None, *tokens], tokens, strict=False))))
+    got = [(-1 if r.doc_id is None else r.doc_id, r.score) for r in katz.score(df, F.col("doc_id") % 5 != 0, batch_bytes=batch_bytes).collect()]
+    for (i, x), (j, y) in zip(sorted(want), sorted(got), strict=True):
+        assert i == j and math.isclose(x, y, rel_tol=1e-9)
+
+
+def test_katz_counts_from_255_on(spark):
+    df = spark.createDataFrame([(i, "a b " * 200) for i in range(1, 4)] + [(5, "a c")], "doc_id long, text string")
+    p, _, _ = katz_by_hand([r.text for r in df.collect()])
+    by_id = {r.doc_id: r for r in katz.score(df).collect()}
+    assert math.isclose(by_id[5].score, math.log10(p(None, "a")) + math.log10(p("a", "c")) + math.log10(p("c", None)), rel_tol=1e-9)
+    assert (by_id[5].n_known, by_id[5].train_tokens) == (3, 1206)
+
+
+def test_katz_learns_from_nothing(spark):
+    df = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in katz.score(df, F.lit(False)).collect()) == [(1, 3, 0, 0, 0.0, 0.0), (2, 1, 0, 0, 0.0, 0.0)]
 
 
 def test_folds(spark):
