@@ -12,7 +12,7 @@ counts of counts, and answer each batch.  One batch of those that train a bigram
 history's free and seen mass; these sums meet in partitions by history, which answer the backoff weights.
 Batches and partitions have bounded size, as their number follows the corpus, and what is sent is in
 proportion to the input.  Words are told apart by 64 bits, bigrams by their partition and 40 bits more,
-so that one in about 500,000 is taken for another at any corpus size.
+so that one in about 500,000 is taken for another at any corpus size; histories likewise, for their weights alone.
 
 Defined cases: a null text counts as empty, and an empty text is one end token; a null id never trains
 and is scored; equal rows train as often as they occur and give a row each; without training texts
@@ -197,7 +197,7 @@ def _summed(table: pa.Table, keys: str, times: str, width: int) -> tuple[np.ndar
     return np.bincount(at, weights=own, minlength=len(which)).astype(np.int64), at, own, np.cumsum(size)
 
 
-_TOLD = "batch int, bucket int, words binary, word_c binary, word_c_past binary, gram_c binary, gram_c_past binary, weights binary, stats array<long>"
+_TOLD = "batch int, bucket int, word_c binary, word_c_past binary, gram_c binary, gram_c_past binary, weights binary, stats array<long>"
 _NAMES = [c.split()[0] for c in _TOLD.split(", ")]
 
 
@@ -241,43 +241,48 @@ class Answers:
         counts = told.filter(told.column("word_c").is_valid()).combine_chunks()
         self.word, value = _counted(counts, "word_c"), _counted(counts, "gram_c")
         self.gram, self.owned = value >> 1, (value & 1).astype(bool)
-        weights = told.filter(told.column("weights").is_valid()).combine_chunks()
-        self.history, self.weight = _column(weights, "words", _WORD)[0], _column(weights, "weights", 8)[0].view(np.float64)
+        self.weight = _column(told.filter(told.column("weights").is_valid()).combine_chunks(), "weights", 8)[0].view(np.float64)
 
+    def wanted(self, history: np.ndarray) -> np.ndarray:
+        """Which words' backoff weights the batch must know, from its bigrams' histories: those before an unseen bigram,
+        and those before counts above K alone, where perhaps nothing is free."""
+        low, high, back = (np.bincount(history[x], minlength=len(self.word)) > 0 for x in ((self.gram > 0) & (self.gram <= K), self.gram > K, self.gram == 0))
+        return (back | (high & ~low)) & (self.word > 0)
 
-_FREED = "bucket int, batch int, words binary, free binary, seen binary, unseen double"
+
+_FREED = "bucket int, batch int, words binary, free binary, seen binary, wanted binary, unseen double"
 
 
 def _freed(n: int, table: pa.Table, told: pa.Table) -> pa.Table:
     """A row for each partition that a batch has histories of: the free and seen mass of the bigrams that it counts, and
     zeros for other histories whose weight it wants to know."""
     if not table.num_rows:
-        return pa.table([pa.array([], t) for t in (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.float64())], names=[c.split()[0] for c in _FREED.split(", ")])
+        return pa.table([pa.array([], t) for t in (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.float64())], names=[c.split()[0] for c in _FREED.split(", ")])
     batch, answers = Batch(table, n), Answers(told)
     model, (history, word) = answers.model, batch.of_grams()
     h, c = history[answers.owned], answers.gram[answers.owned]
     free = np.bincount(h, weights=(c - model.kept(c)) / answers.word[h], minlength=len(batch.words))
     seen = np.bincount(h, weights=model.unigram(answers.word[word[answers.owned]]), minlength=len(batch.words))
-    sent = seen > 0
-    sent[history[(answers.gram == 0) | (answers.gram > K)]] = True
-    sent &= answers.word > 0
+    wanted = answers.wanted(history)
+    sent = wanted | (seen > 0)
     part = batch.words.part[sent]
     some = np.unique(part)
     ends = np.searchsorted(part, some, "right")
     who = np.full(len(some), table.column("batch")[0].as_py(), dtype=np.int32)
-    columns = [_blobs(x[sent], ends, 8) for x in (batch.words.which, free, seen)]
+    columns = [_blobs(x[sent], ends, width) for x, width in ((batch.words.which, _GRAM), (free, 8), (seen, 8), (wanted.astype(np.uint8), 1))]
     return pa.table([pa.array(some.astype(np.int32)), pa.array(who), *columns, pa.array(np.full(len(some), model.unseen))], names=[c.split()[0] for c in _FREED.split(", ")])
 
 
 def _weighted(table: pa.Table) -> pa.Table:
-    """A row for each batch: the backoff weights of the histories that it named."""
+    """A row for each batch: the backoff weights of the histories that it wanted, in its order."""
     table = _sorted(table, "batch")
-    raw, size = _column(table, "words", _WORD)
+    raw, size = _column(table, "words", _GRAM)
     which, at = np.unique(raw, return_inverse=True)
     free, seen = (np.bincount(at, weights=_column(table, c, 8)[0].view(np.float64), minlength=len(which)) for c in ("free", "seen"))
     weight = backoff(free, seen, table.column("unseen")[0].as_py())
-    ends = np.cumsum(size)
-    return _told({"batch": table.column("batch"), "bucket": table.column("bucket"), "words": _blobs(raw, ends, 8), "weights": _blobs(weight[at], ends, 8)})
+    wanted = _column(table, "wanted", 1)[0].astype(bool)
+    ends = np.concatenate(([0], np.cumsum(wanted)))[np.cumsum(size)]
+    return _told({"batch": table.column("batch"), "bucket": table.column("bucket"), "weights": _blobs(weight[at[wanted]], ends, 8)})
 
 
 _RESULT = ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
@@ -290,8 +295,7 @@ def _scored(n: int, table: pa.Table, told: pa.Table) -> pa.Table:
     batch, answers = Batch(table, n), Answers(told)
     model, (history, word) = answers.model, batch.of_grams()
     weight = np.ones(len(batch.words))
-    order = np.argsort(batch.words.which)
-    weight[order[np.searchsorted(batch.words.which, answers.history, sorter=order)]] = answers.weight
+    weight[answers.wanted(history)] = answers.weight
     p = model.bigram(answers.gram, answers.word[history], answers.word[word], weight[history])
     base = np.log10(answers.word + 1.0) - np.log10(model.tokens + model.types + 1)
     total = lambda w: np.bincount(batch.doc, weights=w, minlength=batch.rows)
