@@ -71,8 +71,9 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
     known = templates(df.sparkSession)
     # a word pair whose hash no template pair has is left out before rows are made of the others
     pairs = F.zip_with("words", F.slice("words", 2, F.greatest(F.size("words"), F.lit(1))), lambda a, b: F.xxhash64(a, b))
-    flags = F.lit("".join("1" if k in _slots() else "0" for k in range(SLOTS)))
-    maybe = F.transform(pairs, lambda g, i: F.when(F.substring(flags, (g.bitwiseAND(F.lit(SLOTS - 1)) + 1).cast("int"), F.lit(1)) == "1", F.struct((i + 1).alias("at"), g.alias("gram"))))
+    slots = _slots()
+    flags = F.array(*(F.lit(k in slots) for k in range(SLOTS)))
+    maybe = F.transform(pairs, lambda g, i: F.when(F.get(flags, g.bitwiseAND(F.lit(SLOTS - 1)).cast("int")), F.struct((i + 1).alias("at"), g.alias("gram"))))
     hits_of = F.filter(maybe, lambda x: x.isNotNull())
     start = F.array(F.struct(F.lit(0).alias("at"), F.lit(_START).alias("gram")))
     rolling = docs.select("doc_id", "rid", F.size("words").alias("n_words"), F.inline(F.concat(start, hits_of)))
