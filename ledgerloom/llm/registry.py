@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import byte_bpe, decontaminate, katz, lang_id, licenses, pii, rp_forest, simhash, substring_dedup, toxicity
+from ledgerloom.llm import byte_bpe, collocations, decontaminate, hard_negatives, katz, lang_id, licenses, pii, rp_forest, simhash, substring_dedup, toxicity, url_filter
 from ledgerloom.llm.kernels import documents
 
 
@@ -50,7 +51,25 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-_QUERIES = (op1_lang_id, op2_pii, op3_simhash, op4_katz, op5_byte_bpe, op6_substring_dedup, op7_rp_forest, op8_toxicity, op9_licenses, op10_decontaminate)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(rows.select("vec_id", "embedding", moved.alias("label")), F.col("vec_id") % 100 == 0)
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
+_QUERIES = (
+    op1_lang_id, op2_pii, op3_simhash, op4_katz, op5_byte_bpe, op6_substring_dedup, op7_rp_forest, op8_toxicity, op9_licenses, op10_decontaminate,
+    op11_hard_negatives, op12_url_filter, op13_collocations,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -58,4 +77,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_licenses": licenses.oracle()}
+    return {"op9_licenses": licenses.oracle(), "op11_hard_negatives": hard_negatives.ORACLE, "op12_url_filter": url_filter.oracle(), "op13_collocations": collocations.ORACLE}
