@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.plans import queries_fields, queries_more, queries_records, queries_reports, queries_scores
+from ledgerloom.plans import queries_fields, queries_more, queries_readers, queries_records, queries_reports, queries_scores
 
-_MODULES = (queries_records, queries_reports, queries_more, queries_fields, queries_scores)
+_MODULES = (queries_records, queries_reports, queries_more, queries_fields, queries_scores, queries_readers)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

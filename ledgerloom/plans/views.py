@@ -85,6 +85,20 @@ VIEWS = {
                WHEN 1 THEN 'Date, Transaction Details, Amount, Balance' WHEN 2 THEN 'Date | Particulars | Withdrawal | Deposit' WHEN 3 THEN 'Date' || chr(10) || 'Debits/Credits (-)' || chr(10) || 'Running Balance'
                WHEN 4 THEN 'CreditsDebits' || chr(10) || 'Posted' WHEN 5 THEN 'no columns can be made out in this picture at all' WHEN 6 THEN 'Value' || chr(10) || chr(10) || 'xy' || chr(10) || 'Details' ELSE 'Date, Desc' || chr(10) || 'Paid Out' END AS raw
         FROM orders""",
+    "statement_lines": """
+        SELECT case_id AS doc, pos * 8 + k AS i,
+               CASE k WHEN 0 THEN CASE case_id % 7 WHEN 0 THEN p || '. **Date:** ' || dmy WHEN 1 THEN '**' || dmy || '**' WHEN 2 THEN p || '. **' || d || ' ' || mon || ' ' || y || '**' WHEN 3 THEN p || '. [' || d || ' ' || mon || ']'
+                      WHEN 4 THEN CASE WHEN pos % 2 = 0 THEN '' ELSE p || '. ' || d || ' ' || mon || ' ' || substr(y, 3) END WHEN 5 THEN 'date ' || dmy || '**' ELSE p || '. **Thu ' || d || ' ' || mon || ' ' || y || '**' END
+               WHEN 1 THEN CASE case_id % 3 WHEN 0 THEN '  - Description: ' WHEN 1 THEN '**Transaction:** ' ELSE '* Details: ' END || description
+               WHEN 2 THEN CASE WHEN (case_id + pos) % 4 = 0 THEN '     - Perth WA' WHEN (case_id + pos) % 4 = 1 THEN '   - Card: xx' || p ELSE ' ' END
+               WHEN 3 THEN CASE WHEN case_id % 4 = 0 THEN '  * Amount: -' || amt WHEN flag = 'R' THEN '- Credit: $' || amt WHEN case_id % 2 = 1 THEN '**Withdrawal Amount:** $' || amt ELSE '- DEBIT : ' || amt END
+               WHEN 4 THEN CASE WHEN pos % 3 = 0 THEN '- Balance: ' || amt WHEN pos % 3 = 1 THEN 'nothing to read' ELSE '* Running balance: ' || amt END ELSE '- ' || lower(substr(description, 1, 4)) END AS line
+        FROM (SELECT *, CAST(pos AS STRING) AS p, CAST(day(txn_date) AS STRING) AS d, CAST(year(txn_date) AS STRING) AS y, lpad(CAST(day(txn_date) AS STRING), 2, '0') || '/' || lpad(CAST(month(txn_date) AS STRING), 2, '0') || '/' || CAST(year(txn_date) AS STRING) AS dmy,
+                     substr('JanFebMarAprMayJunJulAugSepOctNovDec', CAST(month(txn_date) * 3 - 2 AS INT), 3) AS mon, CAST(CAST(amount AS DECIMAL(18,2)) AS STRING) AS amt FROM bank_rows)
+        CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4 UNION ALL SELECT 5) AS ks WHERE NOT (k = 5 AND case_id % 5 <> 0)
+        UNION ALL SELECT -doc AS doc, i, line FROM (VALUES (1, 1, '- Description: before any date'), (1, 2, '- Amount: 3'), (1, 3, '1. **03/05/2025**'), (1, 4, '- Details: after'), (2, 1, '- Description: one'), (2, 2, '- Description: two'), (2, 3, '**Date:** 1/2/24'), (2, 4, '- Debit: 5'),
+            (3, 1, '1. **Date:** **'), (3, 2, '1. **20 September**'), (3, 3, '- more'), (3, 4, '- still more'), (3, 5, '- Credit: 1'), (3, 6, '- not more'), (4, 1, 'no rows at all'), (5, 1, '1. 04 Sep 2025 and text'), (5, 2, '- Amount: 9'), (5, 3, '- Debit: 8'), (5, 4, '- Amount: 7'), (5, 5, '- :x'),
+            (6, 1, '2. 1-2-24'), (6, 2, '- SHOP SYDNEY'), (6, 3, '- Card xx1'), (6, 4, '- Value Date: 2'), (6, 5, '- not this'), (6, 6, '- Balance: 4'), (7, 1, '**Date:** 1/1/24'), (7, 2, '**Date:** 2/1/24'), (7, 3, '* Withdrawwal: 3'), (7, 4, '**  :** 3')) AS t(doc, i, line)""",
     "gt_items": """
         SELECT case_id AS doc, pos, CAST(CAST(amount AS DECIMAL(18,2)) AS STRING) AS item FROM bank_rows""",
     "pred_items": """
