@@ -61,13 +61,18 @@ def near_dates(a: Column, b: Column, days: int) -> Column:
     return F.coalesce(F.abs(F.datediff(a, b)) <= days, F.lit(False))
 
 
+def _named_month(low: Column) -> Column:
+    """The number of the first month of the year whose short name a lower-case text holds; null without one."""
+    short = F.split(F.lit(",".join(m[:3] for m in MONTHS)), ",")
+    place = F.array_position(short, F.get(F.filter(short, lambda m: F.contains(low, m)), F.lit(0)))
+    return place.cast("int")
+
+
 def date_parts(c: Column, pivot: int = 50) -> Column:
     """(day, month, year) by position, as the scorer reads them: digit runs in turn, a month name if there is one."""
     text = F.regexp_replace(F.lower(c), r"^(mon|tue|wed|thu|fri|sat|sun)[a-z]*[\s,]+", "")
     runs = F.transform(F.regexp_extract_all(text, F.lit(r"\d+"), F.lit(0)), lambda x: x.try_cast("int"))
-    named = F.when(text.contains(MONTHS[0][:3]), 1)
-    for i, m in enumerate(MONTHS[1:], 2):
-        named = named.when(text.contains(m[:3]), i)
+    named = _named_month(text)
     year = F.when(named.isNotNull(), F.get(runs, F.lit(1))).otherwise(F.get(runs, F.lit(2)))
     full = F.when(year < 100, F.when(year < pivot, 2000 + year).otherwise(1900 + year)).otherwise(year)
     return F.struct(F.get(runs, F.lit(0)).alias("d"), F.coalesce(named, F.get(runs, F.lit(1))).alias("m"), full.alias("y"))
@@ -84,6 +89,34 @@ def same_parts(a: Column, b: Column) -> Column:
     return ~clash & (total >= 2)
 
 
+def _known_parts(c: Column) -> Column:
+    """(d, m, y) as two- and four-digit texts: three numbers, or two or one with a month's name; null for anything else."""
+
+    def read(v: Column) -> Column:
+        low, runs = v["low"], v["runs"]
+        at, n = lambda k: F.get(runs, F.lit(k)), F.size(runs)
+        named = F.lpad(_named_month(low).cast("string"), 2, "0")
+        pad = lambda x: F.when(F.length(x) < 2, F.lpad(x, 2, "0")).otherwise(x)
+        year = F.when(n == 3, at(2)).when(n == 2, at(1))
+        full = F.when(F.length(year) == 2, F.when(year <= "50", F.concat(F.lit("20"), year)).otherwise(F.concat(F.lit("19"), year))).otherwise(year)
+        month = F.when(n == 3, at(1)).otherwise(named)
+        return F.when((n == 3) | (n == 2) | ((n == 1) & named.isNotNull()), F.struct(pad(at(0)).alias("d"), pad(month).alias("m"), full.alias("y")))
+
+    return _bound(F.struct(F.lower(c).alias("low"), F.regexp_extract_all(c, F.lit(r"\d+"), F.lit(0)).alias("runs")), read)
+
+
+def alike(a: Column, b: Column) -> Column:
+    """Equal texts, or dates whose known parts agree, two of them at least."""
+
+    def agree(v: Column) -> Column:
+        same = [v["a"][k] == v["b"][k] for k in ("d", "m", "y")]
+        hits = sum(F.coalesce(x, F.lit(False)).cast("int") for x in same)
+        return F.coalesce(F.forall(F.array(*same), lambda x: F.coalesce(x, F.lit(True))) & (hits >= 2), F.lit(False))
+
+    parts = _bound(F.struct(_known_parts(a).alias("a"), _known_parts(b).alias("b")), agree)
+    return (F.trim(a) == F.trim(b)) | parts
+
+
 # Shapes of dates as (pattern, groups of day, month and year).
 _SHAPES = {
     "d/m/Y": (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", 1, 2, 3), "m/d/Y": (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", 2, 1, 3), "d-m-Y": (r"^(\d{1,2})-(\d{1,2})-(\d{4})$", 1, 2, 3),
@@ -125,9 +158,7 @@ def date_tuple(c: Column) -> Column:
     def read(v: Column) -> Column:
         low, runs = v["low"], v["runs"]
         at = lambda k: F.get(runs, F.lit(k))
-        named = F.when(low.contains(MONTHS[0][:3]), 1)
-        for i, m in enumerate(MONTHS[1:], 2):
-            named = named.when(low.contains(m[:3]), i)
+        named = _named_month(low)
         many = F.size(runs) >= 3
         year = F.when(many, at(2)).when(named.isNotNull(), at(1)).otherwise(F.lit(0))
         full = _bound(year, lambda y: F.when(y < 100, F.when(y <= 50, 2000 + y).otherwise(1900 + y)).otherwise(y))

@@ -85,6 +85,43 @@ VIEWS = {
                WHEN 1 THEN 'Date, Transaction Details, Amount, Balance' WHEN 2 THEN 'Date | Particulars | Withdrawal | Deposit' WHEN 3 THEN 'Date' || chr(10) || 'Debits/Credits (-)' || chr(10) || 'Running Balance'
                WHEN 4 THEN 'CreditsDebits' || chr(10) || 'Posted' WHEN 5 THEN 'no columns can be made out in this picture at all' WHEN 6 THEN 'Value' || chr(10) || chr(10) || 'xy' || chr(10) || 'Details' ELSE 'Date, Desc' || chr(10) || 'Paid Out' END AS raw
         FROM orders""",
+    "register_lists": """
+        SELECT case_id AS doc, 'bank_statement' AS doc_type, field, joined_(want, pos) AS want, joined_(got, gpos) AS got
+        FROM (SELECT case_id, pos, field, CASE WHEN case_id % 3 = 1 THEN -pos ELSE pos END AS gpos,
+                     CASE field WHEN 'TRANSACTION_DATES' THEN dmy WHEN 'LINE_ITEM_DESCRIPTIONS' THEN description WHEN 'TRANSACTION_AMOUNTS_PAID' THEN CASE WHEN credit THEN 'NOT_FOUND' ELSE amt END ELSE amt END AS want,
+                     CASE WHEN case_id % 3 <> 1 AND credit AND case_id % 11 <> 0 THEN NULL WHEN case_id % 10 = 5 AND pos = 2 AND field = 'LINE_ITEM_DESCRIPTIONS' THEN NULL WHEN case_id % 13 = 3 THEN 'NOT_FOUND'
+                          WHEN field = 'TRANSACTION_DATES' THEN CASE WHEN (case_id + pos) % 9 = 0 THEN 'soon' WHEN case_id % 2 = 0 THEN d || ' ' || mon || ' ' || y ELSE lpad(d, 2, '0') || '/' || lpad(m, 2, '0') || '/' || substr(y, 3) END
+                          WHEN field = 'LINE_ITEM_DESCRIPTIONS' THEN CASE WHEN (case_id + pos) % 5 = 0 THEN lower(description) || ' x' WHEN (case_id + pos) % 7 = 0 THEN 'lamp' ELSE description END
+                          WHEN field = 'TRANSACTION_AMOUNTS_PAID' THEN CASE WHEN credit THEN 'NOT_FOUND' WHEN (case_id * 3 + pos) % 8 = 0 THEN '$' || amt || '9' ELSE '$' || amt END ELSE amt END AS got
+              FROM (SELECT *, flag = 'R' OR case_id % 11 = 0 AS credit, CAST(day(txn_date) AS STRING) AS d, CAST(month(txn_date) AS STRING) AS m, CAST(year(txn_date) AS STRING) AS y,
+                           lpad(CAST(day(txn_date) AS STRING), 2, '0') || '/' || lpad(CAST(month(txn_date) AS STRING), 2, '0') || '/' || CAST(year(txn_date) AS STRING) AS dmy,
+                           substr('JanFebMarAprMayJunJulAugSepOctNovDec', CAST(month(txn_date) * 3 - 2 AS INT), 3) AS mon, CAST(CAST(amount AS DECIMAL(18,2)) AS STRING) AS amt FROM bank_rows)
+              CROSS JOIN (SELECT 'TRANSACTION_DATES' AS field UNION ALL SELECT 'LINE_ITEM_DESCRIPTIONS' UNION ALL SELECT 'TRANSACTION_AMOUNTS_PAID' UNION ALL SELECT 'ACCOUNT_BALANCE') AS fs)
+        GROUP BY case_id, field""",
+    "statement_lists": """
+        SELECT case_id AS doc, joined_(d, pos) AS dates, joined_(b, pos) AS balances, joined_(t, pos) AS descriptions, joined_(p, pos) AS paid, joined_(r, pos) AS received
+        FROM (SELECT case_id, pos,
+                     CASE WHEN (case_id + pos) % 13 = 0 THEN 'soon' WHEN case_id % 3 = 0 THEN dd || '/' || mm || '/' || y WHEN case_id % 3 = 1 THEN 'Thu ' || dd || ' ' || mon || ' ' || y ELSE y || '-' || mm || '-' || dd END AS d,
+                     CASE WHEN balance IS NULL THEN CASE WHEN case_id % 2 = 0 THEN 'n/a' ELSE '' END ELSE '$' || CAST(CAST(balance AS DECIMAL(18,2)) AS STRING) || ' CR' END AS b,
+                     description || CASE (case_id + pos) % 5 WHEN 0 THEN ' SALARY' WHEN 1 THEN ' EFTPOS purchase' WHEN 2 THEN ' Refund fee' ELSE '' END AS t,
+                     CASE WHEN case_id % 17 = 0 THEN 'illegible' WHEN debit = 0 THEN 'NOT_FOUND' WHEN case_id % 7 = 0 THEN '-$' || CAST(CAST(debit AS DECIMAL(18,2)) AS STRING) ELSE '$' || CAST(CAST(debit AS DECIMAL(18,2)) AS STRING) END AS p,
+                     CASE WHEN credit = 0 OR (case_id + pos) % 4 = 0 THEN 'NOT_FOUND' ELSE CAST(CAST(credit AS DECIMAL(18,2)) AS STRING) END AS r
+              FROM (SELECT *, lpad(CAST(day(txn_date) AS STRING), 2, '0') AS dd, lpad(CAST(month(txn_date) AS STRING), 2, '0') AS mm, CAST(year(txn_date) AS STRING) AS y,
+                           substr('JanFebMarAprMayJunJulAugSepOctNovDec', CAST(month(txn_date) * 3 - 2 AS INT), 3) AS mon FROM register)) GROUP BY case_id
+        UNION ALL SELECT -doc AS doc, dates, balances, descriptions, paid, received FROM (VALUES (1, '01/02/2024 | 01/02/2024 | 31/01/2024', '$5.00 | $3.00 | $9.00', 'b | c | a', '1 | 2 | 3', 'NOT_FOUND | NOT_FOUND | NOT_FOUND'), (2, '', '$1', 'x', '1', '2'), (3, '01/02/2024 | 02/02/2024', 'NOT_FOUND', 'x', '1', '2'),
+            (4, 'Thu 01 Feb 2024 Fri 02 Feb 2024', '$10.00 CR $7.50', 'NOT_FOUND', '$2.50 and $1', 'NOT_FOUND'), (5, '01/02/2024 03/02/2024 02/02/2024', '100 90 95.5', 'one | two', 'NOT_FOUND', NULL), (6, '1-2-24, 2-2-24', '$1 | $2', 'x | y', '1-2 | 3', 'a | b'), (7, '01/02/2024 |', '$4.00 | $2.00 | $1.00', '', '', ''),
+            (8, '01/02/2024 | 02/02/2024', '$4.00 | $4.00', 'ATM | pension', 'NOT_FOUND | 3', '2 | NOT_FOUND'), (9, NULL, NULL, NULL, NULL, NULL), (10, '2024-02-01 | 2024-02-02 | 2024-02-03', '$5.00 | oops | $8.00', 'x | | z', '$1.00 | | NOT_FOUND', '| 3 |')) AS t(doc, dates, balances, descriptions, paid, received)""",
+    "bought_lists": """
+        SELECT -case_id - 1 AS doc, 'invoice' AS doc_type, field, joined_(want, pos) AS want, joined_(got, pos) AS got
+        FROM (SELECT case_id, pos, field, CASE field WHEN 'LINE_ITEM_DESCRIPTIONS' THEN lower(description) WHEN 'LINE_ITEM_QUANTITIES' THEN CAST(qty AS STRING) ELSE '$' || CAST(CAST(amount AS DECIMAL(18,2)) AS STRING) END AS want,
+                     CASE WHEN (case_id + pos) % 9 = 0 THEN NULL WHEN field = 'LINE_ITEM_DESCRIPTIONS' THEN CASE WHEN pos % 4 = 0 THEN substr(lower(description), 3) ELSE lower(description) END
+                          WHEN field = 'LINE_ITEM_QUANTITIES' THEN CASE WHEN (case_id + pos) % 6 = 0 THEN CAST(qty + 1 AS STRING) ELSE CAST(qty AS STRING) END ELSE CAST(CAST(amount AS DECIMAL(18,2)) AS STRING) END AS got
+              FROM bank_rows CROSS JOIN (SELECT 'LINE_ITEM_DESCRIPTIONS' AS field UNION ALL SELECT 'LINE_ITEM_QUANTITIES' UNION ALL SELECT 'LINE_ITEM_TOTAL_PRICES') AS fs)
+        GROUP BY case_id, field""",
+    "doc_values": """
+        SELECT doc, doc_type, field, want, CASE WHEN got = '' THEN NULL ELSE got END AS got FROM register_lists
+        UNION ALL SELECT doc, doc_type, field, want, CASE WHEN got = '' THEN NULL ELSE got END AS got FROM bought_lists
+        UNION ALL SELECT -g.doc - 1, 'invoice', g.field, g.value, p.value FROM gt_fields g JOIN pred_fields p ON g.doc = p.doc AND g.field = p.field""",
     "statement_lines": """
         SELECT case_id AS doc, pos * 8 + k AS i,
                CASE k WHEN 0 THEN CASE case_id % 7 WHEN 0 THEN p || '. **Date:** ' || dmy WHEN 1 THEN '**' || dmy || '**' WHEN 2 THEN p || '. **' || d || ' ' || mon || ' ' || y || '**' WHEN 3 THEN p || '. [' || d || ' ' || mon || ']'
@@ -137,6 +174,8 @@ def with_views(sql: str, dialect: str) -> str:
     add(sql)
     items = ", ".join(f"{name} AS ({VIEWS[name]})" for name in need)
     items = items.replace("strpos_(", "strpos(" if dialect == "duckdb" else "instr(")
+    joined = r"string_agg(\1, ' | ' ORDER BY \2)" if dialect == "duckdb" else r"array_join(transform(array_sort(collect_list(struct(\2, \1))), z -> z.\1), ' | ')"
+    items = re.sub(r"joined_\((\w+), (\w+)\)", joined, items)
     if not items:
         return sql
     if sql.lstrip().upper().startswith("WITH RECURSIVE "):
