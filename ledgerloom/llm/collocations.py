@@ -37,6 +37,7 @@ from ledgerloom.llm.kernels import Block, blocks, lowered, mix, shared_dir
 
 HOT = 512
 SAMPLE = 4_000
+SAMPLE_TASKS = 4
 RUN = 4 << 20
 _PIECE = b".,;:!?\n\x0b\x0c\r"
 _BLANK = b" \t"
@@ -184,6 +185,7 @@ def _hot(docs: DataFrame, max_n: int) -> list[set[bytes]]:
     """By length, the prefixes that hold over 1/HOT of a sample of texts: at most HOT of each length."""
     count = docs.count()
     some = docs if count <= SAMPLE else docs.sample(SAMPLE / count, seed=11)
+    some = some.repartition(SAMPLE_TASKS)  # shares are taken of large blocks, however the table is cut
     sums = some.mapInArrow(partial(_sampled, max_n=max_n), "prefix binary, c long").groupBy("prefix").agg(F.sum("c").alias("c")).checkpoint()
     total = sums.filter(F.length("prefix") == 0).agg(F.sum("c")).first()[0] or 0
     rows = sums.filter((F.length("prefix") > 0) & (F.col("c") * HOT >= total)).collect() if total else []
