@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import date_score
-from ledgerloom.functions.text import containment
+from ledgerloom.functions.text import containment, description_matches
 
 
 def candidates(receipts: DataFrame, rows: DataFrame, tolerance: float = 0.01, window: int = 5) -> DataFrame:
@@ -122,3 +122,76 @@ def link_metrics(outcomes: DataFrame) -> DataFrame:
     share = lambda a, b: F.round(F.when(b > 0, a / b).otherwise(0.0), 6)
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     return found.select("n", "tp", "tn", "fp", "fn", share(tp + F.col("tn"), F.col("n")).alias("accuracy"), share(tp, tp + fp).alias("precision"), share(tp, tp + fn).alias("recall"), share(tp, F.col("located")).alias("row_accuracy"))
+
+
+def pair_by_amount(links: Column, truth: Column, tolerance: float) -> Column:
+    """Pairs (l, g) of places in two arrays of structs with a ``total``; null on the side that has none left.
+
+    In the order of the truth each entry takes the first free link within the tolerance; what is left on both sides
+    pairs up by place, and the rest of the longer side stays alone.
+    """
+    places = lambda a: F.when(F.size(a) > 0, F.sequence(F.lit(0), F.size(a) - 1)).otherwise(F.array().cast("array<int>"))
+    none = F.array().cast("array<int>")
+
+    def take(taken: Column, g: Column) -> Column:
+        near = lambda i: ~F.array_contains(taken, i) & (F.abs(F.get(links, i)["total"] - F.get(truth, g)["total"]) <= tolerance)
+        first = F.get(F.filter(places(links), lambda i: F.coalesce(near(i), F.lit(False))), F.lit(0))
+        return F.concat(taken, F.array(F.coalesce(first, F.lit(-1))))
+
+    def pairs(taken: Column) -> Column:
+        paired = F.filter(F.transform(taken, lambda l, g: F.struct(l.alias("l"), g.alias("g"))), lambda p: p["l"] >= 0)
+        rest = F.arrays_zip(F.filter(places(links), lambda i: ~F.array_contains(taken, i)).alias("l"), F.filter(places(truth), lambda g: F.get(taken, g) < 0).alias("g"))
+        return F.concat(paired, F.transform(rest, lambda p: F.struct(p["l"].alias("l"), p["g"].alias("g"))))
+
+    return F.get(F.transform(F.array(F.aggregate(places(truth), none, take)), pairs), F.lit(0))
+
+
+RECORD = ("total", "amount", "date", "description")
+
+
+def evaluate_receipts(links: DataFrame, truth: DataFrame, tolerance: float = 0.01) -> DataFrame:
+    """One record for each receipt of an image: what was expected and found, whether that and the row's parts are right, or an ``error``.
+
+    Links (image, k, total, matched, confidence, amount, date, description) and truth (image, k, total, expected, amount, date,
+    description), in the order of ``k``.  An image's receipts are one array a side; images are apart.
+    """
+    def listed(rows: DataFrame, more: tuple[str, ...], name: str) -> DataFrame:
+        return rows.groupBy("image").agg(F.array_sort(F.collect_list(F.struct("k", *RECORD, *more))).alias(name))
+
+    both = listed(links, ("matched", "confidence"), "links").join(listed(truth, ("expected",), "truth"), "image", "full_outer")
+    alone = lambda a, l, g: F.transform(a, lambda x, i: F.struct(l(i).cast("int").alias("l"), g(i).cast("int").alias("g")))
+    null = lambda i: F.lit(None)
+    pairs = F.when(F.col("truth").isNull(), alone("links", lambda i: i, null)).when(F.col("links").isNull(), alone("truth", null, lambda i: i)).otherwise(pair_by_amount(F.col("links"), F.col("truth"), tolerance))
+    rows = both.withColumn("pairs", pairs).select("image", "links", "truth", F.posexplode("pairs").alias("n", "p"))
+    rows = rows.select("image", "n", F.col("truth").isNull().alias("no_truth"), F.col("links").isNull().alias("no_links"), F.get("links", F.col("p.l")).alias("l"), F.get("truth", F.col("p.g")).alias("g"))
+    link, want = F.col("l"), F.col("g")
+    found, expected = F.coalesce(link["matched"], F.lit(False)), want["expected"] == "FOUND"
+    error = (
+        F.when(F.col("no_truth"), "no_ground_truth").when(F.col("no_links"), "missing_link_output")
+        .when(link.isNull(), "unmatched_ground_truth").when(want.isNull(), "unmatched_link_output")
+    )
+    trimmed = lambda s: F.trim(F.coalesce(s["description"], F.lit("")))
+    same = {
+        "amount": F.abs(link["amount"] - want["amount"]) <= tolerance, "date": (F.trim(link["date"]) == F.trim(want["date"])) & (F.trim(want["date"]) != ""),
+        "description": (trimmed(link) != "") & (trimmed(want) != "") & description_matches(trimmed(want), trimmed(link)),
+    }
+    right = lambda test: F.when(want.isNull(), None).otherwise(F.coalesce(expected & found & link.isNotNull() & test, F.lit(False)))
+    return rows.select(
+        "image", F.when(F.col("no_truth"), 0).otherwise(F.col("n")).cast("long").alias("receipt"), F.coalesce(want["expected"], F.lit("UNKNOWN")).alias("expected"), F.when(link.isNotNull(), found).alias("actual"),
+        F.when(want.isNull(), None).when(link.isNull(), False).otherwise(expected == found).alias("correct"), F.coalesce(link["confidence"], F.lit("NONE")).alias("confidence"),
+        *[right(test).alias(f"{name}_correct") for name, test in same.items()], error.alias("error"),
+    )
+
+
+def receipt_metrics(records: DataFrame) -> DataFrame:
+    """Counts, accuracy, precision and recall over the receipts that could be judged, and the shares of right parts of found rows."""
+    scored = records.filter(F.col("correct").isNotNull())
+    want, got = F.col("expected") == "FOUND", F.coalesce(F.col("actual"), F.lit(False))
+    parts = ("amount", "date", "description")
+    sums = scored.agg(
+        F.count("*").alias("receipts"), F.count_if("correct").alias("correct"), F.count_if(want & got).alias("tp"), F.count_if((F.col("expected") == "NOT_FOUND") & got).alias("fp"), F.count_if(want & ~got).alias("fn"),
+        *[F.count_if(want & got & F.col(f"{p}_correct")).alias(p) for p in parts],
+    )
+    share = lambda a, n: F.round(F.when(F.col(n) > 0 if isinstance(n, str) else n > 0, F.col(a) / (F.col(n) if isinstance(n, str) else n)).otherwise(0.0), 6)
+    tp = F.col("tp")
+    return sums.select("receipts", "correct", "tp", "fp", "fn", share("correct", "receipts").alias("accuracy"), share("tp", tp + F.col("fp")).alias("precision"), share("tp", tp + F.col("fn")).alias("recall"), *[share(p, "tp").alias(f"{p}_accuracy") for p in parts])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import documents
+from ledgerloom.operators import documents, linking
 from ledgerloom.plans.queries_records import _F1
 from ledgerloom.plans.views import duck, view
 
@@ -135,3 +135,44 @@ def _alignment_sql(group: tuple[str, ...]) -> str:
     FROM (SELECT doc, avg(f1) FILTER (paired) AS f FROM ge GROUP BY doc) LEFT JOIN al USING (doc)""")
 def evl4_correlation(spark, sf_dir):
     return documents.correlation(_pairs(spark, sf_dir))
+
+
+# --- links and truth of images with several receipts ------------------------------------------
+_TOL = 2.0
+_E, _A = "upper(trim(coalesce(g.description, '')))", "upper(trim(coalesce(l.description, '')))"
+_SPLIT = lambda x: f"list_distinct(list_filter(regexp_split_to_array({x}, '\\s+'), lambda z: z <> ''))"
+_RECORDS = f"""
+    ll AS (SELECT *, row_number() OVER (PARTITION BY image ORDER BY k) AS n FROM link_records), gg AS (SELECT *, row_number() OVER (PARTITION BY image ORDER BY k) AS n FROM link_truth),
+    la AS (SELECT image, list(total ORDER BY n) AS t FROM ll GROUP BY image), ga AS (SELECT image, list(total ORDER BY n) AS t FROM gg GROUP BY image),
+    st(image, i, used, hit) AS (SELECT image, 0, []::BIGINT[], NULL::BIGINT FROM la JOIN ga USING (image) UNION ALL
+      SELECT image, i + 1, CASE WHEN h IS NULL THEN used ELSE list_append(used, h) END, h FROM (
+        SELECT st.image, i, used, list_filter(range(1, len(la.t) + 1), lambda x: NOT list_contains(used, x) AND coalesce(abs(la.t[x] - ga.t[i + 1]) <= {_TOL}, false))[1] AS h FROM st JOIN la USING (image) JOIN ga USING (image) WHERE i < len(ga.t))),
+    one AS (SELECT image, hit AS l, i AS g FROM st WHERE hit IS NOT NULL),
+    rl AS (SELECT image, n, row_number() OVER (PARTITION BY image ORDER BY n) AS r FROM ll WHERE image IN (SELECT image FROM ga) AND (image, n) NOT IN (SELECT (image, l) FROM one)),
+    rg AS (SELECT image, n, row_number() OVER (PARTITION BY image ORDER BY n) AS r FROM gg WHERE image IN (SELECT image FROM la) AND (image, n) NOT IN (SELECT (image, g) FROM one)),
+    pr AS (SELECT image, l, g, 0 AS phase, g AS o FROM one UNION ALL SELECT coalesce(rl.image, rg.image), rl.n, rg.n, 1, coalesce(rl.r, rg.r) FROM rl FULL JOIN rg ON rl.image = rg.image AND rl.r = rg.r
+      UNION ALL SELECT image, n, NULL, 2, n FROM ll WHERE image NOT IN (SELECT image FROM ga) UNION ALL SELECT image, NULL, n, 3, n FROM gg WHERE image NOT IN (SELECT image FROM la)),
+    nr AS (SELECT *, CASE WHEN phase = 2 THEN 0 ELSE row_number() OVER (PARTITION BY image ORDER BY phase, o) - 1 END AS receipt FROM pr),
+    rec AS (SELECT p.image, receipt, coalesce(g.expected, 'UNKNOWN') AS expected, CASE WHEN l.image IS NOT NULL THEN l.matched END AS actual,
+      CASE WHEN g.image IS NULL THEN NULL WHEN l.image IS NULL THEN false ELSE (g.expected = 'FOUND') = l.matched END AS correct, coalesce(l.confidence, 'NONE') AS confidence,
+      CASE WHEN g.image IS NOT NULL THEN coalesce(g.expected = 'FOUND' AND l.matched AND abs(l.amount - g.amount) <= {_TOL}, false) END AS amount_correct,
+      CASE WHEN g.image IS NOT NULL THEN coalesce(g.expected = 'FOUND' AND l.matched AND l.date = g.date AND g.date <> '', false) END AS date_correct,
+      CASE WHEN g.image IS NOT NULL THEN coalesce(g.expected = 'FOUND' AND l.matched AND {_A} <> '' AND {_E} <> '' AND (contains({_A}, {_E}) OR contains({_E}, {_A}) OR len(list_intersect({_SPLIT(_E)}, {_SPLIT(_A)})) * 2 >= len({_SPLIT(_E)})), false) END AS description_correct,
+      CASE WHEN phase = 2 THEN 'no_ground_truth' WHEN phase = 3 THEN 'missing_link_output' WHEN l.image IS NULL THEN 'unmatched_ground_truth' WHEN g.image IS NULL THEN 'unmatched_link_output' END AS error
+      FROM nr p LEFT JOIN ll l ON l.image = p.image AND l.n = p.l LEFT JOIN gg g ON g.image = p.image AND g.n = p.g)"""
+
+
+def _records(spark, sf_dir):
+    return linking.evaluate_receipts(view(spark, sf_dir, "link_records"), view(spark, sf_dir, "link_truth"), _TOL)
+
+
+@query(f"WITH RECURSIVE {_RECORDS} SELECT * FROM rec")
+def jn6_evl10_receipt_records(spark, sf_dir):
+    return _records(spark, sf_dir)
+
+
+@query(f"""WITH RECURSIVE {_RECORDS}, m AS (SELECT count(*) AS receipts, count(*) FILTER (correct) AS correct, count(*) FILTER (expected = 'FOUND' AND actual) AS tp, count(*) FILTER (expected = 'NOT_FOUND' AND actual) AS fp, count(*) FILTER (expected = 'FOUND' AND NOT coalesce(actual, false)) AS fn,
+    count(*) FILTER (expected = 'FOUND' AND actual AND amount_correct) AS a, count(*) FILTER (expected = 'FOUND' AND actual AND date_correct) AS d, count(*) FILTER (expected = 'FOUND' AND actual AND description_correct) AS e FROM rec WHERE correct IS NOT NULL)
+    SELECT receipts, correct, tp, fp, fn, round(correct / receipts::DOUBLE, 6) AS accuracy, round(tp / (tp + fp)::DOUBLE, 6) AS precision, round(tp / (tp + fn)::DOUBLE, 6) AS recall, round(a / tp::DOUBLE, 6) AS amount_accuracy, round(d / tp::DOUBLE, 6) AS date_accuracy, round(e / tp::DOUBLE, 6) AS description_accuracy FROM m""")
+def evl10_receipt_metrics(spark, sf_dir):
+    return linking.receipt_metrics(_records(spark, sf_dir))

@@ -111,6 +111,14 @@ VIEWS = {
         UNION ALL SELECT -doc AS doc, dates, balances, descriptions, paid, received FROM (VALUES (1, '01/02/2024 | 01/02/2024 | 31/01/2024', '$5.00 | $3.00 | $9.00', 'b | c | a', '1 | 2 | 3', 'NOT_FOUND | NOT_FOUND | NOT_FOUND'), (2, '', '$1', 'x', '1', '2'), (3, '01/02/2024 | 02/02/2024', 'NOT_FOUND', 'x', '1', '2'),
             (4, 'Thu 01 Feb 2024 Fri 02 Feb 2024', '$10.00 CR $7.50', 'NOT_FOUND', '$2.50 and $1', 'NOT_FOUND'), (5, '01/02/2024 03/02/2024 02/02/2024', '100 90 95.5', 'one | two', 'NOT_FOUND', NULL), (6, '1-2-24, 2-2-24', '$1 | $2', 'x | y', '1-2 | 3', 'a | b'), (7, '01/02/2024 |', '$4.00 | $2.00 | $1.00', '', '', ''),
             (8, '01/02/2024 | 02/02/2024', '$4.00 | $4.00', 'ATM | pension', 'NOT_FOUND | 3', '2 | NOT_FOUND'), (9, NULL, NULL, NULL, NULL, NULL), (10, '2024-02-01 | 2024-02-02 | 2024-02-03', '$5.00 | oops | $8.00', 'x | | z', '$1.00 | | NOT_FOUND', '| 3 |')) AS t(doc, dates, balances, descriptions, paid, received)""",
+    "link_records": """
+        SELECT case_id AS image, pos AS k, CASE WHEN (case_id + pos) % 6 = 0 THEN NULL ELSE floor(amount / 5000) * 5000.0 + (case_id + pos * 3) % 7 END AS total, (case_id + pos) % 4 <> 0 AS matched, CASE (case_id + pos) % 3 WHEN 0 THEN 'HIGH' WHEN 1 THEN 'LOW' ELSE 'NONE' END AS confidence,
+               CASE WHEN (case_id + pos) % 9 = 0 THEN NULL ELSE amount END AS amount, CASE WHEN pos % 5 = 0 THEN '' ELSE CAST(txn_date AS STRING) END AS date, CASE WHEN pos % 4 = 0 THEN NULL ELSE lower(substr(description, 1, 9)) || ' x' END AS description
+        FROM bank_rows WHERE case_id % 8 <> 0 AND pos < 6""",
+    "link_truth": """
+        SELECT case_id AS image, pos AS k, CASE WHEN (case_id * 3 + pos) % 5 = 0 THEN NULL ELSE floor(amount / 5000) * 5000.0 + (case_id + pos) % 5 END AS total, CASE WHEN (case_id * 5 + pos) % 4 = 0 THEN 'NOT_FOUND' ELSE 'FOUND' END AS expected,
+               CASE WHEN (case_id + pos) % 7 = 0 THEN amount + 9 ELSE amount END AS amount, CASE WHEN (case_id + pos) % 10 = 0 THEN NULL ELSE CAST(txn_date AS STRING) END AS date, description
+        FROM bank_rows WHERE case_id % 10 <> 1""",
     "bought_lists": """
         SELECT -case_id - 1 AS doc, 'invoice' AS doc_type, field, joined_(want, pos) AS want, joined_(got, pos) AS got
         FROM (SELECT case_id, pos, field, CASE field WHEN 'LINE_ITEM_DESCRIPTIONS' THEN lower(description) WHEN 'LINE_ITEM_QUANTITIES' THEN CAST(qty AS STRING) ELSE '$' || CAST(CAST(amount AS DECIMAL(18,2)) AS STRING) END AS want,
