@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import statements
+from ledgerloom.operators import blocks, statements
 from ledgerloom.plans.queries_records import duck
 from ledgerloom.plans.views import view
 
@@ -86,3 +86,59 @@ def par8_balance_rows(spark, sf_dir):
 @query(statement_sql("amount", _AMOUNT))
 def par9_amount_rows(spark, sf_dir):
     return _statement(spark, sf_dir, "amount", _AMOUNT)
+
+
+# --- blocks ----------------------------------------------------------------------------------
+def block_sql(keys: tuple[str, ...], bare: bool = False) -> str:
+    """The last line of each key in each block, by a running count of headers."""
+    names = ", ".join(f"'{k}'" for k in keys)
+    return f"""b AS (SELECT doc, i, line, regexp_matches(line, '(?i)^(?:---\\s*)?RECEIPT\\s+\\d+') AS h, upper(trim(split_part(line, ':', 1))) AS key, CASE WHEN contains(line, ':') THEN trim(substr(line, instr(line, ':') + 1)) ELSE '' END AS value, contains(line, ':') AS colon
+      FROM (SELECT doc, i, trim(line) AS line FROM block_lines WHERE trim(line) <> '')),
+    c AS (SELECT *, count(*) FILTER (h) OVER (PARTITION BY doc ORDER BY i) AS block FROM b),
+    d AS (SELECT doc, block, key, arg_max(value, i) AS value FROM c WHERE block > 0 AND NOT h AND key IN ({names}) {'' if bare else 'AND colon'} GROUP BY ALL)"""
+
+
+def _exploded(t, column):
+    return t.select("doc", F.posexplode(column).alias("n", "m")).select("doc", (F.col("n") + 1).cast("long").alias("n"), F.explode("m").alias("key", "value"))
+
+
+@query(f"WITH {block_sql(blocks.RECEIPT_KEYS)} SELECT doc, dense_rank() OVER (PARTITION BY doc ORDER BY block) AS n, key, value FROM d")
+def par7_receipt_blocks(spark, sf_dir):
+    return _exploded(texts(spark, sf_dir, "block_lines"), blocks.receipt_blocks(F.col("raw")))
+
+
+@query(f"""WITH {block_sql(blocks.RECEIPT_KEYS)}, p AS (SELECT doc, row_number() OVER (PARTITION BY doc ORDER BY block) AS n, coalesce(max(value) FILTER (key = 'STORE'), 'UNKNOWN') AS s, coalesce(max(value) FILTER (key = 'DATE'), 'UNKNOWN') AS t, coalesce(max(value) FILTER (key = 'TOTAL'), 'UNKNOWN') AS u FROM d GROUP BY doc, block)
+    SELECT doc, count(*) AS receipts, string_agg('Purchase ' || n || ': ' || s || ', date ' || t || ', total ' || u, chr(10) ORDER BY n) AS listed FROM p GROUP BY doc""")
+def par7_purchases(spark, sf_dir):
+    t = texts(spark, sf_dir, "block_lines").withColumn("b", blocks.receipt_blocks(F.col("raw"))).filter(F.size("b") > 0)
+    return t.select("doc", F.size("b").cast("long").alias("receipts"), blocks.purchases(F.col("b")).alias("listed"))
+
+
+@query(f"WITH {block_sql(blocks.MATCH_KEYS)} SELECT doc, dense_rank() OVER (PARTITION BY doc ORDER BY block) AS n, key, value FROM d")
+def par7_match_blocks(spark, sf_dir):
+    return _exploded(texts(spark, sf_dir, "block_lines"), blocks.match_blocks(F.col("raw")))
+
+
+_STORE = "max(value) FILTER (key = 'RECEIPT_STORE') OVER (PARTITION BY doc, block)"
+
+
+@query(f"""WITH {block_sql(blocks.LINK_KEYS, bare=True)}, s AS (SELECT doc, block, key, value, coalesce({_STORE}, '') AS store FROM d),
+    j AS (SELECT doc, 1 AS n, key, value FROM (SELECT case_id AS doc, unnest(['RECEIPT_STORE', 'MATCHED_TRANSACTION', 'CONFIDENCE', 'REASONING']) AS key, unnest([description, 'FOUND', '', qty::VARCHAR]) AS value FROM bank_rows WHERE case_id % 4 = 0 AND pos = 1))
+    SELECT doc, dense_rank() OVER (PARTITION BY doc ORDER BY block) AS n, key, value FROM s WHERE doc % 4 <> 0 AND store <> '' AND store[1] <> '[' AND lower(store) NOT IN ('not specified', 'unknown', 'n/a', 'none', 'next purchase')
+    UNION ALL SELECT * FROM j""")
+def par13_flt10_link_answers(spark, sf_dir):
+    rows = view(spark, sf_dir, "bank_rows").filter("case_id % 4 = 0 AND pos = 1")
+    body = F.to_json(F.struct(F.col("description").alias("receipt_store"), F.lit("FOUND").alias("Matched_Transaction"), F.lit(None).cast("string").alias("CONFIDENCE"), F.col("qty").alias("REASONING"), F.lit("x").alias("other")), {"ignoreNullFields": "false"})
+    as_json = rows.select(F.col("case_id").alias("doc"), F.concat(F.lit("RECEIPT 1\n```json\n"), body, F.lit("\n```")).alias("raw"))
+    both = texts(spark, sf_dir, "block_lines").filter("doc % 4 <> 0").unionByName(as_json)
+    return _exploded(both, blocks.link_answers(F.col("raw")))
+
+
+@query("""WITH o AS (SELECT doc, raw, CASE WHEN contains(raw, '{') THEN regexp_replace(regexp_replace(regexp_replace(substr(raw, instr(raw, '{')), '```.*', '', 's'), '(\\d|"b")(\\s+"(seg|c)": )', '\\1,\\2'), ',\\s*\\]', ']') END AS t FROM cut_json),
+    p AS (SELECT doc, t, unnest(range(1, length(t) + 1)) AS n FROM o WHERE t IS NOT NULL),
+    q AS (SELECT doc, n, substr(t, 1, n) || e AS x FROM p, (SELECT unnest(['', '}', ']}', '}}', ']}}', '}]}', '"}', '"]}', '"}}', '"}]}', ']]}', '}]}]}']) AS e)),
+    r AS (SELECT doc, arg_max(json(x)::VARCHAR, n) AS repaired FROM q WHERE json_valid(x) GROUP BY doc)
+    SELECT doc, repaired, json_extract_string(repaired, '$.name') AS name FROM cut_json LEFT JOIN r USING (doc)""")
+def jsn2_cut_json(spark, sf_dir):
+    t = view(spark, sf_dir, "cut_json").withColumn("repaired", blocks.repair_json(F.col("raw")))
+    return t.select("doc", "repaired", F.get_json_object("repaired", "$.name").alias("name"))

@@ -119,6 +119,19 @@ VIEWS = {
         SELECT case_id AS image, pos AS k, CASE WHEN (case_id * 3 + pos) % 5 = 0 THEN NULL ELSE floor(amount / 5000) * 5000.0 + (case_id + pos) % 5 END AS total, CASE WHEN (case_id * 5 + pos) % 4 = 0 THEN 'NOT_FOUND' ELSE 'FOUND' END AS expected,
                CASE WHEN (case_id + pos) % 7 = 0 THEN amount + 9 ELSE amount END AS amount, CASE WHEN (case_id + pos) % 10 = 0 THEN NULL ELSE CAST(txn_date AS STRING) END AS date, description
         FROM bank_rows WHERE case_id % 10 <> 1""",
+    "block_lines": """
+        SELECT case_id AS doc, pos * 10 + k AS i,
+               CASE k WHEN 0 THEN CASE WHEN case_id % 12 = 5 THEN 'no header' WHEN pos % 3 = 0 THEN 'receipt ' || p WHEN pos % 3 = 1 THEN '--- RECEIPT ' || p || ' ---' ELSE '  ---Receipt   ' || p END
+               WHEN 1 THEN CASE WHEN (case_id + pos) % 6 = 0 THEN '' WHEN (case_id + pos) % 7 = 1 THEN 'RECEIPT_STORE: [Next Purchase]' WHEN (case_id + pos) % 7 = 2 THEN 'RECEIPT_STORE: Unknown' ELSE ' receipt_store : ' || description END WHEN 2 THEN 'STORE: ' || description || ': x'
+               WHEN 3 THEN CASE WHEN pos % 2 = 0 THEN 'total: ' || amt ELSE 'TRANSACTION_AMOUNT: $' || amt END WHEN 4 THEN CASE WHEN pos % 4 = 0 THEN 'CONFIDENCE' ELSE 'Confidence: HIGH' END WHEN 5 THEN 'MATCHED_TRANSACTION: ' || CASE WHEN flag = 'R' THEN 'NOT_FOUND' ELSE 'FOUND' END
+               WHEN 6 THEN CASE WHEN (case_id + pos) % 5 = 0 THEN 'STORE: again' ELSE 'anything: else' END WHEN 7 THEN 'DATE:' ELSE '' END AS line
+        FROM (SELECT *, CAST(pos AS STRING) AS p, CAST(CAST(amount AS DECIMAL(18,2)) AS STRING) AS amt FROM bank_rows)
+        CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4 UNION ALL SELECT 5 UNION ALL SELECT 6 UNION ALL SELECT 7 UNION ALL SELECT 8) AS ks
+        UNION ALL SELECT -doc AS doc, i, line FROM (VALUES (1, 1, 'STORE: before any block'), (1, 2, 'RECEIPT 1'), (1, 3, 'RECEIPT 2'), (1, 4, 'STORE: b'), (1, 5, 'store: c'), (2, 1, 'RECEIPT'), (2, 2, 'STORE: none'), (3, 1, 'RECEIPT 9 and more'), (3, 2, 'TOTAL: 1:2'), (3, 3, 'RECEIPT_STORE: Shop'), (4, 1, '')) AS t(doc, i, line)""",
+    "cut_json": """
+        SELECT c_custkey AS doc, substr(raw, 1, CAST((c_custkey * 13) % (length(raw) + 1) AS INT)) AS raw
+        FROM (SELECT c_custkey, '```json' || chr(10) || '{ "name": "' || c_name || '", "n": ' || CAST(c_custkey AS STRING) || CASE WHEN c_custkey % 4 = 0 THEN '  "seg": [ "' ELSE ', "seg": [ "' END || c_mktsegment || '", "x y", ]' || chr(10) || ', "o": {"k": {}, "b": "' || substr(c_name, 10) || '"}, "ok": true, "f": -1.5 } ``` and {more}' AS raw FROM customer)
+        UNION ALL SELECT -doc AS doc, raw FROM (VALUES (1, ''), (2, NULL), (3, 'no object'), (4, '{'), (5, '{"a"'), (6, '{"a": tru'), (7, '{"a": [[], {'), (8, '{"a": "b"}'), (9, '{"a": 1 2'), (10, 'text { "k" : [1, {"z": "w'), (11, '{"a": "b" "c": "d')) AS t(doc, raw)""",
     "bought_lists": """
         SELECT -case_id - 1 AS doc, 'invoice' AS doc_type, field, joined_(want, pos) AS want, joined_(got, pos) AS got
         FROM (SELECT case_id, pos, field, CASE field WHEN 'LINE_ITEM_DESCRIPTIONS' THEN lower(description) WHEN 'LINE_ITEM_QUANTITIES' THEN CAST(qty AS STRING) ELSE '$' || CAST(CAST(amount AS DECIMAL(18,2)) AS STRING) END AS want,
