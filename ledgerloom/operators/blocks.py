@@ -105,6 +105,12 @@ def repair_json(text: Column, keep_cut: bool = True) -> Column:
     start = F.regexp_extract(text, r"(?s)\{.*", 0)
     tokens = F.filter(_tokens(start), lambda e: e["kind"].isNotNull())
 
+    def trimmed(all_: Column) -> Column:
+        # a number that the cut went through ends with its last digit
+        number = lambda e: F.regexp_replace(e["t"], r"[.eE+-]+$", "")
+        cut = lambda e, i: (i == F.size(all_) - 1) & (e["kind"] == "bad") & number(e).rlike(_LITERAL)
+        return F.transform(all_, lambda e, i: F.when(cut(e, i), F.struct(number(e).alias("t"), F.lit("word").alias("kind"))).otherwise(e))
+
     def tidy(all_: Column) -> Column:
         # commas before an end go; a field that follows a value gets one
         after = lambda i, k: F.get(all_, i + k)["kind"]
@@ -145,5 +151,5 @@ def repair_json(text: Column, keep_cut: bool = True) -> Column:
         end = lambda s: F.concat(F.array_join(F.transform(F.slice(seen, F.lit(1), s["at"]), lambda e: e["t"]), ""), s["closing"])
         return F.aggregate(seen, none, step, end)
 
-    bound = F.get(F.transform(F.array(tokens), lambda a: whole(tidy(a))), F.lit(0))
+    bound = F.get(F.transform(F.array(trimmed(tokens)), lambda a: whole(tidy(a))), F.lit(0))
     return F.when(start != "", bound)

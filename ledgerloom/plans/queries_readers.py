@@ -136,7 +136,7 @@ def par13_flt10_link_answers(spark, sf_dir):
 
 @query("""WITH o AS (SELECT doc, raw, CASE WHEN contains(raw, '{') THEN regexp_replace(regexp_replace(regexp_replace(substr(raw, instr(raw, '{')), '```.*', '', 's'), '(\\d|"b")(\\s+"(seg|c)": )', '\\1,\\2'), ',\\s*\\]', ']') END AS t FROM cut_json),
     p AS (SELECT doc, t, unnest(range(1, length(t) + 1)) AS n FROM o WHERE t IS NOT NULL),
-    q AS (SELECT doc, n, substr(t, 1, n) || e AS x FROM p, (SELECT unnest(['', '}', ']}', '}}', ']}}', '}]}', '"}', '"]}', '"}}', '"}]}', ']]}', '}]}]}']) AS e)),
+    q AS (SELECT doc, n, substr(t, 1, n) || e AS x FROM p, (SELECT unnest(['', '}', ']}', '}}', ']}}', '}]}', '"}', '"]}', '"}}', '"}]}', ']]}', '}}}']) AS e)),
     r AS (SELECT doc, arg_max(json(x)::VARCHAR, n) AS repaired FROM q WHERE json_valid(x) GROUP BY doc)
     SELECT doc, repaired, json_extract_string(repaired, '$.name') AS name FROM cut_json LEFT JOIN r USING (doc)""")
 def jsn2_cut_json(spark, sf_dir):
