@@ -132,6 +132,32 @@ VIEWS = {
         SELECT c_custkey AS doc, substr(raw, 1, CAST((c_custkey * 13) % (length(raw) + 1) AS INT)) AS raw
         FROM (SELECT c_custkey, '```json' || chr(10) || '{ "name": "' || c_name || '", "n": ' || CAST(c_custkey AS STRING) || CASE WHEN c_custkey % 4 = 0 THEN '  "seg": [ "' ELSE ', "seg": [ "' END || c_mktsegment || '", "x y", ]' || chr(10) || ', "o": {"k": {}, "b": "' || substr(c_name, 10) || '"}, "ok": true, "f": -1.5 } ``` and {more}' AS raw FROM customer)
         UNION ALL SELECT -doc AS doc, raw FROM (VALUES (1, ''), (2, NULL), (3, 'no object'), (4, '{'), (5, '{"a"'), (6, '{"a": tru'), (7, '{"a": [[], {'), (8, '{"a": "b"}'), (9, '{"a": 1 2'), (10, 'text { "k" : [1, {"z": "w'), (11, '{"a": "b" "c": "d')) AS t(doc, raw)""",
+    "trust_nodes": """
+        SELECT case_id, kind, CASE WHEN case_id % 3 = 0 AND kind = 'trust_return' THEN '51 824 753 557' ELSE '51 824 753 556' END AS abn, CASE WHEN (case_id + length(kind)) % 4 = 1 THEN '' ELSE '123 456 ' || CAST(case_id % 1000 + CASE WHEN case_id % 6 = 0 THEN length(kind) ELSE 0 END AS STRING) END AS tfn,
+               CASE WHEN (case_id + length(kind)) % 9 = 0 THEN NULL ELSE CAST(floor(income) AS BIGINT) END AS income, CAST(floor(franking) AS BIGINT) AS franking, CASE WHEN kind = 'beneficiary_itr' THEN NULL ELSE CAST(floor(cgt) AS BIGINT) END AS cgt
+        FROM trust_docs WHERE case_id % 25 <> 3""",
+    "answer_texts": """
+        SELECT o_orderkey AS doc, CASE o_orderkey % 11
+               WHEN 0 THEN '1. COLUMNS: Date | Narrative | Dr | Cr | Bal' || chr(10) || '2. PAID: NO' || chr(10) || '3. ROWS: 12'
+               WHEN 1 THEN '<think>no table with headers like Date, Description, Debit</think>COLUMNS: NONE' || chr(10) || '**PAID**: YES' || chr(10) || 'ROWS: 3'
+               WHEN 2 THEN '### 1. COLUMNS' || chr(10) || '```' || chr(10) || 'Day | Details | Withdrawals | Deposits' || chr(10) || '```' || chr(10) || '### 4. TRAVEL' || chr(10) || 'Answer YES or NO. The answer: NO'
+               WHEN 3 THEN 'COLUMNS: NONE' || chr(10) || '### 4. TRAVEL' || chr(10) || 'It is a ticket, so no doubt: YES' WHEN 4 THEN '4) TRAVEL: YES' || chr(10) || '1) COLUMNS: **NONE**' || chr(10) || 'PAID: YES'
+               WHEN 5 THEN 'It has columns like Date, Debit and Credit.' WHEN 6 THEN 'a tax invoice' WHEN 7 THEN '<think>COLUMNS: Debit | Credit | Balance' WHEN 8 THEN '- COLUMNS: `Qty, Unit Price, GST amount, Total`' || chr(10) || 'rows : 21' || chr(10) || 'PAID: maybe'
+               WHEN 9 THEN '' ELSE 'COLUMNS: Date | Odometer | Purpose of trip' || chr(10) || 'ROWS: 5' || chr(10) || 'TRAVEL: NO' END AS raw FROM orders""",
+    "trust_answers": """
+        SELECT c_custkey AS doc, CASE c_custkey % 9
+               WHEN 0 THEN '1. HEADER: Trust Income Tax Return' || chr(10) || '2. HAS_ABN: YES' || chr(10) || '5. HAS_ITEM_13: NO' WHEN 1 THEN '1. HEADER: What is the main title?' || chr(10) || '   - **Income Schedule 2024**' || chr(10) || '2. HAS_ABN: Is there a number? Answer YES or NO.' || chr(10) || '   - **NO**'
+               WHEN 2 THEN 'header: Notice' || chr(10) || 'HAS_DISTRIBUTION_TABLE: YES' || chr(10) || 'ADDRESSED_TO: yes' WHEN 3 THEN 'HAS_ITEM_13: Does it? Answer YES or NO.' || chr(10) || ' - YES' WHEN 4 THEN 'It is the individual tax return of someone' WHEN 5 THEN ''
+               WHEN 6 THEN 'HEADER:' || chr(10) || 'HAS_ABN: YES' || chr(10) || 'HEADER: The Smith Trust' WHEN 7 THEN 'HAS_ITEM_13: YES' || chr(10) || 'HAS_ITEM_13: NO' || chr(10) || 'HEADER: Beneficiary Distribution' ELSE 'the trustee details of somebody, HAS_ABN: NO' END AS raw FROM customer""",
+    "flag_fields": """
+        SELECT doc, field, want AS value FROM bought_lists WHERE field <> 'LINE_ITEM_TOTAL_PRICES'
+        UNION ALL SELECT -case_id - 1, 'LINE_ITEM_TOTAL_PRICES', joined_(t, pos) FROM (SELECT case_id, pos, CASE WHEN (case_id + pos) % 8 = 0 THEN 'n/a' WHEN (case_id + pos) % 6 = 0 THEN '$' || CAST(qty * 10 + 3 AS STRING) ELSE CAST(qty * 10 AS STRING) || '.00' END AS t FROM bank_rows) GROUP BY case_id
+        UNION ALL SELECT -case_id - 1, 'LINE_ITEM_PRICES', joined_(t, pos) FROM (SELECT case_id, pos, CASE WHEN case_id % 10 = 3 AND pos = 2 THEN NULL ELSE '$10.00' END AS t FROM bank_rows) GROUP BY case_id
+        UNION ALL SELECT o_orderkey, f, CASE f WHEN 'GST_AMOUNT' THEN CASE WHEN o_orderkey % 7 = 0 THEN '5.00' ELSE '$10.00' END WHEN 'SUBTOTAL_AMOUNT' THEN CASE o_orderkey % 5 WHEN 0 THEN 'NOT_FOUND' ELSE '100' END WHEN 'TOTAL_AMOUNT' THEN CASE WHEN o_orderkey % 11 = 0 THEN 'abc' ELSE '$110.00' END
+            ELSE CASE o_orderkey % 3 WHEN 0 THEN 'True' WHEN 1 THEN 'false' ELSE 'maybe' END END FROM orders CROSS JOIN (SELECT 'GST_AMOUNT' AS f UNION ALL SELECT 'SUBTOTAL_AMOUNT' UNION ALL SELECT 'TOTAL_AMOUNT' UNION ALL SELECT 'IS_GST_INCLUDED') AS fs
+        UNION ALL SELECT doc + 100000000, field, want FROM register_lists WHERE NOT (doc % 6 = 0 AND field = 'TRANSACTION_DATES')
+        UNION ALL SELECT DISTINCT doc + 100000000, 'DOCUMENT_TYPE', CASE WHEN doc % 4 = 0 THEN 'Statement' ELSE 'bank_statement' END FROM register_lists
+        UNION ALL SELECT doc + 100000000, 'TRANSACTION_DATES', 'one | ' FROM register_lists WHERE doc % 6 = 0 AND field = 'TRANSACTION_DATES'""",
     "bought_lists": """
         SELECT -case_id - 1 AS doc, 'invoice' AS doc_type, field, joined_(want, pos) AS want, joined_(got, pos) AS got
         FROM (SELECT case_id, pos, field, CASE field WHEN 'LINE_ITEM_DESCRIPTIONS' THEN lower(description) WHEN 'LINE_ITEM_QUANTITIES' THEN CAST(qty AS STRING) ELSE '$' || CAST(CAST(amount AS DECIMAL(18,2)) AS STRING) END AS want,
