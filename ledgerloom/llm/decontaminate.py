@@ -38,7 +38,7 @@ from ledgerloom.llm.kernels import Words, blocks, long_array, lowered, mix, word
 SIMILARITY = 0.8
 REPEATS = 24
 SAMPLES = 2
-MIN_WORDS = 5
+MIN_WORDS = 4
 BLOCK_ITEMS = 20_000
 CLASSES = 60
 _PAD = np.uint64(0x5851F42D4C957F2D)
@@ -46,9 +46,15 @@ _SLOTS = 1 << 22
 _SHORT = 1000  # a length class of its own for short items
 
 
+def allowed(longest: int, similarity: float) -> int:
+    """The largest edit distance of two word sequences of which the longer one has this length."""
+    return int((1 - similarity) * longest + 1e-9)
+
+
 def edits(n: int, similarity: float) -> int:
-    """The largest edit distance that an item of n words allows."""
-    return int((1 - similarity) * n + 1e-9)
+    """The largest edit distance that an item of n words allows: a passage may be longer than the item, by its edits at
+    most, so it has at most n / similarity words."""
+    return allowed(int(n / similarity + 1e-9), similarity)
 
 
 def least_pairs(n: int, similarity: float) -> int:
@@ -293,7 +299,7 @@ def _verified(similarity: float, batches):
         i_end, w_end = np.cumsum(i_size), np.cumsum(w_size)
         out = []
         for i in range(b.num_rows):
-            if lacking[i] > edits(int(max(i_size[i], w_size[i])), similarity):
+            if lacking[i] > allowed(int(max(i_size[i], w_size[i])), similarity):
                 out.append((int(lacking[i]), int(i_size[i]), 0.0))
                 continue
             item, window = i_flat[i_end[i] - i_size[i] : i_end[i]], w_flat[w_end[i] - w_size[i] : w_end[i]]
