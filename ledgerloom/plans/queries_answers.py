@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.similarity import matching_ratio, nearly_equal
 from ledgerloom.operators import answers, nodes, quality
 from ledgerloom.plans.views import duck, view
+from ledgerloom.streaming.header_cache import cached_batch
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -16,12 +18,13 @@ ROLES = {
 }
 
 
-def query(sql: str):
-    """Register a query under its function's name, with DuckDB SQL over the record views."""
+def query(sql: str | None):
+    """Register a query under its function's name, with DuckDB SQL over the record views where there is any."""
 
     def add(f):
         QUERIES[f.__name__] = f
-        ORACLE[f.__name__] = duck(sql)
+        if sql:
+            ORACLE[f.__name__] = duck(sql)
         return f
 
     return add
@@ -131,3 +134,20 @@ def str20_business_flags(spark, sf_dir):
     flags = quality.business_flags(F.col("fields"))
     flags["items_off"] = F.when(flags["items_off"].isNotNull(), F.array_join(F.transform(flags["items_off"], lambda i: i.cast("string")), ","))
     return docs.select("doc", *[c.alias(k) for k, c in flags.items()])
+
+
+# --- likeness and caches -----------------------------------------------------------------------
+@query(None)  # recursive over blocks: tested against the standard library
+def str9_matching_ratio(spark, sf_dir):
+    t = view(spark, sf_dir, "item_pairs")
+    return t.select("doc", "pos", F.round(matching_ratio(F.col("got"), F.col("want")), 6).alias("ratio"), nearly_equal(F.col("got"), F.col("want")).alias("alike"))
+
+
+@query("""WITH d AS (SELECT c_custkey AS position, 'in/' || CASE WHEN c_custkey % 7 = 0 THEN 'page' ELSE 'bank' || c_nationkey END || '_' || c_custkey || '.png' AS image_path, CASE WHEN c_custkey % 7 <> 0 THEN 'bank' || c_nationkey END AS institution, CASE WHEN c_custkey % 5 <> 0 THEN c_mktsegment END AS mapping FROM customer),
+    f AS (SELECT institution, min(position) AS p, arg_min(mapping, position) AS m FROM d WHERE mapping IS NOT NULL AND institution IS NOT NULL GROUP BY institution)
+    SELECT position, image_path, d.institution, CASE WHEN coalesce(position > p, false) THEN m ELSE mapping END AS mapping, coalesce(position > p, false) AS cached FROM d LEFT JOIN f ON f.institution = d.institution""")
+def jn17_stm4_header_cache(spark, sf_dir):
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    key = F.col("c_custkey")
+    name = F.concat(F.lit("in/"), F.when(key % 7 == 0, "page").otherwise(F.concat(F.lit("bank"), "c_nationkey")), F.lit("_"), key, F.lit(".png"))
+    return cached_batch(c.select(key.alias("position"), name.alias("image_path"), F.when(key % 5 != 0, F.col("c_mktsegment")).alias("mapping")), r"^(bank\d+)_")
