@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 
 # Keywords of each role, in the order in which they are tried.
 ROLES = {
-    "date": ("date", "transaction date", "posted"), "description": ("description", "details", "particulars", "transaction"), "debit": ("debit", "withdrawal", "paid out", "debits"),
-    "credit": ("credit", "deposit", "paid in", "credits"), "amount": ("amount", "value"), "balance": ("balance", "running balance"),
-}
+    "date": ("date", "day", "transaction date", "trans date"),
+    "description": ("description", "details", "transaction details", "trans details", "particulars", "narrative", "transaction", "trans"),
+    "debit": ("debit", "debits", "withdrawal", "withdrawals", "paid", "paid out", "spent", "dr"),
+    "credit": ("credit", "credits", "deposit", "deposits", "received", "cr"),
+    "balance": ("balance", "bal", "running balance"),
+    "amount": ("amount", "amt", "value", "total"),
+}
 
 
 def header_list(raw: Column) -> Column:
@@ -69,7 +73,7 @@ def router_edge(doc_type: Column, edges: tuple[str, ...], by_columns: Column) ->
 
 
 def strategy(balance: Column, debit: Column, credit: Column, amount: Column) -> Column:
-    """How a register is read, of six cases by its columns."""
+    """How a register is read, by its columns: one of four ways."""
     sides, one = debit.isNotNull() | credit.isNotNull(), amount.isNotNull()
     return (
         F.when(balance.isNotNull() & sides, "BALANCE_DESCRIPTION").when(one, "AMOUNT_DESCRIPTION").when(sides, "DEBIT_CREDIT_DESCRIPTION").otherwise("TABLE_EXTRACTION")

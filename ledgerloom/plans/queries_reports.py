@@ -89,7 +89,7 @@ def jsn1_jsn3_json_fields(spark, sf_dir):
     return o.select(F.col("o_orderkey").alias("doc"), m["total"].alias("total"), m["status"].alias("status"), parsers.looks_like_json(raw).alias("is_json"))
 
 
-@query()
+@query("SELECT doc, 'Last One' AS supplier_name, max(value) FILTER (field = 'TOTAL_AMOUNT') AS total_amount, max(value) FILTER (field = 'PAYER_NAME') AS payer_name, max(value) FILTER (field = 'BUSINESS_ABN') AS business_abn FROM gt_fields GROUP BY doc")
 def par2_line_machine(spark, sf_dir):
     t = parsers.field_lines(_responses(spark, sf_dir), "raw", _FIELDS)
     return t.select("doc", *[F.element_at("fields", f).alias(f.lower()) for f in _FIELDS])

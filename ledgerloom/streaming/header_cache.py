@@ -48,6 +48,5 @@ def cached_batch(docs: DataFrame, pattern: str) -> DataFrame:
     keyed = docs.select("position", "image_path", institution_key(F.col("image_path"), pattern).alias("institution"), "mapping")
     first = F.min(F.when(F.col("mapping").isNotNull(), F.struct("position", "image_path", "mapping"))).alias("first")
     known = keyed.filter("institution IS NOT NULL").groupBy("institution").agg(first)
-    later = F.struct("position", "image_path") > F.struct("first.position", "first.image_path")
-    cached = F.coalesce(later, F.lit(False))
+    cached = F.col("first").isNotNull() & (F.struct("position", "image_path") > F.struct("first.position", "first.image_path"))
     return keyed.join(known, "institution", "left").select("position", "image_path", "institution", F.when(cached, F.col("first.mapping")).otherwise(F.col("mapping")).alias("mapping"), cached.alias("cached"))

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.similarity import matching_characters, matching_ratio
-from ledgerloom.operators import answers, blocks, documents, linking, nodes, quality, statement_maths, statements
+from ledgerloom.operators import answers, blocks, documents, linking, nodes, parsers, quality, statement_maths, statements
 from ledgerloom.streaming.header_cache import cached_batch, cached_stream
 
 TRANSCRIPT = """intro
@@ -44,6 +44,29 @@ def test_statement_rows(spark):
     assert len(one(spark, long, statements.statement_rows)) == 399
 
 
+FIELDS = ("DOCUMENT_TYPE", "SUPPLIER_NAME", "BUSINESS_ADDRESS", "INVOICE_DATE", "LINE_ITEM_DESCRIPTIONS", "LINE_ITEM_QUANTITIES", "TOTAL_AMOUNT")
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("* **SUPPLIER_NAME:** Ace\nKEY: TOTAL_AMOUNT: $5\nsupplier_name: Bee", {"SUPPLIER_NAME": "Bee", "TOTAL_AMOUNT": "$5"}),
+        ("LINE_ITEM_DESCRIPTION:\n\n* apple: red\n- pear\n\nTOTAL_AMOUNT: 7", {"LINE_ITEM_DESCRIPTIONS": "apple: red | pear", "TOTAL_AMOUNT": "7"}),
+        ("LINE_ITEM_DESCRIPTIONS:\nnot a bullet\nLINE_ITEM_QUANTITIES: 3x, 2 EACH", {"LINE_ITEM_QUANTITIES": "3 | 2"}),
+        ("**SUPPLIER NAME:**\n\nAce\nHardware\n**BUSINESS_ADDRESS:**\n1 High Street: rear, VIC\n**TOTAL_AMOUNT:** $8", {"SUPPLIER_NAME": "Ace Hardware", "BUSINESS_ADDRESS": "1 High Street: rear  VIC", "TOTAL_AMOUNT": "$8"}),
+        ("**LINE_ITEM_DESCRIPTIONS:**\n* a\n* b", {"LINE_ITEM_DESCRIPTIONS": "a | b"}),
+        ('```json\n{"SUPPLIER_NAME": "Ace", "TOTAL_AMOUNT": "8", "INVOICE_DATE": "cut he', {"SUPPLIER_NAME": "Ace", "TOTAL_AMOUNT": "8", "INVOICE_DATE": "cut he"}),
+        ("INVOICE_DATE: 2024-03-18\nLINE_ITEM_DESCRIPTIONS: a  b c   d", {"INVOICE_DATE": "18/03/2024", "LINE_ITEM_DESCRIPTIONS": "a | b c | d"}),
+        ("I'll extract SUPPLIER_NAME: no\nHere is the\nassistant\n\nSUPPLIER_NAME: yes", {"SUPPLIER_NAME": "yes"}),
+        ("", {}), (None, {}), ("no fields", {}), ("SUPPLIER_NAME:\n", {}),
+    ],
+)
+def test_fields_of_responses(spark, text, want):
+    df = spark.createDataFrame([(text, 1)], "t string, fields int")
+    got = parsers.field_lines(df.drop("fields"), "t", FIELDS, artifacts=True).first().fields
+    assert got == dict.fromkeys(FIELDS, "NOT_FOUND") | want
+
+
 def test_repair_json_at_every_cut(spark):
     text = '{"a": "x\\"y", "b": [1, {"c": null}, "z"], "d": {"e": {}, "f": -2.5e1}, "g": true}'
     cuts = [(i, text[:i]) for i in range(len(text) + 1)]
@@ -176,4 +199,6 @@ def test_header_cache_lives_with_the_run(spark, tmp_path):
     (source / "1.json").unlink()
     assert run("two") == {5: ("anz", "D", False), 6: ("nab", "E", False)}  # a new run knows nothing
     table = spark.read.schema(schema).json(str(source))
-    assert {r.position: (r.institution, r.mapping, r.cached) for r in cached_batch(table, r"^(\w+)_").collect()} == {5: ("anz", "D", False), 6: ("nab", "E", False)}
+    more = table.unionByName(spark.createDataFrame([(7, "x/anz_9.png", "F"), (8, "plain.png", "G"), (9, None, None)], schema))
+    got = {r.position: (r.institution, r.mapping, r.cached) for r in cached_batch(more, r"^(\w+)_").collect()}
+    assert got == {5: ("anz", "D", False), 6: ("nab", "E", False), 7: ("anz", "D", True), 8: (None, "G", False), 9: (None, None, False)}
