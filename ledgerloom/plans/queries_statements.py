@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.operators import statement_fields, statements
 from ledgerloom.operators import statement_maths as maths
 from ledgerloom.plans.views import duck, view
 
@@ -87,3 +91,36 @@ def bnk1_rul16_rul17_rows(spark, sf_dir):
 def bnk4_enhanced_lists(spark, sf_dir):
     t = maths.enhance(_statements(spark, sf_dir))
     return t.select("doc", F.try_element_at("fields", F.lit(maths.PAID)).alias("paid"), F.try_element_at("fields", F.lit(maths.RECEIVED)).alias("received"), "analysis.*")
+
+
+# --- rows to a statement's fields ----------------------------------------------------------------
+_ROW = """SELECT case_id AS doc, pos, CASE WHEN (case_id + pos) % 17 = 0 THEN '' ELSE lpad(day(txn_date)::VARCHAR, 2, '0') || '/' || lpad(month(txn_date)::VARCHAR, 2, '0') || '/' || year(txn_date) END AS date, CASE WHEN (case_id + pos) % 17 <> 0 THEN txn_date END AS d,
+    CASE WHEN (case_id * 3 + pos) % 19 = 0 THEN 'Opening Balance' WHEN (case_id + pos) % 23 = 0 THEN NULL ELSE description END AS description, CASE WHEN debit > 0 THEN '$' || debit::DECIMAL(18,2) WHEN pos % 2 = 0 THEN 'NOT_FOUND' END AS debit, CASE WHEN credit > 0 THEN credit::DECIMAL(18,2)::VARCHAR ELSE '' END AS credit,
+    CASE WHEN debit > 0 THEN CASE WHEN pos % 2 = 0 THEN '(' || debit::DECIMAL(18,2) || ')' ELSE '-$' || debit::DECIMAL(18,2) END ELSE credit::DECIMAL(18,2)::VARCHAR END AS amount, CASE WHEN balance IS NULL THEN 'n/a' WHEN balance < 0 THEN '($' || (-balance)::DECIMAL(18,2) || ')' ELSE '$' || balance::DECIMAL(18,2) || ' CR' END AS balance, balance AS b, debit AS dn, credit AS cn FROM register"""
+_FIELDS_SQL = f"""WITH r AS ({_ROW}), ends AS (SELECT doc, count(*) AS n, arg_min(coalesce(d, DATE '9999-01-01'), pos) AS a, arg_max(coalesce(d, DATE '0001-01-01'), pos) AS z, arg_min(date, pos) FILTER (date <> '') AS first, arg_max(date, pos) FILTER (date <> '') AS last, arg_min(d, pos) FILTER (d IS NOT NULL) AS fd, arg_max(d, pos) FILTER (d IS NOT NULL) AS ld, count(*) FILTER (date <> '') AS nd FROM r GROUP BY doc),
+    o AS (SELECT r.*, row_number() OVER (PARTITION BY r.doc ORDER BY CASE WHEN n > 1 AND a < z THEN pos END, d NULLS LAST, pos) AS k FROM r JOIN ends USING (doc) WHERE coalesce(upper(description) <> 'OPENING BALANCE', true)),
+    c AS (SELECT *, round(b - lag(b IGNORE NULLS) OVER (PARTITION BY doc ORDER BY k), 6) AS delta FROM o),
+    f AS (SELECT *, CASE WHEN delta IS NULL OR abs(delta) < 0.01 THEN debit WHEN delta > 0 THEN 'NOT_FOUND' WHEN dn > 0 AND round(abs(dn + delta), 6) < 0.01 THEN debit WHEN cn > 0 AND round(abs(cn + delta), 6) < 0.01 THEN credit ELSE '$' || (-delta)::DECIMAL(18,2) END AS paid FROM c),
+    p AS (SELECT doc, 'balance' AS way, k, date, description, paid, balance FROM f WHERE coalesce(paid NOT IN ('', 'NOT_FOUND', '$0.00', '0.00'), false)
+      UNION ALL SELECT doc, 'debit_credit', pos, date, description, debit, 'NOT_FOUND' FROM r WHERE dn > 0 AND coalesce(upper(description) <> 'OPENING BALANCE', true)
+      UNION ALL SELECT doc, 'amount', pos, date, description, '-$' || dn::DECIMAL(18,2), balance FROM r WHERE dn > 0 AND coalesce(upper(description) <> 'OPENING BALANCE', true)),
+    l AS (SELECT doc, way, string_agg(date, ' | ' ORDER BY k) AS dates, string_agg(description, ' | ' ORDER BY k) AS descriptions, string_agg(paid, ' | ' ORDER BY k) AS paid, string_agg(balance, ' | ' ORDER BY k) AS balances FROM p WHERE date <> '' AND description IS NOT NULL GROUP BY ALL)
+    SELECT e.doc, w.way, CASE WHEN nd = 0 THEN 'NOT_FOUND' WHEN nd = 1 THEN first WHEN fd > ld THEN last || ' - ' || first ELSE first || ' - ' || last END AS span, coalesce(dates, 'NOT_FOUND') AS dates, coalesce(descriptions, 'NOT_FOUND') AS descriptions, coalesce(paid, 'NOT_FOUND') AS paid, coalesce(balances, 'NOT_FOUND') AS balances
+    FROM ends e CROSS JOIN (SELECT unnest(['balance', 'debit_credit', 'amount']) AS way) w LEFT JOIN l ON l.doc = e.doc AND l.way = w.way"""
+
+
+@query(_FIELDS_SQL)
+def bnk6_bnk7_statement_fields(spark, sf_dir):
+    c, k = F.col, F.col("case_id") + F.col("pos")
+    money = lambda x: x.cast("decimal(18,2)").cast("string")
+    row = F.struct(
+        "pos", F.when(k % 17 == 0, "").otherwise(F.date_format("txn_date", "dd/MM/yyyy")).alias("date"), F.when((c("case_id") * 3 + c("pos")) % 19 == 0, "Opening Balance").when(k % 23 == 0, None).otherwise(c("description")).alias("description"),
+        F.when(c("debit") > 0, F.concat(F.lit("$"), money(c("debit")))).when(c("pos") % 2 == 0, "NOT_FOUND").alias("debit"), F.when(c("credit") > 0, money(c("credit"))).otherwise("").alias("credit"),
+        F.when(c("debit") > 0, F.when(c("pos") % 2 == 0, F.concat(F.lit("("), money(c("debit")), F.lit(")"))).otherwise(F.concat(F.lit("-$"), money(c("debit"))))).otherwise(money(c("credit"))).alias("amount"),
+        F.when(c("balance").isNull(), "n/a").when(c("balance") < 0, F.concat(F.lit("($"), money(-c("balance")), F.lit(")"))).otherwise(F.concat(F.lit("$"), money(c("balance")), F.lit(" CR"))).alias("balance"),
+    )
+    names = ("date", *statements.VALUES)
+    docs = view(spark, sf_dir, "register").groupBy(c("case_id").alias("doc")).agg(F.transform(F.array_sort(F.collect_list(row)), lambda r: F.struct(*[r[n].alias(n) for n in names])).alias("rows"))
+    every = [statement_fields.schema_fields(docs, "rows", s).select("doc", F.lit(s).alias("way"), "fields") for s in statement_fields.STRATEGIES]
+    of = {"span": "STATEMENT_DATE_RANGE", "dates": maths.DATES, "descriptions": maths.DESCRIPTIONS, "paid": maths.PAID, "balances": maths.BALANCES}
+    return reduce(DataFrame.unionByName, every).select("doc", "way", *[F.try_element_at("fields", F.lit(f)).alias(n) for n, f in of.items()])
