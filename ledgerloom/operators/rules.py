@@ -82,3 +82,13 @@ def by_substring(text: Column, mapping: tuple[tuple[str, str], ...], default: st
     for key, value in mapping:
         out = F.when(low.contains(key), value) if out is None else out.when(low.contains(key), value)
     return F.lit(default) if out is None else out.otherwise(default)
+
+
+def document_type(text: Column, mapping: tuple[tuple[str, str], ...], keywords: tuple[tuple[str, tuple[str, ...]], ...], fallback: str) -> Column:
+    """(type, source): the first mapped text that an answer holds, else the first type with a keyword in it, else the fallback."""
+    low = F.lower(F.trim(F.coalesce(text, F.lit(""))))
+    out = F.struct(F.lit(fallback).alias("type"), F.lit("fallback").alias("source"))
+    rules = [(k, t, "mapping") for k, t in mapping] + [(w, t, "keyword") for t, words in keywords for w in words]
+    for part, kind, source in reversed(rules):
+        out = F.when(low.contains(part.lower()), F.struct(F.lit(kind).alias("type"), F.lit(source).alias("source"))).otherwise(out)
+    return out

@@ -201,3 +201,17 @@ def record_and_metadata(df: DataFrame, fields: tuple[str, ...], bag: str = "extr
 def widened(df: DataFrame, column: str, names: tuple[str, ...]) -> DataFrame:
     """A map column as one column for each name."""
     return df.select(*[c for c in df.columns if c != column], *[F.try_element_at(column, F.lit(n)).alias(f"{column}.{n}") for n in names])
+
+
+TRACE = ("image_name", "pipeline", "label", "model", "prompt", "raw_response", "prompt_tokens", "completion_tokens")
+
+
+def append_traces(df: DataFrame, path: str) -> None:
+    """Prompt traces appended as JSON lines; columns that ``df`` lacks are null and null ones are written too."""
+    whole = df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in TRACE])
+    whole.write.mode("append").option("ignoreNullFields", "false").json(path)
+
+
+def write_runs(df: DataFrame, path: str) -> None:
+    """Model runs as CSV with a header, one file a partition."""
+    df.write.mode("overwrite").option("header", True).csv(path)
