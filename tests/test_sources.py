@@ -115,3 +115,13 @@ def test_record_frames(spark):
     main, meta = records.record_and_metadata(df, ("A", "C"))
     assert main.first().asDict() == {"image_name": "i", "A": "1", "C": "NOT_FOUND"} and meta.first().found_fields == 1
     assert records.widened(df, "extracted_data", ("A",)).columns == ["image_name", "processing_time", "extracted_data.A"]
+
+
+def test_traces_and_runs(spark, tmp_path):
+    traces = spark.createDataFrame([("i", "p", "ü", None)], "image_name string, prompt string, raw_response string, prompt_tokens int")
+    for _ in range(2):
+        records.append_traces(traces, str(tmp_path / "traces"))
+    lines = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "traces")).collect()]
+    assert len(lines) == 2 and lines[0] == {"image_name": "i", "pipeline": None, "label": None, "model": None, "prompt": "p", "raw_response": "ü", "prompt_tokens": None, "completion_tokens": None}
+    records.write_runs(spark.createDataFrame([("a", 1.5)], "model string, f1 double"), str(tmp_path / "runs"))
+    assert records.read_table(spark, str(tmp_path / "runs"), ("model", "f1")).count() == 1
