@@ -20,6 +20,7 @@ NAME_PARTS = (
     ("id", ("NUMBER", "ID", "ABN", "BSB", "ACCOUNT")),
     ("address", ("ADDRESS", "LOCATION", "STREET")),
 )
+# Fixed values, down to ALIASES: what stands for no value, decorations of prices, identifiers and addresses, and names of types.
 NOTHING = ("NOT_FOUND", "Not Found", "not found", "None", "null", "", "N/A", "n/a")
 PRICE_SUFFIXES = (r"\s+(each|per\s+item|per\s+unit|per\s+piece)$", r"\s+(ea\.?|@|apiece)$")
 CURRENCIES = (r"AUD?\s*", r"USD?\s*", r"\$\$+")

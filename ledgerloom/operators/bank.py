@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Descriptions of lines that are no transactions.
 NOT_A_TRANSACTION = r"(?i)OPENING BALANCE|CLOSING BALANCE|BROUGHT FORWARD|CARRIED FORWARD"
 
 

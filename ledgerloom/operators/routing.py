@@ -80,6 +80,24 @@ def strategy(balance: Column, debit: Column, credit: Column, amount: Column) ->
     )
 
 
+# Why a register is read as it is.
+REASONS = {
+    "forced": "Manual override", "balance_sides": "Balance + Debit/Credit columns detected", "balance_amount": "Balance + Amount column detected (signed values)", "amount": "Amount column detected (no balance)",
+    "sides": "Debit/Credit columns detected (no balance)", "none": "Schema fallback (column detection failed)",
+}
+
+
+def reasoned_strategy(balance: Column, debit: Column, credit: Column, amount: Column, forced: Column | None = None) -> Column:
+    """(strategy, reason): a forced strategy, or that of the columns; debit and credit columns go before a signed one where there is a balance."""
+    sides, one, whole = debit.isNotNull() | credit.isNotNull(), amount.isNotNull(), balance.isNotNull()
+    made = lambda name, why: F.struct((F.lit(name) if isinstance(name, str) else name).alias("strategy"), F.lit(REASONS[why]).alias("reason"))
+    by_columns = (
+        F.when(whole & sides, made("BALANCE_DESCRIPTION", "balance_sides")).when(whole & one, made("AMOUNT_DESCRIPTION", "balance_amount")).when(one, made("AMOUNT_DESCRIPTION", "amount"))
+        .when(sides, made("DEBIT_CREDIT_DESCRIPTION", "sides")).otherwise(made("TABLE_EXTRACTION", "none"))
+    )
+    return by_columns if forced is None else F.when(forced.isNotNull(), made(forced, "forced")).otherwise(by_columns)
+
+
 def probed_type(fields: Column, roles_found: Column, type_of: Column) -> Column:
     """BANK_STATEMENT where three roles or more and fewer than six fields were found; a payment date makes a receipt."""
     found = F.size(F.map_filter(fields, lambda k, v: (v != "NOT_FOUND") & ~k.startswith("_") & (k == F.upper(k))))

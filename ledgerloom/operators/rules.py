@@ -62,7 +62,7 @@ def readiness(percent: Column) -> Column:
 
 
 def trust_type(header: Column, item13: Column, table: Column, addressed: Column, abn: Column) -> Column:
-    """(type, confidence) of a trust document from its evidence."""
+    """(type, confidence) of a trust document from its evidence; rules, their order and confidences are fixed values."""
     h = F.lower(F.coalesce(header, F.lit("")))
     made = lambda kind, conf: F.struct(F.lit(kind).alias("type"), F.lit(conf).alias("confidence"))
     return (

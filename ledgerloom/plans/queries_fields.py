@@ -260,6 +260,15 @@ def rul8_rul9_routing(spark, sf_dir):
     return _roles(spark, sf_dir).select("doc", routed.alias("edge"), routing.strategy(b, d, c, a).alias("strategy"))
 
 
+@query(f"""SELECT doc, CASE WHEN doc % 9 = 4 THEN 'TABLE_EXTRACTION' WHEN balance_col IS NOT NULL AND coalesce(debit_col, credit_col) IS NOT NULL THEN 'BALANCE_DESCRIPTION' WHEN amount_col IS NOT NULL THEN 'AMOUNT_DESCRIPTION' WHEN coalesce(debit_col, credit_col) IS NOT NULL THEN 'DEBIT_CREDIT_DESCRIPTION' ELSE 'TABLE_EXTRACTION' END AS strategy,
+    CASE WHEN doc % 9 = 4 THEN 'Manual override' WHEN balance_col IS NOT NULL AND coalesce(debit_col, credit_col) IS NOT NULL THEN 'Balance + Debit/Credit columns detected' WHEN balance_col IS NOT NULL AND amount_col IS NOT NULL THEN 'Balance + Amount column detected (signed values)'
+      WHEN amount_col IS NOT NULL THEN 'Amount column detected (no balance)' WHEN coalesce(debit_col, credit_col) IS NOT NULL THEN 'Debit/Credit columns detected (no balance)' ELSE 'Schema fallback (column detection failed)' END AS reason FROM {_ROLES}""")
+def rul9_reasoned_strategy(spark, sf_dir):
+    b, d, c, a = (F.col(f"{x}_col") for x in ("balance", "debit", "credit", "amount"))
+    forced = F.when(F.col("doc") % 9 == 4, "TABLE_EXTRACTION")
+    return _roles(spark, sf_dir).select("doc", routing.reasoned_strategy(b, d, c, a, forced).alias("s")).select("doc", "s.*")
+
+
 @query(f"""WITH f AS (SELECT doc, count(*) FILTER (value <> 'NOT_FOUND') + CASE WHEN doc % 3 = 0 THEN 2 ELSE 0 END AS n FROM pred_fields GROUP BY doc),
     r AS (SELECT doc, (date_col IS NOT NULL)::INT + (description_col IS NOT NULL)::INT + (debit_col IS NOT NULL)::INT + (credit_col IS NOT NULL)::INT + (amount_col IS NOT NULL)::INT + (balance_col IS NOT NULL)::INT AS k FROM {_ROLES})
     SELECT f.doc, CASE WHEN k >= 3 AND n < 6 THEN 'BANK_STATEMENT' WHEN f.doc % 3 = 0 THEN 'RECEIPT' WHEN f.doc % 2 = 0 THEN 'INVOICE' ELSE 'RECEIPT' END AS doc_type FROM f JOIN r ON f.doc = r.doc""")

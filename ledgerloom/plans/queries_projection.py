@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import text
 from ledgerloom.operators import projection, responses, rules
 from ledgerloom.plans.views import duck, view
 
@@ -114,3 +115,15 @@ def par16_handled_responses(spark, sf_dir):
     of = lambda f: F.element_at("fields", f)
     off = F.nullif(F.array_join(F.transform("items_off", lambda i: i.cast("string")), ","), F.lit(""))
     return done.select("doc", of("SUPPLIER_NAME").alias("supplier"), of("TOTAL_AMOUNT").alias("total"), of("LINE_ITEM_QUANTITIES").alias("quantities"), off.alias("items_off"))
+
+
+@query("""WITH l AS (SELECT case_id, list(supplier ORDER BY rid) FILTER (WHERE rid % 2 = 1) AS s, list(coalesce(total::DECIMAL(18,2)::VARCHAR, 'NOT_FOUND') ORDER BY rid) AS t FROM receipts GROUP BY case_id)
+    SELECT case_id, i AS idx, CASE WHEN len(s) > 0 THEN s[least(i + 1, len(s))] END AS store, t[i + 1] AS total FROM (SELECT case_id, coalesce(s, []) AS s, t, unnest(range(0, len(t))) AS i FROM l)""")
+def arr2_receipts_of_images(spark, sf_dir):
+    """Several receipts of one image as parallel pipe lists; a store list that is too short goes on with its last one."""
+    piped = lambda c, test: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(test, F.struct("rid", c.alias("x"))))), lambda r: r["x"]), " | ")
+    total = F.coalesce(F.col("total").cast("decimal(18,2)").cast("string"), F.lit(text.MISSING))
+    lists = view(spark, sf_dir, "receipts").groupBy("case_id").agg(piped(F.col("supplier"), F.col("rid") % 2 == 1).alias("stores"), piped(total, F.lit(True)).alias("totals"))
+    stores = text.split_items(F.col("stores"))
+    each = lists.select("case_id", stores.alias("s"), F.posexplode(text.split_items(F.col("totals"))).alias("i", "total"))
+    return each.select("case_id", F.col("i").cast("long").alias("idx"), F.when(F.size("s") > 0, F.get("s", F.least(F.col("i"), F.size("s") - 1))).alias("store"), "total")
