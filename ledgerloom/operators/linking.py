@@ -7,9 +7,6 @@ bucket) instead of comparing all rows of a case.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,38 +37,33 @@ def best_match(receipts: DataFrame, rows: DataFrame, tolerance: float = 0.01, wi
     return receipts.join(best, ["case_id", "rid"], "left").withColumn("confidence", confidence(F.col("date_score"), F.col("desc_score")))
 
 
-def _chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The links of each case from the list of its candidate pairs."""
-    for batch in batches:
-        out: list[tuple] = []
-        for case, pairs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            by_receipt: dict[int, list[tuple]] = {}
-            for p in sorted(pairs, key=lambda p: (-(p["date_score"] + p["desc_score"]), p["pos"])):
-                by_receipt.setdefault(p["rid"], []).append(p)
-            taken: set[int] = set()
-            best = lambda rid: (by_receipt[rid][0]["rank"], -(by_receipt[rid][0]["date_score"] + by_receipt[rid][0]["desc_score"]), rid)  # noqa: E731, B023
-            for rid in sorted(by_receipt, key=best):
-                free = next((p for p in by_receipt[rid] if p["pos"] not in taken), None)
-                if free:
-                    taken.add(free["pos"])
-                    out.append((case, rid, free["pos"], free["date_score"], free["desc_score"]))
-        columns = list(zip(*out, strict=True)) if out else [()] * 5
-        kinds = [pa.int64()] * 3 + [pa.float64()] * 2
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["case_id", "rid", "pos", "date_score", "desc_score"])
+def _chosen(pairs: Column) -> Column:
+    """The links of a case from its candidate pairs, as a fold over its receipts."""
+    ordered = F.array_sort(F.transform(pairs, lambda p: F.struct(p["rid"].alias("rid"), (-(p["date_score"] + p["desc_score"])).alias("s"), p["pos"].alias("pos"), p["rank"].alias("rank"), p["date_score"].alias("date_score"), p["desc_score"].alias("desc_score"))))
+    link = lambda p: F.struct(*[p[c].alias(c) for c in ("rid", "pos", "date_score", "desc_score")])
+
+    def choose(every: Column) -> Column:
+        first = F.filter(every, lambda p, i: F.coalesce(F.get(every, i - 1)["rid"] != p["rid"], F.lit(True)))
+        turns = F.array_sort(F.transform(first, lambda p: F.struct(p["rank"], p["s"], p["rid"])))
+        free = lambda links, t: F.filter(every, lambda p: (p["rid"] == t["rid"]) & ~F.exists(links, lambda q: q["pos"] == p["pos"]))
+        none = F.array().cast("array<struct<rid:bigint,pos:bigint,date_score:double,desc_score:double>>")
+        return F.aggregate(turns, none, lambda links, t: F.concat(links, F.transform(F.slice(free(links, t), 1, 1), link)))
+
+    return F.get(F.transform(F.array(ordered), choose), F.lit(0))
 
 
 def assign(receipts: DataFrame, rows: DataFrame, tolerance: float = 0.01, window: int = 5) -> DataFrame:
     """One-to-one links (case_id, rid, pos, date_score, desc_score, confidence).
 
     Within a case, receipts choose in the order of their best confidence and score; a row that is taken
-    is gone, and a receipt whose rows are all taken stays without one.  The choice is sequential, so a
-    case's candidate pairs are one list; they are few, as only equal amounts meet.
+    is gone, and a receipt whose rows are all taken stays without one.  The choice is a fold over a
+    case's candidate pairs; they are few, as only equal amounts meet.
     """
     pairs = candidates(receipts, rows, tolerance, window).select("case_id", "rid", "pos", "date_score", "desc_score")
     pairs = pairs.withColumn("rank", F.expr("CASE WHEN date_score > 0 AND desc_score >= 0.5 THEN 0 WHEN date_score > 0 OR desc_score >= 0.5 THEN 1 ELSE 2 END"))
 
     listed = pairs.groupBy("case_id").agg(F.collect_list(F.struct("rid", "pos", "date_score", "desc_score", "rank")).alias("pairs"))
-    links = listed.mapInArrow(_chosen, "case_id long, rid long, pos long, date_score double, desc_score double")
+    links = listed.select("case_id", F.explode(_chosen(F.col("pairs"))).alias("l")).select("case_id", "l.*")
     out = receipts.select("case_id", "rid").join(links, ["case_id", "rid"], "left")
     return out.withColumn("confidence", confidence(F.col("date_score"), F.col("desc_score")))
 
