@@ -174,14 +174,12 @@ RANGE_MARKS = (" - ", " to ", " – ", " — ", "-")
 
 def date_range(c: Column) -> Column:
     """The dates of a text: both ends of a range, by the first mark that parts it into two of five signs or more, or one."""
-    out = None
-    for mark in RANGE_MARKS:
-        parts = F.filter(F.transform(F.split(c, mark), lambda x: F.trim(x)), lambda x: F.length(x) > 4)
-        ends = F.filter(F.transform(F.slice(parts, 1, 2), date_tuple), lambda x: x.isNotNull())
-        fits = F.lower(c).contains(mark) & (F.size(parts) >= 2)
-        out = F.when(fits, ends) if out is None else out.when(fits, ends)
+    cut = lambda m: F.filter(F.transform(F.split(c, m), lambda x: F.trim(x)), lambda x: F.length(x) > 4)
+    tried = F.transform(F.array(*map(F.lit, RANGE_MARKS)), lambda m: F.struct(F.contains(F.lower(c), m).alias("has"), cut(m).alias("parts")))
+    parts = F.get(F.filter(tried, lambda k: k["has"] & (F.size(k["parts"]) >= 2)), F.lit(0))["parts"]
+    ends = F.filter(F.transform(F.slice(parts, 1, 2), date_tuple), lambda x: x.isNotNull())
     whole = F.filter(F.array(date_tuple(c)), lambda x: x.isNotNull())
-    return _bound(out, lambda found: F.when(F.coalesce(F.size(found), F.lit(0)) > 0, found).otherwise(whole))
+    return _bound(ends, lambda found: F.when(F.coalesce(F.size(found), F.lit(0)) > 0, found).otherwise(whole))
 
 
 def date_field_score(value: Column, truth: Column) -> Column:

@@ -85,12 +85,13 @@ def _folded(events: Column, takes, starts, gives, value) -> Column:
     return F.aggregate(events, state(text, empty, none), step, closed)
 
 
-def field_lines(df: DataFrame, raw_col: str, fields: tuple[str, ...], artifacts: bool = False) -> DataFrame:
+def field_lines(df: DataFrame, raw_col: str, fields: tuple[str, ...], list_fields: tuple[str, ...] = (), artifacts: bool = False) -> DataFrame:
     """Adds ``fields``, a map of every expected field, from a response: as JSON (also cut off) where it looks like it, else line by line.
 
     The first pass reads ``KEY: value``; a list field without a value takes the bullets below it, the last line of a key counts.  Where it
     finds less than half of the fields, a second pass reads bold keys whose values stand on the lines below; it fills gaps only.  Lists then get
-    pipes, addresses lose commas, dates become DD/MM/YYYY.  Both passes are folds over the lines.
+    pipes, addresses lose commas, dates become DD/MM/YYYY.  Both passes are folds over the lines.  ``list_fields`` names list fields beside
+    those that ``LIST_FIELDS`` tells by their beginning.
     """
     text = F.coalesce(F.col(raw_col), F.lit(""))
     if artifacts:
@@ -100,7 +101,7 @@ def field_lines(df: DataFrame, raw_col: str, fields: tuple[str, ...], artifacts:
     body = F.from_json(repair_json(F.col("_text")), T.MapType(T.StringType(), T.StringType()))
     out = out.withColumn("_json", F.when(looks_like_json("_text"), body)).withColumn("_lines", F.split("_text", "\n"))
     known = lambda k: k.isin(*fields)
-    listed = lambda k: F.exists(F.array(*map(F.lit, LIST_FIELDS)), lambda p: F.startswith(k, p))
+    listed = lambda k: F.exists(F.array(*map(F.lit, LIST_FIELDS)), lambda p: F.startswith(k, p)) | k.isin(*list_fields)
     bullet = lambda t: t.startswith("*") | t.startswith("-")
     slip = lambda x: F.regexp_replace(F.replace(x, F.lit("*"), F.lit("")), "^LINE_ITEM_DESCRIPTION:", "LINE_ITEM_DESCRIPTIONS:")
     plain = lambda x: F.regexp_replace(F.regexp_replace(x, r"^\s*\*+\s*", ""), r"\*+([^*]+)\*+", "$1")

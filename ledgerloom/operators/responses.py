@@ -12,7 +12,7 @@ from ledgerloom.operators.quality import business_flags
 
 def handle(responses: DataFrame, raw: str, fields: tuple[str, ...], artifacts: bool = True) -> DataFrame:
     """Adds ``fields`` (every expected field, cleaned by its kind) and the flags of ``quality.business_flags``."""
-    parsed = field_lines(responses, raw, fields, artifacts)
+    parsed = field_lines(responses, raw, fields, artifacts=artifacts)
     cleaned = F.create_map(*[x for f in fields for x in (F.lit(f), clean_value(F.lit(f), F.element_at("fields", f)))])
     out = parsed.withColumn("fields", cleaned)
     return out.withColumns(business_flags(F.col("fields")))
