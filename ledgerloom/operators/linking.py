@@ -187,3 +187,10 @@ def receipt_metrics(records: DataFrame) -> DataFrame:
     share = lambda a, n: F.round(F.when(F.col(n) > 0 if isinstance(n, str) else n > 0, F.col(a) / (F.col(n) if isinstance(n, str) else n)).otherwise(0.0), 6)
     tp = F.col("tp")
     return sums.select("receipts", "correct", "tp", "fp", "fn", share("correct", "receipts").alias("accuracy"), share("tp", tp + F.col("fp")).alias("precision"), share("tp", tp + F.col("fn")).alias("recall"), *[share(p, "tp").alias(f"{p}_accuracy") for p in parts])
+
+
+def confidence_throughput(records: DataFrame, seconds: float) -> DataFrame:
+    """How many judged receipts have each confidence, and how many receipts a minute the run judged (null without a time)."""
+    scored = records.filter(F.col("correct").isNotNull())
+    total = scored.agg(F.count("*").alias("receipts")).withColumn("per_minute", F.round(F.col("receipts") / seconds * 60, 6) if seconds > 0 else F.lit(None).cast("double"))
+    return scored.groupBy("confidence").agg(F.count("*").alias("n")).crossJoin(total)  # one row

@@ -116,3 +116,10 @@ def timing(stage_seconds: Column, stage_images: Column, elapsed: Column, summed:
 def batch_strategy(memory_gb: Column, high: float = 24.0, medium: float = 12.0) -> Column:
     """aggressive, balanced or conservative by memory; null without a figure."""
     return F.when(memory_gb >= high, "aggressive").when(memory_gb >= medium, "balanced").when(memory_gb.isNotNull(), "conservative")
+
+
+def extraction_order(types: tuple[str, ...], doc_type: Column, area: Column | None = None, largest_first: bool = False) -> list[Column]:
+    """What to sort by: the configured order of types, unknown ones last, then perhaps the area of the image; add the input's order for ties."""
+    place = F.array_position(F.array(*[F.lit(t.lower()) for t in types]), F.lower(F.coalesce(doc_type, F.lit(""))))
+    first = F.when(place > 0, place).otherwise(len(types) + 1).asc()
+    return [first] if area is None else [first, area.desc_nulls_last() if largest_first else area.asc_nulls_last()]

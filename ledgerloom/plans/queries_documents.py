@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import documents, linking
+from ledgerloom.functions.cleaning import ALIASES
+from ledgerloom.operators import documents, linking, routing, scoring
 from ledgerloom.plans.queries_records import _F1
 from ledgerloom.plans.views import duck, view
 
@@ -176,3 +177,46 @@ def jn6_evl10_receipt_records(spark, sf_dir):
     SELECT receipts, correct, tp, fp, fn, round(correct / receipts::DOUBLE, 6) AS accuracy, round(tp / (tp + fp)::DOUBLE, 6) AS precision, round(tp / (tp + fn)::DOUBLE, 6) AS recall, round(a / tp::DOUBLE, 6) AS amount_accuracy, round(d / tp::DOUBLE, 6) AS date_accuracy, round(e / tp::DOUBLE, 6) AS description_accuracy FROM m""")
 def evl10_receipt_metrics(spark, sf_dir):
     return linking.receipt_metrics(_records(spark, sf_dir))
+
+
+@query(f"""WITH RECURSIVE {_RECORDS} SELECT confidence, count(*) AS n, any_value(t) AS receipts, round(any_value(t) / 90.0::DOUBLE * 60, 6) AS per_minute FROM rec, (SELECT count(*) AS t FROM rec WHERE correct IS NOT NULL) WHERE correct IS NOT NULL GROUP BY confidence""")
+def agg9_confidence_throughput(spark, sf_dir):
+    return linking.confidence_throughput(_records(spark, sf_dir), 90.0)
+
+
+# --- the simple evaluator ------------------------------------------------------------------------
+_PAIRS = """(SELECT -doc - 1 AS doc, field, CASE WHEN (-doc - 1) % 9 = 0 AND field = 'SUPPLIER_NAME' THEN ' ' WHEN field = 'BUSINESS_ABN' THEN replace(got, '53', '5 3') ELSE got END AS value, CASE WHEN (-doc - 1) % 8 = 1 AND field = 'PAYER_NAME' THEN '' ELSE want END AS truth FROM doc_values WHERE doc < 0
+    UNION ALL SELECT doc, field, got, want FROM doc_values WHERE doc >= 0 UNION ALL SELECT DISTINCT doc, 'DOCUMENT_TYPE', CASE WHEN doc % 2 = 0 THEN 'Account Statement' ELSE 'memo' END, 'BANK_STATEMENT' FROM doc_values WHERE doc >= 0)"""
+_TYPE = lambda x: "CASE " + " ".join(f"WHEN {x} IN ({', '.join(repr(w) for w in (name, *words))}) THEN '{name}'" for name, words in ALIASES.items()) + f" ELSE {x} END"
+_CASH = lambda x: f"(regexp_matches({x}, '[$£€.,]') AND regexp_matches({x}, '[0-9]'))"
+_WHOLE = lambda x: f"round_even(TRY_CAST(regexp_replace({x}, '[^0-9.]', '', 'g') AS DOUBLE), 0)"
+_DIGITS = lambda x: f"regexp_replace({x}, '[^0-9]', '', 'g')"
+_LONG = lambda x: f"(length({_DIGITS(x)}) >= 8 AND length({_DIGITS(x)}) / length(replace({x}, ' ', ''))::DOUBLE > 0.7)"
+_SHARED = lambda a, b: f"CASE WHEN length({b}) <= 3 THEN {a} = {b} WHEN length({a}) = 0 THEN false ELSE len(list_filter(string_split({a}, ''), lambda ch: contains({b}, ch))) / greatest(length({a}), length({b}))::DOUBLE >= 0.85 END"
+_ITEM = lambda a, b: f"CASE WHEN {_CASH(a)} OR {_CASH(b)} THEN coalesce({_WHOLE(a)} = {_WHOLE(b)}, false) ELSE {a} = {b} OR {_SHARED(a, b)} END"
+
+
+@query(f"""WITH p AS (SELECT doc, field, trim(coalesce(value, '')) = '' AS none, regexp_replace(trim(lower(value)), '^"+|"+$', '', 'g') AS v, regexp_replace(trim(lower(truth)), '^"+|"+$', '', 'g') AS t FROM {_PAIRS} WHERE trim(coalesce(truth, '')) <> '' AND field <> 'ACCOUNT_BALANCE'),
+    l AS (SELECT *, {_IT('v')} AS a, {_IT('t')} AS b FROM p),
+    s AS (SELECT doc, field, CASE WHEN none THEN 'missing' WHEN coalesce(CASE WHEN v = t THEN true WHEN {_TYPE('v')} = {_TYPE('t')} THEN true
+        WHEN contains(v, '|') OR contains(t, '|') THEN CASE WHEN contains(v, 'not_found') AND contains(t, 'not_found') THEN true WHEN contains(v, 'not_found') OR contains(t, 'not_found') THEN false ELSE len(a) = len(b) AND len(list_filter(range(1, len(a) + 1), lambda i: NOT coalesce({_ITEM('a[i]', 'b[i]')}, false))) = 0 END
+        WHEN {_CASH('t')} OR {_CASH('v')} THEN coalesce({_WHOLE('v')} = {_WHOLE('t')}, false) WHEN {_LONG('t')} OR {_LONG('v')} THEN {_DIGITS('v')} = {_DIGITS('t')} ELSE {_SHARED('v', 't')} END, false) THEN 'right' ELSE 'incorrect' END AS state FROM l)
+    SELECT doc, count(*) AS fields, count(*) FILTER (state = 'right') AS "right", round(count(*) FILTER (state = 'right') / count(*)::DOUBLE, 6) AS accuracy, coalesce(string_agg(field, ',' ORDER BY field) FILTER (state = 'missing'), '') AS missing, coalesce(string_agg(field, ',' ORDER BY field) FILTER (state = 'incorrect'), '') AS incorrect FROM s GROUP BY doc""")
+def evl8_simple_evaluation(spark, sf_dir):
+    d, f = F.col("doc"), F.col("field")
+    rows = view(spark, sf_dir, "doc_values")
+    k = -d - 1
+    value = F.when((k % 9 == 0) & (f == "SUPPLIER_NAME"), " ").when(f == "BUSINESS_ABN", F.replace("got", F.lit("53"), F.lit("5 3"))).otherwise(F.col("got"))
+    bought = rows.filter("doc < 0").select((2 * k + d + 1).alias("doc"), "field", value.alias("value"), F.when((k % 8 == 1) & (f == "PAYER_NAME"), "").otherwise(F.col("want")).alias("truth"))
+    banks = rows.filter("doc >= 0")
+    kinds = banks.select("doc").distinct().select("doc", F.lit("DOCUMENT_TYPE"), F.when(d % 2 == 0, "Account Statement").otherwise("memo"), F.lit("BANK_STATEMENT"))
+    return scoring.simple_evaluation(bought.union(banks.select("doc", "field", "got", "want")).union(kinds))
+
+
+@query("SELECT o_orderkey AS doc, row_number() OVER (ORDER BY CASE o_orderpriority WHEN '1-URGENT' THEN 1 WHEN '3-MEDIUM' THEN 2 ELSE 3 END, CASE WHEN o_orderkey % 5 <> 0 THEN floor(o_totalprice / 1000) END DESC NULLS LAST, o_orderkey) AS place FROM orders ORDER BY place LIMIT 500")
+def srt1_extraction_order(spark, sf_dir):
+    """The first 500 documents in the order in which they are read: a top-k report, so no task sorts the whole table."""
+    docs = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("doc"), F.col("o_orderpriority").alias("kind"), F.when(F.col("o_orderkey") % 5 != 0, F.floor(F.col("o_totalprice") / 1000)).alias("area"))
+    order = [*routing.extraction_order(("1-URGENT", "3-MEDIUM"), F.col("kind"), F.col("area"), largest_first=True), F.col("doc")]
+    first = docs.orderBy(*order).limit(500)
+    return first.agg(F.array_sort(F.collect_list(F.struct(F.when(F.col("kind") == "1-URGENT", 1).when(F.col("kind") == "3-MEDIUM", 2).otherwise(3).alias("t"), F.coalesce(-F.col("area"), F.lit(1)).alias("a"), "doc"))).alias("x")).select(F.posexplode("x.doc").alias("place", "doc")).select("doc", (F.col("place") + 1).cast("long").alias("place"))

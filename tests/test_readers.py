@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.similarity import matching_characters, matching_ratio
-from ledgerloom.operators import answers, blocks, documents, linking, nodes, parsers, quality, statement_maths, statements
+from ledgerloom.operators import answers, blocks, documents, linking, nodes, parsers, quality, scoring, statement_maths, statements
 from ledgerloom.streaming.header_cache import cached_batch, cached_stream
 
 TRANSCRIPT = """intro
@@ -202,3 +202,18 @@ def test_header_cache_lives_with_the_run(spark, tmp_path):
     more = table.unionByName(spark.createDataFrame([(7, "x/anz_9.png", "F"), (8, "plain.png", "G"), (9, None, None)], schema))
     got = {r.position: (r.institution, r.mapping, r.cached) for r in cached_batch(more, r"^(\w+)_").collect()}
     assert got == {5: ("anz", "D", False), 6: ("nab", "E", False), 7: ("anz", "D", True), 8: (None, "G", False), 9: (None, None, False)}
+
+
+def test_simple_match_and_strict_lists(spark):
+    cases = [
+        ('"Ace"', "ace", True), ("statement", "BANK_STATEMENT", True), ("$10.40", "10", True), ("10.60", "$10.40", False), ("12 345 678 901", "ABN 12345678901", True), ("12 345 678 901", "12345678901", True),
+        ("a | NOT_FOUND", "b | not_found", True), ("a | b", "a", False), ("$1.20 | pear", "1.4|pears", False), ("$1.20 | oranges", "1.4|orange", True), ("abc", "abd", False), ("1.2.3", "1", False), ("hardware", "hardwar", True),
+    ]
+    df = spark.createDataFrame(cases, "v string, t string, want boolean").select("v", "t", "want", scoring.simple_match(F.col("v"), F.col("t")).alias("got"))
+    assert [(r.v, r.t) for r in df.collect() if r.got != r.want] == []
+    lists = spark.createDataFrame([("1 | NOT_FOUND", "a | b")], "paid string, names string")
+    kept = parsers.debit_rows({"paid": F.col("paid"), "names": F.col("names")}, "paid", strict=True)
+    assert tuple(lists.select(kept["paid"], kept["names"]).first()) == ("1", "a")
+    short = spark.createDataFrame([("1 | NOT_FOUND", "a")], "paid string, names string")
+    with pytest.raises(Exception, match="different lengths"):
+        short.select(parsers.debit_rows({"paid": F.col("paid"), "names": F.col("names")}, "paid", strict=True)["names"]).collect()
