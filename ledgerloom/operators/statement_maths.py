@@ -133,3 +133,28 @@ def enhance(statements: DataFrame, fields: str = "fields") -> DataFrame:
     kept = F.map_filter(fields, lambda k, v: ~k.isin(PAID, RECEIVED))
     analysis = F.struct(F.col("success"), F.when(F.col("success"), total("paid")).alias("total_debits"), F.when(F.col("success"), total("received")).alias("total_credits"), F.size(F.coalesce("rows", F.array())).cast("long").alias("transactions"))
     return df.withColumns({fields: F.when(F.col("success"), F.map_concat(kept, new)).otherwise(F.col(fields)), "analysis": analysis}).drop("_signed")
+
+
+def by_change_alone(statements: DataFrame, fields: str = "fields") -> DataFrame:
+    """The plain way: adds ``paid``, ``received`` (arrays of text in the old order), ``total_debits``, ``total_credits`` and ``success``.
+
+    As many rows as both dates and balances have; the earliest row takes the first amount as given (paid before received), every other
+    one the change of the balance.  Descriptions are not looked at."""
+    of = lambda f: F.try_element_at(fields, F.lit(f))
+    df = statements.withColumns({"_d": statement_dates(of(DATES)), "_b": statement_balances(of(BALANCES)), "_p": F.get(statement_amounts(of(PAID)), F.lit(0)), "_r": F.get(statement_amounts(of(RECEIVED)), F.lit(0))})
+    n = F.least(F.size("_d"), F.size("_b"))
+    rows = F.array_sort(F.transform(F.slice("_d", F.lit(1), n), lambda d, i: F.struct(d["date"].alias("date"), i.alias("i"), F.get("_b", i).alias("balance"))))
+    df = df.withColumn("_s", rows)
+
+    def amount(x: Column, k: Column) -> Column:
+        change = F.round(x["balance"] - F.get("_s", k - 1)["balance"], 6)
+        first = F.when(F.col("_p") > 0, -F.col("_p")).when(F.col("_r") > 0, F.col("_r")).otherwise(0.0)
+        return F.struct(x["i"].alias("i"), F.when(k == 0, first).otherwise(change).alias("x"))
+
+    df = df.withColumn("_k", F.array_sort(F.transform("_s", amount)))
+    text = lambda test, x: F.when(test, F.concat(F.lit("$"), F.abs(x).cast("decimal(18,2)").cast("string"))).otherwise(MISSING)
+    total = lambda test: F.round(F.aggregate("_k", F.lit(0.0), lambda acc, x: acc + F.when(test(x["x"]), F.abs(x["x"])).otherwise(0.0)), 2)
+    return df.withColumns({
+        "paid": F.transform("_k", lambda x: text(x["x"] < 0, x["x"])), "received": F.transform("_k", lambda x: text(x["x"] > 0, x["x"])), "total_debits": total(lambda x: x < 0), "total_credits": total(lambda x: x > 0),
+        "success": F.size("_k") > 0,
+    }).drop("_d", "_b", "_p", "_r", "_s", "_k")

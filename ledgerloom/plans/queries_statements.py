@@ -124,3 +124,12 @@ def bnk6_bnk7_statement_fields(spark, sf_dir):
     every = [statement_fields.schema_fields(docs, "rows", s).select("doc", F.lit(s).alias("way"), "fields") for s in statement_fields.STRATEGIES]
     of = {"span": "STATEMENT_DATE_RANGE", "dates": maths.DATES, "descriptions": maths.DESCRIPTIONS, "paid": maths.PAID, "balances": maths.BALANCES}
     return reduce(DataFrame.unionByName, every).select("doc", "way", *[F.try_element_at("fields", F.lit(f)).alias(n) for n, f in of.items()])
+
+
+@query(f"""WITH {_LISTS}, e AS (SELECT *, unnest(range(0, least(len(d), len(b)))) AS i FROM m WHERE len(d) > 0 AND len(b) > 0), f AS (SELECT doc, i, b[i + 1] AS balance, d[i + 1].date AS date, p[1] AS p1, r[1] AS r1 FROM e),
+    g AS (SELECT *, row_number() OVER w AS k, round(balance - lag(balance) OVER w, 6) AS change FROM f WINDOW w AS (PARTITION BY doc ORDER BY date, i)), h AS (SELECT *, CASE WHEN k = 1 THEN CASE WHEN p1 > 0 THEN -p1 WHEN r1 > 0 THEN r1 ELSE 0 END ELSE change END AS x FROM g),
+    o AS (SELECT doc, string_agg(CASE WHEN x < 0 THEN '$' || (-x)::DECIMAL(18,2) ELSE 'NOT_FOUND' END, ' | ' ORDER BY i) AS paid, string_agg(CASE WHEN x > 0 THEN '$' || x::DECIMAL(18,2) ELSE 'NOT_FOUND' END, ' | ' ORDER BY i) AS received, round(sum(CASE WHEN x < 0 THEN -x ELSE 0 END), 2) AS total_debits, round(sum(CASE WHEN x > 0 THEN x ELSE 0 END), 2) AS total_credits FROM h GROUP BY doc)
+    SELECT l.doc, o.doc IS NOT NULL AS success, coalesce(paid, '') AS paid, coalesce(received, '') AS received, coalesce(total_debits, 0) AS total_debits, coalesce(total_credits, 0) AS total_credits FROM (SELECT doc FROM statement_lists) l LEFT JOIN o ON o.doc = l.doc""")
+def bnk2_by_change_alone(spark, sf_dir):
+    t = maths.by_change_alone(_statements(spark, sf_dir))
+    return t.select("doc", "success", F.array_join("paid", " | ").alias("paid"), F.array_join("received", " | ").alias("received"), "total_debits", "total_credits")
