@@ -53,3 +53,14 @@ def evaluate_cases(extracted: DataFrame, truth: DataFrame, tolerance: float = 0.
     yes = lambda c: F.coalesce(c, F.lit(False))
     right = [yes(pct_diff(F.col(f"got_{v}"), F.col(v)) <= tolerance).alias(f"{v}_right") for v in values]
     return both.select("case_id", F.col("seen").isNull().alias("errored"), yes(F.col("seen") & (normal_id(F.col("got_abn")) == normal_id(F.col("abn")))).alias("abn_right"), *right)
+
+
+def case_summary(cases: DataFrame, seconds: float) -> DataFrame:
+    """One row over ``evaluate_cases``: how many cases and errors, the share of right values of each field over all cases, the share of cases
+    that are wholly right, and cases a minute (null without a time)."""
+    values = [c for c in cases.columns if c.endswith("_right")]
+    whole = F.lit(True)
+    for v in values:
+        whole = whole & F.col(v)
+    out = cases.agg(F.count("*").alias("cases"), F.count_if("errored").alias("errors"), *[F.round(F.avg(F.col(v).cast("double")), 6).alias(v.replace("_right", "_accuracy")) for v in values], F.round(F.avg(whole.cast("double")), 6).alias("all_right"))
+    return out.withColumn("per_minute", F.round(F.col("cases") / seconds * 60, 6) if seconds > 0 else F.lit(None).cast("double"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.similarity import matching_ratio, nearly_equal
-from ledgerloom.operators import answers, nodes, quality
+from ledgerloom.operators import answers, nodes, quality, trust
+from ledgerloom.plans import queries_scores
 from ledgerloom.plans.views import duck, view
 from ledgerloom.streaming.header_cache import cached_batch
 
@@ -101,6 +102,13 @@ def rul24_final_fields(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("doc"), F.explode(fields).alias("field", "value"))
 
 
+@query(f"""SELECT count(*) AS cases, count(*) FILTER (errored) AS errors, round(avg(abn_right::INT), 6) AS abn_accuracy, round(avg(income_right::INT), 6) AS income_accuracy, round(avg(franking_right::INT), 6) AS franking_accuracy, round(avg(cgt_right::INT), 6) AS cgt_accuracy,
+    round(avg((abn_right AND income_right AND franking_right AND cgt_right)::INT), 6) AS all_right, round(count(*) / 45.0::DOUBLE * 60, 6) AS per_minute FROM {queries_scores._TRUST}""")
+def agg10_trust_summary(spark, sf_dir):
+    d = view(spark, sf_dir, "trust_docs")
+    return trust.case_summary(trust.evaluate_cases(d.filter("kind = 'income_schedule'"), d.filter("kind = 'distribution_stmt'")), 45.0)
+
+
 # --- answers ---------------------------------------------------------------------------------
 @query("""SELECT doc, CASE WHEN v IN (6, 7, 9) THEN NULL ELSE [5, 0, 4, 0, 0, 0, NULL, NULL, 4, NULL, 3][v + 1] END::BIGINT AS headers, CASE WHEN v NOT IN (6, 7, 9) THEN v IN (1, 4) END AS paid, CASE WHEN v NOT IN (6, 7, 9) THEN v IN (3, 4) END AS travel, CASE WHEN v NOT IN (6, 7, 9) THEN coalesce([12, 3, 0, 0, 0, 0, 0, 0, 21, 0, 5][v + 1], 0) END::BIGINT AS rows,
     ['BANK_STATEMENT', 'RECEIPT', 'BANK_STATEMENT', 'TRAVEL', 'TRAVEL', 'INVOICE', NULL, NULL, 'INVOICE', NULL, 'LOGBOOK'][v + 1] AS kind, ['MEDIUM', 'LOW', 'LOW', 'LOW', 'LOW', 'LOW', NULL, NULL, 'HIGH', NULL, 'LOW'][v + 1] AS tier, CASE WHEN v NOT IN (6, 7, 9) THEN 'evidence' END AS source FROM (SELECT doc, doc % 11 AS v FROM answer_texts)""")
