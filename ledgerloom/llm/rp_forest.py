@@ -10,7 +10,8 @@ with every row, and the number is the smallest with which they find ``RECALL`` o
 
 Equal vectors are one class with its smallest ids, so a vector that a third of the rows share costs
 one comparison.  Queries go in blocks of ``QUERY_BLOCK`` distinct vectors, each block against all rows;
-a block and the planes are all that tasks receive.
+a block and the planes are all that tasks receive.  A block asks for ``PROBES`` leaves at most, and reaches
+the driver as Arrow columns, so what it holds does not grow with the table.
 
 Defined cases: vectors that are null, zero or of another length than the first id's, or that hold null
 or non-finite components, take no part, as rows with a null id; repeated ids count once with their
@@ -38,6 +39,7 @@ LEAF = 48
 RECALL = 0.95
 CALIBRATION = 96
 QUERY_BLOCK = 16_384
+PROBES = 1 << 23
 _PAIRS = 1 << 17
 _CROWD = 1 << 21
 
@@ -230,6 +232,22 @@ def top_ids(rows: DataFrame, k: int) -> DataFrame:
     return few.groupBy("vec").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
 
 
+def candidates(classes: DataFrame, n: int, sample: int) -> DataFrame:
+    """The vectors whose hashes are within twice the share of ``sample`` among ``n``: a sorted limit sends the
+    driver up to that many rows of every partition, so it must not see them all."""
+    return classes if n <= 2 * sample else classes.filter(F.xxhash64("vec") < F.lit((1 << 65) * sample // n - (1 << 63)))
+
+
+def fitting_sample(classes: DataFrame, n: int, sample: int) -> DataFrame:
+    """The ``sample`` vectors with the smallest hashes."""
+    return candidates(classes, n, sample).select("vec").orderBy(F.xxhash64("vec")).limit(sample)
+
+
+def block_size(leaves: int, query_block: int = QUERY_BLOCK) -> int:
+    """How many queries go at a time: ``query_block``, fewer where they ask for more than ``PROBES`` leaves."""
+    return max(1, min(query_block, PROBES // leaves))
+
+
 def nearest(df: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_id", vec_col: str = "embedding", trees: int = TREES, recall: float = RECALL, sample: int = SAMPLE, leaf: int = LEAF, query_block: int = QUERY_BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest of every row whose id is divisible by ``every``."""
     spark = df.sparkSession
@@ -242,8 +260,7 @@ def nearest(df: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_id"
     n = classes.count()
     if not n:
         return spark.createDataFrame([], schema)
-    fitted = classes.select("vec").orderBy(F.xxhash64("vec")).limit(sample).collect()
-    forest = Forest(np.array([r["vec"] for r in fitted], dtype=np.float64), n, trees, leaf)
+    forest = Forest(_matrix(fitting_sample(classes, n, sample).toArrow().column("vec").combine_chunks()), n, trees, leaf)
     element = classes.schema["vec"].dataType.simpleString()
     index = classes.mapInArrow(partial(_indexed, forest), f"ids array<long>, vec {element}, codes array<long>").checkpoint()
     members = rows.filter(F.col("vec_id") % every == 0)
@@ -254,18 +271,19 @@ def nearest(df: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_id"
     for r in index.select("vec", "codes").mapInArrow(partial(_compared, known, k), "q long, distance double, codes array<long>").withColumn("r", F.row_number().over(near)).filter(F.col("r") <= k).select("q", "codes").collect():
         truth[r["q"]].append(r["codes"])
     leaves = leaves_needed(forest, known, truth, recall)
+    query_block = block_size(leaves, query_block)
     n_blocks = -(-asked.count() // query_block)
     best, by_class = None, Window.partitionBy("qid").orderBy("score", "vec_id")
     for block in range(n_blocks):
         mine = asked.filter(F.pmod(F.xxhash64("qid"), F.lit(n_blocks)) == block).repartition(max(1, min(64, query_block // 64)))
-        probes = mine.mapInArrow(partial(_probed, forest, leaves), f"qid long, vec {element}, leaves array<long>").collect()
-        if not probes:
+        probes = mine.mapInArrow(partial(_probed, forest, leaves), f"qid long, vec {element}, leaves array<long>").toArrow()
+        if not probes.num_rows:
             continue
-        count = np.array([len(r["leaves"]) for r in probes])
-        codes = np.concatenate([np.array(r["leaves"], dtype=np.int64) for r in probes])
+        asks = probes.column("leaves").combine_chunks()
+        codes = asks.flatten().to_numpy()
         order = np.argsort(codes, kind="stable")
-        ask = np.repeat(np.arange(len(probes)), count)[order]
-        near = partial(_nearest, np.array([r["qid"] for r in probes]), np.array([r["vec"] for r in probes], dtype=np.float64), codes[order], ask, k + 1)
+        ask = np.repeat(np.arange(probes.num_rows), asks.value_lengths().to_numpy())[order]
+        near = partial(_nearest, probes.column("qid").to_numpy(), _matrix(probes.column("vec").combine_chunks()), codes[order], ask, k + 1)
         found = index.mapInArrow(near, "qid long, vec_id long, score double").withColumn("r", F.row_number().over(by_class)).filter(F.col("r") <= k + 1)
         found = found.select("qid", "vec_id", "score").checkpoint()  # what the next block needs is these rows, not this block
         best = found if best is None else best.unionByName(found)

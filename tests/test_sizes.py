@@ -4,8 +4,10 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 from test_oracle import rows_of
 
+from ledgerloom.llm import rp_forest
 from ledgerloom.plans import registry
 from ledgerloom.plans.views import TABLES
 
@@ -36,3 +38,12 @@ def same(spark, tmp_path):
 @pytest.mark.parametrize("name", ["tru2_par15_trust_checks", "tru3_clean_trust"])
 def test_half_cents_of_trust_cases(same, name):
     same(name, customer="SELECT * REPLACE (3696.65::DOUBLE + c_custkey * 10 AS c_acctbal) FROM customer")
+
+
+def test_what_the_driver_gets_of_the_forest(spark):
+    n, sample = 40_000, 500
+    rows = spark.range(n).repartition(16).select(F.array(F.col("id").cast("double"), F.rand(5)).alias("vec")).cache()
+    chosen = rp_forest.fitting_sample(rows, n, sample)
+    assert sorted(r["vec"] for r in chosen.collect()) == sorted(r["vec"] for r in rows.orderBy(F.xxhash64("vec")).limit(sample).collect())
+    assert rp_forest.candidates(rows, n, sample).count() < 3 * sample
+    assert rp_forest.block_size(100) == rp_forest.QUERY_BLOCK and 5000 * rp_forest.block_size(5000) <= rp_forest.PROBES and rp_forest.block_size(1 << 30) == 1
