@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from test_oracle import rows_of
 
 from ledgerloom.llm import rp_forest
+from ledgerloom.operators import documents
 from ledgerloom.plans import registry
 from ledgerloom.plans.views import TABLES
 
@@ -47,3 +48,20 @@ def test_what_the_driver_gets_of_the_forest(spark):
     assert sorted(r["vec"] for r in chosen.collect()) == sorted(r["vec"] for r in rows.orderBy(F.xxhash64("vec")).limit(sample).collect())
     assert rp_forest.candidates(rows, n, sample).count() < 3 * sample
     assert rp_forest.block_size(100) == rp_forest.QUERY_BLOCK and 5000 * rp_forest.block_size(5000) <= rp_forest.PROBES and rp_forest.block_size(1 << 30) == 1
+
+
+@pytest.fixture
+def pairs(spark):
+    return spark.sql("""SELECT * FROM VALUES (1, 'invoice', map('LINE_ITEM_DESCRIPTIONS', 'a b | c | a b', 'TOTAL_AMOUNT', '5'), map('LINE_ITEM_DESCRIPTIONS', 'c | a b | d | a b', 'TOTAL_AMOUNT', '5.00')),
+        (2, 'bank_statement', map('OTHER', 'x'), map('TRANSACTION_DATES', '01/02/2024 | 02/02/2024')) AS t(doc, doc_type, got, want)""")
+
+
+def test_one_pass_gives_both_agnostic_scores(pairs):
+    both = {(r["doc"], r["field"]): r["agnostic"] for r in documents.evaluate_fields(pairs, "kieval").collect()}
+    assert both == {(r["doc"], r["field"]): r["f1"] for r in documents.evaluate_fields(pairs, "position_agnostic").collect()}
+
+
+def test_correlation_reads_documents_once(pairs):
+    out = documents.correlation(pairs)
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+    assert {(r["doc"], r["standard_f1"], r["alignment"]) for r in out.collect()} == {(1, 0.928571, 0.0), (2, 0.0, 1.0)}
