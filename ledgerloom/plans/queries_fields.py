@@ -186,10 +186,11 @@ def sql_tuples(x: str) -> str:
 @query(f"""WITH t AS (SELECT a.n AS a, b.n AS b, a.text AS x, b.text AS y, list_distinct({sql_tuples('a.text')}) AS p, list_distinct({sql_tuples('b.text')}) AS q, {sql_tuples('a.text')} AS p1, {sql_tuples('b.text')} AS q1 FROM date_shapes a JOIN date_shapes b ON b.n BETWEEN a.n - 3 AND a.n + 3)
     SELECT a, b, round(CASE WHEN len(p) = 0 OR len(q) = 0 THEN 0.0 WHEN len(list_intersect(p, q)) > 0 THEN len(list_intersect(p, q)) / greatest(len(p), len(q))::DOUBLE WHEN regexp_replace(p1[1], '/[0-9]+$', '') = regexp_replace(q1[1], '/[0-9]+$', '') THEN 0.8 ELSE 0.0 END, 6) AS score FROM t""")
 def dat4_set5_date_scores(spark, sf_dir):
-    a = view(spark, sf_dir, "date_shapes").select(F.col("n").alias("a"), F.col("text").alias("x"))
+    # a text is read once, not once for each of its pairs
+    a = view(spark, sf_dir, "date_shapes").select(F.col("n").alias("a"), dates.date_ends(F.col("text")).alias("x"))
     near = a.withColumn("b", F.explode(F.sequence(F.col("a") - 3, F.col("a") + 3)))
     both = near.join(a.select(F.col("a").alias("b"), F.col("x").alias("y")), "b")
-    return both.select("a", "b", F.round(dates.date_field_score(F.col("x"), F.col("y")), 6).alias("score"))
+    return both.select("a", "b", F.round(dates.date_ends_score(F.col("x"), F.col("y")), 6).alias("score"))
 
 
 # --- texts -------------------------------------------------------------------------------------
