@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.arrays import bound
+
 # Descriptions of lines that are no transactions.
 NOT_A_TRANSACTION = r"(?i)OPENING BALANCE|CLOSING BALANCE|BROUGHT FORWARD|CARRIED FORWARD"
 
@@ -61,7 +63,6 @@ def totals(register: DataFrame) -> DataFrame:
 
 def keyword_type(description: Column, debit_words: tuple[str, ...], credit_words: tuple[str, ...]) -> Column:
     """DEBIT or CREDIT by which list has more words within the description; null on a tie."""
-    up = F.upper(description)
-    d = sum((up.contains(w).cast("int") for w in debit_words), F.lit(0))
-    c = sum((up.contains(w).cast("int") for w in credit_words), F.lit(0))
-    return F.when(d > c, "DEBIT").when(c > d, "CREDIT")
+    count = lambda up, words: sum((up.contains(w).cast("int") for w in words), F.lit(0))
+    more = bound(F.upper(description), lambda up: count(up, debit_words) - count(up, credit_words))
+    return bound(more, lambda n: F.when(n > 0, "DEBIT").when(n < 0, "CREDIT"))

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.arrays import bound
 from ledgerloom.functions.dates import STATEMENT_LADDER, ladder
 from ledgerloom.functions.text import MISSING
 from ledgerloom.operators.bank import keyword_type
@@ -55,34 +56,40 @@ def _number(x: Column) -> Column:
 
 def statement_dates(c: Column) -> Column:
     """(date, text) of each date that can be read."""
-    own = F.when(_given(c).contains("|"), F.filter(_piped(c), lambda x: x != "")).otherwise(_runs(_given(c), DATE_RUNS))
+    own = bound(_given(c), lambda t: F.when(t.contains("|"), F.filter(_piped(t), lambda x: x != "")).otherwise(_runs(t, DATE_RUNS)))
     read = F.transform(own, lambda x: F.struct(ladder(x, STATEMENT_LADDER).alias("date"), x.alias("text")))
     return F.filter(read, lambda x: x["date"].isNotNull())
 
 
 def statement_balances(c: Column) -> Column:
     """The balances that can be read."""
-    blanks = F.filter(F.split(_given(c), r"\s+"), lambda x: x.contains("$") | x.rlike(r"^\d"))
-    own = F.when(_given(c).contains("|"), F.filter(_piped(c), lambda x: x != "")).otherwise(_runs(_given(c), MONEY_RUNS, blanks))
+    blanks = lambda t: F.filter(F.split(t, r"\s+"), lambda x: x.contains("$") | x.rlike(r"^\d"))
+    own = bound(_given(c), lambda t: F.when(t.contains("|"), F.filter(_piped(t), lambda x: x != "")).otherwise(_runs(t, MONEY_RUNS, blanks(t))))
     return F.filter(F.transform(own, _number), lambda x: x.isNotNull())
 
 
 def statement_amounts(c: Column) -> Column:
     """Amounts at their places; missing and unreadable ones are 0."""
-    own = F.when(_given(c).isin("", MISSING), F.array().cast("array<string>")).when(c.contains("|"), _piped(c)).otherwise(_runs(_given(c), MONEY_RUNS))
+    own = bound(_given(c), lambda t: F.when(t.isin("", MISSING), F.array().cast("array<string>")).when(t.contains("|"), _piped(t)).otherwise(_runs(t, MONEY_RUNS)))
     return F.transform(own, lambda x: F.coalesce(_number(x), F.lit(0.0)))
 
 
 def statement_descriptions(c: Column) -> Column:
-    own = F.filter(_piped(_given(c)), lambda x: x != "")
-    return F.when(_given(c).isin("", MISSING), F.array().cast("array<string>")).otherwise(own)
+    return bound(_given(c), lambda t: F.when(t.isin("", MISSING), F.array().cast("array<string>")).otherwise(F.filter(_piped(t), lambda x: x != "")))
 
 
 def reclassify(paid: Column, received: Column, description: Column) -> Column:
     """(paid, received, moved): an amount in the one column goes to the other if the description's words say so."""
-    kind = keyword_type(F.lower(description), tuple(w.upper() for w in DEBIT_WORDS), tuple(w.upper() for w in CREDIT_WORDS))
-    out = F.coalesce((kind == "DEBIT") & (received > 0) & (paid == 0), F.lit(False))
-    in_ = F.coalesce((kind == "CREDIT") & (paid > 0) & (received == 0), F.lit(False))
+    # the words are looked for only where an amount could move
+    one = (F.coalesce(received > 0, F.lit(False)) & F.coalesce(paid == 0, F.lit(False))) | (F.coalesce(paid > 0, F.lit(False)) & F.coalesce(received == 0, F.lit(False)))
+    kind = F.when(one, keyword_type(F.lower(description), tuple(w.upper() for w in DEBIT_WORDS), tuple(w.upper() for w in CREDIT_WORDS)))
+    moves = lambda k: F.struct(
+        F.coalesce((k == "DEBIT") & (received > 0) & (paid == 0), F.lit(False)).alias("out"), F.coalesce((k == "CREDIT") & (paid > 0) & (received == 0), F.lit(False)).alias("in")
+    )
+    return bound(bound(kind, moves), lambda m: _moved(m["out"], m["in"], paid, received))
+
+
+def _moved(out: Column, in_: Column, paid: Column, received: Column) -> Column:
     return F.struct(F.when(out, received).when(in_, F.lit(0.0)).otherwise(paid).alias("paid"), F.when(in_, paid).when(out, F.lit(0.0)).otherwise(received).alias("received"), (out | in_).alias("moved"))
 
 

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.arrays import each
 from ledgerloom.operators import statement_fields, statements
 from ledgerloom.operators import statement_maths as maths
 from ledgerloom.plans.views import duck, view
@@ -59,7 +60,8 @@ _ROWS = f"""
 def _statements(spark, sf_dir):
     v = view(spark, sf_dir, "statement_lists")
     names = {"dates": maths.DATES, "balances": maths.BALANCES, "descriptions": maths.DESCRIPTIONS, "paid": maths.PAID, "received": maths.RECEIVED}
-    return v.select("doc", F.create_map(*[x for c, f in names.items() for x in (F.lit(f), F.col(c))]).alias("fields"))
+    # Spark writes a created map out anew wherever one of its fields is asked for; one from arrays is made once
+    return v.select("doc", F.map_from_arrays(F.array(*map(F.lit, names.values())), F.array(*names)).alias("fields"))
 
 
 @query(f"WITH {_LISTS} SELECT doc, len(d) AS n_dates, min(x.date) AS first_date, len(b) AS n_balances, round(list_sum(b), 2) AS sum_balances, len(t) AS n_descriptions, len(p) AS n_paid, round(list_sum(p), 2) AS sum_paid, len(r) AS n_received FROM m LEFT JOIN LATERAL (SELECT unnest(d) AS x) ON true GROUP BY ALL".replace("min(x.date) AS first_date", "list_min(list_transform(d, lambda x: x.date)) AS first_date").replace(" LEFT JOIN LATERAL (SELECT unnest(d) AS x) ON true GROUP BY ALL", ""))
@@ -78,7 +80,7 @@ def bnk3_statement_lists(spark, sf_dir):
     CASE WHEN vlm IS NULL THEN NULL WHEN paid <> 0 THEN coalesce(change < 0, false) ELSE coalesce(change > 0, false) END AS right, round(CASE WHEN change <> 0 THEN 1.0 - abs(vlm - abs(change)) / abs(change) END, 6) AS accuracy,
     CASE WHEN vlm IS NULL THEN 0.80 WHEN CASE WHEN paid <> 0 THEN coalesce(change < 0, false) ELSE coalesce(change > 0, false) END THEN 0.95 ELSE 0.85 END AS confidence FROM rows_""".replace(" AS right", ' AS "right"'))
 def bnk1_rul16_rul17_rows(spark, sf_dir):
-    t = maths.analyse(_statements(spark, sf_dir)).select("doc", F.explode("rows").alias("r")).select("doc", "r.*")
+    t = each(maths.analyse(_statements(spark, sf_dir)).select("doc", "rows"), "rows", "place", "r").select("doc", "r.*")
     return t.withColumns({"i": F.col("i").cast("long"), "accuracy": F.round("accuracy", 6)})
 
 
