@@ -41,6 +41,8 @@ LABELS = {
     "amount": {"description": ("description", "details", "transaction details"), "amount": ("amount",), "balance": ("balance",)},
 }
 _GOES_ON = r"^-\s+(.+)$"
+# All white space of Unicode.
+WHITE = "\t\n\v\f\r \u0085\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 VALUES = ("description", "debit", "credit", "amount", "balance")
 _ROW = "struct<date:string," + ",".join(f"{v}:string" for v in VALUES) + ">"
 ROWS = f"array<{_ROW}>"
@@ -48,7 +50,7 @@ ROWS = f"array<{_ROW}>"
 
 def strip(c: Column) -> Column:
     """Without white space of any kind at both ends."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITE))
 
 
 def lines_of(text: Column) -> Column:
