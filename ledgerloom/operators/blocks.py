@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.functions.arrays import bound
 from ledgerloom.operators.statements import lines_of, strip
 
 # The header of a block, its keys, and stores that stand for no answer.
@@ -30,20 +31,19 @@ def key_blocks(text: Column, keys: tuple[str, ...], bare: bool = False) -> Colum
     def read(x: Column) -> Column:
         key = F.upper(strip(F.substring_index(x, ":", 1)))
         value = F.when(F.instr(x, ":") > 0, strip(F.substring(x, F.instr(x, ":") + 1, F.length(x)))).otherwise("")
-        known = key.isin(*keys) & (F.lit(True) if bare else F.instr(x, ":") > 0)
-        return F.struct(F.when(known, key).alias("k"), value.alias("v"))
+        known = lambda k: k.isin(*keys) & (F.lit(True) if bare else F.instr(x, ":") > 0)
+        return bound(key, lambda k: F.when(known(k), F.struct(k.alias("k"), value.alias("v"))))
 
     def cut(all_: Column) -> Column:
         n = F.size(all_)
-        heads = F.filter(F.transform(all_, lambda e, i: F.when(e["h"], i)), lambda i: i.isNotNull())
-        ends = F.concat(F.slice(heads, F.lit(2), F.greatest(F.size(heads), F.lit(0))), F.array(n))
-        spans = F.zip_with(heads, F.slice(ends, F.lit(1), F.size(heads)), lambda a, b: F.slice(all_, a + 2, b - a - 1))
-        return F.transform(spans, block)
+        starts = F.filter(F.transform(all_, lambda e, i: F.when(e["h"], i)), lambda i: i.isNotNull())
+        span = lambda heads: lambda a, k: F.slice(all_, a + 2, F.coalesce(F.get(heads, k + 1), n) - a - 1)
+        return F.transform(bound(starts, lambda heads: F.transform(heads, span(heads))), block)
 
     def block(span: Column) -> Column:
-        pairs = F.filter(F.transform(span, lambda e: read(e["x"])), lambda p: p["k"].isNotNull())
-        last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["k"] == p["k"]))
-        return F.map_from_entries(F.transform(last, lambda p: F.struct(p["k"], p["v"])))
+        pairs = F.filter(F.transform(span, lambda e: read(e["x"])), lambda p: p.isNotNull())
+        last = lambda own: F.filter(own, lambda p, i: ~F.exists(F.slice(own, i + 2, F.size(own)), lambda q: q["k"] == p["k"]))
+        return F.map_from_entries(F.transform(bound(pairs, last), lambda p: F.struct(p["k"], p["v"])))
 
     return F.filter(F.get(F.transform(F.array(lines), cut), F.lit(0)), lambda m: F.size(m) > 0)
 
@@ -74,7 +74,7 @@ def link_answers(text: Column) -> Column:
     body = F.from_json(F.regexp_extract(text, r"(?s)\{.*\}", 0), T.MapType(T.StringType(), T.StringType()))
     upper = F.transform_keys(body, lambda k, v: F.upper(strip(k)))
     known = F.transform_values(F.map_filter(upper, lambda k, v: k.isin(*LINK_KEYS)), lambda k, v: strip(F.coalesce(v, F.lit(""))))
-    answers = F.when(F.map_contains_key(known, "MATCHED_TRANSACTION"), F.array(known)).otherwise(key_blocks(text, LINK_KEYS, bare=True))
+    answers = bound(known, lambda k: F.when(F.map_contains_key(k, "MATCHED_TRANSACTION"), F.array(k)).otherwise(key_blocks(text, LINK_KEYS, bare=True)))
     return F.filter(answers, lambda m: ~is_placeholder(m))
 
 
@@ -114,7 +114,9 @@ def repair_json(text: Column, keep_cut: bool = True) -> Column:
     def tidy(all_: Column) -> Column:
         # commas before an end go; a field that follows a value gets one
         after = lambda i, k: F.get(all_, i + k)["kind"]
-        kept = F.filter(all_, lambda e, i: ~((e["kind"] == "comma") & F.coalesce(after(i, 1) == "close", F.lit(False))))
+        return bound(F.filter(all_, lambda e, i: ~((e["kind"] == "comma") & F.coalesce(after(i, 1) == "close", F.lit(False)))), with_commas)
+
+    def with_commas(kept: Column) -> Column:
         nxt = lambda i, k: F.get(kept, i + k)["kind"]
         ends = lambda e: e["kind"].isin("text", "word", "close")
         comma = F.struct(F.lit(",").alias("t"), F.lit("comma").alias("kind"))
@@ -144,12 +146,17 @@ def repair_json(text: Column, keep_cut: bool = True) -> Column:
         return F.when(live, state(new, next_, n, F.when(safe, n).otherwise(s["at"]), F.when(cut, F.concat(F.lit('"'), stack)).when(safe, new).otherwise(s["closing"]))).otherwise(s)
 
     def whole(all_: Column) -> Column:
-        none = state(F.lit(""), F.lit("value"), F.lit(0), F.lit(0), F.lit(""))
         # the very last word may be cut too: without keep_cut it is no value
         last = F.size(all_) - 1
-        seen = all_ if keep_cut else F.filter(all_, lambda e, i: ~((i == last) & (e["kind"] == "word")))
+        if not keep_cut:
+            return bound(F.filter(all_, lambda e, i: ~((i == last) & (e["kind"] == "word"))), folded)
+        return folded(all_)
+
+    def folded(seen: Column) -> Column:
+        none = state(F.lit(""), F.lit("value"), F.lit(0), F.lit(0), F.lit(""))
         end = lambda s: F.concat(F.array_join(F.transform(F.slice(seen, F.lit(1), s["at"]), lambda e: e["t"]), ""), s["closing"])
         return F.aggregate(seen, none, step, end)
 
-    bound = F.get(F.transform(F.array(trimmed(tokens)), lambda a: whole(tidy(a))), F.lit(0))
-    return F.when(start != "", bound)
+    # each step is worked out once: without that a token reads all tokens again, and again for each step before it
+    closed = bound(bound(bound(tokens, trimmed), tidy), whole)
+    return F.when(start != "", closed)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.arrays import each
 from ledgerloom.operators import blocks, statements
 from ledgerloom.plans.queries_records import duck
 from ledgerloom.plans.views import view
@@ -71,7 +72,7 @@ def statement_sql(form: str, columns: dict[str, str]) -> str:
 
 def _statement(spark, sf_dir, form, columns):
     rows = statements.statement_rows(F.col("raw"), form, columns)
-    return texts(spark, sf_dir, "statement_lines").select("doc", F.posexplode(rows).alias("n", "r")).select("doc", (F.col("n") + 1).cast("long").alias("n"), "r.*")
+    return texts(spark, sf_dir, "statement_lines").select("doc", rows.alias("rows")).transform(each, "rows", "n", "r").select("doc", (F.col("n") + 1).cast("long").alias("n"), "r.*")
 
 
 _BALANCE = {"description": "Narrative", "debit": "Paid out", "credit": "Paid in", "balance": "Running balance"}
@@ -99,7 +100,8 @@ def block_sql(keys: tuple[str, ...], bare: bool = False) -> str:
 
 
 def _exploded(t, column):
-    return t.select("doc", F.posexplode(column).alias("n", "m")).select("doc", (F.col("n") + 1).cast("long").alias("n"), F.explode("m").alias("key", "value"))
+    blocks_ = each(t.select("doc", column.alias("b")), "b", "n", "m").select("doc", (F.col("n") + 1).cast("long").alias("n"), "m")
+    return each(blocks_, "m", "key", "value")
 
 
 @query(f"WITH {block_sql(blocks.RECEIPT_KEYS)} SELECT doc, dense_rank() OVER (PARTITION BY doc ORDER BY block) AS n, key, value FROM d")
