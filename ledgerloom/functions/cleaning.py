@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.arrays import bound
 from ledgerloom.functions.text import MISSING
 
 # Name parts of each kind in the order in which they are tried, spellings of a missing value, suffixes of
@@ -38,7 +39,7 @@ ALIASES = {
 
 
 def _or_missing(c: Column) -> Column:
-    return F.coalesce(F.nullif(c, F.lit("")), F.lit(MISSING))
+    return bound(c, lambda x: F.when(x != "", x).otherwise(MISSING))
 
 
 def _gone(c: Column, *patterns: str) -> Column:
@@ -62,7 +63,7 @@ def clean_money(c: Column) -> Column:
     for p in CURRENCIES:
         s = F.regexp_replace(s, "(?i)" + p, r"\$")
     s = _single(F.replace(s, F.lit(","), F.lit("")))
-    return _or_missing(F.when(s.contains("$") & ~s.startswith("$"), F.regexp_replace(s, r"^(.*?)\$(.+)", r"\$$2")).otherwise(s))
+    return _or_missing(bound(s, lambda x: F.when(x.contains("$") & ~x.startswith("$"), F.regexp_replace(x, r"^(.*?)\$(.+)", r"\$$2")).otherwise(x)))
 
 
 def clean_text(c: Column) -> Column:
@@ -95,10 +96,10 @@ def clean_list(field: Column, c: Column) -> Column:
     an item that comes to nothing stays as the missing mark; a list of nothing else is missing as a whole."""
     s, name = _unmarked(c), F.upper(field)
     s = F.when(name.rlike("AMOUNT|PRICE|COST|FEE"), F.regexp_replace(s, r"(\$\d+\.\d{2})\s+(\$\d+\.\d{2})", "$1 | $2")).otherwise(s)
-    items = F.transform(F.when(s.contains("|"), F.split(s, r"\|")).otherwise(F.split(s, r",(?!\d)")), lambda x: F.trim(x))
+    items = F.transform(bound(s, lambda x: F.when(x.contains("|"), F.split(x, r"\|")).otherwise(F.split(x, r",(?!\d)"))), lambda x: F.trim(x))
     items = F.filter(items, lambda x: x != "")
     made = F.when(name.contains("PRICE"), F.transform(items, clean_money)).otherwise(F.transform(items, clean_text))
-    return F.when(F.forall(made, lambda x: x == MISSING), F.lit(MISSING)).otherwise(F.array_join(made, " | "))
+    return bound(made, lambda m: F.when(F.forall(m, lambda x: x == MISSING), F.lit(MISSING)).otherwise(F.array_join(m, " | ")))
 
 
 def field_kind(field: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.functions.arrays import bound
 from ledgerloom.functions.dates import day_first
 from ledgerloom.functions.text import MISSING, strip_quantity
 from ledgerloom.operators.blocks import repair_json
@@ -134,9 +135,12 @@ def field_lines(df: DataFrame, raw_col: str, fields: tuple[str, ...], list_field
     out = out.withColumn("_few", F.size(found) < len(fields) * 0.5)
     by_line = lambda f: F.coalesce(F.nullif(last(f), F.lit(MISSING)), F.when(F.col("_few"), gap(f)), F.lit(MISSING))
     is_json = F.col("_json").isNotNull() & (F.size("_json") > 0)
-    out = out.withColumns({f"_f_{f}": F.when(is_json, F.coalesce(F.nullif(strip(F.try_element_at("_json", F.lit(f))), F.lit("")), F.lit(MISSING))).otherwise(_tidied(f, by_line(f))) for f in fields})
-    out = out.withColumn("fields", F.create_map(*[x for f in fields for x in (F.lit(f), F.col(f"_f_{f}"))]))
-    return out.drop("_text", "_json", "_lines", "_one", "_two", "_few", *[f"_f_{f}" for f in fields])
+    of_json = lambda f: bound(strip(F.try_element_at("_json", F.lit(f))), or_missing)
+    of_lines = lambda f: bound(by_line(f), lambda v: _tidied(f, v))
+    values = [F.when(is_json, of_json(f)).otherwise(of_lines(f)) for f in fields]
+    # Spark writes a created map out anew wherever one of its fields is asked for; one from arrays is made once
+    out = out.withColumn("fields", F.map_from_arrays(F.array(*map(F.lit, fields)), F.array(*values)))
+    return out.drop("_text", "_json", "_lines", "_one", "_two", "_few")
 
 
 def _tidied(field: str, value: Column) -> Column:
