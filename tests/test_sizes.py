@@ -7,8 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 from test_oracle import rows_of
 
+from ledgerloom.functions import cleaning, dates, similarity
+from ledgerloom.functions.arrays import each
 from ledgerloom.llm import rp_forest
-from ledgerloom.operators import documents
+from ledgerloom.operators import blocks, documents, quality, statement_maths, statements
 from ledgerloom.plans import registry
 from ledgerloom.plans.views import TABLES
 
@@ -65,3 +67,46 @@ def test_correlation_reads_documents_once(pairs):
     out = documents.correlation(pairs)
     assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
     assert {(r["doc"], r["standard_f1"], r["alignment"]) for r in out.collect()} == {(1, 0.428571, 0.0), (2, 0.0, 1.0)}
+
+
+@pytest.mark.parametrize("name", ["bnk1_rul16_rul17_rows", "flt7_srt1_aligned_registers", "evl7_evl6_document_fields", "evl7_document_summary"])
+def test_no_second_reading_in_a_filter(spark, name):
+    plan = registry.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.split("\n") if "Filter (size(" in line]
+
+
+def test_each_gives_what_explode_gives(spark):
+    df = spark.sql("SELECT * FROM VALUES (1, array('a', NULL), map('k', 'v')), (2, array(), map()), (3, NULL, NULL) AS t(id, xs, m)")
+    assert sorted(map(tuple, each(df.drop("m"), "xs", "n", "x").collect())) == [(1, 0, "a"), (1, 1, None)]
+    assert [tuple(r) for r in each(df.drop("xs"), "m", "k", "v").collect()] == [(1, "k", "v")]
+
+
+@pytest.mark.parametrize(
+    "made, part, most",
+    [
+        (lambda c: statement_maths.reclassify(F.col("p"), F.col("r"), c), "upper(", 1), (lambda c: dates.ladder(c, dates.STATEMENT_LADDER), "trim(", 1), (lambda c: statement_maths.statement_balances(c), "coalesce(c", 1),
+        (blocks.receipt_blocks, "substring_index(", 1), (blocks.repair_json, "regexp_extract_all(", 1), (cleaning.clean_money, "AUD?", 1), (lambda c: cleaning.clean_list(F.lit("LINE_ITEM_PRICES"), c), "AUD?", 1),
+        (lambda c: quality.business_flags(c)["items_off"], "LINE_ITEM_QUANTITIES", 2),
+    ],
+)
+def test_what_is_used_often_is_worked_out_once(spark, made, part, most):
+    assert str(made(F.col("c"))).count(part) <= most
+
+
+def test_dates_are_read_before_they_are_paired(spark):
+    plan = registry.queries()["dat4_set5_date_scores"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and "regexp_extract_all" not in plan[: plan.index("Join")]
+
+
+def test_strip_without_a_pattern(spark):
+    assert "regexp" not in str(statements.strip(F.col("c")))
+    texts = [f"{w}a{w} b{w}{w}" for w in [*map(chr, range(1, 0x3100)), "", " \n"]]
+    df = spark.createDataFrame([(t,) for t in texts], "c string")
+    assert df.filter(statements.strip(F.col("c")) != F.regexp_replace("c", r"(?U)^\s+|\s+$", "")).count() == 0
+
+
+def test_short_texts_are_compared_without_rows_of_numbers(monkeypatch):
+    pairs = [("forest lamp", "lamp forest x"), ("", "a"), ("abab", "baba"), ("same", "same")]
+    want = [2.0 * similarity.matching_characters(a, b) / len(a + b) for a, b in pairs]
+    monkeypatch.setattr(similarity, "matching_characters", None)
+    assert [similarity._ratio(a, b) for a, b in pairs] == want
