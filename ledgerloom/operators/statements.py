@@ -41,6 +41,9 @@ LABELS = {
     "amount": {"description": ("description", "details", "transaction details"), "amount": ("amount",), "balance": ("balance",)},
 }
 _GOES_ON = r"^-\s+(.+)$"
+# How all those lines begin; the patterns are tried on no others.
+_DATE_START = r"(?i)^(?:\d+\.|\*\*\d|\d*\.?\s*\*?\*?Date)"
+_FIELD_START = {"balance": (r"^\*\*", r"^\*", "^-"), "amount": ("^[-*]",)}
 # All white space of Unicode.
 WHITE = "\t\n\v\f\r \u0085\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 VALUES = ("description", "debit", "credit", "amount", "balance")
@@ -67,9 +70,10 @@ def read_line(line: Column, form: str) -> Column:
     """(date, field (name, value), more) of a stripped line; null where it has none."""
     group = lambda p, k=1: strip(F.regexp_extract(line, p, k))
     labelled = strip(F.regexp_replace(group(_LABEL), r"^\*+|\*+$", ""))
-    date = _first([labelled, *map(group, DATE_LINES[form])])
+    date = F.when(line.rlike(_DATE_START), _first([labelled, *map(group, DATE_LINES[form])]))
     name = lambda p: strip(F.replace(F.lower(group(p)), F.lit(" amount"), F.lit(""))) if form == "balance" else F.lower(group(p))
-    field = _first([F.struct(name(p).alias("name"), group(p, 2).alias("value")) for p in FIELD_LINES[form]], lambda x: x["name"] != "")
+    named = lambda p: F.struct(name(p).alias("name"), group(p, 2).alias("value"))
+    field = _first([F.when(line.rlike(_FIELD_START[form][k]), named(p)) for k, p in enumerate(FIELD_LINES[form])], lambda x: x["name"] != "")
     return F.struct(date.alias("date"), field.alias("field"), _first([group(_GOES_ON)]).alias("more"))
 
 
