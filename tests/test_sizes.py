@@ -10,7 +10,7 @@ from test_oracle import rows_of
 from ledgerloom.functions import cleaning, dates, similarity
 from ledgerloom.functions.arrays import each
 from ledgerloom.llm import rp_forest
-from ledgerloom.operators import blocks, documents, quality, statement_maths, statements
+from ledgerloom.operators import blocks, documents, quality, scoring, statement_maths, statements
 from ledgerloom.plans import registry
 from ledgerloom.plans.views import TABLES
 
@@ -86,7 +86,7 @@ def test_each_gives_what_explode_gives(spark):
     [
         (lambda c: statement_maths.reclassify(F.col("p"), F.col("r"), c), "upper(", 1), (lambda c: dates.ladder(c, dates.STATEMENT_LADDER), "trim(", 1), (lambda c: statement_maths.statement_balances(c), "coalesce(c", 1),
         (blocks.receipt_blocks, "substring_index(", 1), (blocks.repair_json, "regexp_extract_all(", 1), (cleaning.clean_money, "AUD?", 1), (lambda c: cleaning.clean_list(F.lit("LINE_ITEM_PRICES"), c), "AUD?", 1),
-        (lambda c: quality.business_flags(c)["items_off"], "LINE_ITEM_QUANTITIES", 2),
+        (lambda c: quality.business_flags(c)["items_off"], "LINE_ITEM_QUANTITIES", 2), (lambda c: scoring.scalar_score(F.col("f"), c, F.lit("x")), "nullif(trim(c", 1), (lambda c: scoring.simple_match(c, F.lit("x")), "lower(c)", 1),
     ],
 )
 def test_what_is_used_often_is_worked_out_once(spark, made, part, most):
@@ -110,3 +110,15 @@ def test_short_texts_are_compared_without_rows_of_numbers(monkeypatch):
     want = [2.0 * similarity.matching_characters(a, b) / len(a + b) for a, b in pairs]
     monkeypatch.setattr(similarity, "matching_characters", None)
     assert [similarity._ratio(a, b) for a, b in pairs] == want
+
+
+@pytest.mark.parametrize("form", ["balance", "amount"])
+def test_lines_begin_as_their_patterns_do(spark, form):
+    heads = ["", "1.", "12. ", "**", "*", "-", "- ", "1. **", "1.[", "1. Date: ", "**date:** ", "Date ", "7 Date", "* Date", "x", "1"]
+    tails = ["01/02/2024", "01/02/2024**", "1 Feb 2024", "Thu 1 Feb 2024", "[1 Feb]", "1 Feb", "1 Feb 24", "Amount: 3", "Debit:** 4", "**Debit Amount:** 4", "Details", ""]
+    df = spark.createDataFrame([(h + t,) for h in heads for t in tails], "c string")
+    dated = df.select("c", *[statements.strip(F.regexp_extract("c", p, 1)).alias(f"d{k}") for k, p in enumerate((statements._LABEL, *statements.DATE_LINES[form]))])
+    assert dated.filter(F.greatest(*[F.length(c) for c in dated.columns[1:]]) > 0).filter(~F.col("c").rlike(statements._DATE_START)).count() == 0
+    for start, pattern in zip(statements._FIELD_START[form], statements.FIELD_LINES[form], strict=True):
+        assert df.filter((F.regexp_extract("c", pattern, 1) != "") & ~F.col("c").rlike(start)).count() == 0
+    assert "CASE WHEN" in str(statements.read_line(F.col("c"), form))
