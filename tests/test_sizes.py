@@ -122,3 +122,9 @@ def test_lines_begin_as_their_patterns_do(spark, form):
     for start, pattern in zip(statements._FIELD_START[form], statements.FIELD_LINES[form], strict=True):
         assert df.filter((F.regexp_extract("c", pattern, 1) != "") & ~F.col("c").rlike(start)).count() == 0
     assert "CASE WHEN" in str(statements.read_line(F.col("c"), form))
+
+
+def test_means_that_are_exact_halves_go_up(spark):
+    f1 = [4 / 5, 3 / 5, 14 / 15, 11 / 12, 9 / 10, 7 / 10, 15 / 16, 1 / 10]  # the mean is 0.7359375, its sum in this order a little less
+    df = spark.createDataFrame([(1, "invoice", f"f{i}", "x", "x", x, x, x) for i, x in enumerate(f1)], "doc long, doc_type string, field string, value string, truth string, f1 double, precision double, recall double").coalesce(1)
+    assert documents.summarise(df).select("accuracy", "precision", "recall").first() == (0.735938, 0.735938, 0.735938)
