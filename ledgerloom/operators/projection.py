@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.arrays import bound
 from ledgerloom.functions.text import MISSING
 
 # What a prompt says of a statement whose columns are not known.
@@ -60,7 +61,11 @@ def scored_only(predicted: DataFrame, truth: DataFrame, key: str) -> tuple[DataF
 
 def draw(seed: int, *key: Column) -> Column:
     """A number from 0 up to 1 that depends on the seed and the key alone."""
-    return F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *key)), 1, 7), 16, 10).cast("double") / float(1 << 28)
+    return _drawn(F.concat_ws("|", F.lit(str(seed)), *key))
+
+
+def _drawn(text: Column) -> Column:
+    return F.conv(F.substring(F.md5(text), 1, 7), 16, 10).cast("long") / float(1 << 28)
 
 
 def wrong_value(value: Column, u: Column, v: Column) -> Column:
@@ -68,7 +73,8 @@ def wrong_value(value: Column, u: Column, v: Column) -> Column:
     day = F.regexp_extract(value, r"^(\d{2})/", 1).try_cast("int")
     shifted = F.concat(F.lpad((day % 28 + 1).cast("string"), 2, "0"), F.substring(value, F.lit(3), F.length(value)))
     amount = F.replace(value, F.lit(","), F.lit("")).try_cast("decimal(18,2)")
-    scaled = amount * F.when(v < 1 / 3, F.lit("0.1").cast("decimal(4,1)")).when(v < 2 / 3, F.lit("1.1").cast("decimal(4,1)")).otherwise(F.lit("10.0").cast("decimal(4,1)"))
+    factor = bound(v, lambda x: F.when(x < 1 / 3, F.lit("0.1").cast("decimal(4,1)")).when(x < 2 / 3, F.lit("1.1").cast("decimal(4,1)")).otherwise(F.lit("10.0").cast("decimal(4,1)")))
+    scaled = amount * factor
     return (
         F.when(value == MISSING, value).when(u < 0.35, MISSING).when(value.rlike(r"^\d{2}/\d{2}/\d{4}$"), shifted).when(value.rlike(r"^-?[\d,]+\.\d{2}$"), F.round(scaled, 2).cast("decimal(18,2)").cast("string"))
         .when(value.contains(" "), F.regexp_replace(value, r"\s+\S+$", "")).when(F.length(value) > 3, F.substring(value, F.lit(1), F.length(value) - 1)).otherwise("UNKNOWN")
@@ -78,13 +84,16 @@ def wrong_value(value: Column, u: Column, v: Column) -> Column:
 def perturbed(records: DataFrame, field_error: float, item_error: float, seed: int) -> DataFrame:
     """Adds ``wrong`` to (doc, field, value): a value is misread with ``field_error``, an item of a pipe list with ``item_error``, and of
     those about one in seven is lost, so that later ones move up.  The same seed gives the same copy, on any cluster."""
-    value, key = F.col("value"), (F.col("doc").cast("string"), F.col("field"))
-    u = lambda what, i: draw(seed, *key, i.cast("string"), F.lit(what))
+    value, start = F.col("value"), F.col("_start")
+    keyed = records.withColumn("_start", F.concat_ws("|", F.lit(str(seed)), F.col("doc").cast("string"), F.col("field"), F.lit("")))
+    u = lambda what, i: _drawn(F.concat(start, i.cast("string"), F.lit(f"|{what}")))
     read = lambda x, i: F.when(u("hit", i) >= item_error, x).when(u("drop", i) < 0.15, None).otherwise(wrong_value(x, u("kind", i), u("much", i)))
-    items = F.filter(F.transform(F.split(value, r"\|"), read), lambda x: x.isNotNull())
+    items = F.array_join(F.transform(F.split(value, r"\|"), read), "|")  # without those that are null
     zero = F.lit(0)
     one = F.when(u("hit", zero) < field_error, wrong_value(value, u("kind", zero), u("much", zero))).otherwise(value)
-    return records.withColumn("wrong", F.when(value == MISSING, value).when(value.contains("|"), F.coalesce(F.nullif(F.array_join(items, "|"), F.lit("")), F.lit(MISSING))).otherwise(one))
+    # not by nullif, which would work the whole list out a second time
+    listed = bound(items, lambda x: F.when(x == "", MISSING).otherwise(x))
+    return keyed.withColumn("wrong", F.when(value == MISSING, value).when(value.contains("|"), listed).otherwise(one)).drop("_start")
 
 
 def column_context(headers: Column, roles: dict[str, Column]) -> Column:

@@ -10,7 +10,7 @@ from test_oracle import rows_of
 from ledgerloom.functions import cleaning, dates, similarity
 from ledgerloom.functions.arrays import each
 from ledgerloom.llm import rp_forest
-from ledgerloom.operators import blocks, documents, quality, scoring, statement_maths, statements
+from ledgerloom.operators import blocks, documents, projection, quality, scoring, statement_maths, statements
 from ledgerloom.plans import registry
 from ledgerloom.plans.views import TABLES
 
@@ -128,3 +128,8 @@ def test_means_that_are_exact_halves_go_up(spark):
     f1 = [4 / 5, 3 / 5, 14 / 15, 11 / 12, 9 / 10, 7 / 10, 15 / 16, 1 / 10]  # the mean is 0.7359375, its sum in this order a little less
     df = spark.createDataFrame([(1, "invoice", f"f{i}", "x", "x", x, x, x) for i, x in enumerate(f1)], "doc long, doc_type string, field string, value string, truth string, f1 double, precision double, recall double").coalesce(1)
     assert documents.summarise(df).select("accuracy", "precision", "recall").first() == (0.735938, 0.735938, 0.735938)
+
+
+def test_lists_are_misread_once(spark):
+    plan = projection.perturbed(spark.sql("SELECT id AS doc, 'f' AS field, concat('a|', id) AS value FROM range(3)"), 0.3, 0.4, seed=7)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("|drop") == 1 and plan.count("concat_ws(") == 1
