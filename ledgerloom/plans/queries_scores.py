@@ -43,10 +43,11 @@ _ALIKE = lambda a, b: f"(1 - levenshtein(lower(trim({a})), lower(trim({b}))) / g
     SELECT doc, tp, n_got - tp AS fp, n_want - tp AS fn, least(n_got, n_want) - tp AS substitution, n_want - least(n_got, n_want) AS addition, n_got - least(n_got, n_want) AS deletion, round(1 - (greatest(n_got, n_want) - tp) / greatest(n_got, n_want)::DOUBLE, 6) AS score FROM r""")
 def evl2_evl3_greedy_lists(spark, sf_dir):
     lists = view(spark, sf_dir, "item_pairs").groupBy("doc").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "want"))), lambda x: x["want"]).alias("want"),
-        F.transform(F.reverse(F.array_sort(F.collect_list(F.when(F.col("got").isNotNull(), F.struct("pos", "got"))))), lambda x: x["got"]).alias("got"),
+        F.sort_array(F.collect_list(F.struct("pos", "want")))["want"].alias("want"),
+        F.sort_array(F.collect_list(F.when(F.col("got").isNotNull(), F.struct("pos", "got"))), asc=False)["got"].alias("got"),
     )
-    tp = lists.select("doc", scoring.greedy_matches(F.col("got"), F.col("want"), text.fuzzy_equal).alias("tp"), F.size("got").cast("long").alias("g"), F.size("want").cast("long").alias("w"))
+    read = lambda c: F.transform(c, text.read_text)
+    tp = lists.select("doc", scoring.greedy_matches(read("got"), read("want"), text.reads_equal).alias("tp"), F.size("got").cast("long").alias("g"), F.size("want").cast("long").alias("w"))
     cost = scoring.correction_cost(F.col("tp"), F.col("g"), F.col("w"))
     return tp.select("doc", "tp", (F.col("g") - F.col("tp")).alias("fp"), (F.col("w") - F.col("tp")).alias("fn"), *[(F.round(c, 6) if k == "score" else c).alias(k) for k, c in cost.items()])
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_oracle import rows_of
 
-from ledgerloom.functions import cleaning, dates, similarity
+from ledgerloom.functions import cleaning, dates, similarity, text
 from ledgerloom.functions.arrays import each
 from ledgerloom.llm import rp_forest
 from ledgerloom.operators import blocks, documents, projection, quality, scoring, statement_maths, statements
@@ -133,3 +133,16 @@ def test_means_that_are_exact_halves_go_up(spark):
 def test_lists_are_misread_once(spark):
     plan = projection.perturbed(spark.sql("SELECT id AS doc, 'f' AS field, concat('a|', id) AS value FROM range(3)"), 0.3, 0.4, seed=7)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("|drop") == 1 and plan.count("concat_ws(") == 1
+
+
+def test_no_item_is_compared_after_one_is_found(spark):
+    match = lambda a, b: F.when(b == "never", F.raise_error(F.lit("compared")).cast("boolean")).otherwise(a == b)
+    df = spark.sql("SELECT array('a', 'b') AS got, array('b', 'a', 'never') AS want, CAST(NULL AS array<string>) AS none")
+    assert df.select(scoring.greedy_matches(F.col("got"), F.col("want"), match), scoring.greedy_matches(F.col("none"), F.col("want"), match), scoring.greedy_matches(F.col("got"), F.col("none"), match)).first() == (2, 0, 0)
+
+
+def test_read_texts_are_compared_as_texts_are(spark):
+    texts = ["", " ", "a", "A b", "a  b ", "b a", "large red lamp 12", "large red lamp 13", "LARGE red lamp 1", "small red lamp 12", "red lamp large 12 x", "abcdefghij", "abcdefghiX", "abcdefghXX", None]
+    df = spark.createDataFrame([(a, b) for a in texts for b in texts], "a string, b string")
+    both = df.select("a", "b", text.fuzzy_equal(F.col("a"), F.col("b")).alias("x"), text.reads_equal(text.read_text(F.col("a")), text.read_text(F.col("b"))).alias("y")).collect()
+    assert [(r.a, r.b) for r in both if bool(r.x) != bool(r.y)] == [] and any(r.y and r.a != r.b for r in both)
