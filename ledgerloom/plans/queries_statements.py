@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.arrays import each
@@ -122,10 +119,9 @@ def bnk6_bnk7_statement_fields(spark, sf_dir):
         F.when(c("balance").isNull(), "n/a").when(c("balance") < 0, F.concat(F.lit("($"), money(-c("balance")), F.lit(")"))).otherwise(F.concat(F.lit("$"), money(c("balance")), F.lit(" CR"))).alias("balance"),
     )
     names = ("date", *statements.VALUES)
-    docs = view(spark, sf_dir, "register").groupBy(c("case_id").alias("doc")).agg(F.transform(F.array_sort(F.collect_list(row)), lambda r: F.struct(*[r[n].alias(n) for n in names])).alias("rows"))
-    every = [statement_fields.schema_fields(docs, "rows", s).select("doc", F.lit(s).alias("way"), "fields") for s in statement_fields.STRATEGIES]
+    docs = view(spark, sf_dir, "register").groupBy(c("case_id").alias("doc")).agg(F.transform(F.sort_array(F.collect_list(row)), lambda r: F.struct(*[r[n].alias(n) for n in names])).alias("rows"))
     of = {"span": "STATEMENT_DATE_RANGE", "dates": maths.DATES, "descriptions": maths.DESCRIPTIONS, "paid": maths.PAID, "balances": maths.BALANCES}
-    return reduce(DataFrame.unionByName, every).select("doc", "way", *[F.try_element_at("fields", F.lit(f)).alias(n) for n, f in of.items()])
+    return statement_fields.fields_by_strategy(docs, "rows").select("doc", "way", *[F.try_element_at("fields", F.lit(f)).alias(n) for n, f in of.items()])
 
 
 @query(f"""WITH {_LISTS}, e AS (SELECT *, unnest(range(0, least(len(d), len(b)))) AS i FROM m WHERE len(d) > 0 AND len(b) > 0), f AS (SELECT doc, i, b[i + 1] AS balance, d[i + 1].date AS date, p[1] AS p1, r[1] AS r1 FROM e),

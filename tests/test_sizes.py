@@ -146,3 +146,8 @@ def test_read_texts_are_compared_as_texts_are(spark):
     df = spark.createDataFrame([(a, b) for a in texts for b in texts], "a string, b string")
     both = df.select("a", "b", text.fuzzy_equal(F.col("a"), F.col("b")).alias("x"), text.reads_equal(text.read_text(F.col("a")), text.read_text(F.col("b"))).alias("y")).collect()
     assert [(r.a, r.b) for r in both if bool(r.x) != bool(r.y)] == [] and any(r.y and r.a != r.b for r in both)
+
+
+def test_statement_dates_are_read_once(spark):
+    plan = registry.queries()["bnk6_bnk7_statement_fields"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("gettimestamp(") == len(dates.REGISTER_LADDER) and plan.count("Aggregate [") == 1
