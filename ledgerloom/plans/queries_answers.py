@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.similarity import matching_ratio, nearly_equal
 from ledgerloom.operators import answers, nodes, quality, trust
 from ledgerloom.plans import queries_scores
+from ledgerloom.plans.cases import flag_maps
 from ledgerloom.plans.views import duck, view
 from ledgerloom.streaming.header_cache import cached_batch
 
@@ -138,7 +139,7 @@ _FIELDS = ("LINE_ITEM_PRICES", "LINE_ITEM_TOTAL_PRICES", "LINE_ITEM_QUANTITIES",
       CASE WHEN bank THEN len(list_distinct(list_filter([CASE WHEN LINE_ITEM_DESCRIPTIONS <> 'NOT_FOUND' THEN len(list_filter({_SPLIT('LINE_ITEM_DESCRIPTIONS')}, lambda x: x <> '')) END, CASE WHEN TRANSACTION_DATES <> 'NOT_FOUND' THEN len(list_filter({_SPLIT('TRANSACTION_DATES')}, lambda x: x <> '')) END,
         CASE WHEN TRANSACTION_AMOUNTS_PAID <> 'NOT_FOUND' THEN len(list_filter({_SPLIT('TRANSACTION_AMOUNTS_PAID')}, lambda x: x <> '')) END], lambda x: x IS NOT NULL))) > 1 END AS counts_differ FROM h""")
 def str20_business_flags(spark, sf_dir):
-    docs = view(spark, sf_dir, "flag_fields").filter("value IS NOT NULL").groupBy("doc").agg(F.map_from_entries(F.collect_list(F.struct("field", "value"))).alias("fields"))
+    docs = flag_maps(spark, sf_dir)
     flags = quality.business_flags(F.col("fields"))
     flags["items_off"] = F.when(flags["items_off"].isNotNull(), F.array_join(F.transform(flags["items_off"], lambda i: i.cast("string")), ","))
     return docs.select("doc", *[c.alias(k) for k, c in flags.items()])

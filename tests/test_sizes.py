@@ -151,3 +151,14 @@ def test_read_texts_are_compared_as_texts_are(spark):
 def test_statement_dates_are_read_once(spark):
     plan = registry.queries()["bnk6_bnk7_statement_fields"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("gettimestamp(") == len(dates.REGISTER_LADDER) and plan.count("Aggregate [") == 1
+
+
+@pytest.mark.parametrize("name", ["str20_business_flags"])
+def test_documents_come_from_one_shuffle(spark, name):
+    plan = registry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_flags_of_orders_that_are_there_twice_or_have_a_statements_key(same):
+    moved = "SELECT * REPLACE (CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey + 100000000 ELSE o_orderkey END AS o_orderkey) FROM orders"
+    same("str20_business_flags", orders=f"{moved} UNION ALL SELECT * REPLACE (o_orderkey - o_orderkey % 2 AS o_orderkey) FROM orders WHERE o_orderkey < 40")
