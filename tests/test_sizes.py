@@ -153,7 +153,7 @@ def test_statement_dates_are_read_once(spark):
     assert plan.count("gettimestamp(") == len(dates.REGISTER_LADDER) and plan.count("Aggregate [") == 1
 
 
-@pytest.mark.parametrize("name", ["str20_business_flags"])
+@pytest.mark.parametrize("name", ["str20_business_flags", "evl8_simple_evaluation"])
 def test_documents_come_from_one_shuffle(spark, name):
     plan = registry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
@@ -162,3 +162,7 @@ def test_documents_come_from_one_shuffle(spark, name):
 def test_flags_of_orders_that_are_there_twice_or_have_a_statements_key(same):
     moved = "SELECT * REPLACE (CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey + 100000000 ELSE o_orderkey END AS o_orderkey) FROM orders"
     same("str20_business_flags", orders=f"{moved} UNION ALL SELECT * REPLACE (o_orderkey - o_orderkey % 2 AS o_orderkey) FROM orders WHERE o_orderkey < 40")
+
+
+def test_evaluation_of_orders_that_are_there_twice_or_not_at_all(same):
+    same("evl8_simple_evaluation", orders="SELECT * FROM orders WHERE o_orderkey % 5 <> 0 UNION ALL SELECT * REPLACE (o_totalprice + 1 AS o_totalprice) FROM orders WHERE o_orderkey BETWEEN 10 AND 40")
