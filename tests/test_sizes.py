@@ -153,7 +153,7 @@ def test_statement_dates_are_read_once(spark):
     assert plan.count("gettimestamp(") == len(dates.REGISTER_LADDER) and plan.count("Aggregate [") == 1
 
 
-@pytest.mark.parametrize("name", ["str20_business_flags", "evl8_simple_evaluation", "evl5_methods", "evl7_evl6_document_fields"])
+@pytest.mark.parametrize("name", ["str20_business_flags", "evl8_simple_evaluation", "evl5_methods", "evl7_evl6_document_fields", "evl7_document_summary", "evl4_correlation"])
 def test_documents_come_from_one_shuffle(spark, name):
     plan = registry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
