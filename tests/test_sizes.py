@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_oracle import rows_of
 
-from ledgerloom.functions import cleaning, dates, similarity, text
+from ledgerloom.functions import cleaning, dates, matching, similarity, text
 from ledgerloom.functions.arrays import each
 from ledgerloom.llm import rp_forest
 from ledgerloom.operators import blocks, documents, projection, quality, scoring, statement_maths, statements
@@ -153,12 +153,41 @@ def test_statement_dates_are_read_once(spark):
     assert plan.count("gettimestamp(") == len(dates.REGISTER_LADDER) and plan.count("Aggregate [") == 1
 
 
-@pytest.mark.parametrize("name", ["str20_business_flags", "evl8_simple_evaluation", "evl5_methods", "evl7_evl6_document_fields", "evl7_document_summary", "evl4_correlation"])
+@pytest.mark.parametrize("name", ["str20_business_flags", "evl8_simple_evaluation", "evl5_methods", "evl7_evl6_document_fields", "evl7_document_summary"])
 def test_documents_come_from_one_shuffle(spark, name):
     plan = registry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test_correlation_shuffles_lines_once_and_then_sums(spark):
+    plan = registry.queries()["evl4_correlation"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "partial_avg" in plan[: plan.rindex("Exchange hashpartitioning")]
+    assert plan.count("ArrowEvalPython") == 2 and "aggregate(" not in plan
+
+
+def test_batches_compare_items_as_expressions_do(spark):
+    texts = """|a|a b c d|d c b a|a b c e|a  b c\td|\t|\x0b|\u00a0|abcdefghij|ABCDEFGHIJ|abcdefghiX|abcdefgXiX|bcdefghij|1|1.00|$1.009|-1|0|0.01|0.011|1-2|1.2.3|.5|5.|-.5|1e5|--1|100|101|99|101.01|1/2/2024|01/02/2024|1 Feb 2024|1 feb 24
+        |Feb 2024|1 Feb|1/2|1 2 51|1 2 50|feb|NOT_FOUND|ß|SS|İ|ΑΣ|ας|large red lamp 12|large red lamp 13|1 mar apr 2024|\u0663|3|a\nb|kitten sitting on a mat|kitten sittin on a mat|kitten sittin on mat""".split("|")
+    df = spark.createDataFrame([(k, a, b) for k in matching.KINDS for a in texts for b in texts], "k string, a string, b string")
+    same = documents.items_match(F.col("k"), F.col("a"), F.col("b"))
+    for r in df.select("k", "a", "b", same.alias("same")).collect():
+        read, equal = matching.KINDS[r.k]
+        assert bool(equal(read(r.a), read(r.b))) == r.same, r
+    lists = ["", "a", "a | b", "b | a | c", "12 | 12.05 | NOT_FOUND | 12", "12.1 | 12", "red lamp 1 | red lamp 2 | red lamp", "red lamp 2 | lamp | red lamp 1", "1 Feb 2024 | 01/02/24 | soon", "01/02/2024 | 1 feb 24"]
+    df = spark.createDataFrame([(k, a, b) for k in matching.KINDS for a in [*lists, None] for b in lists], "k string, a string, b string")
+    k, a, b = F.col("k"), documents.items(F.col("a")), documents.items(F.col("b"))
+    want = scoring.greedy_matches(documents.read_items(k, a), documents.read_items(k, b), lambda x, y: documents.reads_match(k, x, y))
+    rows = df.select("a", matching.greedy_hits(k, F.col("a"), F.col("b")).alias("x"), want.alias("y")).collect()
+    assert [r for r in rows if r.x != (None if r.a is None else r.y)] == [] and max(r.y for r in rows) > 1
+
+
+def test_rows_of_lists_that_belong_together():
+    of = lambda got, want: matching.whole(["date", "text", "money"], got, want)
+    assert of([None] * 3, ["x"] * 3) is None and of([None, "a", None], [None, "|", None]) == 0.0
+    assert of(["1/2/24 | 3/2/24", "a | b", "5"], ["1 Feb 2024 | 4 Feb 2024 | x", "a | b", "5.04 | 6"]) == 0.5
+    assert of(["1/2/24", "a | c", None], ["1 Feb 2024", "a | b", "7"]) == 1.0
+
+
 def test_flags_of_orders_that_are_there_twice_or_have_a_statements_key(same):
     moved = "SELECT * REPLACE (CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey + 100000000 ELSE o_orderkey END AS o_orderkey) FROM orders"
     same("str20_business_flags", orders=f"{moved} UNION ALL SELECT * REPLACE (o_orderkey - o_orderkey % 2 AS o_orderkey) FROM orders WHERE o_orderkey < 40")
